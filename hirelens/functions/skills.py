@@ -13,8 +13,6 @@ Two modes:
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,13 +53,21 @@ WORD_BEFORE = "a-z0-9_"
 WORD_AFTER = "a-z0-9_+#"
 
 
+_META = set("\\.^$|?*+()[]{}")
+
+
+def regex_escape(term: str) -> str:
+    """Escape regex metacharacters; valid for both Java regex and RE2."""
+    return "".join("\\" + ch if ch in _META else ch for ch in term)
+
+
 def compat_pattern(patterns: list[str] = SKILL_PATTERNS) -> str:
     return "(?i)(" + "|".join(patterns) + ")"
 
 
 def bounded_pattern(names: list[str] = SKILL_NAMES) -> str:
     terms = sorted({n.lower() for n in names}, key=lambda s: (-len(s), s))
-    alt = "|".join(re.escape(t) for t in terms)
+    alt = "|".join(regex_escape(t) for t in terms)
     return f"(?<![{WORD_BEFORE}])({alt})(?![{WORD_AFTER}])"
 
 

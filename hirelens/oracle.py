@@ -168,3 +168,96 @@ GROUP BY fj.location, ds.skill_id, ds.skill_name"""),
 
 ORACLES: dict[str, str] = {}
 ORACLES.update(REPORTS)
+
+
+# ------------------------------------------------------------------ cleaning
+
+def _desc_case() -> str:
+    whens = " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(DESCRIPTIONS[:-1]))
+    return f"CASE o_orderkey % 5 {whens} ELSE '{DESCRIPTIONS[-1]}' END"
+
+
+RAW = f"""
+raw_jobs AS (
+  SELECT o_orderkey job_id,
+    concat('  <b>Senior</b>  ', CASE WHEN o_orderkey % 3 = 0 THEN 'Data<br>Engineer' ELSE 'DEV   <i class=x>Ops</i>' END,
+           ' ', o_orderpriority, ' ') title,
+    concat('<a href=x>', c_name, '</a> ') company,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'N/A' ELSE n_name END location,
+    CASE o_orderkey % 9
+      WHEN 0 THEN concat('$', cast(500 + o_orderkey % 900 AS varchar), ' - $', cast(1500 + o_orderkey % 900 AS varchar))
+      WHEN 1 THEN concat('$', cast(500 + o_orderkey % 900 AS varchar), '-$', cast(1500 + o_orderkey % 900 AS varchar))
+      WHEN 2 THEN '$1,000 - $2,500' WHEN 3 THEN concat('Up to $', cast(o_orderkey % 5000 AS varchar))
+      WHEN 4 THEN 'N/A' WHEN 5 THEN 'Sign-in to view' WHEN 6 THEN '1000 - 2000 USD' WHEN 7 THEN NULL
+      ELSE '$99999999999' END salary,
+    concat('We use ', {_desc_case()}, '.') description_preview,
+    CASE WHEN o_orderkey % 17 = 0 THEN 'N/A' ELSE concat('/it-jobs/', cast(o_orderkey AS varchar)) END url,
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') scraped_at
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+"""
+
+
+def raw(sql: str, *more_ctes: str) -> str:
+    ctes = [RAW.strip()] + [c.strip() for c in more_ctes]
+    return "WITH " + ",\n".join(ctes) + "\n" + sql
+
+
+def clean_sql(c: str) -> str:
+    return f"lower(trim(regexp_replace(regexp_replace({c}, '<[^>]+>', '', 'g'), '\\s+', ' ', 'g')))"
+
+
+def smin_sql(s: str) -> str:
+    return f"CASE WHEN contains({s}, '$') THEN try_cast(regexp_extract({s}, '\\$(\\d+)', 1) AS INTEGER) END"
+
+
+def smax_sql(s: str) -> str:
+    return (f"CASE WHEN contains({s}, '-') THEN try_cast(regexp_extract({s}, '\\$\\d+\\s*-\\s*\\$(\\d+)', 1) AS INTEGER)"
+            f" ELSE {smin_sql(s)} END")
+
+
+_STRIPPED = "regexp_replace(salary, '(\\d),(\\d{3})', '\\1\\2', 'g')"
+_AS_OF_ISO = AS_OF.replace(" ", "T")
+_PRESENT = ["(title IS NOT NULL AND title <> 'N/A')", "(company IS NOT NULL AND company <> 'N/A')",
+            "(location IS NOT NULL AND location <> 'N/A')", "(salary_min IS NOT NULL)",
+            "(url IS NOT NULL AND url <> 'N/A')"]
+
+
+def _skill_terms_values() -> str:
+    from hirelens.functions.skills import regex_escape
+
+    rows = ", ".join(f"('{n}', '{regex_escape(n.lower())}')" for n in SKILL_NAMES)
+    return f"skill_terms(skill, term) AS (VALUES {rows})"
+
+
+_COMPAT = compat_pattern()
+_BOUNDED_MATCH = (f"regexp_matches(lower(r.description_preview), '(^|[^{WORD_BEFORE}])' || t.term || "
+                  f"'([^{WORD_AFTER}]|$)')")
+
+CLEANING = {
+    "clean_text": raw(f"SELECT job_id, {clean_sql('title')} AS title, {clean_sql('company')} AS company FROM raw_jobs"),
+    "normalize_salary": raw(f"SELECT job_id, salary, {smin_sql('salary')} AS salary_min, "
+                            f"{smax_sql('salary')} AS salary_max FROM raw_jobs"),
+    "normalize_salary_strict": raw(f"SELECT job_id, salary, {smin_sql(_STRIPPED)} AS salary_min, "
+                                   f"{smax_sql(_STRIPPED)} AS salary_max FROM raw_jobs"),
+    "skills_compat": raw(f"SELECT job_id, unnest(regexp_extract_all(lower(description_preview), '{_COMPAT}', 1)) AS skill "
+                         f"FROM raw_jobs"),
+    "skills_bounded": raw(f"SELECT r.job_id, t.skill FROM raw_jobs r JOIN skill_terms t ON {_BOUNDED_MATCH}",
+                          _skill_terms_values()),
+    "skills_exploded_outer": raw(f"SELECT r.job_id, t.skill FROM raw_jobs r LEFT JOIN skill_terms t ON {_BOUNDED_MATCH}",
+                                 _skill_terms_values()),
+    "job_skill_sets": raw(f"""
+SELECT job_id, array_to_string(list_sort(list_distinct(list(skill))), ',') AS skills,
+  count(DISTINCT skill) AS skill_count
+FROM (SELECT job_id, unnest(regexp_extract_all(lower(description_preview), '{_COMPAT}', 1)) AS skill FROM raw_jobs)
+GROUP BY job_id"""),
+    "add_metadata": raw(f"""
+SELECT job_id, '{_AS_OF_ISO}' AS processed_at,
+  CAST(({' + '.join(f'CAST({p} AS INTEGER)' for p in _PRESENT)}) / 5.0 AS DOUBLE) AS data_quality_score
+FROM (SELECT job_id, title, company, location, url, {smin_sql('salary')} AS salary_min FROM raw_jobs)"""),
+    "process_pipeline": raw(f"""
+SELECT job_id, {clean_sql('title')} AS title, {clean_sql('company')} AS company, location, url, scraped_at,
+  {smin_sql('salary')} AS salary_min, {smax_sql('salary')} AS salary_max,
+  '{_AS_OF_ISO}' AS processed_at, CAST(1.0 AS DOUBLE) AS data_quality_score
+FROM raw_jobs"""),
+}
+ORACLES.update(CLEANING)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.plans import reports
+from hirelens.plans.cleaning_queries import CLEANING_QUERIES
 from hirelens.sources import bindings
 from hirelens.sources.tables import Tables
 
@@ -49,4 +50,5 @@ REPORT_QUERIES: dict[str, Query] = {
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(REPORT_QUERIES)
+    out.update(CLEANING_QUERIES)
     return out
