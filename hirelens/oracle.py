@@ -261,3 +261,131 @@ SELECT job_id, {clean_sql('title')} AS title, {clean_sql('company')} AS company,
 FROM raw_jobs"""),
 }
 ORACLES.update(CLEANING)
+
+
+# ----------------------------------------------------------------- warehouse
+
+def _skill_dim_values() -> str:
+    from hirelens.functions.skills import CATEGORY_OF, regex_escape
+
+    rows = ", ".join(f"({i + 1}, '{n}', '{CATEGORY_OF[n]}', '{regex_escape(n.lower())}')"
+                     for i, n in enumerate(SKILL_NAMES))
+    return f"skill_terms(skill_id, skill_name, skill_category, term) AS (VALUES {rows})"
+
+
+_TS = f"TIMESTAMP '{AS_OF}'"
+_NF = " NULLS FIRST"
+_STAGED = f"""
+staged AS (
+  SELECT NULLIF(title, 'N/A') job_title, NULLIF(company, 'N/A') company_name, NULLIF(location, 'N/A') location,
+    NULLIF(salary, 'N/A') salary, description_preview,
+    CASE WHEN u IS NOT NULL AND u <> '' AND u <> 'N/A' AND NOT starts_with(u, 'http')
+         THEN concat('https://jobs.example.com', u) ELSE u END job_url,
+    'job-board' source, try_cast(scraped_at AS TIMESTAMP) scraped_at, {_TS} created_at
+  FROM (SELECT *, NULLIF(url, 'N/A') u FROM raw_jobs)),
+staging_raw_jobs AS (
+  SELECT row_number() OVER (ORDER BY job_url{_NF}, scraped_at{_NF}, job_title{_NF}, company_name{_NF},
+           location{_NF}, salary{_NF}, description_preview{_NF}) staging_id, *
+  FROM staged),
+prepared AS (
+  SELECT staging_id, NULLIF({clean_sql('job_title')}, '') job_title, NULLIF({clean_sql('company_name')}, '') company_name,
+    location, {smin_sql('salary')} salary_min, {smax_sql('salary')} salary_max, job_url, scraped_at, description_preview
+  FROM staging_raw_jobs)"""
+
+_LOADED = _STAGED + f""",
+dim_companies AS (
+  SELECT row_number() OVER (ORDER BY company_name) company_id, company_name, CAST(NULL AS VARCHAR) industry,
+    {_TS} created_at
+  FROM (SELECT DISTINCT company_name FROM prepared WHERE company_name IS NOT NULL)),
+fact_text AS (
+  SELECT row_number() OVER (ORDER BY p.staging_id) job_id, c.company_id, p.job_title, p.job_url, p.location,
+    p.salary_min, p.salary_max, {_TS} posted_date, p.scraped_at, {_TS} processed_at,
+    CAST(1.0 AS DOUBLE) data_quality_score, p.description_preview
+  FROM prepared p JOIN dim_companies c ON p.company_name = c.company_name WHERE p.job_title IS NOT NULL),
+fact_jobs AS (SELECT * EXCLUDE (description_preview) FROM fact_text),
+{_skill_dim_values()},
+dim_skills AS (SELECT skill_id, skill_name, skill_category, {_TS} created_at FROM skill_terms),
+bridge_job_skills AS (
+  SELECT row_number() OVER (ORDER BY f.job_id, t.skill_id) job_skill_id, f.job_id, t.skill_id
+  FROM fact_text f JOIN skill_terms t ON regexp_matches(lower(f.description_preview),
+       '(^|[^{WORD_BEFORE}])' || t.term || '([^{WORD_AFTER}]|$)')),
+dim_locations AS (
+  SELECT row_number() OVER (ORDER BY location_name) location_id, location_name,
+    NULLIF(trim(split_part(location_name, ',', 1)), '') city,
+    NULLIF(trim(split_part(location_name, ',', 2)), '') country, {_TS} created_at
+  FROM (SELECT DISTINCT location location_name FROM fact_jobs WHERE location IS NOT NULL))"""
+
+
+def loaded(sql: str) -> str:
+    return raw(sql, _LOADED)
+
+
+def _body(sql_with_star: str) -> str:
+    """The SELECT part of a star-based report (after the star CTEs)."""
+    return sql_with_star[len("WITH " + STAR.strip() + "\n"):]
+
+
+_CHECKS_FACT = [("fact_jobs.company_id not null", "company_id IS NULL"),
+                ("fact_jobs.job_title not null", "job_title IS NULL"),
+                ("fact_jobs.job_title length <= 255", "length(job_title) > 255"),
+                ("fact_jobs.job_url length <= 500", "length(job_url) > 500"),
+                ("fact_jobs.location length <= 100", "length(location) > 100")]
+_CHECKS_COMP = [("dim_companies.company_name not null", "company_name IS NULL"),
+                ("dim_companies.company_name length <= 255", "length(company_name) > 255"),
+                ("dim_companies.industry length <= 100", "length(industry) > 100")]
+_CHECKS_SKILL = [("dim_skills.skill_name not null", "skill_name IS NULL"),
+                 ("dim_skills.skill_name length <= 100", "length(skill_name) > 100"),
+                 ("dim_skills.skill_category length <= 50", "length(skill_category) > 50")]
+_CHECKS_BRIDGE = [("bridge_job_skills.job_id not null", "job_id IS NULL"),
+                  ("bridge_job_skills.skill_id not null", "skill_id IS NULL")]
+
+
+def _violations_sql(has_category: bool) -> str:
+    parts = []
+    groups = [("fact_jobs", _CHECKS_FACT), ("dim_companies", _CHECKS_COMP),
+              ("dim_skills", _CHECKS_SKILL if has_category else _CHECKS_SKILL[:2]),
+              ("bridge_job_skills", _CHECKS_BRIDGE)]
+    for table, checks in groups:
+        for name, cond in checks:
+            parts.append(f"SELECT '{name}' AS check_name, CAST(count(CASE WHEN {cond} THEN 1 END) AS BIGINT) AS violations FROM {table}")
+    for table, keys in [("fact_jobs", ["job_id"]), ("dim_companies", ["company_id"]),
+                        ("dim_companies", ["company_name"]), ("dim_skills", ["skill_id"]),
+                        ("dim_skills", ["skill_name"]), ("bridge_job_skills", ["job_id", "skill_id"])]:
+        k = ", ".join(keys)
+        parts.append(f"SELECT '{table}({k}) unique', CAST(coalesce(sum(n - 1), 0) AS BIGINT) "
+                     f"FROM (SELECT count(*) n FROM {table} GROUP BY {k} HAVING count(*) > 1)")
+    for child, col, parent, pcol in [("fact_jobs", "company_id", "dim_companies", "company_id"),
+                                     ("bridge_job_skills", "job_id", "fact_jobs", "job_id"),
+                                     ("bridge_job_skills", "skill_id", "dim_skills", "skill_id")]:
+        parts.append(f"SELECT '{child}.{col} -> {parent}.{pcol}', CAST(count(*) AS BIGINT) FROM {child} c "
+                     f"WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+    return "\nUNION ALL ".join(parts)
+
+
+_STAGING_COLS = ("staging_id, job_title, company_name, location, salary, description_preview, job_url, source, "
+                 "scraped_at, created_at")
+
+WAREHOUSE = {
+    "stage_jobs": raw(f"SELECT {_STAGING_COLS} FROM staging_raw_jobs", _STAGED),
+    "upsert_companies": raw(f"""
+SELECT c_custkey company_id, c_name company_name, c_mktsegment industry, CAST(NULL AS TIMESTAMP) created_at FROM customer
+UNION ALL
+SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY company_name), company_name,
+  CAST(NULL AS VARCHAR), {_TS}
+FROM (SELECT DISTINCT company_name FROM prepared WHERE company_name IS NOT NULL
+      AND company_name NOT IN (SELECT c_name FROM customer))""", _STAGED),
+    "load_fact": loaded("SELECT * FROM fact_jobs"),
+    "load_bridge": loaded("SELECT * FROM bridge_job_skills"),
+    "load_locations": loaded("SELECT * FROM dim_locations"),
+    "loaded_top_skills": loaded(_body(REPORTS["q01_top_skills"])),
+    "loaded_salary_buckets": loaded(_body(REPORTS["q07_salary_buckets"])),
+    "loaded_constraint_violations": loaded(_violations_sql(True)),
+    "constraint_violations": star(_violations_sql(False)),
+    "cascade_delete": star("""
+SELECT job_id, skill_id FROM bridge_job_skills
+WHERE job_id NOT IN (SELECT job_id FROM fact_jobs WHERE posted_date < TIMESTAMP '1995-07-01 00:00:00')"""),
+    "skill_category_demand": loaded("""
+SELECT ds.skill_category, count(DISTINCT b.job_id) AS job_count
+FROM bridge_job_skills b JOIN dim_skills ds ON b.skill_id = ds.skill_id GROUP BY ds.skill_category"""),
+}
+ORACLES.update(WAREHOUSE)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.plans import reports
 from hirelens.plans.cleaning_queries import CLEANING_QUERIES
+from hirelens.plans.warehouse_queries import WAREHOUSE_QUERIES
 from hirelens.sources import bindings
 from hirelens.sources.tables import Tables
 
@@ -51,4 +52,5 @@ def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(REPORT_QUERIES)
     out.update(CLEANING_QUERIES)
+    out.update(WAREHOUSE_QUERIES)
     return out
