@@ -389,3 +389,81 @@ SELECT ds.skill_category, count(DISTINCT b.job_id) AS job_count
 FROM bridge_job_skills b JOIN dim_skills ds ON b.skill_id = ds.skill_id GROUP BY ds.skill_category"""),
 }
 ORACLES.update(WAREHOUSE)
+
+
+# -------------------------------------------------------------------- ingest
+
+_CARDS = f"""
+WITH cards AS (
+  SELECT o_orderkey // {PAGE_KEYS} page_id, o_orderkey k, o_orderpriority prio, c_name, c_mktsegment seg
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+valid AS (
+  SELECT *, unnest(CASE WHEN k % 10 = 3 THEN [0, 1] ELSE [0] END) dup FROM cards
+  WHERE k % 4 <> 0 AND k % 6 <> 1
+    AND length(prio) + 2 + length(c_name) + 6 + (CASE WHEN k % 5 = 0 THEN 0 ELSE 7 END) + length(seg) + 9
+        + (CASE WHEN k % 2 = 0 THEN 5 ELSE 0 END) + (CASE WHEN k % 7 = 0 THEN 0 ELSE 60 END) > 50),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY k, dup) pos FROM valid)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, prio AS title,
+  CASE WHEN k % 3 = 0 THEN concat('https://x.example/', k) ELSE concat('https://jobs.example.com/it-jobs/', k) END AS url,
+  concat(c_name, ' & Co') AS company, seg AS location,
+  CASE WHEN k % 5 = 0 THEN 'N/A' ELSE '$1 - $2' END AS salary,
+  CASE WHEN k % 2 = 0 THEN 'Java,SQL,Spark' ELSE 'Java,SQL' END AS skills
+FROM ranked WHERE pos <= 40"""
+
+_MARK = ("(contains(html, 'Verify you are human') OR contains(html, 'Just a moment') "
+         "OR contains(html, 'Checking your browser'))")
+_URLS = """
+WITH u AS (SELECT o_orderkey pos, o_orderkey % 5 batch_idx,
+  CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE concat('u', cast(o_custkey % 700 AS varchar)) END url FROM orders)
+"""
+_STATS = raw("""
+SELECT count(*) AS total_jobs,
+  count(DISTINCT company) + max(CAST(company IS NULL AS INTEGER)) AS unique_companies,
+  count(DISTINCT location) + max(CAST(location IS NULL AS INTEGER)) AS unique_locations,
+  '""" + _AS_OF_ISO + "' AS last_scraped FROM raw_jobs")
+_REPORT_FMT = ("\n        ===== ETL Pipeline Report =====\n        Execution Date: %s\n\n        Scraping Results:\n"
+               "        - Total Jobs: %d\n        - Unique Companies: %d\n        - Unique Locations: %d\n\n"
+               "        Status: %s\n        ")
+_FACT_COLS = ["job_id", "company_id", "job_title", "job_url", "location", "salary_min", "salary_max",
+              "posted_date", "scraped_at", "data_quality_score"]
+
+INGEST = {
+    "job_cards": _CARDS,
+    "valid_cards": _CARDS,
+    "page_triage": f"""
+SELECT page_id, length(html) AS n_chars, {_MARK} AND length(html) <= 100000 AS is_challenge,
+  length(html) < 30000 AS is_short,
+  CASE WHEN {_MARK} AND length(html) <= 100000 THEN 'challenge' WHEN length(html) < 30000 THEN 'short'
+       ELSE 'ok' END AS page_status
+FROM pages""",
+    "dedupe_cross_batch": _URLS + """
+SELECT pos, batch_idx, url FROM u
+WHERE batch_idx = (SELECT min(batch_idx) FROM u u2 WHERE u2.url IS NOT DISTINCT FROM u.url)""",
+    "dedupe_strict": _URLS + """
+SELECT pos, batch_idx, url FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY batch_idx, pos) rn FROM u) WHERE rn = 1""",
+    "raw_statistics": _STATS,
+    "null_profile": star("\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS total_rows, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) AS null_rate FROM fact_jobs"
+        for c in _FACT_COLS)),
+    "salary_quartiles": star("""
+SELECT q1, q3, q3 - q1 AS iqr, q1 - (q3 - q1) * 1.5 AS lower_fence, q3 + (q3 - q1) * 1.5 AS upper_fence
+FROM (SELECT quantile_cont(salary_max, 0.25) q1, quantile_cont(salary_max, 0.75) q3 FROM fact_jobs)"""),
+    "salary_outliers": star("""
+SELECT job_id, salary_min, salary_max,
+  coalesce(salary_max < f.lo OR salary_max > f.hi, false) AS outside_fence,
+  coalesce(salary_min > salary_max, false) AS min_above_max
+FROM fact_jobs, (SELECT q1 - (q3 - q1) * 1.5 lo, q3 + (q3 - q1) * 1.5 hi FROM
+   (SELECT quantile_cont(salary_max, 0.25) q1, quantile_cont(salary_max, 0.75) q3 FROM fact_jobs)) f
+WHERE coalesce(salary_max < f.lo OR salary_max > f.hi, false) OR coalesce(salary_min > salary_max, false)"""),
+}
+INGEST["quality_gate"] = _STATS.replace(
+    "SELECT count(*) AS total_jobs,", "SELECT total_jobs, total_jobs > 0 AS passed, CASE WHEN total_jobs > 0 THEN "
+    "'Validation passed - Data available for processing' ELSE 'Validation warning - Little or no data' END AS message "
+    "FROM (SELECT count(*) AS total_jobs,", 1) + ")"
+INGEST["run_report"] = _STATS.replace(
+    "SELECT count(*) AS total_jobs,",
+    f"SELECT '{AS_OF}' AS execution_date, printf('{_REPORT_FMT}', '{AS_OF}', total_jobs, unique_companies, "
+    "unique_locations, 'SUCCESS') AS report FROM (SELECT count(*) AS total_jobs,", 1) + ")"
+ORACLES.update(INGEST)

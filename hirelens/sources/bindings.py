@@ -157,7 +157,7 @@ def raw_jobs(t: Tables) -> DataFrame:
 
 # Orders per generated page: page = o_orderkey div PAGE_KEYS, so a page never
 # holds more than PAGE_KEYS cards no matter how the data grows or skews.
-PAGE_KEYS = 256
+PAGE_KEYS = 64
 
 
 def card_html(k: Column, prio: Column, cname: Column, segment: Column) -> Column:
