@@ -467,3 +467,25 @@ INGEST["run_report"] = _STATS.replace(
     f"SELECT '{AS_OF}' AS execution_date, printf('{_REPORT_FMT}', '{AS_OF}', total_jobs, unique_companies, "
     "unique_locations, 'SUCCESS') AS report FROM (SELECT count(*) AS total_jobs,", 1) + ")"
 ORACLES.update(INGEST)
+
+
+# ------------------------------------------------------------------------ io
+
+_PIPELINE = CLEANING["process_pipeline"]
+IO = {
+    "parquet_roundtrip": _PIPELINE,
+    "append_processed": _PIPELINE,
+    "sample_rows": f"SELECT * FROM ({_PIPELINE}) ORDER BY job_id LIMIT 5",
+    "read_raw_json": raw("SELECT title, company, location, salary, url, scraped_at FROM raw_jobs"),
+    "incremental_ingest": raw("""
+SELECT job_id, url FROM (
+  SELECT job_id, url, CASE WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1997 THEN 0
+    WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1999 THEN 1
+    WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 2001 THEN 2 ELSE 3 END b FROM raw_jobs) r
+WHERE b = (SELECT min(b2) FROM (
+  SELECT url, CASE WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1997 THEN 0
+    WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1999 THEN 1
+    WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 2001 THEN 2 ELSE 3 END b2 FROM raw_jobs) x
+  WHERE x.url IS NOT DISTINCT FROM r.url)"""),
+}
+ORACLES.update(IO)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hirelens.plans import reports
 from hirelens.plans.cleaning_queries import CLEANING_QUERIES
 from hirelens.plans.ingest_queries import INGEST_QUERIES
+from hirelens.plans.io_queries import IO_QUERIES
 from hirelens.plans.warehouse_queries import WAREHOUSE_QUERIES
 from hirelens.sources import bindings
 from hirelens.sources.tables import Tables
@@ -55,4 +56,5 @@ def all_queries() -> dict[str, Query]:
     out.update(CLEANING_QUERIES)
     out.update(WAREHOUSE_QUERIES)
     out.update(INGEST_QUERIES)
+    out.update(IO_QUERIES)
     return out
