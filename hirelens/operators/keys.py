@@ -51,6 +51,28 @@ def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: Column | i
             .drop("_mid", "_pid", "_off"))
 
 
+def number_in_order(df: DataFrame, key_col: str, start: Column | int = 0) -> DataFrame:
+    """Dense keys for a frame that is already in its final global order.
+
+    ``df`` must come from ``assign_keys`` output (or its checkpoint) through
+    narrow steps only (filter, project, explode): partitions are then still
+    a contiguous, sorted run each and are read back identically, so the
+    keys follow the order without another range shuffle or checkpoint.
+    """
+    tagged = (df.withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn("_pid", F.shiftright("_mid", 33)))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select(
+        "_pid",
+        F.coalesce(F.sum("_cnt").over(
+            Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    local = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .withColumn(key_col, (start_col + F.col("_off") + local + 1).cast("long"))
+            .drop("_mid", "_pid", "_off"))
+
+
 def next_key_start(existing: DataFrame | None, key_col: str) -> Column:
     """max(existing key), or 0 for an empty / missing table, as a scalar."""
     if existing is None:

@@ -11,14 +11,15 @@ one DataFrame transform over the whole batch:
   ones get keys after the current maximum;
 * jobs get their company id by an equi-join on the name (AQE splits a hot
   company's partition) and keys in staging order;
-* skills come from a fixed, curated dictionary (so joining to it is a
-  broadcast of a bounded table), and the bridge is unique per (job, skill)
-  by construction, without a shuffle.
+* skills come from a fixed, curated dictionary (a literal map), and the
+  bridge is unique per (job, skill) by construction, without a shuffle;
+* staging is range-ordered and checkpointed once; job and bridge keys are
+  then numbered in place from it, without further range shuffles.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from hirelens.functions.salary import salary_max_col, salary_min_col
 from hirelens.functions.skills import CATEGORY_OF, SKILL_NAMES, skills_bounded_col
 from hirelens.functions.text import clean_text_col
-from hirelens.operators.keys import assign_keys, next_key_start
+from hirelens.operators.keys import assign_keys, next_key_start, number_in_order
 from hirelens.sources.bindings import Star
 
 NA = "N/A"
@@ -107,15 +108,28 @@ def upsert_companies(existing: DataFrame | None, jobs: DataFrame,
     return conform(existing, new).unionByName(new)
 
 
-def load_fact(jobs: DataFrame, companies: DataFrame, existing: DataFrame | None = None,
-              loaded_at: str | None = None, keep_description: bool = False) -> DataFrame:
-    """Insert jobs (D3): company id by name, posted_date = load time, keys
-    in staging order after the current maximum.  Rows violating NOT NULL
-    (no title or no company) are not inserted."""
-    ok = jobs.where(F.col("job_title").isNotNull() & F.col("company_name").isNotNull())
-    with_company = ok.join(companies.select("company_name", "company_id"), "company_name")
-    keyed = assign_keys(with_company, ["staging_id"], "job_id",
-                        start=next_key_start(existing, "job_id"))
+def loadable(jobs: DataFrame) -> DataFrame:
+    """Rows that satisfy fact_jobs' NOT NULL rules (title and company)."""
+    return jobs.where(F.col("job_title").isNotNull() & F.col("company_name").isNotNull())
+
+
+def number_jobs(jobs: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """job_id in staging order after the current maximum.
+
+    ``jobs`` comes from ``prepare_jobs`` (narrow steps over the checkpointed,
+    range-ordered staging frame), so keys are assigned in place.
+    """
+    return number_in_order(loadable(jobs), "job_id", start=next_key_start(existing, "job_id"))
+
+
+def load_fact(numbered_jobs: DataFrame, companies: DataFrame, loaded_at: str | None = None,
+              keep_description: bool = False) -> DataFrame:
+    """Insert jobs (D3): company id by exact name, posted_date = load time.
+
+    Every loadable row has a company in ``companies`` (they were upserted
+    from the same rows), so the inner join keeps all of them.
+    """
+    with_company = numbered_jobs.join(companies.select("company_name", "company_id"), "company_name")
     cols = [
         "job_id", "company_id", "job_title", "job_url", "location", "salary_min", "salary_max",
         _ts(loaded_at).alias("posted_date"), "scraped_at", _ts(loaded_at).alias("processed_at"),
@@ -123,7 +137,7 @@ def load_fact(jobs: DataFrame, companies: DataFrame, existing: DataFrame | None
     ]
     if keep_description:
         cols.append("description_preview")
-    return keyed.select(*cols)
+    return with_company.select(*cols)
 
 
 def skill_dimension(spark: SparkSession, loaded_at: str | None = None) -> DataFrame:
@@ -133,18 +147,26 @@ def skill_dimension(spark: SparkSession, loaded_at: str | None = None) -> DataFr
         .withColumn("created_at", _ts(loaded_at))
 
 
-def load_bridge(fact_with_text: DataFrame, dim_skills: DataFrame,
-                existing: DataFrame | None = None, text_col: str = "description_preview") -> DataFrame:
+def _skill_id_map() -> Column:
+    pairs = []
+    for i, n in enumerate(SKILL_NAMES):
+        pairs += [F.lit(n), F.lit(i + 1).cast("long")]
+    return F.create_map(*pairs)
+
+
+def load_bridge(numbered_jobs: DataFrame, existing: DataFrame | None = None,
+                text_col: str = "description_preview") -> DataFrame:
     """One row per distinct (job, skill) found in the job text.
 
-    The bounded extraction already returns distinct skills per job, so the
-    UNIQUE(job_id, skill_id) constraint holds without a dedupe shuffle.
-    dim_skills is the fixed dictionary, so the broadcast is bounded.
+    Skill ids come from the fixed dictionary (a literal map, no join), the
+    bounded extraction returns distinct skills per job so UNIQUE(job_id,
+    skill_id) holds without a dedupe shuffle, and since jobs arrive in
+    job_id order and each job's ids are sorted, the bridge keys follow
+    (job_id, skill_id) order without another shuffle.
     """
-    found = fact_with_text.select("job_id", F.explode(skills_bounded_col(text_col)).alias("skill_name"))
-    pairs = found.join(F.broadcast(dim_skills.select("skill_id", "skill_name")), "skill_name")
-    return assign_keys(pairs, ["job_id", "skill_id"], "job_skill_id",
-                       start=next_key_start(existing, "job_skill_id")).select(
+    ids = F.array_sort(F.transform(skills_bounded_col(text_col), lambda n: _skill_id_map()[n]))
+    pairs = numbered_jobs.select("job_id", F.explode(ids).alias("skill_id"))
+    return number_in_order(pairs, "job_skill_id", start=next_key_start(existing, "job_skill_id")).select(
         "job_skill_id", "job_id", "skill_id")
 
 
@@ -164,14 +186,50 @@ def load_locations(fact: DataFrame, existing: DataFrame | None = None,
     return new if existing is None else conform(existing, new).unionByName(new)
 
 
-@dataclass(frozen=True)
 class Warehouse:
-    staging_raw_jobs: DataFrame
-    dim_companies: DataFrame
-    fact_jobs: DataFrame
-    dim_skills: DataFrame
-    bridge_job_skills: DataFrame
-    dim_locations: DataFrame
+    """The loaded tables of one batch, built lazily: a query that reads only
+    the fact does not pay for the bridge or the locations."""
+
+    def __init__(self, raw: DataFrame, loaded_at: str | None = None, previous: "Warehouse | None" = None,
+                 base_url: str = DEFAULT_BASE_URL):
+        self._raw, self._at, self._prev, self._base = raw, loaded_at, previous, base_url
+
+    @cached_property
+    def staging_raw_jobs(self) -> DataFrame:
+        return stage_jobs(self._raw, self._at, base_url=self._base)
+
+    @cached_property
+    def _jobs(self) -> DataFrame:
+        return prepare_jobs(self.staging_raw_jobs)
+
+    @cached_property
+    def dim_companies(self) -> DataFrame:
+        return upsert_companies(self._prev.dim_companies if self._prev else None, self._jobs, self._at)
+
+    @cached_property
+    def _numbered(self) -> DataFrame:
+        return number_jobs(self._jobs, self._prev.fact_jobs if self._prev else None)
+
+    @cached_property
+    def new_fact_jobs(self) -> DataFrame:
+        return load_fact(self._numbered, self.dim_companies, self._at)
+
+    @cached_property
+    def fact_jobs(self) -> DataFrame:
+        return self._prev.fact_jobs.unionByName(self.new_fact_jobs) if self._prev else self.new_fact_jobs
+
+    @cached_property
+    def dim_skills(self) -> DataFrame:
+        return self._prev.dim_skills if self._prev else skill_dimension(self._raw.sparkSession, self._at)
+
+    @cached_property
+    def bridge_job_skills(self) -> DataFrame:
+        new = load_bridge(self._numbered, self._prev.bridge_job_skills if self._prev else None)
+        return self._prev.bridge_job_skills.unionByName(new) if self._prev else new
+
+    @cached_property
+    def dim_locations(self) -> DataFrame:
+        return load_locations(self.new_fact_jobs, self._prev.dim_locations if self._prev else None, self._at)
 
     def star(self) -> Star:
         return Star(self.fact_jobs, self.dim_companies, self.dim_skills, self.bridge_job_skills)
@@ -179,18 +237,5 @@ class Warehouse:
 
 def load_warehouse(raw: DataFrame, loaded_at: str | None = None, previous: Warehouse | None = None,
                    base_url: str = DEFAULT_BASE_URL) -> Warehouse:
-    """Raw postings -> all warehouse tables, appended to ``previous`` if given."""
-    spark = raw.sparkSession
-    staging = stage_jobs(raw, loaded_at, base_url=base_url)
-    jobs = prepare_jobs(staging)
-    companies = upsert_companies(previous.dim_companies if previous else None, jobs, loaded_at)
-    fact_text = load_fact(jobs, companies, previous.fact_jobs if previous else None, loaded_at,
-                          keep_description=True)
-    skills = previous.dim_skills if previous else skill_dimension(spark, loaded_at)
-    bridge = load_bridge(fact_text, skills, previous.bridge_job_skills if previous else None)
-    fact = fact_text.drop("description_preview")
-    locations = load_locations(fact, previous.dim_locations if previous else None, loaded_at)
-    if previous is not None:
-        fact = previous.fact_jobs.unionByName(fact)
-        bridge = previous.bridge_job_skills.unionByName(bridge)
-    return Warehouse(staging, companies, fact, skills, bridge, locations)
+    """Raw postings -> warehouse tables, appended to ``previous`` if given."""
+    return Warehouse(raw, loaded_at, previous, base_url)

@@ -191,7 +191,10 @@ def html_pages(t: Tables) -> DataFrame:
                       F.col("c_mktsegment")).alias("html"),
         ).alias("card"),
     )
-    return cards.groupBy("page_id").agg(
+    # An explicit repartition on page_id (kept as is by AQE, and reused by the
+    # aggregate) so that parsing the pages later runs on every core.
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return cards.repartition(n, "page_id").groupBy("page_id").agg(
         F.concat(
             F.lit('<html><body><script>var t="<div class=job>";</script>'),
             F.array_join(F.transform(F.array_sort(F.collect_list("card")), lambda x: x["html"]), ""),

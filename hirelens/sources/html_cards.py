@@ -46,70 +46,82 @@ _HIDDEN_TEXT = {"script", "style", "template"}
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag = tag
-        self.attrs = attrs
-        self.children = []
-        self.parent = parent
-
-    def iter(self):
-        """Descendant elements in document order."""
-        stack = list(reversed([c for c in self.children if isinstance(c, _Node)]))
-        while stack:
-            n = stack.pop()
-            yield n
-            stack.extend(reversed([c for c in n.children if isinstance(c, _Node)]))
-
-    def strings(self):
-        stack = list(reversed(self.children))
-        while stack:
-            c = stack.pop()
-            if isinstance(c, str):
-                yield c
-            elif c.tag not in _HIDDEN_TEXT:
-                stack.extend(reversed(c.children))
-
-    def text(self, strip=False):
-        if strip:
-            return "".join(s.strip() for s in self.strings() if s.strip())
-        return "".join(self.strings())
+    """An element; ``idx``..``last`` is its subtree in document order and
+    ``t0``..``t1`` the text pieces inside it."""
+
+    __slots__ = ("tag", "attrs", "idx", "last", "t0", "t1")
+
+    def __init__(self, tag, attrs, idx, t0):
+        self.tag, self.attrs, self.idx, self.t0 = tag, attrs, idx, t0
+        self.last, self.t1 = idx, t0
 
     def classes(self):
         return (self.attrs.get("class") or "").split()
 
-    def find(self, tag, pred=None):
-        for n in self.iter():
-            if n.tag == tag and (pred is None or pred(n)):
-                return n
-        return None
 
+class _Doc(HTMLParser):
+    """Flat pre-order element list; text inside script/style/template is
+    recorded as None (not visible text)."""
 
-class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", {}, None)
-        self.cur = self.root
+        self.nodes: list[_Node] = []
+        self.texts: list[str | None] = []
+        self.stack: list[_Node] = []
+        self.hidden = 0
+
+    def _open(self, tag, attrs):
+        node = _Node(tag, {k: (v if v is not None else "") for k, v in attrs}, len(self.nodes), len(self.texts))
+        self.nodes.append(node)
+        return node
+
+    def _close(self, node):
+        node.last, node.t1 = len(self.nodes) - 1, len(self.texts)
+        if node.tag in _HIDDEN_TEXT:
+            self.hidden -= 1
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
-        if tag not in _VOID:
-            self.cur = node
+        node = self._open(tag, attrs)
+        if tag in _VOID:
+            node.last, node.t1 = node.idx, node.t0
+            return
+        self.stack.append(node)
+        if tag in _HIDDEN_TEXT:
+            self.hidden += 1
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(_Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur))
+        self._open(tag, attrs)
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not self.root and n.tag != tag:
-            n = n.parent
-        if n is not self.root:
-            self.cur = n.parent
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i].tag == tag:
+                while len(self.stack) > i:
+                    self._close(self.stack.pop())
+                return
 
     def handle_data(self, data):
-        self.cur.children.append(data)
+        self.texts.append(None if self.hidden else data)
+
+    def close(self):
+        super().close()
+        while self.stack:
+            self._close(self.stack.pop())
+
+    # subtree helpers
+    def below(self, node):
+        return self.nodes[node.idx + 1: node.last + 1]
+
+    def find(self, node, tag, pred=None):
+        for n in self.below(node):
+            if n.tag == tag and (pred is None or pred(n)):
+                return n
+        return None
+
+    def text(self, node, strip=False):
+        parts = [t for t in self.texts[node.t0: node.t1] if t is not None]
+        if strip:
+            return "".join(p.strip() for p in parts if p.strip())
+        return "".join(parts)
 
 
 def normalize_url(url, base_url=DEFAULT_BASE_URL):
@@ -118,35 +130,37 @@ def normalize_url(url, base_url=DEFAULT_BASE_URL):
     return url
 
 
-def parse_card(card: _Node, base_url: str = DEFAULT_BASE_URL) -> dict:
-    h3 = card.find("h3")
+_LOCATION_CLASSES = {"text-rich-grey", "text-truncate", "text-nowrap"}
+
+
+def parse_card(doc: _Doc, card: _Node, base_url: str = DEFAULT_BASE_URL) -> dict:
+    h3 = doc.find(card, "h3")
     if h3 is not None:
-        title = h3.text(strip=True)
+        title = doc.text(h3, strip=True)
         url = h3.attrs.get("data-url")
         if not url:
-            a = h3.find("a")
+            a = doc.find(h3, "a")
             if a is not None:
                 url = a.attrs.get("href")
     else:
         title, url = NA, NA
     company = NA
-    for a in card.iter():
+    for a in doc.below(card):
         if a.tag == "a" and "/companies/" in (a.attrs.get("href") or ""):
-            t = a.text(strip=True)
+            t = doc.text(a, strip=True)
             if t:
                 company = t
                 break
-    want = {"text-rich-grey", "text-truncate", "text-nowrap"}
-    loc = next((n for n in card.iter() if want.issubset(n.classes())), None)
-    sal = card.find("div", lambda n: "salary" in n.classes())
-    tags = card.find("div", lambda n: n.attrs.get("data-controller") == "responsive-tag-list")
-    skills = [a.text(strip=True) for a in tags.iter() if a.tag == "a"] if tags is not None else []
+    loc = next((n for n in doc.below(card) if _LOCATION_CLASSES.issubset(n.classes())), None)
+    sal = doc.find(card, "div", lambda n: "salary" in n.classes())
+    tags = doc.find(card, "div", lambda n: n.attrs.get("data-controller") == "responsive-tag-list")
+    skills = [doc.text(a, strip=True) for a in doc.below(tags) if a.tag == "a"] if tags is not None else []
     return {
         "title": title,
         "url": normalize_url(url, base_url),
         "company": company,
-        "location": loc.text(strip=True) if loc is not None else NA,
-        "salary": sal.text(strip=True) if sal is not None else NA,
+        "location": doc.text(loc, strip=True) if loc is not None else NA,
+        "salary": doc.text(sal, strip=True) if sal is not None else NA,
         "skills": skills,
     }
 
@@ -155,18 +169,19 @@ def cards_in_page(html: str | None, max_cards: int = MAX_CARDS, base_url: str =
     """Parsed cards of one whole page, in document order (at most max_cards)."""
     if not html:
         return []
-    tree = _Tree()
-    tree.feed(html)
-    tree.close()
+    doc = _Doc()
+    doc.feed(html)
+    doc.close()
     out = []
-    for node in tree.root.iter():
+    for node in doc.nodes:
         if node.tag != "div" or "job" not in (node.attrs.get("class") or ""):
             continue
-        if node.find("h3") is None or node.find("form") is not None:
+        inside = doc.below(node)
+        if not any(n.tag == "h3" for n in inside) or any(n.tag == "form" for n in inside):
             continue
-        if len(node.text()) <= MIN_CARD_TEXT:
+        if sum(len(t) for t in doc.texts[node.t0: node.t1] if t is not None) <= MIN_CARD_TEXT:
             continue
-        out.append(parse_card(node, base_url))
+        out.append(parse_card(doc, node, base_url))
         if len(out) == max_cards:
             # The cap is the feature: the whole page has been parsed above.
             break
@@ -174,7 +189,7 @@ def cards_in_page(html: str | None, max_cards: int = MAX_CARDS, base_url: str =
 
 
 def job_cards(pages: DataFrame, max_cards: int = MAX_CARDS, base_url: str = DEFAULT_BASE_URL,
-              scraped_at: str | None = None) -> DataFrame:
+              scraped_at: str | None = None, min_tasks: int | None = None) -> DataFrame:
     """(page_id, html) rows -> one row per card, ``pos`` = 1-based order."""
     cols = [f.name for f in JOB_CARD.fields]
 
@@ -186,7 +201,14 @@ def job_cards(pages: DataFrame, max_cards: int = MAX_CARDS, base_url: str = DEFA
                     rows.append({"page_id": pid, "pos": i + 1, **card})
             yield pd.DataFrame(rows, columns=cols)
 
-    out = pages.select("page_id", "html").mapInPandas(parse, JOB_CARD)
+    src = pages.select("page_id", "html")
+    # Parsing is CPU-bound Python: make sure there are at least as many tasks
+    # as cores.  A large table already has more scan splits than that and is
+    # not reshuffled.
+    want = min_tasks or pages.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() < want:
+        src = src.repartition(want)
+    out = src.mapInPandas(parse, JOB_CARD)
     stamp = F.lit(scraped_at) if scraped_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return out.withColumn("scraped_at", stamp)

@@ -24,14 +24,24 @@ from pyspark.sql.types import StructType
 BATCH_COL = "_batch"
 
 
-def _seen_before(spark: SparkSession, target: str, batch_id: int, key: str) -> DataFrame | None:
-    try:
-        prior = spark.read.parquet(target)
-    except Exception:  # nothing written yet
-        return None
+def _seen_before(spark: SparkSession, target: str, target_schema: StructType, batch_id: int,
+                 key: str) -> DataFrame:
+    prior = spark.read.schema(target_schema).parquet(target)
     return prior.where(F.col(BATCH_COL) < batch_id).select(F.col(key).alias("_seen")).distinct()
 
 
+def _ensure_target(spark: SparkSession, target: str, schema: StructType,
+                   transform: Callable[[DataFrame], DataFrame] | None) -> StructType:
+    """Create the target folder once (typed, empty) and return its schema."""
+    empty = spark.createDataFrame([], schema)
+    out = (transform(empty) if transform else empty).withColumn(BATCH_COL, F.lit(-1).cast("long"))
+    try:
+        spark.read.schema(out.schema).parquet(target).schema  # noqa: B018
+    except Exception:  # folder missing: create it
+        out.write.partitionBy(BATCH_COL).parquet(target)
+    return out.schema
+
+
 def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, target: str,
                        checkpoint: str, key: str = "url",
                        transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -40,13 +50,13 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        seen = _seen_before(batch.sparkSession, target, batch_id, key)
-        if seen is not None:
-            rows = rows.join(seen, rows[key].eqNullSafe(seen["_seen"]), "left_anti")
+        seen = _seen_before(batch.sparkSession, target, target_schema, batch_id, key)
+        rows = rows.join(seen, rows[key].eqNullSafe(seen["_seen"]), "left_anti")
         (rows.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(target))
 
+    target_schema = _ensure_target(spark, target, schema, transform)
     query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
              .parquet(landing)
              .writeStream.foreachBatch(write_batch)
