@@ -489,3 +489,7 @@ WHERE b = (SELECT min(b2) FROM (
   WHERE x.url IS NOT DISTINCT FROM r.url)"""),
 }
 ORACLES.update(IO)
+IO["append_raw"] = IO["read_raw_json"]
+IO["surrogate_keys"] = """
+SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS line_key FROM lineitem"""
+ORACLES.update(IO)

@@ -12,7 +12,8 @@ from hirelens.operators.cleaning import process
 from hirelens.schemas import RAW
 from hirelens.session import scratch_path
 from hirelens.sources.bindings import AS_OF, raw_jobs
-from hirelens.sources.io import append_new, read_raw, sample_rows, with_scrape_month, write_table
+from hirelens.operators.keys import assign_keys
+from hirelens.sources.io import append_new, append_raw, read_raw, sample_rows, with_scrape_month, write_table
 from hirelens.sources.tables import Tables
 from hirelens.streaming.incremental import incremental_ingest
 
@@ -76,10 +77,26 @@ def incremental_ingest_q(spark, sf_dir):
     return spark.read.parquet(target).select("job_id", "url")
 
 
+def append_raw_q(spark, sf_dir):
+    """Raw postings appended by scrape month and read back."""
+    path = scratch_path(spark, "raw-append")
+    append_raw(raw_jobs(Tables(spark, sf_dir)).select(*RAW_TEXT_COLS), path)
+    return spark.read.parquet(path).select(*RAW_TEXT_COLS)
+
+
+def surrogate_keys_q(spark, sf_dir):
+    """Dense keys over the largest table in (order, line) order, no
+    single-partition window."""
+    li = Tables(spark, sf_dir)("lineitem").select("l_orderkey", "l_linenumber")
+    return assign_keys(li, ["l_orderkey", "l_linenumber"], "line_key")
+
+
 IO_QUERIES = {
     "parquet_roundtrip": parquet_roundtrip_q,
     "append_processed": append_processed_q,
     "sample_rows": sample_rows_q,
     "read_raw_json": read_raw_json_q,
     "incremental_ingest": incremental_ingest_q,
+    "append_raw": append_raw_q,
+    "surrogate_keys": surrogate_keys_q,
 }
