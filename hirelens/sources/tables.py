@@ -6,8 +6,6 @@ columns and pushes filters into every scan that a query builds on them.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = (
@@ -27,12 +25,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Accessor ``t("orders")`` bound to one session and data folder."""
+    """Accessor ``t("orders")`` bound to one session and data folder.
+
+    One instance per (session, folder): the source DataFrames are immutable,
+    so every query built on the same folder reuses their resolved schemas.
+    """
+
+    _instances: dict = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), sf_dir)
+        inst = cls._instances.get(key)
+        if inst is None or inst.spark is not spark:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir, inst._frames = spark, sf_dir, {}
+            cls._instances[key] = inst
+        return inst
 
-    @lru_cache(maxsize=None)
     def __call__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._frames:
+            self._frames[name] = read_table(self.spark, self.sf_dir, name)
+        return self._frames[name]
