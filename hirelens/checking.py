@@ -32,3 +32,18 @@ def canonical_rows(records, cols):
 
 def same_result(got, got_cols, exp, exp_cols) -> bool:
     return sorted(got_cols) == sorted(exp_cols) and canonical_rows(got, got_cols) == canonical_rows(exp, exp_cols)
+
+
+# Spark type -> DuckDB type name, for the schema part of the comparison.
+DUCK_TYPES = {
+    "LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+    "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP",
+    "DateType()": "DATE", "ShortType()": "SMALLINT", "FloatType()": "FLOAT",
+}
+
+
+def type_differences(spark_schema, duck_columns, duck_types) -> dict:
+    """{column: (spark type, duckdb type)} for columns whose types differ."""
+    st = {f.name: DUCK_TYPES.get(repr(f.dataType), repr(f.dataType)) for f in spark_schema}
+    dt = {c: str(t) for c, t in zip(duck_columns, duck_types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}

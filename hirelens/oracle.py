@@ -247,7 +247,7 @@ CLEANING = {
                                  _skill_terms_values()),
     "job_skill_sets": raw(f"""
 SELECT job_id, array_to_string(list_sort(list_distinct(list(skill))), ',') AS skills,
-  count(DISTINCT skill) AS skill_count
+  CAST(count(DISTINCT skill) AS INTEGER) AS skill_count
 FROM (SELECT job_id, unnest(regexp_extract_all(lower(description_preview), '{_COMPAT}', 1)) AS skill FROM raw_jobs)
 GROUP BY job_id"""),
     "add_metadata": raw(f"""
@@ -304,9 +304,9 @@ fact_text AS (
   FROM prepared p JOIN dim_companies c ON p.company_name = c.company_name WHERE p.job_title IS NOT NULL),
 fact_jobs AS (SELECT * EXCLUDE (description_preview) FROM fact_text),
 {_skill_dim_values()},
-dim_skills AS (SELECT skill_id, skill_name, skill_category, {_TS} created_at FROM skill_terms),
+dim_skills AS (SELECT CAST(skill_id AS BIGINT) skill_id, skill_name, skill_category, {_TS} created_at FROM skill_terms),
 bridge_job_skills AS (
-  SELECT row_number() OVER (ORDER BY f.job_id, t.skill_id) job_skill_id, f.job_id, t.skill_id
+  SELECT row_number() OVER (ORDER BY f.job_id, t.skill_id) job_skill_id, f.job_id, CAST(t.skill_id AS BIGINT) skill_id
   FROM fact_text f JOIN skill_terms t ON regexp_matches(lower(f.description_preview),
        '(^|[^{WORD_BEFORE}])' || t.term || '([^{WORD_AFTER}]|$)')),
 dim_locations AS (
@@ -431,7 +431,7 @@ INGEST = {
     "job_cards": _CARDS,
     "valid_cards": _CARDS,
     "page_triage": f"""
-SELECT page_id, length(html) AS n_chars, {_MARK} AND length(html) <= 100000 AS is_challenge,
+SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, {_MARK} AND length(html) <= 100000 AS is_challenge,
   length(html) < 30000 AS is_short,
   CASE WHEN {_MARK} AND length(html) <= 100000 THEN 'challenge' WHEN length(html) < 30000 THEN 'short'
        ELSE 'ok' END AS page_status

@@ -4,7 +4,7 @@ driver contract (entry, queries, oracle_sql)."""
 import pytest
 
 import __spark_entry__ as E
-from hirelens.checking import same_result
+from hirelens.checking import same_result, type_differences
 
 from conftest import SF_SMALL
 
@@ -24,7 +24,10 @@ def test_query_matches_oracle(spark, duck, name):
     if sql is None:
         assert isinstance(got, list)
         return
-    cur = duck(SF_SMALL).execute(sql)
+    con = duck(SF_SMALL)
+    rel = con.sql(sql)
+    assert type_differences(df.schema, rel.columns, rel.types) == {}, name
+    cur = con.execute(sql)
     exp = cur.fetchall()
     assert same_result(got, df.columns, exp, [d[0] for d in cur.description]), name
 
