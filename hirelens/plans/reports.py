@@ -66,19 +66,48 @@ def v1_top_skills(star: Star) -> DataFrame:
             .select("skill_name", "skill_count", "skill_percentage"))
 
 
-def q04_skill_pairs(star: Star, k: int = 20) -> DataFrame:
+# Skills per job above which a job's pairs are split over several tasks.
+HOT_JOB_SKILLS = 1024
+
+
+def _job_skill_pairs(bridge: DataFrame, block: int = HOT_JOB_SKILLS) -> DataFrame:
+    """(job_id, skill_id_1 < skill_id_2) for every unordered skill pair of a job.
+
+    A job with m > ``block`` skills is cut into g = ceil(m / block) blocks by
+    skill hash; every block pair (i <= j) is its own join key, so its pairs
+    are spread over g(g+1)/2 tasks of at most block x block pairs each, and
+    every unordered pair is produced exactly once (i < j: all cross pairs;
+    i = j: a < b).  Ordinary jobs have g = 1, which is the plain self-join.
+    The per-job skill counts are combined map-side; only jobs above the
+    threshold are joined back (a small table that AQE broadcasts when its
+    measured size allows).
+    """
+    per_job = bridge.groupBy("job_id").agg(F.count(F.lit(1)).alias("_m"))
+    hot = per_job.where(F.col("_m") > block).select(
+        "job_id", F.ceil(F.col("_m") / F.lit(block)).cast("int").alias("_g"))
+    b = (bridge.join(hot, "job_id", "left")
+         .withColumn("_g", F.coalesce("_g", F.lit(1)))
+         .withColumn("_blk", F.pmod(F.xxhash64("skill_id"), F.col("_g")).cast("int")))
+    left = b.select("job_id", F.col("skill_id").alias("_x"), F.col("_blk").alias("_i"),
+                    F.explode(F.sequence(F.col("_blk"), F.col("_g") - 1)).alias("_j"))
+    right = b.select("job_id", F.col("skill_id").alias("_y"), F.col("_blk").alias("_j"),
+                     F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_i"))
+    pairs = left.join(right, ["job_id", "_i", "_j"]).where(
+        ((F.col("_i") < F.col("_j")) & (F.col("_x") != F.col("_y"))) | (F.col("_x") < F.col("_y")))
+    return pairs.select("job_id", F.least("_x", "_y").alias("skill_id_1"),
+                        F.greatest("_x", "_y").alias("skill_id_2"))
+
+
+def q04_skill_pairs(star: Star, k: int = 20, hot_job_skills: int = HOT_JOB_SKILLS) -> DataFrame:
     """Skills required together: unordered pairs (a < b) and their job count.
 
     The bridge is unique on (job_id, skill_id), so the number of distinct
-    jobs of a pair is its row count.  Pairs are counted on ids, combined
-    map-side, and only the k winners are joined to names.  A job with very
-    many skills makes one skewed join partition; AQE splits it on both sides.
+    jobs of a pair is its row count.  Pairs are counted on ids and combined
+    map-side; only the k winners are joined to names.  Hot jobs are split
+    into skill blocks (see ``_job_skill_pairs``).
     """
     b = star.bridge_job_skills.join(star.dim_skills.select("skill_id"), "skill_id", "left_semi")
-    left = b.select(F.col("job_id"), F.col("skill_id").alias("skill_id_1"))
-    right = b.select(F.col("job_id"), F.col("skill_id").alias("skill_id_2"))
-    pairs = left.join(right, "job_id").where(F.col("skill_id_1") < F.col("skill_id_2"))
-    top = (pairs.groupBy("skill_id_1", "skill_id_2")
+    top = (_job_skill_pairs(b, hot_job_skills).groupBy("skill_id_1", "skill_id_2")
            .agg(F.count(F.lit(1)).alias("co_occurrence_count"))
            .orderBy(_desc("co_occurrence_count"), "skill_id_1", "skill_id_2").limit(k))
     names = star.dim_skills.select("skill_id", "skill_name")
