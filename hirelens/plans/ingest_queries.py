@@ -37,7 +37,8 @@ def page_triage_q(spark, sf_dir):
 
 def page_cards_q(spark, sf_dir):
     """Cards in the driver's own saved pages (whole pages parsed)."""
-    return _flat(job_cards(Tables(spark, sf_dir)("pages"), scraped_at=SCRAPED_AT))
+    pages = Tables(spark, sf_dir)("pages")
+    return _flat(job_cards(pages, scraped_at=SCRAPED_AT, min_tasks=spark.sparkContext.defaultParallelism))
 
 
 def dedupe_cross_batch_q(spark, sf_dir):

@@ -22,14 +22,20 @@ Card rules:
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.schemas import JOB_CARD
 
+# The page parser runs in Python workers.  Ship this module's code with the
+# task (by value) so workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NA = "N/A"
 MAX_CARDS = 40
 MIN_CARD_TEXT = 50
@@ -202,12 +208,11 @@ def job_cards(pages: DataFrame, max_cards: int = MAX_CARDS, base_url: str = DEFA
             yield pd.DataFrame(rows, columns=cols)
 
     src = pages.select("page_id", "html")
-    # Parsing is CPU-bound Python: make sure there are at least as many tasks
-    # as cores.  A large table already has more scan splits than that and is
-    # not reshuffled.
-    want = min_tasks or pages.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < want:
-        src = src.repartition(want)
+    if min_tasks:
+        # Parsing is CPU-bound Python.  A small page table read from a few
+        # files has fewer splits than cores: spread it first.  A large table
+        # already has many scan splits and needs no reshuffle.
+        src = src.repartition(min_tasks)
     out = src.mapInPandas(parse, JOB_CARD)
     stamp = F.lit(scraped_at) if scraped_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
