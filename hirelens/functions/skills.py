@@ -117,11 +117,3 @@ def job_skill_sets(exploded: DataFrame, key: str = "job_id", skill_col: str = "s
     skills = F.coalesce(F.array_sort(F.collect_set(skill_col)), F.array().cast("array<string>"))
     return exploded.groupBy(key).agg(skills.alias("skills")).withColumn(
         "skill_count", F.size("skills"))
-
-
-def skill_dimension(spark, created_at: str | None = None) -> DataFrame:
-    """The curated skill list with categories, in list order (small and fixed)."""
-    rows = [(n, CATEGORY_OF.get(n)) for n in SKILL_NAMES]
-    df = spark.createDataFrame(rows, "skill_name string, skill_category string")
-    ts = F.lit(created_at).cast("timestamp_ntz") if created_at else F.localtimestamp()
-    return df.withColumn("created_at", ts)

@@ -33,6 +33,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         SparkSession.builder.master(master or f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("HIRELENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     )
