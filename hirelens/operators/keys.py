@@ -28,13 +28,48 @@ def _order(cols):
     return [c if isinstance(c, Column) else F.col(c).asc_nulls_first() for c in cols]
 
 
+def _numbered_copies(df: DataFrame, chunk: int) -> DataFrame:
+    """Give every exact copy of a row its own occurrence index ``_i``.
+
+    Copies are counted first (combined map-side).  A row with at most
+    ``chunk`` copies is expanded where it is; a larger copy group is cut into
+    chunks that are spread over tasks before they are expanded, so no task
+    generates more than ``chunk`` copies of one row.  With distinct keys the
+    range partitioning that follows can split a copy group that holds a third
+    of all rows over many partitions.
+    """
+    cols = df.columns
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    small = (counted.where(F.col("_n") <= chunk)
+             .withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))))
+    big = (counted.where(F.col("_n") > chunk)
+           .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / chunk) - 1)))
+           .repartition("_c", *cols)
+           .withColumn("_i", F.explode(F.sequence(F.col("_c") * chunk,
+                                                 F.least(F.col("_n"), (F.col("_c") + 1) * chunk) - 1))))
+    return small.select(*cols, "_i").unionByName(big.select(*cols, "_i"))
+
+
 def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: Column | int = 0,
-                num_partitions: int | None = None) -> DataFrame:
-    """Add ``key_col`` = start + 1, 2, 3, ... in ``order_cols`` order."""
+                num_partitions: int | None = None, copies_chunk: int | None = None) -> DataFrame:
+    """Add ``key_col`` = start + 1, 2, 3, ... in ``order_cols`` order.
+
+    ``copies_chunk`` is for inputs that may hold many exact copies of one
+    row: copies get distinct occurrence indexes first (see
+    ``_numbered_copies``), so a copy group is split over partitions.  The
+    keys are the same as without it (copies are interchangeable).
+    """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(order_cols)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    if copies_chunk:
+        # Tie-break on every column and then the copy index: a total order.
+        named = {c for c in order_cols if isinstance(c, str)}
+        full = order + [F.col(c).asc_nulls_first() for c in df.columns if c not in named] + [F.col("_i")]
+        ranged = (_numbered_copies(df, copies_chunk).repartitionByRange(n, *full)
+                  .sortWithinPartitions(*full).drop("_i"))
+    else:
+        ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = (ranged.withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", 33))
               .checkpoint(eager=True))

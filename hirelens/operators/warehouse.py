@@ -34,6 +34,9 @@ NA = "N/A"
 DEFAULT_BASE_URL = "https://jobs.example.com"
 DEFAULT_SOURCE = "job-board"
 
+# Exact copies of a staged row handled per range-partitioned chunk.
+COPIES_CHUNK = 100_000
+
 STAGING_ORDER = ["job_url", "scraped_at", "job_title", "company_name", "location", "salary",
                  "description_preview"]
 
@@ -52,10 +55,26 @@ def normalize_url_col(url: Column, base_url: str = DEFAULT_BASE_URL) -> Column:
     return F.when(relative, F.concat(F.lit(base_url), url)).otherwise(url)
 
 
+def with_row_identity(df: DataFrame, col: str = "_row") -> DataFrame:
+    """Stable identity of each row of a file-based DataFrame: (file, row index).
+
+    Identical postings then still differ in their sort key, so range
+    partitioning spreads a group of copies instead of keeping it together.
+    """
+    return df.withColumn(col, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+
+
 def stage_jobs(raw: DataFrame, loaded_at: str | None = None, source: str = DEFAULT_SOURCE,
-               base_url: str = DEFAULT_BASE_URL) -> DataFrame:
-    """Raw postings -> staging_raw_jobs rows with dense staging ids."""
+               base_url: str = DEFAULT_BASE_URL, tiebreak: str | None = None) -> DataFrame:
+    """Raw postings -> staging_raw_jobs rows with dense staging ids.
+
+    ``tiebreak`` names a column that identifies each raw row (a source key,
+    or ``with_row_identity``); it orders exact copies last.  Without one,
+    copies are numbered first (an extra aggregation) so that a group of
+    copies cannot pin one range partition.
+    """
     desc = F.col("description_preview") if "description_preview" in raw.columns else F.lit(None)
+    extra = [F.col(tiebreak).alias("_tiebreak")] if tiebreak else []
     staged = raw.select(
         not_na(F.col("title")).alias("job_title"),
         not_na(F.col("company")).alias("company_name"),
@@ -66,8 +85,13 @@ def stage_jobs(raw: DataFrame, loaded_at: str | None = None, source: str = DEFAU
         F.lit(source).alias("source"),
         F.col("scraped_at").try_cast("timestamp_ntz").alias("scraped_at"),
         _ts(loaded_at).alias("created_at"),
+        *extra,
     )
-    return assign_keys(staged, STAGING_ORDER, "staging_id").select(
+    if tiebreak:
+        keyed = assign_keys(staged, STAGING_ORDER + ["_tiebreak"], "staging_id")
+    else:
+        keyed = assign_keys(staged, STAGING_ORDER, "staging_id", copies_chunk=COPIES_CHUNK)
+    return keyed.select(
         "staging_id", "job_title", "company_name", "location", "salary", "description_preview",
         "job_url", "source", "scraped_at", "created_at")
 
@@ -191,12 +215,13 @@ class Warehouse:
     the fact does not pay for the bridge or the locations."""
 
     def __init__(self, raw: DataFrame, loaded_at: str | None = None, previous: "Warehouse | None" = None,
-                 base_url: str = DEFAULT_BASE_URL):
+                 base_url: str = DEFAULT_BASE_URL, tiebreak: str | None = None):
         self._raw, self._at, self._prev, self._base = raw, loaded_at, previous, base_url
+        self._tiebreak = tiebreak
 
     @cached_property
     def staging_raw_jobs(self) -> DataFrame:
-        return stage_jobs(self._raw, self._at, base_url=self._base)
+        return stage_jobs(self._raw, self._at, base_url=self._base, tiebreak=self._tiebreak)
 
     @cached_property
     def _jobs(self) -> DataFrame:
@@ -236,6 +261,6 @@ class Warehouse:
 
 
 def load_warehouse(raw: DataFrame, loaded_at: str | None = None, previous: Warehouse | None = None,
-                   base_url: str = DEFAULT_BASE_URL) -> Warehouse:
+                   base_url: str = DEFAULT_BASE_URL, tiebreak: str | None = None) -> Warehouse:
     """Raw postings -> warehouse tables, appended to ``previous`` if given."""
-    return Warehouse(raw, loaded_at, previous, base_url)
+    return Warehouse(raw, loaded_at, previous, base_url, tiebreak)

@@ -367,6 +367,7 @@ _STAGING_COLS = ("staging_id, job_title, company_name, location, salary, descrip
 
 WAREHOUSE = {
     "stage_jobs": raw(f"SELECT {_STAGING_COLS} FROM staging_raw_jobs", _STAGED),
+    "stage_jobs_copies": raw(f"SELECT {_STAGING_COLS} FROM staging_raw_jobs", _STAGED),
     "upsert_companies": raw(f"""
 SELECT c_custkey company_id, c_name company_name, c_mktsegment industry, CAST(NULL AS TIMESTAMP) created_at FROM customer
 UNION ALL

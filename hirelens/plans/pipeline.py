@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from hirelens.operators.cleaning import process
 from hirelens.operators.dedupe import dedupe_cross_batch
 from hirelens.operators.quality import quality_gate, raw_statistics, run_report, write_report
-from hirelens.operators.warehouse import Warehouse, load_warehouse
+from hirelens.operators.warehouse import Warehouse, load_warehouse, with_row_identity
 from hirelens.sources.html_cards import job_cards, valid_cards
 from hirelens.sources.io import append_raw, with_scrape_month, write_table
 
@@ -47,17 +47,17 @@ def run_daily(pages: DataFrame, out_dir: str, as_of: str, previous: Warehouse |
     as_of_iso = as_of.replace(" ", "T")
     raw = cards_to_raw(pages, as_of_iso)
     raw_rows = append_raw(raw, f"{out_dir}/raw_jobs")
-    landed = pages.sparkSession.read.parquet(f"{out_dir}/raw_jobs")
-    stats = raw_statistics(landed.drop("scrape_month"), as_of_iso)
+    landed = with_row_identity(pages.sparkSession.read.parquet(f"{out_dir}/raw_jobs"))
+    stats = raw_statistics(landed.drop("scrape_month", "_row"), as_of_iso)
     passed = bool(quality_gate(stats, min_rows).first()["passed"])
     if strict_gate and not passed:
         raise RuntimeError("quality gate failed: no raw postings")
     batch = landed.drop("scrape_month")
-    processed = process(batch, as_of_iso)
+    processed = process(batch.drop("_row"), as_of_iso)
     processed_rows = write_table(with_scrape_month(processed), f"{out_dir}/processed_jobs",
                                  partition_by=["scrape_month"])
     wh = load_warehouse(batch.withColumn("description_preview", F.array_join("skills", ", ")),
-                        as_of, previous)
+                        as_of, previous, tiebreak="_row")
     for name in ("staging_raw_jobs", "dim_companies", "fact_jobs", "dim_skills", "bridge_job_skills",
                  "dim_locations"):
         write_table(getattr(wh, name), f"{out_dir}/warehouse/{name}")

@@ -14,17 +14,27 @@ from hirelens.sources.tables import Tables
 CASCADE_BEFORE = "1995-07-01 00:00:00"
 
 
+# The raw binding keeps its source key (the order key): it identifies each
+# raw row, so exact copies are ordered by it and spread by the range split.
+SOURCE_KEY = "job_id"
+
+
 def _loaded(spark, sf_dir):
-    return load_warehouse(raw_jobs(Tables(spark, sf_dir)), AS_OF)
+    return load_warehouse(raw_jobs(Tables(spark, sf_dir)), AS_OF, tiebreak=SOURCE_KEY)
 
 
 def stage_jobs_q(spark, sf_dir):
-    return stage_jobs(raw_jobs(Tables(spark, sf_dir)), AS_OF)
+    return stage_jobs(raw_jobs(Tables(spark, sf_dir)), AS_OF, tiebreak=SOURCE_KEY)
+
+
+def stage_jobs_copies_q(spark, sf_dir):
+    """Staging without a source key: exact copies are numbered first."""
+    return stage_jobs(raw_jobs(Tables(spark, sf_dir)).drop("job_id"), AS_OF)
 
 
 def upsert_companies_q(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    jobs = prepare_jobs(stage_jobs(raw_jobs(t), AS_OF))
+    jobs = prepare_jobs(stage_jobs(raw_jobs(t), AS_OF, tiebreak=SOURCE_KEY))
     return upsert_companies(star(t).dim_companies, jobs, AS_OF)
 
 
@@ -72,6 +82,7 @@ def skill_category_demand_q(spark, sf_dir):
 
 WAREHOUSE_QUERIES = {
     "stage_jobs": stage_jobs_q,
+    "stage_jobs_copies": stage_jobs_copies_q,
     "upsert_companies": upsert_companies_q,
     "load_fact": load_fact_q,
     "load_bridge": load_bridge_q,

@@ -83,3 +83,17 @@ def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, "a"), (3, None)], "a int, b string")
     got = {r.column_name: (r.null_count, r.total_rows) for r in null_profile(df).collect()}
     assert got == {"a": (1, 3), "b": (2, 3)}
+
+
+def test_assign_keys_with_copy_groups(spark):
+    rows = [("dup", 1)] * 3000 + [(f"r{i}", i % 5) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a string, b int")
+    got = assign_keys(df, ["a", "b"], "k", num_partitions=8, copies_chunk=100)
+    keys = sorted(r.k for r in got.collect())
+    assert keys == list(range(1, 5001))
+    # same keys per row as the plain path (copies are interchangeable)
+    plain = assign_keys(df, ["a", "b"], "k", num_partitions=8)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in plain.collect())
+    # no partition holds the whole copy group
+    sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3000
