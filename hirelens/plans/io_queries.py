@@ -64,16 +64,15 @@ def landing_batch(scraped_at):
 
 
 def incremental_ingest_q(spark, sf_dir):
-    """Raw postings land in yearly batches; the stream keeps a posting unless
-    an earlier batch already stored its url."""
+    """Raw postings land in yearly batches; after each landing the stream
+    runs (AvailableNow) and keeps a posting unless an earlier batch already
+    stored its url."""
     raw = raw_jobs(Tables(spark, sf_dir)).withColumn("_b", landing_batch(F.col("scraped_at")))
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "target", "stream-ckpt"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for b in range(len(LANDING_YEARS) + 1):
-        # one write per batch, n files each: a micro-batch of n files is one batch
-        raw.where(F.col("_b") == b).drop("_b").repartition(n).write.parquet(f"{landing}/b{b}")
     schema = raw.drop("_b").schema
-    incremental_ingest(spark, f"{landing}/*", schema, target, ckpt, key="url", files_per_batch=n)
+    for b in range(len(LANDING_YEARS) + 1):
+        raw.where(F.col("_b") == b).drop("_b").write.parquet(f"{landing}/b{b}")
+        incremental_ingest(spark, f"{landing}/*", schema, target, ckpt, key="url")
     return spark.read.parquet(target).select("job_id", "url")
 
 

@@ -45,8 +45,12 @@ def _ensure_target(spark: SparkSession, target: str, schema: StructType,
 def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, target: str,
                        checkpoint: str, key: str = "url",
                        transform: Callable[[DataFrame], DataFrame] | None = None,
-                       files_per_batch: int = 1) -> None:
-    """Process every landed file not processed yet, then stop."""
+                       files_per_batch: int | None = None) -> None:
+    """Process every landed file not processed yet, then stop.
+
+    Without ``files_per_batch`` everything that landed since the last run is
+    one micro-batch (the daily run); with it, at most that many files each.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
@@ -57,8 +61,10 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
          .partitionBy(BATCH_COL).parquet(target))
 
     target_schema = _ensure_target(spark, target, schema, transform)
-    query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-             .parquet(landing)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    query = (reader.parquet(landing)
              .writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
