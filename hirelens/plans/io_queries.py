@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelens.operators.cleaning import process
-from hirelens.schemas import RAW
 from hirelens.session import scratch_path
 from hirelens.sources.bindings import AS_OF, raw_jobs
 from hirelens.operators.keys import assign_keys

@@ -2,7 +2,6 @@
 bucket edges, ties at k, no title match."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from hirelens.plans import reports
 from hirelens.sources.bindings import Star
