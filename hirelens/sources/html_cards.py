@@ -207,7 +207,11 @@ def job_cards(pages: DataFrame, max_cards: int = MAX_CARDS, base_url: str = DEFA
                     rows.append({"page_id": pid, "pos": i + 1, **card})
             yield pd.DataFrame(rows, columns=cols)
 
-    src = pages.select("page_id", "html")
+    # Exact JVM-side pre-filter: a card needs a class attribute containing
+    # "job", so its page contains "job" literally or as a numeric character
+    # reference ("&#").  Other pages produce no card and never reach Python.
+    html = F.col("html")
+    src = pages.select("page_id", "html").where(html.contains("job") | html.contains("&#"))
     if min_tasks:
         # Parsing is CPU-bound Python.  A small page table read from a few
         # files has fewer splits than cores: spread it first.  A large table

@@ -60,3 +60,11 @@ def test_page_triage(spark):
     df = spark.createDataFrame(rows, "page_id long, html string")
     got = {r.page_id: r.page_status for r in page_triage(df).collect()}
     assert got == {1: "challenge", 2: "ok", 3: "ok", 4: "ok"}
+
+
+def test_entity_encoded_class_still_parsed(spark):
+    html = '<div class="&#106;ob"><h3>Title 7</h3><p>' + "x" * 60 + "</p></div>"
+    assert "job" not in html
+    pages = spark.createDataFrame([(1, html), (2, "<html><p>nothing here</p></html>")], "page_id long, html string")
+    rows = job_cards(pages, scraped_at="2001-01-01T00:00:00").collect()
+    assert [(r.page_id, r.title) for r in rows] == [(1, "Title 7")]
