@@ -411,8 +411,8 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, prio AS title,
   CASE WHEN k % 2 = 0 THEN 'Java,SQL,Spark' ELSE 'Java,SQL' END AS skills
 FROM ranked WHERE pos <= 40"""
 
-_MARK = ("(contains(html, 'Verify you are human') OR contains(html, 'Just a moment') "
-         "OR contains(html, 'Checking your browser'))")
+_MARK = "(contains(html, 'Verify you are human') OR contains(html, 'Just a moment'))"
+_WAIT = "(contains(html, 'Just a moment') OR contains(html, 'Checking your browser'))"
 _URLS = """
 WITH u AS (SELECT o_orderkey pos, o_orderkey % 5 batch_idx,
   CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE concat('u', cast(o_custkey % 700 AS varchar)) END url FROM orders)
@@ -433,7 +433,7 @@ INGEST = {
     "valid_cards": _CARDS,
     "page_triage": f"""
 SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, {_MARK} AND length(html) <= 100000 AS is_challenge,
-  length(html) < 30000 AS is_short,
+  {_WAIT} AS needs_wait, length(html) < 30000 AS is_short,
   CASE WHEN {_MARK} AND length(html) <= 100000 THEN 'challenge' WHEN length(html) < 30000 THEN 'short'
        ELSE 'ok' END AS page_status
 FROM pages""",

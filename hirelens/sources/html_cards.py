@@ -42,7 +42,8 @@ MIN_CARD_TEXT = 50
 DEFAULT_BASE_URL = "https://jobs.example.com"
 
 # Page triage markers and thresholds (characters).
-CHALLENGE_MARKERS = ["Verify you are human", "Just a moment", "Checking your browser"]
+CHALLENGE_MARKERS = ["Verify you are human", "Just a moment"]
+WAIT_MARKERS = ["Just a moment", "Checking your browser"]
 CHALLENGE_MAX_CHARS = 100000
 SHORT_PAGE_CHARS = 30000
 
@@ -230,14 +231,27 @@ def valid_cards(cards: DataFrame) -> DataFrame:
 
 def page_triage(pages: DataFrame, challenge_max: int = CHALLENGE_MAX_CHARS,
                 short_below: int = SHORT_PAGE_CHARS) -> DataFrame:
-    """Flag challenge pages and suspiciously short pages, JVM-side."""
+    """Flag pages JVM-side (lengths in characters):
+
+    * ``is_challenge``: a challenge marker on a page of at most
+      ``challenge_max`` characters (a larger page is a false positive);
+    * ``needs_wait``: a browser-check marker, on which a fetch waits and
+      re-reads the page;
+    * ``is_short``: fewer than ``short_below`` characters (maybe blocked).
+    Triage only drives retries; every page is still parsed.
+    """
     html = F.col("html")
     n = F.length(html)
-    marker: Column = F.lit(False)
-    for m in CHALLENGE_MARKERS:
-        marker = marker | html.contains(m)
-    challenge = marker & (n <= challenge_max)
+
+    def any_of(markers) -> Column:
+        out: Column = F.lit(False)
+        for m in markers:
+            out = out | html.contains(m)
+        return out
+
+    challenge = any_of(CHALLENGE_MARKERS) & (n <= challenge_max)
     short = n < short_below
     return pages.select(
-        "page_id", n.alias("n_chars"), challenge.alias("is_challenge"), short.alias("is_short"),
+        "page_id", n.alias("n_chars"), challenge.alias("is_challenge"),
+        any_of(WAIT_MARKERS).alias("needs_wait"), short.alias("is_short"),
         F.when(challenge, "challenge").when(short, "short").otherwise("ok").alias("page_status"))

@@ -56,10 +56,11 @@ def test_valid_cards_keeps_null_url(spark):
 
 def test_page_triage(spark):
     big = "Just a moment" + "x" * 100001
-    rows = [(1, "Verify you are human"), (2, big), (3, "y" * 30000), (4, None)]
+    rows = [(1, "Verify you are human"), (2, big), (3, "y" * 30000), (4, None), (5, "Checking your browser")]
     df = spark.createDataFrame(rows, "page_id long, html string")
-    got = {r.page_id: r.page_status for r in page_triage(df).collect()}
-    assert got == {1: "challenge", 2: "ok", 3: "ok", 4: "ok"}
+    out = {r.page_id: r for r in page_triage(df).collect()}
+    assert {k: r.page_status for k, r in out.items()} == {1: "challenge", 2: "ok", 3: "ok", 4: "ok", 5: "short"}
+    assert (out[2].needs_wait, out[5].needs_wait, out[1].needs_wait) == (True, True, False)
 
 
 def test_entity_encoded_class_still_parsed(spark):
