@@ -478,9 +478,10 @@ IO = {
     "append_processed": _PIPELINE,
     "sample_rows": f"SELECT * FROM ({_PIPELINE}) ORDER BY job_id LIMIT 5",
     "read_raw_json": raw("SELECT title, company, location, salary, url, scraped_at FROM raw_jobs"),
-    "incremental_ingest": raw("""
-SELECT job_id, url FROM (
-  SELECT job_id, url, CASE WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1997 THEN 0
+    "incremental_ingest": raw(f"""
+SELECT job_id, {clean_sql('title')} AS title, {clean_sql('company')} AS company, url,
+  {smin_sql('salary')} AS salary_min, {smax_sql('salary')} AS salary_max FROM (
+  SELECT *, CASE WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1997 THEN 0
     WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1999 THEN 1
     WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 2001 THEN 2 ELSE 3 END b FROM raw_jobs) r
 WHERE b = (SELECT min(b2) FROM (

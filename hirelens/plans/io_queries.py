@@ -64,15 +64,16 @@ def landing_batch(scraped_at):
 
 def incremental_ingest_q(spark, sf_dir):
     """Raw postings land in yearly batches; after each landing the stream
-    runs (AvailableNow) and keeps a posting unless an earlier batch already
-    stored its url."""
+    runs (AvailableNow), cleans each micro-batch (the C10 chain) and keeps a
+    posting unless an earlier batch already stored its url."""
     raw = raw_jobs(Tables(spark, sf_dir)).withColumn("_b", landing_batch(F.col("scraped_at")))
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "target", "stream-ckpt"))
     schema = raw.drop("_b").schema
     for b in range(len(LANDING_YEARS) + 1):
         raw.where(F.col("_b") == b).drop("_b").write.parquet(f"{landing}/b{b}")
-        incremental_ingest(spark, f"{landing}/*", schema, target, ckpt, key="url")
-    return spark.read.parquet(target).select("job_id", "url")
+        incremental_ingest(spark, f"{landing}/*", schema, target, ckpt, key="url",
+                           transform=lambda batch: process(batch, PROCESSED_AT))
+    return spark.read.parquet(target).select("job_id", "title", "company", "url", "salary_min", "salary_max")
 
 
 def append_raw_q(spark, sf_dir):
