@@ -189,7 +189,10 @@ def load_bridge(numbered_jobs: DataFrame, existing: DataFrame | None = None,
     (job_id, skill_id) order without another shuffle.
     """
     ids = F.array_sort(F.transform(skills_bounded_col(text_col), lambda n: _skill_id_map()[n]))
-    pairs = numbered_jobs.select("job_id", F.explode(ids).alias("skill_id"))
+    # The skill regex is the costly step and numbering reads its output twice
+    # (counts, then keys): write the small (job, skill) pairs once instead.
+    # A checkpoint keeps partitions and their order, as numbering requires.
+    pairs = numbered_jobs.select("job_id", F.explode(ids).alias("skill_id")).checkpoint(eager=True)
     return number_in_order(pairs, "job_skill_id", start=next_key_start(existing, "job_skill_id")).select(
         "job_skill_id", "job_id", "skill_id")
 
