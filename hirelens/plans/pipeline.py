@@ -19,6 +19,7 @@ from hirelens.operators.cleaning import process
 from hirelens.operators.dedupe import dedupe_cross_batch
 from hirelens.operators.quality import quality_gate, raw_statistics, run_report, write_report
 from hirelens.operators.warehouse import Warehouse, load_warehouse, with_row_identity
+from hirelens.sources.bindings import Star
 from hirelens.sources.html_cards import job_cards, valid_cards
 from hirelens.sources.io import append_raw, with_scrape_month, write_table
 
@@ -42,6 +43,31 @@ def cards_to_raw(pages: DataFrame, as_of_iso: str, batch_col: str = "batch_idx")
     return dedupe_cross_batch(with_batch, "url", batch_col).select(*RAW_COLS)
 
 
+WAREHOUSE_TABLES = ("staging_raw_jobs", "dim_companies", "fact_jobs", "dim_skills", "bridge_job_skills",
+                    "dim_locations")
+
+
+def write_warehouse(wh: Warehouse, base: str) -> dict[str, int]:
+    """Write every table; the fact is partitioned by posted month so reports
+    and retention on recent months read only those folders."""
+    counts = {}
+    for name in WAREHOUSE_TABLES:
+        df = getattr(wh, name)
+        if name == "fact_jobs":
+            df = df.withColumn("posted_month", F.date_format("posted_date", "yyyy-MM"))
+            counts[name] = write_table(df, f"{base}/{name}", partition_by=["posted_month"])
+        else:
+            counts[name] = write_table(df, f"{base}/{name}")
+    return counts
+
+
+def read_warehouse(spark, base: str) -> Star:
+    """The written star, ready for the reports."""
+    def t(name):
+        return spark.read.parquet(f"{base}/{name}")
+    return Star(t("fact_jobs").drop("posted_month"), t("dim_companies"), t("dim_skills"), t("bridge_job_skills"))
+
+
 def run_daily(pages: DataFrame, out_dir: str, as_of: str, previous: Warehouse | None = None,
               strict_gate: bool = False, min_rows: int = 0) -> RunResult:
     as_of_iso = as_of.replace(" ", "T")
@@ -58,9 +84,7 @@ def run_daily(pages: DataFrame, out_dir: str, as_of: str, previous: Warehouse |
                                  partition_by=["scrape_month"])
     wh = load_warehouse(batch.withColumn("description_preview", F.array_join("skills", ", ")),
                         as_of, previous, tiebreak="_row")
-    for name in ("staging_raw_jobs", "dim_companies", "fact_jobs", "dim_skills", "bridge_job_skills",
-                 "dim_locations"):
-        write_table(getattr(wh, name), f"{out_dir}/warehouse/{name}")
+    write_warehouse(wh, f"{out_dir}/warehouse")
     report = run_report(stats, as_of)
     write_report(report, f"{out_dir}/reports/report_{as_of_iso.replace(':', '-')}")
     return RunResult(raw_rows, processed_rows, passed, wh, report)

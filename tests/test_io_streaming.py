@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from hirelens.operators.cleaning import process
-from hirelens.plans.pipeline import run_daily
+from hirelens.plans import reports
+from hirelens.plans.pipeline import read_warehouse, run_daily
 from hirelens.schemas import RAW
 from hirelens.sources.bindings import AS_OF, html_pages, raw_jobs
 from hirelens.sources.io import append_new, empty_frame, purge, read_raw, sample_rows, write_table
@@ -82,3 +83,7 @@ def test_daily_run_end_to_end(spark):
     texts = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true") \
         .text(f"{out}/reports").collect()
     assert any("ETL Pipeline Report" in r.value for r in texts)
+    # reports over the written (month-partitioned) star equal the in-memory load
+    written = read_warehouse(spark, f"{out}/warehouse")
+    assert sorted(reports.q01_top_skills(written).collect()) == sorted(reports.q01_top_skills(res.warehouse.star()).collect())
+    assert "posted_month=2001-07" in os.listdir(f"{out}/warehouse/fact_jobs")
