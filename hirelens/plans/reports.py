@@ -13,7 +13,8 @@ Plan choices that matter at scale:
 * ``job_id`` is the fact's primary key (the warehouse load assigns it and
   ``constraint_violations`` checks it), so COUNT(DISTINCT job_id) over the
   fact is COUNT(*) and needs no shuffle of job ids.
-* Top-k results get a unique tie-break so they are deterministic.
+* Top-k results and the ordered full reports get a unique tie-break, so
+  they are deterministic.
 * Scalar subqueries (``DataFrame.scalar``) run once as separate jobs.
 * Hot keys: partial aggregation combines map-side before every shuffle, the
   distinct aggregates are expanded on (key, value) so a hot key is spread
@@ -63,6 +64,7 @@ def q01_top_skills(star: Star, k: int = 20) -> DataFrame:
 
 def v1_top_skills(star: Star) -> DataFrame:
     return (_skill_counts(star, "skill_count", "skill_percentage")
+            .orderBy(_desc("skill_count"), "skill_id")
             .select("skill_name", "skill_count", "skill_percentage"))
 
 
@@ -114,6 +116,7 @@ def q04_skill_pairs(star: Star, k: int = 20, hot_job_skills: int = HOT_JOB_SKILL
     n1 = names.select(F.col("skill_id").alias("skill_id_1"), F.col("skill_name").alias("skill_1"))
     n2 = names.select(F.col("skill_id").alias("skill_id_2"), F.col("skill_name").alias("skill_2"))
     return (top.join(n1, "skill_id_1").join(n2, "skill_id_2")
+            .orderBy(_desc("co_occurrence_count"), "skill_id_1", "skill_id_2")
             .select("skill_1", "skill_2", "co_occurrence_count"))
 
 
@@ -126,6 +129,7 @@ def q09_skills_for_title(star: Star, pattern: str = DATA_ENGINEER) -> DataFrame:
     per_skill = (star.bridge_job_skills.join(jobs, "job_id", "left_semi")
                  .groupBy("skill_id").agg(F.count("skill_id").alias("required_count")))
     return (per_skill.join(star.dim_skills.select("skill_id", "skill_name"), "skill_id")
+            .orderBy(_desc("required_count"), "skill_id")
             .select("skill_name", "required_count",
                     percent(F.col("required_count"), _n_jobs(jobs)).alias("percentage_required")))
 
@@ -135,6 +139,7 @@ def v4_skills_by_location(star: Star) -> DataFrame:
     per = (jobs.join(star.bridge_job_skills, "job_id")
            .groupBy("location", "skill_id").agg(F.count("skill_id").alias("skill_count")))
     return (per.join(star.dim_skills.select("skill_id", "skill_name"), "skill_id")
+            .orderBy("location", _desc("skill_count"), "skill_id")
             .select("location", "skill_name", "skill_count"))
 
 
@@ -157,7 +162,7 @@ def q02_salary_by_location(star: Star) -> DataFrame:
         round0(F.avg("salary_min")).alias("avg_min_salary"),
         round0(F.avg("salary_max")).alias("avg_max_salary"),
         _midpoint_of_averages().alias("avg_midpoint"),
-    )
+    ).orderBy(_desc("avg_midpoint"), "location")
 
 
 def v2_salary_by_company(star: Star) -> DataFrame:
@@ -168,6 +173,7 @@ def v2_salary_by_company(star: Star) -> DataFrame:
         _midpoint_of_averages().alias("avg_salary_midpoint"),
     )
     return (per.join(star.dim_companies.select("company_id", "company_name"), "company_id")
+            .orderBy(_desc("avg_salary_midpoint"), "company_id")
             .select("company_name", "job_count", "avg_salary_min", "avg_salary_max",
                     "avg_salary_midpoint"))
 
@@ -203,7 +209,8 @@ def q07_salary_buckets(star: Star) -> DataFrame:
     disclosed = fact.where(F.col("salary_max").isNotNull()).select(F.count(F.lit(1))).scalar()
     return (fact.groupBy(salary_bucket(F.col("salary_max")).alias("salary_range"))
             .agg(F.count(F.lit(1)).alias("job_count"))
-            .withColumn("percentage", percent(F.col("job_count"), disclosed)))
+            .withColumn("percentage", percent(F.col("job_count"), disclosed))
+            .orderBy(_desc("job_count"), "salary_range"))
 
 
 # ------------------------------------------------------------ companies, titles
@@ -244,7 +251,7 @@ def v3_jobs_by_location(star: Star) -> DataFrame:
         F.count(F.lit(1)).alias("job_count"),
         round0(F.avg("salary_min")).alias("avg_salary_min"),
         round0(F.avg("salary_max")).alias("avg_salary_max"),
-    )
+    ).orderBy(_desc("job_count"), "location")
 
 
 # ------------------------------------------------------------ quality, recency
@@ -328,10 +335,14 @@ def q12_export_jobs(star: Star, k: int = 100) -> DataFrame:
     """
     top = (star.fact_jobs.join(star.dim_companies.select("company_id", "company_name"), "company_id")
            .orderBy(_desc("posted_date"), "job_id").limit(k)
-           .select("job_id", "job_title", "company_name", "location", "salary_min", "salary_max"))
+           .select("job_id", "job_title", "company_name", "location", "salary_min", "salary_max",
+                   "posted_date"))
     top = top.checkpoint(eager=True)
     skills = (star.bridge_job_skills.join(F.broadcast(top.select("job_id")), "job_id", "left_semi")
               .join(star.dim_skills.select("skill_id", "skill_name"), "skill_id")
               .groupBy("job_id")
               .agg(F.array_join(F.array_sort(F.collect_list("skill_name")), ", ").alias("required_skills")))
-    return top.join(F.broadcast(skills), "job_id", "left")
+    return (top.join(F.broadcast(skills), "job_id", "left")
+            .orderBy(_desc("posted_date"), "job_id")
+            .select("job_id", "job_title", "company_name", "location", "salary_min", "salary_max",
+                    "required_skills"))

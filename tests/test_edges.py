@@ -80,3 +80,18 @@ def test_missing_fields_report(spark):
     s = make_star(spark, [job(3, None, 5, loc=None), job(1, 2, 3), job(2, None, None)])
     got = [(r.job_id, r.missing_field_1, r.missing_field_2) for r in reports.q14_missing_fields(s).collect()]
     assert got == [(2, "Missing salary_min", ""), (3, "Missing salary_min", "Missing location")]
+
+
+def test_full_reports_come_ordered(spark):
+    facts = [job(i, 1000 + i, 2000 + i, loc=f"L{i % 3}") for i in range(1, 10)]
+    s = make_star(spark, facts)
+    counts = [r.job_count for r in reports.v3_jobs_by_location(s).collect()]
+    assert counts == sorted(counts, reverse=True)
+    mids = [r.avg_midpoint for r in reports.q02_salary_by_location(s).collect()]
+    assert mids == sorted(mids, reverse=True)
+
+
+def test_export_is_ordered_by_posting_date(spark):
+    s = make_star(spark, [job(1, ts="2001-07-01 00:00:00"), job(2, ts="2001-07-03 00:00:00"),
+                          job(3, ts="2001-07-02 00:00:00")])
+    assert [r.job_id for r in reports.q12_export_jobs(s).collect()] == [2, 3, 1]
