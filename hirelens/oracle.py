@@ -254,7 +254,7 @@ GROUP BY job_id"""),
 SELECT job_id, '{_AS_OF_ISO}' AS processed_at,
   CAST(({' + '.join(f'CAST({p} AS INTEGER)' for p in _PRESENT)}) / 5.0 AS DOUBLE) AS data_quality_score
 FROM (SELECT job_id, title, company, location, url, {smin_sql('salary')} AS salary_min FROM raw_jobs)"""),
-    "process_pipeline": raw(f"""
+    "processed_postings": raw(f"""
 SELECT job_id, {clean_sql('title')} AS title, {clean_sql('company')} AS company, location, url, scraped_at,
   {smin_sql('salary')} AS salary_min, {smax_sql('salary')} AS salary_max,
   '{_AS_OF_ISO}' AS processed_at, CAST(1.0 AS DOUBLE) AS data_quality_score
@@ -472,11 +472,11 @@ ORACLES.update(INGEST)
 
 # ------------------------------------------------------------------------ io
 
-_PIPELINE = CLEANING["process_pipeline"]
+_PROCESSED = CLEANING["processed_postings"]
 IO = {
-    "parquet_roundtrip": _PIPELINE,
-    "append_processed": _PIPELINE,
-    "sample_rows": f"SELECT * FROM ({_PIPELINE}) ORDER BY job_id LIMIT 5",
+    "parquet_roundtrip": _PROCESSED,
+    "append_processed": _PROCESSED,
+    "sample_rows": f"SELECT * FROM ({_PROCESSED}) ORDER BY job_id LIMIT 5",
     "read_raw_json": raw("SELECT title, company, location, salary, url, scraped_at FROM raw_jobs"),
     "incremental_ingest": raw(f"""
 SELECT job_id, {clean_sql('title')} AS title, {clean_sql('company')} AS company, url,

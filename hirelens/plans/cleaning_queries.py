@@ -56,7 +56,7 @@ def add_metadata_q(spark, sf_dir):
         "job_id", "processed_at", "data_quality_score")
 
 
-def process_pipeline_q(spark, sf_dir):
+def processed_postings_q(spark, sf_dir):
     return process(_raw(spark, sf_dir), PROCESSED_AT).select(
         "job_id", "title", "company", "location", "url", "scraped_at", "salary_min", "salary_max",
         "processed_at", "data_quality_score")
@@ -71,5 +71,5 @@ CLEANING_QUERIES = {
     "skills_exploded_outer": skills_exploded_outer_q,
     "job_skill_sets": job_skill_sets_q,
     "add_metadata": add_metadata_q,
-    "process_pipeline": process_pipeline_q,
+    "processed_postings": processed_postings_q,
 }

@@ -17,7 +17,7 @@ from hirelens.sources.tables import Tables
 from hirelens.streaming.incremental import incremental_ingest
 
 PROCESSED_AT = AS_OF.replace(" ", "T")
-PIPELINE_COLS = ["job_id", "title", "company", "location", "url", "scraped_at", "salary_min", "salary_max",
+PROCESSED_COLS = ["job_id", "title", "company", "location", "url", "scraped_at", "salary_min", "salary_max",
                  "processed_at", "data_quality_score"]
 RAW_TEXT_COLS = ["title", "company", "location", "salary", "url", "scraped_at"]
 # Landing batches of the incremental example: postings arrive by scrape year.
@@ -25,13 +25,13 @@ LANDING_YEARS = [1997, 1999, 2001]
 
 
 def _processed(spark, sf_dir):
-    return process(raw_jobs(Tables(spark, sf_dir)), PROCESSED_AT).select(*PIPELINE_COLS)
+    return process(raw_jobs(Tables(spark, sf_dir)), PROCESSED_AT).select(*PROCESSED_COLS)
 
 
 def parquet_roundtrip_q(spark, sf_dir):
     path = scratch_path(spark, "processed")
     write_table(with_scrape_month(_processed(spark, sf_dir)), path, partition_by=["scrape_month"])
-    return spark.read.parquet(path).select(*PIPELINE_COLS)
+    return spark.read.parquet(path).select(*PROCESSED_COLS)
 
 
 def append_processed_q(spark, sf_dir):
@@ -40,7 +40,7 @@ def append_processed_q(spark, sf_dir):
     df = _processed(spark, sf_dir)
     append_new(df, path, key="url")
     append_new(df, path, key="url")
-    return spark.read.parquet(path).select(*PIPELINE_COLS)
+    return spark.read.parquet(path).select(*PROCESSED_COLS)
 
 
 def sample_rows_q(spark, sf_dir):

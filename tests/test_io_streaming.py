@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hirelens.operators.cleaning import process
 from hirelens.plans import reports
-from hirelens.plans.pipeline import read_warehouse, run_daily
+from hirelens.plans.daily_run import read_warehouse, run_daily
 from hirelens.schemas import RAW
 from hirelens.sources.bindings import AS_OF, html_pages, raw_jobs
 from hirelens.sources.io import append_new, empty_frame, purge, read_raw, sample_rows, write_table
