@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The run report template.
+# The quality gate messages and the run report template.
+GATE_PASSED = "Validation passed - Data available for processing"
+GATE_WARNING = "Validation warning - Little or no data"
 REPORT_TEMPLATE = """
         ===== ETL Pipeline Report =====
         Execution Date: %s
@@ -44,8 +46,7 @@ def quality_gate(stats: DataFrame, min_rows: int = 0) -> DataFrame:
     passed = F.coalesce(F.col("total_jobs") > min_rows, F.lit(False))
     return stats.select(
         "total_jobs", passed.alias("passed"),
-        F.when(passed, "Validation passed - Data available for processing")
-        .otherwise("Validation warning - Little or no data").alias("message"))
+        F.when(passed, GATE_PASSED).otherwise(GATE_WARNING).alias("message"))
 
 
 def run_report(stats: DataFrame, execution_date: str, status: str = "SUCCESS") -> DataFrame:

@@ -11,6 +11,7 @@ either engine rounds a binary double:
 from __future__ import annotations
 
 from hirelens.functions.skills import SKILL_NAMES, WORD_AFTER, WORD_BEFORE, compat_pattern
+from hirelens.operators.quality import GATE_PASSED, GATE_WARNING
 from hirelens.sources.bindings import AS_OF, DESCRIPTIONS, PAGE_KEYS
 
 STAR = """
@@ -461,7 +462,7 @@ WHERE coalesce(salary_max < f.lo OR salary_max > f.hi, false) OR coalesce(salary
 }
 INGEST["quality_gate"] = _STATS.replace(
     "SELECT count(*) AS total_jobs,", "SELECT total_jobs, total_jobs > 0 AS passed, CASE WHEN total_jobs > 0 THEN "
-    "'Validation passed - Data available for processing' ELSE 'Validation warning - Little or no data' END AS message "
+    f"'{GATE_PASSED}' ELSE '{GATE_WARNING}' END AS message "
     "FROM (SELECT count(*) AS total_jobs,", 1) + ")"
 INGEST["run_report"] = _STATS.replace(
     "SELECT count(*) AS total_jobs,",
