@@ -69,3 +69,13 @@ def test_entity_encoded_class_still_parsed(spark):
     pages = spark.createDataFrame([(1, html), (2, "<html><p>nothing here</p></html>")], "page_id long, html string")
     rows = job_cards(pages, scraped_at="2001-01-01T00:00:00").collect()
     assert [(r.page_id, r.title) for r in rows] == [(1, "Title 7")]
+
+
+def test_malformed_and_commented_html():
+    html = ('<HTML><!-- <div class="job"><h3>ghost</h3></div> -->'
+            '<DIV CLASS="job x"><H3 data-url="">  T  <a href="/rel">A</a></H3>'
+            '<div class>' + "y" * 60 + '<p>unclosed')
+    (c,) = cards_in_page(html, base_url="https://b")
+    # comment ignored, tags case-folded, empty data-url falls back to the link,
+    # unclosed elements end at the end of the page
+    assert (c["title"], c["url"]) == ("TA", "https://b/rel")

@@ -97,3 +97,12 @@ def test_assign_keys_with_copy_groups(spark):
     # no partition holds the whole copy group
     sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 3000
+
+
+def test_quantiles_of_nothing_are_null(spark):
+    from hirelens.operators.quality import salary_outliers, salary_quartiles
+
+    df = spark.createDataFrame([(1, None, None), (2, 5, None)], "job_id long, salary_min int, salary_max int")
+    q = salary_quartiles(df).first()
+    assert q.q1 is None and q.upper_fence is None
+    assert salary_outliers(df).count() == 0
