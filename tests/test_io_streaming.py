@@ -87,3 +87,16 @@ def test_daily_run_end_to_end(spark):
     written = read_warehouse(spark, f"{out}/warehouse")
     assert sorted(reports.q01_top_skills(written).collect()) == sorted(reports.q01_top_skills(res.warehouse.star()).collect())
     assert "posted_month=2001-07" in os.listdir(f"{out}/warehouse/fact_jobs")
+
+
+def test_command_line(spark, tmp_path):
+    from hirelens.__main__ import main
+
+    pages = html_pages(Tables(spark, SF_SMALL)).withColumn("batch_idx", F.col("page_id") % 3)
+    pages_path, out = str(tmp_path / "pages"), str(tmp_path / "run")
+    pages.write.parquet(pages_path)
+    assert main(["daily", "--pages", pages_path, "--out", out, "--as-of", AS_OF]) == 0
+    assert main(["report", "--warehouse", f"{out}/warehouse", "--query", "q01_top_skills",
+                 "--out", str(tmp_path / "q01")]) == 0
+    assert spark.read.parquet(str(tmp_path / "q01")).count() > 0
+    assert main(["check", "--warehouse", f"{out}/warehouse"]) == 0
