@@ -18,7 +18,8 @@ Plan choices that matter at scale:
 * Scalar subqueries (``DataFrame.scalar``) run once as separate jobs.
 * Hot keys: partial aggregation combines map-side before every shuffle, the
   distinct aggregates are expanded on (key, value) so a hot key is spread
-  out, and AQE's skew-join splits oversized join partitions (q04, v4).
+  out, AQE's skew-join splits oversized join partitions (q09, q12, v4),
+  and q04 cuts a job with very many skills into skill blocks.
 """
 
 from __future__ import annotations
