@@ -57,3 +57,14 @@ def test_export_filters_bridge_before_aggregating(spark):
 def test_card_parsing_is_arrow_batched(spark):
     text = plan(QUERIES["job_cards"](spark, SF_SMALL))
     assert "MapInPandas" in text and "BatchEvalPython" not in text
+
+
+def test_key_assignment_never_moves_rows_to_one_partition(spark):
+    text = plan(QUERIES["surrogate_keys"](spark, SF_SMALL), "simple")
+    lines = text.split("\n+- == Initial Plan ==")[0].splitlines()
+    singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    assert singles, "offsets are computed over one row per partition"
+    for i in singles:
+        # the only single-partition exchange sits on the per-partition counts
+        below = "\n".join(lines[i + 1:i + 4])
+        assert "HashAggregate(keys=[_pid" in below, below
