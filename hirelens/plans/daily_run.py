@@ -62,10 +62,11 @@ def write_warehouse(wh: Warehouse, base: str) -> dict[str, int]:
 
 
 def read_warehouse(spark, base: str) -> Star:
-    """The written star, ready for the reports."""
+    """The written star, ready for the reports.  The fact keeps its
+    ``posted_month`` partition column so date-bounded reports can prune."""
     def t(name):
         return spark.read.parquet(f"{base}/{name}")
-    return Star(t("fact_jobs").drop("posted_month"), t("dim_companies"), t("dim_skills"), t("bridge_job_skills"))
+    return Star(t("fact_jobs"), t("dim_companies"), t("dim_skills"), t("bridge_job_skills"))
 
 
 def run_daily(pages: DataFrame, out_dir: str, as_of: str, previous: Warehouse | None = None,

@@ -290,6 +290,10 @@ def q10_recent_jobs(star: Star, as_of: str | None = None, days: int = 7, k: int
     else:
         since = F.date_sub(F.current_date(), days).cast("timestamp_ntz")
     recent = star.fact_jobs.where(F.col("posted_date") >= since)
+    if "posted_month" in star.fact_jobs.columns:
+        # Stored fact partitioned by month: the same bound on the partition
+        # column lets the scan skip every older month folder.
+        recent = recent.where(F.col("posted_month") >= F.date_format(since, "yyyy-MM"))
     return (recent.join(star.dim_companies.select("company_id", "company_name"), "company_id")
             .orderBy(_desc("posted_date"), "job_id").limit(k)
             .select("job_title", "company_name", "location", "salary_min", "salary_max",

@@ -87,6 +87,15 @@ def test_daily_run_end_to_end(spark):
     written = read_warehouse(spark, f"{out}/warehouse")
     assert sorted(reports.q01_top_skills(written).collect()) == sorted(reports.q01_top_skills(res.warehouse.star()).collect())
     assert "posted_month=2001-07" in os.listdir(f"{out}/warehouse/fact_jobs")
+    # a date-bounded report prunes month folders of the stored fact
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        reports.q10_recent_jobs(written, as_of=AS_OF).explain("formatted")
+    assert "PartitionFilters: [isnotnull(posted_month" in buf.getvalue()
+    assert reports.q10_recent_jobs(written, as_of=AS_OF).count() == \
+        reports.q10_recent_jobs(res.warehouse.star(), as_of=AS_OF).count()
 
 
 def test_command_line(spark, tmp_path):
