@@ -85,11 +85,23 @@ def append_new(df: DataFrame, path: str, key: str = "url") -> int:
     """
     spark = df.sparkSession
     if path_exists(spark, path):
-        seen = spark.read.parquet(path).select(F.col(key).alias("_seen")).distinct()
-        df = df.join(seen, df[key].eqNullSafe(seen["_seen"]), "left_anti")
+        df = drop_seen(df, spark.read.parquet(path), key)
     return write_table(df, path, mode="append")
 
 
+def drop_seen(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
+    """Rows of ``batch`` whose ``key`` is not in ``history`` (null-safe).
+
+    History is first reduced to the keys the batch carries: a semi join
+    whose small side is the batch's key set (AQE broadcasts it when it
+    measures small), so the large history is scanned, not shuffled.
+    """
+    wanted = batch.select(F.col(key).alias("_k")).distinct()
+    hits = (history.select(F.col(key).alias("_seen"))
+            .join(wanted, F.col("_seen").eqNullSafe(F.col("_k")), "left_semi").distinct())
+    return batch.join(hits, batch[key].eqNullSafe(hits["_seen"]), "left_anti")
+
+
 def purge(spark: SparkSession, tables: dict[str, tuple[str, StructType]]) -> dict[str, int]:
     """Delete all rows of the named tables, returning how many were deleted
     (A7).  Explicit only; never part of a default run."""

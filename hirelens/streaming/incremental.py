@@ -8,7 +8,8 @@ appended once:
   schedule becomes a bounded run with exactly-once progress tracking in the
   checkpoint folder;
 * ``foreachBatch`` drops postings whose url an *earlier* batch already
-  stored (the scraper's cross-batch rule) with a null-safe anti join, then
+  stored (the scraper's cross-batch rule) with a null-safe anti join
+  against the history reduced to the batch's urls (``drop_seen``), then
   writes the batch into its own ``_batch`` partition with dynamic overwrite,
   so a retried batch replaces its own output instead of duplicating it.
 """
@@ -21,13 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hirelens.sources.io import drop_seen
+
 BATCH_COL = "_batch"
 
 
-def _seen_before(spark: SparkSession, target: str, target_schema: StructType, batch_id: int,
-                 key: str) -> DataFrame:
-    prior = spark.read.schema(target_schema).parquet(target)
-    return prior.where(F.col(BATCH_COL) < batch_id).select(F.col(key).alias("_seen")).distinct()
+def _earlier(spark: SparkSession, target: str, target_schema: StructType, batch_id: int) -> DataFrame:
+    """Rows stored by earlier micro-batches (partition pruning on _batch)."""
+    return spark.read.schema(target_schema).parquet(target).where(F.col(BATCH_COL) < batch_id)
 
 
 def _ensure_target(spark: SparkSession, target: str, schema: StructType,
@@ -54,8 +56,7 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        seen = _seen_before(batch.sparkSession, target, target_schema, batch_id, key)
-        rows = rows.join(seen, rows[key].eqNullSafe(seen["_seen"]), "left_anti")
+        rows = drop_seen(rows, _earlier(batch.sparkSession, target, target_schema, batch_id), key)
         (rows.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(target))
