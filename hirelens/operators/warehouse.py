@@ -29,6 +29,7 @@ from hirelens.functions.skills import CATEGORY_OF, SKILL_NAMES, skills_bounded_c
 from hirelens.functions.text import clean_text_col
 from hirelens.operators.keys import assign_keys, next_key_start, number_in_order
 from hirelens.sources.bindings import Star
+from hirelens.sources.io import drop_seen
 
 NA = "N/A"
 DEFAULT_BASE_URL = "https://jobs.example.com"
@@ -122,7 +123,7 @@ def upsert_companies(existing: DataFrame | None, jobs: DataFrame,
     keys continue after the current maximum in name order."""
     names = jobs.where(F.col("company_name").isNotNull()).select("company_name").distinct()
     if existing is not None:
-        names = names.join(existing.select("company_name"), "company_name", "left_anti")
+        names = drop_seen(names, existing, "company_name")
     new = assign_keys(names, ["company_name"], "company_id",
                       start=next_key_start(existing, "company_id")).select(
         "company_id", "company_name", F.lit(None).cast("string").alias("industry"),
@@ -202,7 +203,7 @@ def load_locations(fact: DataFrame, existing: DataFrame | None = None,
     """Distinct non-null locations, split into city / country."""
     names = fact.where(F.col("location").isNotNull()).select(F.col("location").alias("location_name")).distinct()
     if existing is not None:
-        names = names.join(existing.select("location_name"), "location_name", "left_anti")
+        names = drop_seen(names, existing, "location_name")
     parts = F.split(F.col("location_name"), ",")
     new = assign_keys(names, ["location_name"], "location_id",
                       start=next_key_start(existing, "location_id")).select(
