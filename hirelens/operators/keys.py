@@ -59,17 +59,22 @@ def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: Column | i
     ``_numbered_copies``), so a copy group is split over partitions.  The
     keys are the same as without it (copies are interchangeable).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(order_cols)
+
+    def by_range(frame: DataFrame, cols: list) -> DataFrame:
+        # Without a fixed count AQE may merge small neighbouring ranges;
+        # merged partitions are still contiguous, so the order holds.
+        if num_partitions:
+            return frame.repartitionByRange(num_partitions, *cols)
+        return frame.repartitionByRange(*cols)
+
     if copies_chunk:
         # Tie-break on every column and then the copy index: a total order.
         named = {c for c in order_cols if isinstance(c, str)}
         full = order + [F.col(c).asc_nulls_first() for c in df.columns if c not in named] + [F.col("_i")]
-        ranged = (_numbered_copies(df, copies_chunk).repartitionByRange(n, *full)
-                  .sortWithinPartitions(*full).drop("_i"))
+        ranged = by_range(_numbered_copies(df, copies_chunk), full).sortWithinPartitions(*full).drop("_i")
     else:
-        ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        ranged = by_range(df, order).sortWithinPartitions(*order)
     tagged = (ranged.withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", 33))
               .checkpoint(eager=True))

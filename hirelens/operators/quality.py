@@ -82,8 +82,7 @@ def _cumulative(hist: DataFrame, value_col: str, weight_col: str) -> DataFrame:
     totals, offsets over one row per partition, then a running sum inside
     each partition.
     """
-    n = int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (hist.repartitionByRange(n, value_col)
+    ranged = (hist.repartitionByRange(value_col)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
     totals = ranged.groupBy("_pid").agg(F.sum(weight_col).alias("_tot"))
