@@ -24,16 +24,23 @@ VIEWS = {
 }
 
 
-def ensure_tables(spark: SparkSession, base: str) -> dict[str, bool]:
-    """Create every missing warehouse table under ``base``; report which were new."""
+def ensure_tables(spark: SparkSession, base: str, table_prefix: str | None = None) -> dict[str, bool]:
+    """Create every missing warehouse table under ``base``; report which were new.
+
+    With ``table_prefix`` each table is also registered in the session
+    catalog as an external Parquet table ``<prefix><name>`` at its folder
+    (CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION ...).
+    """
     created = {}
     for name, schema in WAREHOUSE.items():
         path = f"{base.rstrip('/')}/{name}"
         if path_exists(spark, path):
             created[name] = False
-            continue
-        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
-        created[name] = True
+        else:
+            spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+            created[name] = True
+        if table_prefix and not spark.catalog.tableExists(table_prefix + name):
+            spark.catalog.createTable(table_prefix + name, path=path, source="parquet", schema=schema)
     return created
 
 

@@ -20,7 +20,8 @@ def spark():
     b = (SparkSession.builder.master("local[4]").appName("hirelens-tests")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.driver.memory", "4g"))
+         .config("spark.driver.memory", "4g")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="hirelens-test-wh-")))
     for k, v in PLAN_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()

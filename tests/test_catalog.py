@@ -26,3 +26,15 @@ def test_views(spark):
     names = register_views(star(Tables(spark, SF_SMALL)))
     assert spark.sql("SELECT count(*) FROM v_jobs_by_location").first()[0] == 25
     assert set(names) == {"v_top_skills", "v_salary_by_company", "v_jobs_by_location", "v_skills_by_location"}
+
+
+def test_tables_registered_in_catalog(spark):
+    import uuid
+
+    base = os.path.join(tempfile.mkdtemp(prefix="hirelens-test-"), "wh")
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    ensure_tables(spark, base, table_prefix=prefix)
+    ensure_tables(spark, base, table_prefix=prefix)       # idempotent
+    assert spark.table(prefix + "fact_jobs").count() == 0
+    assert [f.name for f in spark.table(prefix + "dim_skills").schema] == \
+        ["skill_id", "skill_name", "skill_category", "created_at"]
