@@ -14,10 +14,13 @@ from hirelens.functions.skills import SKILL_NAMES, WORD_AFTER, WORD_BEFORE, comp
 from hirelens.operators.quality import GATE_PASSED, GATE_WARNING
 from hirelens.sources.bindings import AS_OF, DESCRIPTIONS, PAGE_KEYS
 
-STAR = """
+_TERMS = "VALUES " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(SKILL_NAMES, start=1))
+
+STAR = f"""
 dim_companies AS (SELECT c_custkey company_id, c_name company_name, c_mktsegment industry FROM customer),
-dim_skills AS (SELECT p_partkey skill_id, concat(p_name, '#', cast(p_partkey AS varchar)) skill_name FROM part),
-bridge_job_skills AS (SELECT DISTINCT l_orderkey job_id, l_partkey skill_id FROM lineitem WHERE l_partkey % 40 < 39),
+dim_skills AS (SELECT p_partkey skill_id, concat(p_name, '#', cast(p_partkey AS varchar)) skill_name FROM part
+  UNION ALL SELECT (SELECT max(p_partkey) FROM part) + i, skill_name FROM ({_TERMS}) terms(i, skill_name)),
+bridge_job_skills AS (SELECT DISTINCT l_orderkey job_id, l_partkey skill_id FROM lineitem),
 fact_jobs AS (
   SELECT o_orderkey job_id, o_custkey company_id,
     concat(CASE o_orderpriority WHEN '1-URGENT' THEN 'Senior Data Engineer' WHEN '2-HIGH' THEN 'DATA ENGINEER'

@@ -11,9 +11,9 @@ data that grows with the tables:
 * ``html_pages``– saved listing pages with job-card markup;
 * ``url_batches`` – keyword batches of scraped urls for the dedupe rules.
 
-The ``%`` expressions below shape the data (inject NULLs, pick a salary
-format, leave some skills unused); none of them drops rows to make a check
-cheaper.  The DuckDB oracles in ``hirelens.oracle`` build the same tables
+The ``%`` expressions below shape values (inject NULLs, pick a salary
+format, vary the markup); none of them filters rows: every binding uses
+whole tables.  The DuckDB oracles in ``hirelens.oracle`` build the same tables
 with the same rules.
 """
 
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hirelens.functions.skills import SKILL_NAMES
 from hirelens.sources.tables import Tables
 
 # Fixed evaluation time of the bound reporting queries ("now").
@@ -78,13 +79,17 @@ def star(t: Tables) -> Star:
         F.col("c_name").alias("company_name"),
         F.col("c_mktsegment").alias("industry"),
     )
-    dim_skills = t("part").select(
+    parts = t("part").select(
         F.col("p_partkey").alias("skill_id"),
         F.concat(F.col("p_name"), F.lit("#"), _s(F.col("p_partkey"))).alias("skill_name"),
     )
+    # The skill dictionary joins the dimension with ids above every part key:
+    # skills that no job requires (kept by the reports' left joins).
+    top_part = t("part").select(F.max("p_partkey")).scalar()
+    terms = t.spark.createDataFrame(list(enumerate(SKILL_NAMES, start=1)), "i int, skill_name string")
+    dim_skills = parts.unionByName(terms.select((top_part + F.col("i")).alias("skill_id"), "skill_name"))
     bridge = (
         t("lineitem")
-        .where(F.col("l_partkey") % 40 < 39)
         .select(F.col("l_orderkey").alias("job_id"), F.col("l_partkey").alias("skill_id"))
         .distinct()
     )
