@@ -238,6 +238,9 @@ _BOUNDED_MATCH = (f"regexp_matches(lower(r.description_preview), '(^|[^{WORD_BEF
                   f"'([^{WORD_AFTER}]|$)')")
 
 CLEANING = {
+    "normalize_url": raw("""
+SELECT job_id, url, CASE WHEN url IS NOT NULL AND url <> '' AND url <> 'N/A' AND NOT starts_with(url, 'http')
+  THEN concat('https://jobs.example.com', url) ELSE url END AS job_url FROM raw_jobs"""),
     "clean_text": raw(f"SELECT job_id, {clean_sql('title')} AS title, {clean_sql('company')} AS company FROM raw_jobs"),
     "normalize_salary": raw(f"SELECT job_id, salary, {smin_sql('salary')} AS salary_min, "
                             f"{smax_sql('salary')} AS salary_max FROM raw_jobs"),

@@ -9,6 +9,7 @@ from hirelens.functions.salary import normalize_salary
 from hirelens.functions.skills import extract_skills, job_skill_sets
 from hirelens.functions.text import clean_text
 from hirelens.operators.cleaning import add_metadata, process
+from hirelens.operators.warehouse import normalize_url_col
 from hirelens.sources.bindings import AS_OF, raw_jobs
 from hirelens.sources.tables import Tables
 
@@ -62,7 +63,14 @@ def processed_postings_q(spark, sf_dir):
         "processed_at", "data_quality_score")
 
 
+def normalize_url_q(spark, sf_dir):
+    """Relative posting urls get the site base; "N/A", "" and NULL stay."""
+    raw = _raw(spark, sf_dir)
+    return raw.select("job_id", "url", normalize_url_col(F.col("url")).alias("job_url"))
+
+
 CLEANING_QUERIES = {
+    "normalize_url": normalize_url_q,
     "clean_text": clean_text_q,
     "normalize_salary": normalize_salary_q,
     "normalize_salary_strict": normalize_salary_strict_q,
