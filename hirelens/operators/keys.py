@@ -75,20 +75,8 @@ def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: Column | i
         ranged = by_range(_numbered_copies(df, copies_chunk), full).sortWithinPartitions(*full).drop("_i")
     else:
         ranged = by_range(df, order).sortWithinPartitions(*order)
-    tagged = (ranged.withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_mid", 33))
-              .checkpoint(eager=True))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # One row per partition: the window below runs over at most n rows.
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(
-            Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    local = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(key_col, (start_col + F.col("_off") + local + 1).cast("long"))
-            .drop("_mid", "_pid", "_off"))
+    # Positions are materialised once: both uses below read the same rows.
+    return _keyed(_tagged(ranged).checkpoint(eager=True), key_col, start)
 
 
 def number_in_order(df: DataFrame, key_col: str, start: Column | int = 0) -> DataFrame:
@@ -99,9 +87,20 @@ def number_in_order(df: DataFrame, key_col: str, start: Column | int = 0) -> Dat
     a contiguous, sorted run each and are read back identically, so the
     keys follow the order without another range shuffle or checkpoint.
     """
-    tagged = (df.withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_mid", 33)))
+    return _keyed(_tagged(df), key_col, start)
+
+
+def _tagged(df: DataFrame) -> DataFrame:
+    """Partition index and position inside it, from one 64-bit id."""
+    return (df.withColumn("_mid", F.monotonically_increasing_id())
+            .withColumn("_pid", F.shiftright("_mid", 33)))
+
+
+def _keyed(tagged: DataFrame, key_col: str, start: Column | int) -> DataFrame:
+    """key = start + rows in earlier partitions + position + 1."""
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    # One row per partition: this window and the broadcast below are bounded
+    # by the partition count, not by the data.
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_cnt").over(
