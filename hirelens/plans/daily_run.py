@@ -37,10 +37,8 @@ class RunResult:
 
 def cards_to_raw(pages: DataFrame, as_of_iso: str, batch_col: str = "batch_idx") -> DataFrame:
     """Saved pages (page_id, html, batch_idx) -> deduped raw postings."""
-    cards = valid_cards(job_cards(pages.select("page_id", "html"), scraped_at=as_of_iso))
-    batches = pages.select("page_id", batch_col)
-    with_batch = cards.join(batches, "page_id")
-    return dedupe_cross_batch(with_batch, "url", batch_col).select(*RAW_COLS)
+    cards = valid_cards(job_cards(pages, scraped_at=as_of_iso, carry=(batch_col,)))
+    return dedupe_cross_batch(cards, "url", batch_col).select(*RAW_COLS)
 
 
 WAREHOUSE_TABLES = ("staging_raw_jobs", "dim_companies", "fact_jobs", "dim_skills", "bridge_job_skills",

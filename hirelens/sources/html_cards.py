@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hirelens.schemas import JOB_CARD
 
@@ -196,29 +197,37 @@ def cards_in_page(html: str | None, max_cards: int = MAX_CARDS, base_url: str =
 
 
 def job_cards(pages: DataFrame, max_cards: int = MAX_CARDS, base_url: str = DEFAULT_BASE_URL,
-              scraped_at: str | None = None, min_tasks: int | None = None) -> DataFrame:
-    """(page_id, html) rows -> one row per card, ``pos`` = 1-based order."""
-    cols = [f.name for f in JOB_CARD.fields]
+              scraped_at: str | None = None, min_tasks: int | None = None,
+              carry: tuple[str, ...] = ()) -> DataFrame:
+    """(page_id, html) rows -> one row per card, ``pos`` = 1-based order.
+
+    ``carry`` names page columns copied onto each of its cards (for example
+    the scrape batch), so no join back to the pages is needed.
+    """
+    schema = StructType(JOB_CARD.fields + [pages.schema[c] for c in carry])
+    cols = [f.name for f in schema.fields]
 
     def parse(batches):
         for pdf in batches:
             rows = []
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
+            extra = [pdf[c] for c in carry]
+            for j, (pid, html) in enumerate(zip(pdf["page_id"], pdf["html"])):
+                kept = {c: col.iloc[j] for c, col in zip(carry, extra)}
                 for i, card in enumerate(cards_in_page(html, max_cards, base_url)):
-                    rows.append({"page_id": pid, "pos": i + 1, **card})
+                    rows.append({"page_id": pid, "pos": i + 1, **card, **kept})
             yield pd.DataFrame(rows, columns=cols)
 
     # Exact JVM-side pre-filter: a card needs a class attribute containing
     # "job", so its page contains "job" literally or as a numeric character
     # reference ("&#").  Other pages produce no card and never reach Python.
     html = F.col("html")
-    src = pages.select("page_id", "html").where(html.contains("job") | html.contains("&#"))
+    src = pages.select("page_id", "html", *carry).where(html.contains("job") | html.contains("&#"))
     if min_tasks:
         # Parsing is CPU-bound Python.  A small page table read from a few
         # files has fewer splits than cores: spread it first.  A large table
         # already has many scan splits and needs no reshuffle.
         src = src.repartition(min_tasks)
-    out = src.mapInPandas(parse, JOB_CARD)
+    out = src.mapInPandas(parse, schema)
     stamp = F.lit(scraped_at) if scraped_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return out.withColumn("scraped_at", stamp)

@@ -79,3 +79,10 @@ def test_malformed_and_commented_html():
     # comment ignored, tags case-folded, empty data-url falls back to the link,
     # unclosed elements end at the end of the page
     assert (c["title"], c["url"]) == ("TA", "https://b/rel")
+
+
+def test_carry_page_columns(spark):
+    pages = spark.createDataFrame([(1, page(CARD.format(k=1), CARD.format(k=2)), 7), (2, page(CARD.format(k=3)), 9)],
+                                  "page_id long, html string, batch_idx int")
+    rows = job_cards(pages, scraped_at="2001-01-01T00:00:00", carry=("batch_idx",)).collect()
+    assert sorted((r.page_id, r.pos, r.batch_idx) for r in rows) == [(1, 1, 7), (1, 2, 7), (2, 1, 9)]
