@@ -237,7 +237,9 @@ class Warehouse:
 
     @cached_property
     def _numbered(self) -> DataFrame:
-        return number_jobs(self._jobs, self._prev.fact_jobs if self._prev else None)
+        # Read by the fact, the bridge and the locations: cleaned and keyed
+        # once (a checkpoint keeps the partition order the bridge relies on).
+        return number_jobs(self._jobs, self._prev.fact_jobs if self._prev else None).checkpoint(eager=True)
 
     @cached_property
     def new_fact_jobs(self) -> DataFrame:
