@@ -24,15 +24,25 @@ def spooled(df: DataFrame, name: str) -> DataFrame:
     at files that outlive any executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _read(df, path)
+
+
+def _read(like: DataFrame, path: str) -> DataFrame:
+    out = like.sparkSession.read.schema(like.schema).parquet(path)
+    out.spool_path = path
+    return out
+
+
+def again(df: DataFrame) -> DataFrame:
+    """Another read of a ``spooled`` table, to join or cogroup it with itself."""
+    return _read(df, df.spool_path)
 
 
 def dropped(df: DataFrame) -> None:
     """Delete the files of a ``spooled`` table that nothing reads any more."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.spool_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text",

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hirelens.llm import byte_bpe, license_scan, packing, text_density, url_rules
+from hirelens.llm import (byte_bpe, flat_graph, language_id, license_scan, packing, text_density, toxicity, url_rules,
+                          voronoi_knn)
 from hirelens.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -14,6 +16,14 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
              ("org", "/fr/", "allow")]
 
 
+def op1_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op2_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_density.extract(table(spark, sf_dir, "pages"))
 
@@ -29,6 +39,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN, digests=True)
 
 
+def op6_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.training_rows())
+    return toxicity.score(docs, model).drop("spans")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -37,11 +53,44 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("findings")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs, language_id.training_rows()))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_text_density, op4_url_rules, op5_byte_bpe, op7_best_fit_packing, op8_license_scan)
+    f.__name__: f for f in (
+        op1_voronoi_knn, op2_flat_graph, op3_text_density, op4_url_rules, op5_byte_bpe, op6_toxic_spans,
+        op7_best_fit_packing, op8_license_scan, op10_language_id)
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op1_voronoi_knn": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.e, d.e)::BIGINT AS score
+  FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op2_flat_graph": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(id, c) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.id),
+least AS (SELECT id, min(c) AS c FROM reach GROUP BY id),
+linked AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN least ON id = vec_id LEFT JOIN linked ON a = vec_id""",
     "op4_url_rules": """
 WITH rest AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS r FROM pages),
