@@ -102,7 +102,8 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     doc: np.ndarray
-    first: np.ndarray  # place of each distinct word
+    w_start: np.ndarray  # a place of each distinct word
+    w_end: np.ndarray
     which: np.ndarray  # number of each word's distinct word
     hashes: np.ndarray  # of the distinct words
 
@@ -112,7 +113,7 @@ def words_in(raw: np.ndarray, offsets: np.ndarray) -> Words:
     start, end = word_bounds(LETTERS[raw], offsets)
     doc = np.searchsorted(offsets, start, side="right") - 1
     hashes, first, which = np.unique(hash_words(lower, start, end), return_index=True, return_inverse=True)
-    return Words(lower, start, end, doc, first, which, hashes)
+    return Words(lower, start, end, doc, start[first], end[first], which, hashes)
 
 
 def grams(lower: np.ndarray, start: np.ndarray, end: np.ndarray, sizes=GRAMS):
@@ -140,7 +141,7 @@ def grams(lower: np.ndarray, start: np.ndarray, end: np.ndarray, sizes=GRAMS):
 
 def buckets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct word, bucket) of all features, and each word's scale."""
-    start, end = words.start[words.first], words.end[words.first]
+    start, end = words.w_start, words.w_end
     shift = np.uint64(64 - BITS)
     owner = [np.arange(len(start))]
     bucket = [(words.hashes >> shift).astype(np.int64)]

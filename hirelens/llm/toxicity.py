@@ -47,7 +47,7 @@ def training_rows(id_col: str = "doc_id") -> Column:
 
 def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
     """Which distinct words are toxic, from the documents' labels."""
-    n_words = len(words.first)
+    n_words = len(words.hashes)
     pair = np.unique(words.doc.astype(np.int64) * n_words + words.which)
     doc, word = pair // n_words, pair % n_words
     # Near copies share the least hash of their words with high probability: one of each stays.
@@ -62,7 +62,7 @@ def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
     doc, word = doc[keep], word[keep]
 
     owner, feature = [np.arange(n_words)], [words.hashes]
-    for w, h in crf.grams(words.lower, words.start[words.first], words.end[words.first], (5,)):
+    for w, h in crf.grams(words.lower, words.w_start, words.w_end, (5,)):
         owner.append(w)
         feature.append(h)
     names, feature = np.unique(np.concatenate(feature), return_inverse=True)
