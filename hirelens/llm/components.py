@@ -20,15 +20,19 @@ def _least(col: Column) -> Column:
     return F.struct(F.xxhash64(col).alias("h"), col.alias("id"))
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int | None = None) -> DataFrame:
     """(id, component): for every end of an edge the smallest id that can be
-    reached from it.  Loops (a = b) keep their node; null ends are ignored."""
+    reached from it.  Loops (a = b) keep their node; null ends are ignored.
+    After at most ``rounds`` rounds, if given, a component may still be in
+    parts, each with the smallest id of its own."""
     clean = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("a"), F.col(b).alias("b"))
     nodes = clean.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     moved = spooled(nodes.select("id", F.col("id").alias("root")), "components-nodes")
     rest = spooled(clean.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                    .distinct(), "components-edges")
-    while not rest.isEmpty():
+    done = 0
+    while done != rounds and not rest.isEmpty():
+        done += 1
         both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
         to = (both.groupBy("a").agg(F.min(_least(F.col("b"))).alias("n"))
               .select(F.col("a").alias("from"), F.least("n", _least(F.col("a")))["id"].alias("to"))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import (byte_bpe, flat_graph, language_id, license_scan, packing, text_density, toxicity, url_rules,
-                          voronoi_knn)
+from hirelens.llm import (byte_bpe, flat_graph, language_id, license_scan, ngram_jaccard, packing, text_density,
+                          toxicity, url_rules, voronoi_knn)
 from hirelens.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -53,6 +53,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("findings")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.train(docs, language_id.training_rows()))
@@ -61,7 +65,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_voronoi_knn, op2_flat_graph, op3_text_density, op4_url_rules, op5_byte_bpe, op6_toxic_spans,
-        op7_best_fit_packing, op8_license_scan, op10_language_id)
+        op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id)
 }
 
 LLM_ORACLES: dict[str, str] = {
@@ -108,4 +112,21 @@ ruled AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled""",
+    "op9_ngram_jaccard": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM w),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n_a, any_value(b.n) AS n_b, count(*) AS c
+  FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * c >= 80 * (n_a + n_b - c)),
+reach(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.id),
+least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id FROM s JOIN least ON id = doc_id""",
 }

@@ -34,8 +34,8 @@ from hirelens.llm.common import text_slices
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_500, 3_000, 8_000
 #: Chains that the CRF is fitted to: of each toxic document with marked words, of each clean one.
 TOXIC_CHAINS, CLEAN_CHAINS = 3, 2
-#: A marking feature: least toxic documents (number, share), largest share of clean ones.
-MIN_TOXIC, MIN_SHARE, MAX_CLEAN = 4, 0.02, 0.001
+#: A marking feature: least toxic documents (number, share), and its share of clean ones against that of toxic ones.
+MIN_TOXIC, MIN_SHARE, MAX_CLEAN = 4, 0.02, 0.01
 #: Least documents that a feature added for coverage has to explain.
 MIN_COVERED = 3
 
@@ -79,7 +79,7 @@ def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
     bad = np.bincount(p_feature[toxic[p_doc]], minlength=len(names))
     good = np.bincount(p_feature[~toxic[p_doc]], minlength=len(names))
     n_bad, n_good = int((toxic & one).sum()), int((~toxic & one).sum())
-    clean = good <= MAX_CLEAN * n_good
+    clean = good / max(n_good, 1) <= MAX_CLEAN * bad / max(n_bad, 1)
     marked = clean & (bad >= max(MIN_TOXIC, MIN_SHARE * n_bad))
 
     # Coverage of the toxic documents that have no marked feature yet.
