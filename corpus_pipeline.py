@@ -1,32 +1,63 @@
-"""Corpus pipeline: stages over ``documents``, each written and read again."""
+"""Corpus pipeline: stages over ``documents``, each written as Parquet and
+read again as the next one's documents.
+
+language_id        documents whose language is undetermined, or that no
+                   language fills to at least ``MIN_LANGUAGE``, go
+toxicity           documents that the classifier marks toxic go
+ngram_jaccard      of documents linked at Jaccard 0.8 over five-word shingles
+                   the one with the smallest id stays
+best_fit_packing   what is left, packed into training sequences
+
+All but the last return the columns of ``documents``; nulls, repeated ids,
+empty tables and further columns pass through (rows with a null id can't be
+named by a group and stay in the third stage).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hirelens.llm import packing
+from hirelens.llm import language_id, ngram_jaccard, packing, toxicity
 from hirelens.llm.common import spooled, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Least mean share of a document's words that its language has to fill.
+MIN_LANGUAGE = 0.35
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_id.train(docs, language_id.training_rows())
+    return language_id.keep_identified(docs, model, MIN_LANGUAGE)
+
+
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.training_rows())
+    return toxicity.keep_clean(docs, model)
+
+
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = ngram_jaccard.join(docs)
+    gone = spooled(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return ngram_jaccard.without(docs, gone, "_gone")
+
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing of the kept documents into training sequences."""
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identified), ("toxicity", civil), ("ngram_jaccard", distinct_texts), ("best_fit_packing", packed)]
 
-#: Classifiers and packing have no SQL form.
+#: Classifiers and packing have no SQL form; the stages are tested against plain versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = spooled(docs, f"pipeline-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = spooled(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelens.session import scratch_path
 
@@ -45,6 +46,15 @@ def dropped(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sampled(rows: DataFrame, id_col: str, count: int, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the least hash of their id: by a
+    threshold first, so that only about twice as many are sorted at all."""
+    share = min(1.0, 2 * most / max(count, 1))
+    key = F.pmod(F.xxhash64(id_col), F.lit(1_000_000))
+    return (rows.where(key < F.lit(int(share * 1_000_000) + 1)).distinct()
+            .orderBy(key, id_col).limit(most))
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text",
                 most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut a batch into slices of whole rows with at most ``most`` text bytes

@@ -16,17 +16,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm import crf
-from hirelens.llm.common import text_slices
+from hirelens.llm.common import sampled, text_slices
 
 #: Bounds of the training sample.
 ROWS_PER_LANGUAGE = 300
 CHAINS_PER_ROW = 4
 #: The most frequent languages of the training rows are learned, at most so many.
-MOST_LANGUAGES = 64
+MOST_LANGUAGES = 32
 
 UNDETERMINED = "und"
 
@@ -59,15 +59,13 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     langs = sorted(r["lang"] for r in counts)
     if not langs:
         return None
-    # Ids first, so that only the sample's texts travel; the rank filter keeps a few rows per task before the shuffle.
-    order = Window.partitionBy("lang").orderBy("key", "id")
-    ids = (rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"),
-                       F.xxhash64(F.col(id_col)).alias("key")).distinct()
-           .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ROWS_PER_LANGUAGE)
-           .where(F.col("lang").isin(langs)).select("id").distinct())
-    chosen = [r["id"] for r in ids.collect()]
+    # Ids first, so that only the sample's texts travel.
+    chosen: set = set()
+    for r in counts:
+        ids = rows.where(F.col(lang_col) == r["lang"]).select(F.col(id_col).alias("id"))
+        chosen |= {x["id"] for x in sampled(ids, "id", r["count"], ROWS_PER_LANGUAGE).collect()}
     # One row for an id, however often it stands in the table.
-    sample = (rows.where(F.col(id_col).isin(chosen)).groupBy(F.col(id_col).alias("id"))
+    sample = (rows.where(F.col(id_col).isin(sorted(chosen))).groupBy(F.col(id_col).alias("id"))
               .agg(F.min(F.struct(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))).alias("one"))
               .select("one.lang", "one.text"))
 

@@ -165,18 +165,39 @@ def bit_map(rows: DataFrame, column: str) -> bytes:
     return bytes(out)
 
 
-def _on_map(rows: DataFrame, column: str, bits: bytes) -> DataFrame:
-    """Rows whose ``column`` is on the map: all that were put in, few others."""
+def _on_map(rows: DataFrame, column: str, bits: bytes, wanted: bool = True) -> DataFrame:
+    """Rows whose ``column`` is on the map: all that were put in, few others.
+    Not ``wanted``: the rows that aren't on it (null is not)."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         held = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            at = batch.column("_at").to_numpy()
-            yield batch.select(batch.schema.names[:-1]).filter(pa.array((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
-
-    marked = rows.withColumn("_at", F.pmod(F.xxhash64(column), F.lit(1 << MAP_BITS)))
-    return marked.mapInArrow(run, rows.schema)
+            at = batch.column(batch.num_columns - 1).to_numpy()
+            on = ((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) & (at >= 0)
+            yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(on == wanted))
+
+    place = F.when(F.col(column).isNotNull(), F.pmod(F.xxhash64(column), F.lit(1 << MAP_BITS))).otherwise(-1)
+    return rows.select("*", place.alias("_place_on_map")).mapInArrow(run, rows.schema)
+
+
+def without(docs: DataFrame, gone: DataFrame, gone_col: str, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``gone``; of rows that repeat
+    id and text one stays.  Rows with a null id stay.  Only rows that may be
+    in ``gone`` (by a bit map) or repeat an id are shuffled."""
+    again_ids = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).count().where("count > 1")
+    again_ids = spooled(again_ids.select("_id"), "repeated-ids")
+    named = gone.select(F.col(gone_col).alias("_id")).unionByName(again_ids)
+    bits = bit_map(named, "_id")
+    sure = _on_map(docs, id_col, bits, wanted=False)
+    rest = _on_map(docs, id_col, bits).join(gone.select(F.col(gone_col).alias("_id")),
+                                            F.col(id_col) == F.col("_id"), "left_anti")
+    if not again_ids.isEmpty():
+        ids = again(again_ids)
+        one = rest.join(ids, F.col(id_col) == F.col("_id"), "left_semi").dropDuplicates([id_col, text_col])
+        rest = rest.join(again(again_ids), F.col(id_col) == F.col("_id"), "left_anti").unionByName(one)
+    return sure.unionByName(rest)
 
 
 def _prefix_rows(docs: DataFrame, sketch: np.ndarray, size: int, percent: int) -> DataFrame:

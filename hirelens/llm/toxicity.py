@@ -24,14 +24,14 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm import crf
-from hirelens.llm.common import text_slices
+from hirelens.llm.common import sampled, text_slices
 
 #: Bounds of the training sample.
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_500, 3_000, 8_000
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_200, 2_000, 8_000
 #: Chains that the CRF is fitted to: of each toxic document with marked words, of each clean one.
 TOXIC_CHAINS, CLEAN_CHAINS = 3, 2
 #: A marking feature: least toxic documents (number, share), and its share of clean ones against that of toxic ones.
@@ -141,13 +141,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic")))
     fitting = (docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
                .select(F.col(id_col).alias("id")).distinct())
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
-    ids = (flags.join(fitting, "id", "left_semi").withColumn("rank", F.row_number().over(order))
-           .where(F.when(F.col("toxic") == 1, F.col("rank") <= TOXIC_ROWS).otherwise(F.col("rank") <= CLEAN_ROWS))
-           .where("toxic in (0, 1)").select("id", "toxic").collect())
-    flag = {r["id"]: r["toxic"] == 1 for r in ids}
-    if len(set(flag.values())) < 2:
+    known = flags.where("toxic in (0, 1)").join(fitting, "id", "left_semi")
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    if len(counts) < 2:
         return None
+    ids = []
+    for label, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
+        ids += sampled(known.where(F.col("toxic") == label), "id", counts[label], most).collect()
+    flag = {r["id"]: r["toxic"] == 1 for r in ids}
     rows = (docs.where(F.col(id_col).isin(list(flag)) & F.col(text_col).isNotNull()
                        & (F.length(text_col) <= SAMPLE_CHARS))
             .groupBy(F.col(id_col).alias("id")).agg(F.min(text_col).alias("text")).collect())
