@@ -108,7 +108,9 @@ class _Page:
         if tag in _TABLE or tag == "head":
             self.close_to((tag,), ())
         elif tag not in ("body", "html"):  # what follows these still belongs to the body
-            self.close_to((tag,), _TABLE if tag in _BLOCK else _BLOCK)
+            closed = self.close_to((tag,), _TABLE if tag in _BLOCK else _BLOCK)
+            if tag == "p" and not closed:  # stands for an empty paragraph
+                self.pieces.append((0, None))
 
 
 def parse(markup: str) -> _Page:

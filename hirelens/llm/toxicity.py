@@ -10,7 +10,8 @@ that most of them share is added.  The CRF then learns affix, n-gram and
 word weights and transitions from these labelled words.
 
 A document's score comes from its words' forward-backward marginals: a
-logistic curve, fitted on the sample, of the largest marginal's log-odds.
+logistic curve, fitted on the sample, of the largest marginal's log-odds and
+all words' joint evidence.
 Words whose marginal is at least one half are the offending spans.
 
 The sample is bounded (``TOXIC_ROWS`` and ``CLEAN_ROWS`` rows with texts of at
@@ -32,7 +33,8 @@ from hirelens.llm.common import sampled, text_slices
 
 #: Bounds of the training sample.
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_200, 2_000, 8_000
-#: Chains that the CRF is fitted to: of each toxic document with marked words, of each clean one.
+#: Chains that the CRF is fitted to: of each toxic document with marked words, and of each clean one (with
+#: marked words first, so that words which are only mostly toxic are learned as such).
 TOXIC_CHAINS, CLEAN_CHAINS = 3, 2
 #: A marking feature: least toxic documents (number, share), and its share of clean ones against that of toxic ones.
 MIN_TOXIC, MIN_SHARE, MAX_CLEAN = 4, 0.02, 0.01
@@ -45,19 +47,32 @@ def training_rows(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 5 != 0
 
 
+def _originals(words: crf.Words, n: int) -> np.ndarray:
+    """Documents that are no near copies of earlier ones: those that share
+    none of four least hashes of three consecutive words with one."""
+    out = np.ones(n, bool)
+    if len(words.doc) < 3:
+        return out
+    h = words.hashes[words.which]
+    three = crf.mixed(h[:-2] + crf.mixed(h[1:-1] + crf.mixed(h[2:])))
+    inside = words.doc[:-2] == words.doc[2:]
+    three, doc = three[inside], words.doc[:-2][inside]
+    has = np.unique(doc)
+    first = np.searchsorted(doc, has)
+    for seed in range(1, 5):
+        least = np.minimum.reduceat(crf.mixed(three + np.uint64(seed)), first) if len(has) else first
+        new = np.zeros(len(has), bool)
+        new[np.unique(least, return_index=True)[1]] = True
+        out[has[~new]] = False
+    return out
+
+
 def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
     """Which distinct words are toxic, from the documents' labels."""
     n_words = len(words.hashes)
     pair = np.unique(words.doc.astype(np.int64) * n_words + words.which)
     doc, word = pair // n_words, pair % n_words
-    # Near copies share the least hash of their words with high probability: one of each stays.
-    order = np.lexsort((crf.mixed(words.hashes[word]), doc))
-    least = np.zeros(len(toxic), np.uint64)
-    first = np.ones(len(order), bool)
-    first[1:] = doc[order][1:] != doc[order][:-1]
-    least[doc[order][first]] = words.hashes[word[order][first]]
-    one = np.zeros(len(toxic), bool)
-    one[np.unique(least, return_index=True)[1]] = True
+    one = _originals(words, len(toxic))
     keep = one[doc]
     doc, word = doc[keep], word[keep]
 
@@ -105,14 +120,15 @@ def _words(texts: list[str]) -> crf.Words:
     return crf.words_in(np.frombuffer(b"".join(data), np.uint8), offsets)
 
 
-def _chosen_chains(words: crf.Words, toxic: np.ndarray, target: np.ndarray) -> np.ndarray:
+def _chosen_chains(words: crf.Words, toxic: np.ndarray, marked_word: np.ndarray) -> np.ndarray:
     """Words of the chains to fit to: of toxic documents chains with marked
     words, of clean ones evenly spaced chains."""
     row = crf.chains_of(words.doc).row
     doc = words.doc[np.unique(row, return_index=True)[1]]  # of each chain
-    marked = np.bincount(row, target, len(doc)) > 0
-    fits = np.where(toxic[doc], marked, True)
-    at = np.flatnonzero(fits)
+    marked = np.bincount(row, marked_word, len(doc)) > 0
+    some = np.zeros(len(toxic), bool)
+    some[doc[marked]] = True
+    at = np.flatnonzero(np.where(toxic[doc] | some[doc], marked, True))
     first = np.ones(len(at), bool)
     first[1:] = doc[at][1:] != doc[at][:-1]
     begin = np.flatnonzero(first)
@@ -125,12 +141,39 @@ def _chosen_chains(words: crf.Words, toxic: np.ndarray, target: np.ndarray) -> n
     return np.flatnonzero(keep[row])
 
 
-def _largest(model: crf.Model, words: crf.Words, n: int) -> np.ndarray:
-    """Log-odds of each document's largest toxic marginal; without words the least."""
+def _evidence(marginal: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Per document the log-odds of its largest toxic marginal, and the log of
+    all its words' joint evidence; without words the least of both."""
     worst = np.full(n, 1e-7)
-    np.maximum.at(worst, words.doc, model.marginals(words)[:, 1])
+    np.maximum.at(worst, doc, marginal)
     worst = np.minimum(worst, 1 - 1e-7)
-    return np.log(worst / (1 - worst))
+    joint = np.bincount(doc, -np.log1p(-np.minimum(marginal, 1 - 1e-7)), n)
+    return np.stack([np.log(worst / (1 - worst)), np.log(joint + 1e-7)], axis=1)
+
+
+def _curve(evidence: np.ndarray, weights: tuple) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(evidence @ np.asarray(weights[:-1]) + weights[-1], -30, 30)))
+
+
+def _fitted_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of the evidence and a constant, by Newton steps that lower the
+    logistic loss, with a weak pull to the start."""
+    x1 = np.hstack([x, np.ones((len(x), 1))])
+    start = np.array([0.5, 0.5, 0.0])
+
+    def loss(w):
+        z = x1 @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + ((w - start) ** 2).sum() / 2)
+
+    w = start
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
+        step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + np.eye(3), x1.T @ (p - y) + w - start)
+        size = next((s for s in 0.5 ** np.arange(12) if loss(w - s * step) < loss(w)), 0.0)
+        if not size:
+            break
+        w = w - size * step
+    return w
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -157,21 +200,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     words = _words([t for t, _ in got])
     if not len(words.start):
         return None
-    target = (_marks(words, toxic)[words.which] & toxic[words.doc]).astype(np.int64)
-    chosen = _chosen_chains(words, toxic, target)
+    marked = _marks(words, toxic)[words.which]
+    target = (marked & toxic[words.doc]).astype(np.int64)
+    chosen = _chosen_chains(words, toxic, marked)
     part = replace(words, start=words.start[chosen], end=words.end[chosen], which=words.which[chosen],
                    doc=crf.chains_of(words.doc).row[chosen])
     model = crf.fit(["clean", "toxic"], part, target[chosen])
 
-    x, y = _largest(model, words, len(got)), toxic.astype(float)
-    a, b = 1.0, 0.0  # score = 1 / (1 + exp(-(a x + b))), by Newton steps with a weak pull to a = 1, b = 0
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w = p * (1 - p)
-        g = np.array([(x * (p - y)).sum() + a - 1, (p - y).sum() + b])
-        h = np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 1]])
-        a, b = np.array([a, b]) - np.clip(np.linalg.solve(h, g), -1, 1)
-    model.extra = (float(max(a, 0.05)), float(b))
+    x = _evidence(model.marginals(words)[:, 1], words.doc, len(got))
+    w = _fitted_curve(x, toxic.astype(float))
+    model.extra = tuple(float(v) for v in w)
     return model
 
 
@@ -183,11 +221,7 @@ def tag(model: crf.Model | None, raw: np.ndarray, offsets: np.ndarray, spans: bo
         return np.zeros(n), [[] for _ in range(n)] if spans else None
     words = crf.words_in(raw, offsets)
     marginal = model.marginals(words)[:, 1]
-    worst = np.full(n, 1e-7)
-    np.maximum.at(worst, words.doc, marginal)
-    worst = np.minimum(worst, 1 - 1e-7)
-    a, b = model.extra
-    score = 1 / (1 + np.exp(-np.clip(a * np.log(worst / (1 - worst)) + b, -30, 30)))
+    score = _curve(_evidence(marginal, words.doc, n), model.extra)
     if not spans:
         return score, None
     points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
