@@ -38,8 +38,8 @@ SHARD, MOST_CENTRES, SAMPLE = 1_024, 2_048, 16_384
 OVERLAP, BLOCK = 2, 4_096
 #: Edges kept by pruning, candidates pruned from, and the pruning factor on distances.
 DEGREE, CANDIDATES, ALPHA = 16, 40, 1.2
-#: Beam of the greedy search.
-BEAM = 16
+#: Beam of the greedy search, and neighbours of a node that it looks at (widening looks at all).
+BEAM, FAN = 16, 32
 #: Audited vectors, and the recall below which the overlap grows.
 AUDITED, LEAST_RECALL = 64, 0.95
 
@@ -62,12 +62,12 @@ def fit_centres(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
 
 def pruned_graph(x: np.ndarray) -> list[np.ndarray]:
     """Adjacency lists of a block: robustly pruned nearest candidates, and
-    the nearest of the reverse edges."""
+    the reverse edges."""
     m = len(x)
     c = min(CANDIDATES, m - 1)
     if c <= 0:
         return [np.zeros(0, np.int64) for _ in range(m)]
-    heads, tails, sims = [], [], []
+    heads, tails = [], []
     for at in range(0, m, 512):
         s = x[at:at + 512] @ x.T
         rows = np.arange(len(s))
@@ -87,34 +87,28 @@ def pruned_graph(x: np.ndarray) -> list[np.ndarray]:
             j = alive[some].argmax(axis=1)
             heads.append(at + some)
             tails.append(cand[some, j])
-            sims.append(near[some, j])
             alive[some, j] = False
             alive[some] &= ALPHA ** 2 * between[some, j] > own[some]
-    head, tail, sim = np.concatenate(heads), np.concatenate(tails), np.concatenate(sims)
-    # Reverse edges, the nearest first, as many again.
-    order = np.lexsort((-sim, tail))
-    group = tail[order]
-    new = np.ones(len(group), bool)
-    new[1:] = group[1:] != group[:-1]
-    place = np.arange(len(group)) - np.maximum.accumulate(np.where(new, np.arange(len(group)), 0))
-    back = order[place < DEGREE]
-    pairs = np.unique(np.concatenate([head, tail[back]]) * m + np.concatenate([tail, head[back]]))
+    head, tail = np.concatenate(heads), np.concatenate(tails)
+    # Every edge also runs back, so that a vector which is nobody's nearest is still reached.
+    pairs = np.unique(np.concatenate([head, tail]) * m + np.concatenate([tail, head]))
     return np.split(pairs % m, np.searchsorted(pairs // m, np.arange(1, m)))
 
 
-def _padded(lists: list[np.ndarray]) -> np.ndarray:
-    width = max((len(a) for a in lists), default=0)
-    out = np.full((len(lists), max(width, 1)), -1, np.int64)
-    for i, a in enumerate(lists):
-        out[i, :len(a)] = a
-    return out
+def _padded(begin: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The first ``FAN`` neighbours of every node, -1 behind the last."""
+    size = np.diff(begin)
+    at = begin[:-1, None] + np.arange(max(1, min(FAN, int(size.max(initial=0)))))
+    ok = at < begin[1:, None]
+    return np.where(ok, flat[np.minimum(at, max(len(flat) - 1, 0))] if len(flat) else -1, -1)
 
 
-def range_search(x: np.ndarray, adjacent: np.ndarray, medoid: int, queries: np.ndarray, own: np.ndarray,
-                 least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) with a product of at least ``least``.  ``own``: the
-    query's node, -1 where it is none."""
-    q, m = len(queries), len(x)
+def range_search(x: np.ndarray, begin: np.ndarray, flat: np.ndarray, medoid: int, queries: np.ndarray,
+                 own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) with a product of at least ``least``.  Node i's
+    neighbours are ``flat[begin[i]:begin[i + 1]]``; ``own``: the query's node,
+    -1 where it is none."""
+    q, m, adjacent = len(queries), len(x), _padded(begin, flat)
     seen = np.zeros((q, m), bool)
     every = np.arange(q)
     beam = np.full((q, BEAM), -1, np.int64)
@@ -155,11 +149,12 @@ def range_search(x: np.ndarray, adjacent: np.ndarray, medoid: int, queries: np.n
         new_row, new_node = [], []
         for at in range(0, len(row), 1024):
             r, n = row[at:at + 1024], node[at:at + 1024]
-            near = adjacent[n]
-            key = np.unique((r[:, None] * m + near)[near >= 0])
-            r, n = key // m, key % m
+            size = begin[n + 1] - begin[n]
+            edge = np.arange(size.sum()) + np.repeat(begin[n] - (np.cumsum(size) - size), size)
+            r, n = np.repeat(r, size), flat[edge]
             fresh = ~seen[r, n]
-            r, n = r[fresh], n[fresh]
+            key = np.unique(r[fresh] * m + n[fresh])
+            r, n = key // m, key % m
             seen[r, n] = True
             hits = np.einsum("ij,ij->i", x[n], queries[r]) >= least
             new_row.append(r[hits])
@@ -210,7 +205,7 @@ def _links(reps: DataFrame, width: int, overlap: int, threshold: float, shard: i
 
     lists = members.select("shard", "block", "id", "v").groupBy("shard", "block").applyInArrow(
         build, "id bigint, near array<bigint>")
-    # At most OVERLAP blocks of a vector, each with a bounded list.
+    # At most OVERLAP blocks of a vector, each with a list of at most BLOCK.
     union = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     nodes = members_of(again(placed)).join(union, "id").select("shard", "block", F.explode(every).alias("part"), "id", "v", "near")
@@ -230,13 +225,13 @@ def _links(reps: DataFrame, width: int, overlap: int, threshold: float, shard: i
             at = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
             here = ids[at] == flat  # united lists also lead to other blocks
             row = np.repeat(np.arange(len(ids)), size)[here]
-            adjacent = _padded(np.split(at[here], np.searchsorted(row, np.arange(1, len(ids)))))
+            begin = np.searchsorted(row, np.arange(len(ids) + 1))
             medoid = int((x @ x.mean(axis=0)).argmax())
             place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
             own = np.where(ids[place] == q_ids, place, -1)
             x4, q4 = x.astype(np.float32), q.astype(np.float32)
             for s in range(0, len(q), 512):
-                i, j = range_search(x4, adjacent, medoid, q4[s:s + 512], own[s:s + 512], threshold - 1e-4)
+                i, j = range_search(x4, begin, at[here], medoid, q4[s:s + 512], own[s:s + 512], threshold - 1e-4)
                 i = i + s
                 sure = (q[i] * x[j]).sum(axis=1) >= threshold
                 i, j = i[sure], j[sure]
