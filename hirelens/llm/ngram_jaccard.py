@@ -12,10 +12,11 @@ Blocks whose sizes can't match are never paired, and within a pair of blocks
 entries are skipped whose sizes or positions leave too little overlap.
 
 Answers.  A list of near copies would give pairs by the square of its length.
-Instead a few leaders of every list (least by a hash) are compared with its
-entries first; the nodes that link with the same leader are then connected
-already, and connected pairs are skipped.  After two such rounds, with
-different leaders, what is left is compared pair by pair, except where a
+Instead a few leaders of every list are compared with its entries first: those
+where the shared shingle stands earliest, so with fewest rare shingles of
+their own, which makes them the centres of a group of near copies.  The nodes
+that link with the same leader are then connected already, and connected pairs
+are skipped.  After two such rounds, with different leaders, what is left is compared pair by pair, except where a
 node's answer follows from its most similar leader's: of the overlap of a and
 b at most |L n b| lies in L and at most |a| - |L n a| outside.  So no link that
 joins two components is lost, and only components are claimed: a pair inside
@@ -299,8 +300,8 @@ def _matching(n_a, pos_a, n_b, pos_b, percent: int) -> np.ndarray:
 
 
 def _pairs(entries: DataFrame, percent: int, seed: int | None) -> DataFrame:
-    """Candidate pairs (a < b) of nodes in different components: with a
-    ``seed`` of each list's leaders and its entries, else all."""
+    """Candidate pairs (a < b) of nodes in different components: in round
+    ``seed`` of each list's next leaders and its entries, without one all."""
 
     def pairs_of(rows: dict[str, np.ndarray], begin: np.ndarray, size: np.ndarray):
         group = np.repeat(np.arange(len(begin)), size)
@@ -316,9 +317,9 @@ def _pairs(entries: DataFrame, percent: int, seed: int | None) -> DataFrame:
 
         if seed is not None:
             with np.errstate(over="ignore"):
-                rank = crf.mixed(rows["node"].view(np.uint64) * np.uint64(2 * seed + 1) + np.uint64(seed))
-            order = np.lexsort((rank, group))
-            for k in range(LEADERS):
+                rank = crf.mixed(rows["node"].view(np.uint64) + _PLACE[0])
+            order = np.lexsort((rank, rows["pos"], group))
+            for k in range((seed - 1) * LEADERS, seed * LEADERS):
                 long = size > k + 1
                 if not long.any():
                     break
