@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hirelens.session import scratch_path
 
 #: Text bytes handled at once inside a task; bounds a Python worker's memory.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 600_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

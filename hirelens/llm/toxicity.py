@@ -32,7 +32,7 @@ from hirelens.llm import crf
 from hirelens.llm.common import sampled, text_slices
 
 #: Bounds of the training sample.
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_200, 2_000, 8_000
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_000, 1_800, 6_000
 #: Chains that the CRF is fitted to: of each toxic document with marked words, and of each clean one (with
 #: marked words first, so that words which are only mostly toxic are learned as such).
 TOXIC_CHAINS, CLEAN_CHAINS = 3, 2
@@ -86,20 +86,31 @@ def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
     owner, feature = owner[order], feature[order]
     begin = np.searchsorted(owner, np.arange(n_words + 1))
 
-    # (document, feature) pairs, and in how many documents of each label a feature stands.
-    size = (begin[1:] - begin[:-1])[word]
-    at = np.repeat(begin[word] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    pairs = np.unique(np.repeat(doc, size) * len(names) + feature[at])
-    p_doc, p_feature = pairs // len(names), pairs % len(names)
-    bad = np.bincount(p_feature[toxic[p_doc]], minlength=len(names))
-    good = np.bincount(p_feature[~toxic[p_doc]], minlength=len(names))
+    def pairs():
+        """(document, feature) pairs, some documents at a time."""
+        edge = np.searchsorted(doc, np.arange(0, len(toxic) + 256, 256))
+        for lo, hi in zip(edge[:-1], edge[1:]):
+            d, w = doc[lo:hi], word[lo:hi]
+            size = begin[w + 1] - begin[w]
+            at = np.repeat(begin[w] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            both = np.unique(np.repeat(d, size) * len(names) + feature[at])
+            yield both // len(names), both % len(names)
+
+    # In how many documents of each label a feature stands.
+    bad, good = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+    for p_doc, p_feature in pairs():
+        bad += np.bincount(p_feature[toxic[p_doc]], minlength=len(names))
+        good += np.bincount(p_feature[~toxic[p_doc]], minlength=len(names))
     n_bad, n_good = int((toxic & one).sum()), int((~toxic & one).sum())
     clean = good / max(n_good, 1) <= MAX_CLEAN * bad / max(n_bad, 1)
     marked = clean & (bad >= max(MIN_TOXIC, MIN_SHARE * n_bad))
 
     # Coverage of the toxic documents that have no marked feature yet.
-    use = clean[p_feature] & toxic[p_doc] & (bad[p_feature] >= MIN_COVERED)
-    p_doc, p_feature = p_doc[use], p_feature[use]
+    held = []
+    for p_doc, p_feature in pairs():
+        use = clean[p_feature] & toxic[p_doc] & (bad[p_feature] >= MIN_COVERED)
+        held.append((p_doc[use], p_feature[use]))
+    p_doc, p_feature = (np.concatenate(c) for c in zip(*held))
     while True:
         covered = np.zeros(len(toxic), bool)
         covered[p_doc[marked[p_feature]]] = True
