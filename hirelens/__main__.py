@@ -5,7 +5,7 @@
     python -m hirelens check  --warehouse DIR
 
 ``daily`` runs the whole stage order on saved pages (page_id, url, html
-and an optional batch_idx), ``report`` runs one reporting query over a
+and an optional batch_idx) and continues from the warehouse under --out, ``report`` runs one reporting query over a
 written warehouse (shown, or written as Parquet), and ``check`` prints the
 constraint violations of a written warehouse.  The session comes from the
 environment (spark-submit) or is built locally.
@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--pages", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--as-of", default=None)
+    d.add_argument("--run-id", default=None, help="the day by default; running an id again replaces its rows")
     r = sub.add_parser("report")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--query", required=True, choices=sorted(REPORTS))
@@ -59,11 +60,12 @@ def main(argv: list[str] | None = None) -> int:
         if "batch_idx" not in pages.columns:
             pages = pages.withColumn("batch_idx", F.lit(0))
         as_of = a.as_of or datetime.now().isoformat(sep=" ", timespec="seconds")
-        res = run_daily(pages, a.out, as_of)
-        print(f"raw rows {res.raw_rows}, processed {res.processed_rows}, gate passed {res.passed}")
+        res = run_daily(pages, a.out, as_of, run_id=a.run_id)
+        print(f"raw rows {res.raw_rows}, processed {res.processed_rows}, rejected {res.rejected_rows}, "
+              f"gate passed {res.passed}")
         print(res.report.first()["report"])
     elif a.cmd == "report":
-        star = read_warehouse(spark, a.warehouse)
+        star = read_warehouse(spark, a.warehouse).star()
         fn = REPORTS[a.query]
         df = fn(star, as_of=a.as_of) if a.query in TIMED else fn(star)
         if a.out:
@@ -71,8 +73,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             df.show(100, truncate=False)
     else:
-        star = read_warehouse(spark, a.warehouse)
-        constraint_violations(star_tables(star)).show(100, truncate=False)
+        constraint_violations(star_tables(read_warehouse(spark, a.warehouse))).show(100, truncate=False)
     return 0
 
 

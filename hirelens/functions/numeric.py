@@ -25,5 +25,6 @@ def round0(c: Column) -> Column:
 
 
 def int_midpoint(a: str, b: str) -> Column:
-    """(a + b) / 2 on two INT columns, integer (truncating) division."""
-    return F.expr(f"({a} + {b}) div 2")
+    """(a + b) / 2 on two INT columns, integer (truncating) division; the sum
+    is a BIGINT, so it can't overflow."""
+    return F.expr(f"(cast({a} as bigint) + cast({b} as bigint)) div 2")

@@ -17,16 +17,20 @@ from hirelens.schemas import LENGTH_LIMITS
 from hirelens.sources.bindings import Star
 
 NOT_NULL = {
-    "fact_jobs": ["company_id", "job_title"],
-    "dim_companies": ["company_name"],
-    "dim_skills": ["skill_name"],
-    "bridge_job_skills": ["job_id", "skill_id"],
+    "fact_jobs": ["job_id", "company_id", "job_title"],
+    "dim_companies": ["company_id", "company_name"],
+    "dim_skills": ["skill_id", "skill_name"],
+    "bridge_job_skills": ["job_skill_id", "job_id", "skill_id"],
+    "dim_locations": ["location_id", "location_name"],
+    "staging_raw_jobs": ["staging_id"],
 }
 UNIQUE = {
     "fact_jobs": [["job_id"]],
     "dim_companies": [["company_id"], ["company_name"]],
     "dim_skills": [["skill_id"], ["skill_name"]],
-    "bridge_job_skills": [["job_id", "skill_id"]],
+    "bridge_job_skills": [["job_skill_id"], ["job_id", "skill_id"]],
+    "dim_locations": [["location_id"], ["location_name"]],
+    "staging_raw_jobs": [["staging_id"]],
 }
 FOREIGN_KEYS = [
     ("fact_jobs", "company_id", "dim_companies", "company_id"),
@@ -50,7 +54,9 @@ def _row_checks(name: str, df: DataFrame) -> DataFrame | None:
 
 
 def _unique_check(name: str, df: DataFrame, key: list[str]) -> DataFrame:
-    dup = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    # As in the DDL, nulls are never equal (NOT NULL rules count them).
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+    dup = df.where(whole).groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return dup.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("violations")).select(
         F.lit(f"{name}({', '.join(key)}) unique").alias("check_name"), "violations")
 
@@ -79,9 +85,10 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         "check_name", F.col("violations").cast("long").alias("violations"))
 
 
-def star_tables(star: Star) -> dict[str, DataFrame]:
-    return {"fact_jobs": star.fact_jobs, "dim_companies": star.dim_companies,
-            "dim_skills": star.dim_skills, "bridge_job_skills": star.bridge_job_skills}
+def star_tables(star) -> dict[str, DataFrame]:
+    """The tables of a star, or all six of a whole warehouse."""
+    names = ("fact_jobs", "dim_companies", "dim_skills", "bridge_job_skills", "dim_locations", "staging_raw_jobs")
+    return {name: getattr(star, name) for name in names if hasattr(star, name)}
 
 
 def cascade_delete(star: Star, doomed: Column) -> Star:

@@ -113,7 +113,8 @@ def _keyed(tagged: DataFrame, key_col: str, start: Column | int) -> DataFrame:
 
 
 def next_key_start(existing: DataFrame | None, key_col: str) -> Column:
-    """max(existing key), or 0 for an empty / missing table, as a scalar."""
+    """max(existing key), or 0 for an empty / missing table.  One number, read
+    now: the caller may go on to write into the same table."""
     if existing is None:
         return F.lit(0).cast("long")
-    return existing.select(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
+    return F.lit(existing.agg(F.max(key_col)).first()[0] or 0).cast("long")

@@ -41,6 +41,11 @@ def raw_statistics(raw: DataFrame, as_of: str | None = None) -> DataFrame:
     ).withColumn("last_scraped", stamp)
 
 
+def stats_json(stats: DataFrame) -> DataFrame:
+    """The statistics as one JSON text (F16)."""
+    return stats.select(F.to_json(F.struct(*stats.columns)).alias("stats"))
+
+
 def quality_gate(stats: DataFrame, min_rows: int = 0) -> DataFrame:
     """passed = total_jobs > min_rows.  Advisory: it reports, it does not stop."""
     passed = F.coalesce(F.col("total_jobs") > min_rows, F.lit(False))
@@ -76,18 +81,21 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def _cumulative(hist: DataFrame, value_col: str, weight_col: str) -> DataFrame:
-    """Add ``_before`` = total weight of smaller values (exact, distributed).
+    """Add ``_before`` = total weight of smaller values and ``_all`` = total
+    weight (exact, distributed).
 
     Same scheme as the surrogate keys: range partitions, per-partition
     totals, offsets over one row per partition, then a running sum inside
-    each partition.
+    each partition.  The histogram is materialised once; all else reads it.
     """
     ranged = (hist.repartitionByRange(value_col)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
     totals = ranged.groupBy("_pid").agg(F.sum(weight_col).alias("_tot"))
-    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"),
+                            F.sum("_tot").over(whole).alias("_all"))
     inner = F.sum(weight_col).over(Window.partitionBy("_pid").orderBy(value_col)
                                    .rowsBetween(Window.unboundedPreceding, -1))
     return (ranged.join(F.broadcast(offsets), "_pid")
@@ -98,22 +106,23 @@ def _cumulative(hist: DataFrame, value_col: str, weight_col: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     """Exact continuous quantiles (linear interpolation, like percentile_cont)
     without gathering the values: a histogram of distinct values (combined
-    map-side), exact cumulative counts over it, then one lookup per rank.
-    One row, one column ``q<i>`` per probability."""
+    map-side), exact cumulative counts over it, then all ranks in one
+    aggregate.  One row, one column ``q<i>`` per probability."""
     hist = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_w"))
     cum = _cumulative(hist, col, "_w")
-    n = hist.select(F.sum("_w")).scalar()
 
     def value_at(rank: Column) -> Column:
         hit = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_w"))
-        return cum.where(hit).select(F.min(F.col(col)).cast("double")).scalar()
+        return F.min(F.when(hit, F.col(col))).cast("double")
 
-    out = []
+    ranks = {}
     for i, p in enumerate(probs):
-        pos = (n - 1).cast("double") * F.lit(float(p))
-        lo, hi = value_at(F.floor(pos)), value_at(F.ceil(pos))
-        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(f"q{i}"))
-    return hist.sparkSession.range(1).select(*out)
+        pos = (F.col("_all") - 1).cast("double") * F.lit(float(p))
+        ranks |= {f"_lo{i}": value_at(F.floor(pos)), f"_hi{i}": value_at(F.ceil(pos)),
+                  f"_part{i}": F.max(pos - F.floor(pos))}
+    row = cum.agg(*[c.alias(name) for name, c in ranks.items()])
+    return row.select(*[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}")).alias(f"q{i}")
+                        for i in range(len(probs))])
 
 
 def salary_quartiles(fact: DataFrame, col: str = "salary_max", k: float = 1.5) -> DataFrame:
@@ -125,9 +134,8 @@ def salary_quartiles(fact: DataFrame, col: str = "salary_max", k: float = 1.5) -
 
 def salary_outliers(fact: DataFrame, col: str = "salary_max", k: float = 1.5) -> DataFrame:
     """Jobs whose salary is outside the IQR fences, or whose min > max."""
-    fences = salary_quartiles(fact, col, k)
-    lo = fences.select("lower_fence").scalar()
-    hi = fences.select("upper_fence").scalar()
+    fences = salary_quartiles(fact, col, k).first()  # one row of numbers
+    lo, hi = (F.lit(fences[c]).cast("double") for c in ("lower_fence", "upper_fence"))
     outside = (F.col(col) < lo) | (F.col(col) > hi)
     inverted = F.col("salary_min") > F.col("salary_max")
     flagged = fact.where(F.coalesce(outside, F.lit(False)) | F.coalesce(inverted, F.lit(False)))

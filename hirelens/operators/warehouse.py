@@ -8,7 +8,10 @@ one DataFrame transform over the whole batch:
 * staging renames fields, maps the scraper's "N/A" to NULL, normalises
   urls and parses timestamps;
 * companies are found or created with a left-anti join on the name, new
-  ones get keys after the current maximum;
+  ones get keys after the current maximum; a posting without a company
+  belongs to the company "N/A", so it isn't lost;
+* a posting without a title can't be in the fact (NOT NULL): it is in
+  ``rejected_jobs``, so loaded + rejected = staged;
 * jobs get their company id by an equi-join on the name (AQE splits a hot
   company's partition) and keys in staging order;
 * skills come from a fixed, curated dictionary (a literal map), and the
@@ -66,8 +69,10 @@ def with_row_identity(df: DataFrame, col: str = "_row") -> DataFrame:
 
 
 def stage_jobs(raw: DataFrame, loaded_at: str | None = None, source: str = DEFAULT_SOURCE,
-               base_url: str = DEFAULT_BASE_URL, tiebreak: str | None = None) -> DataFrame:
-    """Raw postings -> staging_raw_jobs rows with dense staging ids.
+               base_url: str = DEFAULT_BASE_URL, tiebreak: str | None = None,
+               existing: DataFrame | None = None) -> DataFrame:
+    """Raw postings -> staging_raw_jobs rows with dense staging ids (D1),
+    after those of ``existing``.
 
     ``tiebreak`` names a column that identifies each raw row (a source key,
     or ``with_row_identity``); it orders exact copies last.  Without one,
@@ -88,10 +93,11 @@ def stage_jobs(raw: DataFrame, loaded_at: str | None = None, source: str = DEFAU
         _ts(loaded_at).alias("created_at"),
         *extra,
     )
+    start = next_key_start(existing, "staging_id")
     if tiebreak:
-        keyed = assign_keys(staged, STAGING_ORDER + ["_tiebreak"], "staging_id")
+        keyed = assign_keys(staged, STAGING_ORDER + ["_tiebreak"], "staging_id", start=start)
     else:
-        keyed = assign_keys(staged, STAGING_ORDER, "staging_id", copies_chunk=COPIES_CHUNK)
+        keyed = assign_keys(staged, STAGING_ORDER, "staging_id", start=start, copies_chunk=COPIES_CHUNK)
     return keyed.select(
         "staging_id", "job_title", "company_name", "location", "salary", "description_preview",
         "job_url", "source", "scraped_at", "created_at")
@@ -102,7 +108,7 @@ def prepare_jobs(staging: DataFrame) -> DataFrame:
     return staging.select(
         "staging_id",
         F.nullif(clean_text_col("job_title"), F.lit("")).alias("job_title"),
-        F.nullif(clean_text_col("company_name"), F.lit("")).alias("company_name"),
+        F.coalesce(F.nullif(clean_text_col("company_name"), F.lit("")), F.lit(NA)).alias("company_name"),
         "location",
         salary_min_col("salary").alias("salary_min"),
         salary_max_col("salary").alias("salary_max"),
@@ -117,25 +123,33 @@ def conform(df: DataFrame, like: DataFrame) -> DataFrame:
                        for c in like.columns])
 
 
-def upsert_companies(existing: DataFrame | None, jobs: DataFrame,
-                     loaded_at: str | None = None) -> DataFrame:
-    """Find-or-create by exact name (D2): existing rows + new names, whose
-    keys continue after the current maximum in name order."""
+def new_companies(existing: DataFrame | None, jobs: DataFrame, loaded_at: str | None = None) -> DataFrame:
+    """Companies of ``jobs`` that don't exist yet, by exact name; their keys
+    continue after the current maximum in name order."""
     names = jobs.where(F.col("company_name").isNotNull()).select("company_name").distinct()
     if existing is not None:
         names = drop_seen(names, existing, "company_name")
-    new = assign_keys(names, ["company_name"], "company_id",
-                      start=next_key_start(existing, "company_id")).select(
+    return assign_keys(names, ["company_name"], "company_id",
+                       start=next_key_start(existing, "company_id")).select(
         "company_id", "company_name", F.lit(None).cast("string").alias("industry"),
         _ts(loaded_at).alias("created_at"))
-    if existing is None:
-        return new
-    return conform(existing, new).unionByName(new)
+
+
+def upsert_companies(existing: DataFrame | None, jobs: DataFrame,
+                     loaded_at: str | None = None) -> DataFrame:
+    """Find-or-create by exact name (D2): existing rows + new names."""
+    new = new_companies(existing, jobs, loaded_at)
+    return new if existing is None else conform(existing, new).unionByName(new)
 
 
 def loadable(jobs: DataFrame) -> DataFrame:
-    """Rows that satisfy fact_jobs' NOT NULL rules (title and company)."""
-    return jobs.where(F.col("job_title").isNotNull() & F.col("company_name").isNotNull())
+    """Rows that satisfy fact_jobs' NOT NULL rules (every job has a company)."""
+    return jobs.where(F.col("job_title").isNotNull())
+
+
+def rejected(jobs: DataFrame) -> DataFrame:
+    """The other rows, with the reason: what staging holds and the fact can't."""
+    return jobs.where(F.col("job_title").isNull()).withColumn("reason", F.lit("job_title is missing"))
 
 
 def number_jobs(jobs: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -198,42 +212,46 @@ def load_bridge(numbered_jobs: DataFrame, existing: DataFrame | None = None,
         "job_skill_id", "job_id", "skill_id")
 
 
-def load_locations(fact: DataFrame, existing: DataFrame | None = None,
-                   loaded_at: str | None = None) -> DataFrame:
-    """Distinct non-null locations, split into city / country."""
-    names = fact.where(F.col("location").isNotNull()).select(F.col("location").alias("location_name")).distinct()
+def new_locations(existing: DataFrame | None, jobs: DataFrame, loaded_at: str | None = None) -> DataFrame:
+    """Distinct non-null locations that don't exist yet, split into city / country."""
+    names = jobs.where(F.col("location").isNotNull()).select(F.col("location").alias("location_name")).distinct()
     if existing is not None:
         names = drop_seen(names, existing, "location_name")
     parts = F.split(F.col("location_name"), ",")
-    new = assign_keys(names, ["location_name"], "location_id",
-                      start=next_key_start(existing, "location_id")).select(
+    return assign_keys(names, ["location_name"], "location_id",
+                       start=next_key_start(existing, "location_id")).select(
         "location_id", "location_name",
         F.nullif(F.trim(F.try_element_at(parts, F.lit(1))), F.lit("")).alias("city"),
         F.nullif(F.trim(F.try_element_at(parts, F.lit(2))), F.lit("")).alias("country"),
         _ts(loaded_at).alias("created_at"))
-    return new if existing is None else conform(existing, new).unionByName(new)
 
 
 class Warehouse:
     """The loaded tables of one batch, built lazily: a query that reads only
     the fact does not pay for the bridge or the locations."""
 
-    def __init__(self, raw: DataFrame, loaded_at: str | None = None, previous: "Warehouse | None" = None,
+    def __init__(self, raw: DataFrame, loaded_at: str | None = None, previous=None,
                  base_url: str = DEFAULT_BASE_URL, tiebreak: str | None = None):
         self._raw, self._at, self._prev, self._base = raw, loaded_at, previous, base_url
         self._tiebreak = tiebreak
 
     @cached_property
-    def staging_raw_jobs(self) -> DataFrame:
-        return stage_jobs(self._raw, self._at, base_url=self._base, tiebreak=self._tiebreak)
+    def new_staging(self) -> DataFrame:
+        return stage_jobs(self._raw, self._at, base_url=self._base, tiebreak=self._tiebreak,
+                          existing=self._prev.staging_raw_jobs if self._prev else None)
 
     @cached_property
     def _jobs(self) -> DataFrame:
-        return prepare_jobs(self.staging_raw_jobs)
+        return prepare_jobs(self.new_staging)
 
     @cached_property
-    def dim_companies(self) -> DataFrame:
-        return upsert_companies(self._prev.dim_companies if self._prev else None, self._jobs, self._at)
+    def rejected_jobs(self) -> DataFrame:
+        """Rows of this batch that the fact can't hold."""
+        return rejected(self._jobs)
+
+    @cached_property
+    def new_companies(self) -> DataFrame:
+        return new_companies(self._prev.dim_companies if self._prev else None, self._jobs, self._at)
 
     @cached_property
     def _numbered(self) -> DataFrame:
@@ -245,28 +263,49 @@ class Warehouse:
     def new_fact_jobs(self) -> DataFrame:
         return load_fact(self._numbered, self.dim_companies, self._at)
 
+    @cached_property
+    def new_bridge(self) -> DataFrame:
+        return load_bridge(self._numbered, self._prev.bridge_job_skills if self._prev else None)
+
+    @cached_property
+    def new_locations(self) -> DataFrame:
+        return new_locations(self._prev.dim_locations if self._prev else None, self._numbered, self._at)
+
+    def _with_previous(self, name: str, new: DataFrame) -> DataFrame:
+        return conform(getattr(self._prev, name), new).unionByName(new) if self._prev else new
+
+    @cached_property
+    def staging_raw_jobs(self) -> DataFrame:
+        return self._with_previous("staging_raw_jobs", self.new_staging)
+
+    @cached_property
+    def dim_companies(self) -> DataFrame:
+        return self._with_previous("dim_companies", self.new_companies)
+
     @cached_property
     def fact_jobs(self) -> DataFrame:
-        return self._prev.fact_jobs.unionByName(self.new_fact_jobs) if self._prev else self.new_fact_jobs
+        return self._with_previous("fact_jobs", self.new_fact_jobs)
 
     @cached_property
     def dim_skills(self) -> DataFrame:
-        return self._prev.dim_skills if self._prev else skill_dimension(self._raw.sparkSession, self._at)
+        if self._prev and not self._prev.dim_skills.isEmpty():
+            return self._prev.dim_skills
+        return skill_dimension(self._raw.sparkSession, self._at)
 
     @cached_property
     def bridge_job_skills(self) -> DataFrame:
-        new = load_bridge(self._numbered, self._prev.bridge_job_skills if self._prev else None)
-        return self._prev.bridge_job_skills.unionByName(new) if self._prev else new
+        return self._with_previous("bridge_job_skills", self.new_bridge)
 
     @cached_property
     def dim_locations(self) -> DataFrame:
-        return load_locations(self.new_fact_jobs, self._prev.dim_locations if self._prev else None, self._at)
+        return self._with_previous("dim_locations", self.new_locations)
 
     def star(self) -> Star:
         return Star(self.fact_jobs, self.dim_companies, self.dim_skills, self.bridge_job_skills)
 
 
-def load_warehouse(raw: DataFrame, loaded_at: str | None = None, previous: Warehouse | None = None,
+def load_warehouse(raw: DataFrame, loaded_at: str | None = None, previous=None,
                    base_url: str = DEFAULT_BASE_URL, tiebreak: str | None = None) -> Warehouse:
-    """Raw postings -> warehouse tables, appended to ``previous`` if given."""
+    """Raw postings -> warehouse tables, appended to ``previous`` if given: any
+    object with the six tables, such as another load or a stored warehouse."""
     return Warehouse(raw, loaded_at, previous, base_url, tiebreak)

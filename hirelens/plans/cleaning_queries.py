@@ -47,10 +47,30 @@ def skills_exploded_outer_q(spark, sf_dir):
 
 
 def job_skill_sets_q(spark, sf_dir):
-    sets = job_skill_sets(extract_skills(_raw(spark, sf_dir), mode="compat"))
+    """Every job, those without a skill with an empty list."""
+    sets = job_skill_sets(extract_skills(_raw(spark, sf_dir), mode="compat", keep_empty=True))
     return sets.select("job_id", F.array_join("skills", ",").alias("skills"), "skill_count")
 
 
+def _documents(spark, sf_dir):
+    """The driver's documents as long job texts."""
+    return Tables(spark, sf_dir)("documents").select("doc_id", "text")
+
+
+def document_clean_text_q(spark, sf_dir):
+    return clean_text(_documents(spark, sf_dir), "text")
+
+
+def document_skills_bounded_q(spark, sf_dir):
+    return extract_skills(_documents(spark, sf_dir), text_col="text", mode="bounded").select("doc_id", "skill")
+
+
+def document_skill_sets_q(spark, sf_dir):
+    found = extract_skills(_documents(spark, sf_dir), text_col="text", mode="compat", keep_empty=True)
+    sets = job_skill_sets(found.select("doc_id", "skill"), key="doc_id")
+    return sets.select("doc_id", F.array_join("skills", ",").alias("skills"), "skill_count")
+
+
 def add_metadata_q(spark, sf_dir):
     parsed = normalize_salary(_raw(spark, sf_dir), drop=False)
     return add_metadata(parsed, PROCESSED_AT, score="completeness").select(
@@ -78,6 +98,9 @@ CLEANING_QUERIES = {
     "skills_bounded": skills_bounded_q,
     "skills_exploded_outer": skills_exploded_outer_q,
     "job_skill_sets": job_skill_sets_q,
+    "document_clean_text": document_clean_text_q,
+    "document_skills_bounded": document_skills_bounded_q,
+    "document_skill_sets": document_skill_sets_q,
     "add_metadata": add_metadata_q,
     "processed_postings": processed_postings_q,
 }

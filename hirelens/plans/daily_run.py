@@ -1,89 +1,148 @@
 """The daily run in stage order, as one function (C10 + the DAG's order).
 
-pages -> job cards -> junk filter -> cross-batch url dedupe -> raw append
--> statistics + quality gate -> processing -> warehouse load -> report.
-
-Every stage is a DataFrame transform; the only actions are the writes (and
-the checkpoints inside key assignment).  The gate is advisory, as in the
-original, unless ``strict_gate`` is set.
+pages -> job cards (parsed once, landed) -> junk filter -> cross-batch url
+dedupe -> raw -> statistics + quality gate -> processing -> warehouse load
+-> report.
+
+A run has an id (the day by default).  Its cards, raw and processed rows,
+staging, jobs and bridge rows lie in partitions of that id, and running it
+again replaces them; only the run's own batch is processed.  Companies and
+locations are found or created in the stored tables, so what an earlier
+attempt created is found again.  Surrogate keys continue after those of the
+other runs.
+
+The gate is advisory, as in the original, unless ``strict_gate`` is set; a
+run without a single card warns and goes on.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hirelens.operators.cleaning import process
 from hirelens.operators.dedupe import dedupe_cross_batch
 from hirelens.operators.quality import quality_gate, raw_statistics, run_report, write_report
 from hirelens.operators.warehouse import Warehouse, load_warehouse, with_row_identity
+from hirelens.schemas import JOB_CARD, RAW, WAREHOUSE
 from hirelens.sources.bindings import Star
 from hirelens.sources.html_cards import job_cards, valid_cards
-from hirelens.sources.io import append_raw, with_scrape_month, write_table
+from hirelens.sources.io import drop_partition, empty_frame, path_exists, write_table
+
+RAW_COLS = [f.name for f in RAW.fields]
+RUN, MONTH = "run_id", "posted_month"
+
 
-RAW_COLS = ["title", "company", "location", "salary", "skills", "url", "scraped_at"]
+@dataclass(frozen=True)
+class StoredWarehouse:
+    """The six written tables; a following run continues from them."""
+
+    staging_raw_jobs: DataFrame
+    dim_companies: DataFrame
+    fact_jobs: DataFrame
+    dim_skills: DataFrame
+    bridge_job_skills: DataFrame
+    dim_locations: DataFrame
+
+    def star(self) -> Star:
+        return Star(self.fact_jobs, self.dim_companies, self.dim_skills, self.bridge_job_skills)
 
 
 @dataclass
 class RunResult:
     raw_rows: int
     processed_rows: int
+    rejected_rows: int
     passed: bool
-    warehouse: Warehouse
+    warehouse: StoredWarehouse
     report: DataFrame
 
 
-def cards_to_raw(pages: DataFrame, as_of_iso: str, batch_col: str = "batch_idx") -> DataFrame:
-    """Saved pages (page_id, html, batch_idx) -> deduped raw postings."""
-    cards = valid_cards(job_cards(pages, scraped_at=as_of_iso, carry=(batch_col,)))
-    return dedupe_cross_batch(cards, "url", batch_col).select(*RAW_COLS)
-
-
-WAREHOUSE_TABLES = ("staging_raw_jobs", "dim_companies", "fact_jobs", "dim_skills", "bridge_job_skills",
-                    "dim_locations")
-
-
-def write_warehouse(wh: Warehouse, base: str) -> dict[str, int]:
-    """Write every table; the fact is partitioned by posted month so reports
-    and retention on recent months read only those folders."""
-    counts = {}
-    for name in WAREHOUSE_TABLES:
-        df = getattr(wh, name)
-        if name == "fact_jobs":
-            df = df.withColumn("posted_month", F.date_format("posted_date", "yyyy-MM"))
-            counts[name] = write_table(df, f"{base}/{name}", partition_by=["posted_month"])
-        else:
-            counts[name] = write_table(df, f"{base}/{name}")
+def _plus(schema: StructType, *columns: str) -> StructType:
+    """``schema`` with text columns added (text, so that partition values stay as written)."""
+    return StructType([*schema.fields, *(StructField(c, StringType(), True) for c in columns)])
+
+
+def read_runs(spark: SparkSession, path: str, schema: StructType, *more: str) -> DataFrame:
+    """A table partitioned by run; the typed empty frame if nothing was written."""
+    full = _plus(schema, RUN, *more)
+    return spark.read.schema(full).parquet(path) if path_exists(spark, path) else empty_frame(spark, full)
+
+
+def write_run(df: DataFrame, path: str, run_id: str, replace: bool = True, more: tuple[str, ...] = ()) -> int:
+    """Write a run's rows: in place of its earlier ones, or beside them."""
+    keyed = df.withColumn(RUN, F.lit(run_id))
+    rows = write_table(keyed, path, mode="overwrite" if replace else "append", partition_by=[RUN, *more])
+    if replace and not rows:  # nothing to write also replaces
+        drop_partition(df.sparkSession, path, f"{RUN}={run_id}")
+    return rows
+
+
+def read_warehouse(spark: SparkSession, base: str, without_run: str | None = None) -> StoredWarehouse:
+    """The written warehouse.  ``without_run`` leaves out the staging, jobs
+    and bridge rows of one run, which is about to replace them.  The fact
+    keeps its month column, so date-bounded reports read few folders."""
+    def runs(name: str, *more: str) -> DataFrame:
+        df = read_runs(spark, f"{base}/{name}", WAREHOUSE[name], *more)
+        return df.where(F.col(RUN) != without_run) if without_run else df
+
+    def dimension(name: str) -> DataFrame:
+        return read_runs(spark, f"{base}/{name}", WAREHOUSE[name]).drop(RUN)
+
+    return StoredWarehouse(runs("staging_raw_jobs"), dimension("dim_companies"), runs("fact_jobs", MONTH),
+                           dimension("dim_skills"), runs("bridge_job_skills"), dimension("dim_locations"))
+
+
+def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
+    """Write what a run adds: rows of the run in place of its earlier ones,
+    new dimension rows beside the old.  Dimensions come first: a run that
+    breaks off leaves no job without its company."""
+    spark = wh.new_staging.sparkSession
+    counts = {
+        "staging_raw_jobs": write_run(wh.new_staging, f"{base}/staging_raw_jobs", run_id),
+        "dim_companies": write_run(wh.new_companies, f"{base}/dim_companies", run_id, replace=False),
+        "dim_locations": write_run(wh.new_locations, f"{base}/dim_locations", run_id, replace=False),
+    }
+    if read_warehouse(spark, base).dim_skills.isEmpty():
+        counts["dim_skills"] = write_run(wh.dim_skills, f"{base}/dim_skills", run_id)
+    fact = wh.new_fact_jobs.withColumn(MONTH, F.date_format("posted_date", "yyyy-MM"))
+    counts["fact_jobs"] = write_run(fact, f"{base}/fact_jobs", run_id, more=(MONTH,))
+    counts["bridge_job_skills"] = write_run(wh.new_bridge, f"{base}/bridge_job_skills", run_id)
     return counts
 
 
-def read_warehouse(spark, base: str) -> Star:
-    """The written star, ready for the reports.  The fact keeps its
-    ``posted_month`` partition column so date-bounded reports can prune."""
-    def t(name):
-        return spark.read.parquet(f"{base}/{name}")
-    return Star(t("fact_jobs"), t("dim_companies"), t("dim_skills"), t("bridge_job_skills"))
-
-
-def run_daily(pages: DataFrame, out_dir: str, as_of: str, previous: Warehouse | None = None,
+def run_daily(pages: DataFrame, out_dir: str, as_of: str, run_id: str | None = None,
               strict_gate: bool = False, min_rows: int = 0) -> RunResult:
-    as_of_iso = as_of.replace(" ", "T")
-    raw = cards_to_raw(pages, as_of_iso)
-    raw_rows = append_raw(raw, f"{out_dir}/raw_jobs")
-    landed = with_row_identity(pages.sparkSession.read.parquet(f"{out_dir}/raw_jobs"))
-    stats = raw_statistics(landed.drop("scrape_month", "_row"), as_of_iso)
+    """One run over saved pages (page_id, html, batch_idx)."""
+    spark, as_of_iso, run_id = pages.sparkSession, as_of.replace(" ", "T"), run_id or as_of[:10]
+    card_schema = StructType([*JOB_CARD.fields, pages.schema["batch_idx"], StructField("scraped_at", StringType())])
+
+    # The dearest step, Python per page, runs once: all else reads the landed cards.
+    write_run(job_cards(pages, scraped_at=as_of_iso, carry=("batch_idx",)), f"{out_dir}/cards", run_id)
+    cards = read_runs(spark, f"{out_dir}/cards", card_schema).where(F.col(RUN) == run_id)
+    raw = dedupe_cross_batch(valid_cards(cards), "url", "batch_idx").select(*RAW_COLS)
+    raw_rows = write_run(raw, f"{out_dir}/raw_jobs", run_id)
+
+    landed = read_runs(spark, f"{out_dir}/raw_jobs", RAW)
+    if raw_rows:
+        batch = with_row_identity(landed).where(F.col(RUN) == run_id).drop(RUN)
+    else:
+        batch = landed.where("false").drop(RUN).withColumn("_row", F.lit(0))
+    stats = raw_statistics(batch.drop("_row"), as_of_iso)
     passed = bool(quality_gate(stats, min_rows).first()["passed"])
     if strict_gate and not passed:
         raise RuntimeError("quality gate failed: no raw postings")
-    batch = landed.drop("scrape_month")
-    processed = process(batch.drop("_row"), as_of_iso)
-    processed_rows = write_table(with_scrape_month(processed), f"{out_dir}/processed_jobs",
-                                 partition_by=["scrape_month"])
-    wh = load_warehouse(batch.withColumn("description_preview", F.array_join("skills", ", ")),
-                        as_of, previous, tiebreak="_row")
-    write_warehouse(wh, f"{out_dir}/warehouse")
+    processed_rows = write_run(process(batch.drop("_row"), as_of_iso), f"{out_dir}/processed_jobs", run_id)
+
+    base = f"{out_dir}/warehouse"
+    previous = read_warehouse(spark, base, without_run=run_id)
+    wh = load_warehouse(batch.withColumn("description_preview", F.array_join("skills", ", ")), as_of, previous,
+                        tiebreak="_row")
+    write_warehouse(wh, base, run_id)
+    rejected_rows = write_run(wh.rejected_jobs, f"{out_dir}/rejected_jobs", run_id)
     report = run_report(stats, as_of)
     write_report(report, f"{out_dir}/reports/report_{as_of_iso.replace(':', '-')}")
-    return RunResult(raw_rows, processed_rows, passed, wh, report)
+    return RunResult(raw_rows, processed_rows, rejected_rows, passed, read_warehouse(spark, base), report)

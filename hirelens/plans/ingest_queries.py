@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from hirelens.operators.dedupe import dedupe_cross_batch, dedupe_strict
 from hirelens.operators.quality import (null_profile, quality_gate, raw_statistics, run_report,
-                                        salary_outliers, salary_quartiles)
-from hirelens.sources.bindings import AS_OF, html_pages, raw_jobs, star, url_batches
+                                        salary_outliers, salary_quartiles, stats_json)
+from hirelens.sources.bindings import AS_OF, article_cards, html_pages, raw_jobs, star, url_batches
 from hirelens.sources.html_cards import job_cards, page_triage, valid_cards
 from hirelens.sources.tables import Tables
 
@@ -20,7 +20,7 @@ def _cards(spark, sf_dir):
 
 def _flat(cards):
     return cards.select("page_id", "pos", "title", "url", "company", "location", "salary",
-                        F.array_join("skills", ",").alias("skills"))
+                        F.array_join("skills", ",").alias("skills"), "scraped_at")
 
 
 def job_cards_q(spark, sf_dir):
@@ -36,9 +36,9 @@ def page_triage_q(spark, sf_dir):
 
 
 def page_cards_q(spark, sf_dir):
-    """Cards in the driver's own saved pages (whole pages parsed)."""
-    pages = Tables(spark, sf_dir)("pages")
-    return _flat(job_cards(pages, scraped_at=SCRAPED_AT, min_tasks=spark.sparkContext.defaultParallelism))
+    """The driver's own saved pages, whole, each article as a card."""
+    cards = job_cards(article_cards(Tables(spark, sf_dir)("pages")), scraped_at=SCRAPED_AT)
+    return cards.select("page_id", "pos", "title", "url", "company", "parse_error")
 
 
 def dedupe_cross_batch_q(spark, sf_dir):
@@ -53,6 +53,10 @@ def raw_statistics_q(spark, sf_dir):
     return raw_statistics(raw_jobs(Tables(spark, sf_dir)), SCRAPED_AT)
 
 
+def stats_json_q(spark, sf_dir):
+    return stats_json(raw_statistics(raw_jobs(Tables(spark, sf_dir)), SCRAPED_AT))
+
+
 def quality_gate_q(spark, sf_dir):
     return quality_gate(raw_statistics(raw_jobs(Tables(spark, sf_dir)), SCRAPED_AT))
 
@@ -81,6 +85,7 @@ INGEST_QUERIES = {
     "dedupe_cross_batch": dedupe_cross_batch_q,
     "dedupe_strict": dedupe_strict_q,
     "raw_statistics": raw_statistics_q,
+    "stats_json": stats_json_q,
     "quality_gate": quality_gate_q,
     "run_report": run_report_q,
     "null_profile": null_profile_q,

@@ -6,20 +6,24 @@ Each writes to a fresh folder under the session's checkpoint directory
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.operators.cleaning import process
+from hirelens.schemas import RAW
 from hirelens.session import scratch_path
 from hirelens.sources.bindings import AS_OF, raw_jobs
 from hirelens.operators.keys import assign_keys
-from hirelens.sources.io import append_new, append_raw, read_raw, sample_rows, with_scrape_month, write_table
+from hirelens.sources.io import append_new, append_raw, purge, read_raw, sample_rows, with_scrape_month, write_table
 from hirelens.sources.tables import Tables
 from hirelens.streaming.incremental import incremental_ingest
 
 PROCESSED_AT = AS_OF.replace(" ", "T")
 PROCESSED_COLS = ["job_id", "title", "company", "location", "url", "scraped_at", "salary_min", "salary_max",
                  "processed_at", "data_quality_score"]
-RAW_TEXT_COLS = ["title", "company", "location", "salary", "url", "scraped_at"]
+RAW_COLS = [f.name for f in RAW.fields]
 # Landing batches of the incremental example: postings arrive by scrape year.
 LANDING_YEARS = [1997, 1999, 2001]
 
@@ -28,6 +32,10 @@ def _processed(spark, sf_dir):
     return process(raw_jobs(Tables(spark, sf_dir)), PROCESSED_AT).select(*PROCESSED_COLS)
 
 
+def _skills_as_text(raw):
+    return raw.select(*[c for c in RAW_COLS if c != "skills"], F.array_join("skills", ",").alias("skills"))
+
+
 def parquet_roundtrip_q(spark, sf_dir):
     path = scratch_path(spark, "processed")
     write_table(with_scrape_month(_processed(spark, sf_dir)), path, partition_by=["scrape_month"])
@@ -50,8 +58,8 @@ def sample_rows_q(spark, sf_dir):
 def read_raw_json_q(spark, sf_dir):
     """Raw postings landed as JSON lines, read back with the explicit schema."""
     path = scratch_path(spark, "raw-json")
-    raw_jobs(Tables(spark, sf_dir)).select(*RAW_TEXT_COLS).write.json(path)
-    return read_raw(spark, path, fmt="json").select(*RAW_TEXT_COLS)
+    raw_jobs(Tables(spark, sf_dir)).select(*RAW_COLS).write.json(path)
+    return _skills_as_text(read_raw(spark, path, fmt="json"))
 
 
 def landing_batch(scraped_at):
@@ -79,8 +87,24 @@ def incremental_ingest_q(spark, sf_dir):
 def append_raw_q(spark, sf_dir):
     """Raw postings appended by scrape month and read back."""
     path = scratch_path(spark, "raw-append")
-    append_raw(raw_jobs(Tables(spark, sf_dir)).select(*RAW_TEXT_COLS), path)
-    return spark.read.parquet(path).select(*RAW_TEXT_COLS)
+    append_raw(raw_jobs(Tables(spark, sf_dir)).select(*RAW_COLS), path)
+    return _skills_as_text(spark.read.parquet(path))
+
+
+def purge_q(spark, sf_dir):
+    """Two stored collections emptied: how many rows each lost, and holds."""
+    raw = raw_jobs(Tables(spark, sf_dir)).select(*RAW_COLS)
+    tables = {"raw_jobs": (scratch_path(spark, "purge-raw"), RAW),
+              "jobs_without_salary": (scratch_path(spark, "purge-some"), RAW)}
+    raw.write.parquet(tables["raw_jobs"][0])
+    raw.where("salary is null").write.parquet(tables["jobs_without_salary"][0])
+    deleted = purge(spark, tables)
+    left = [spark.read.parquet(path).select(F.lit(name).alias("collection"), F.lit(deleted[name]).cast("long").alias(
+        "deleted")).groupBy("collection", "deleted").count() for name, (path, _) in tables.items()]
+    counts = spark.createDataFrame([(n, d) for n, d in deleted.items()], "collection string, deleted long")
+    held = reduce(DataFrame.unionByName, left).select("collection", F.col("count").alias("_left"))
+    return counts.join(held, "collection", "left").select("collection", "deleted",
+                                                          F.coalesce("_left", F.lit(0)).cast("long").alias("left"))
 
 
 def surrogate_keys_q(spark, sf_dir):
@@ -97,5 +121,6 @@ IO_QUERIES = {
     "read_raw_json": read_raw_json_q,
     "incremental_ingest": incremental_ingest_q,
     "append_raw": append_raw_q,
+    "purge": purge_q,
     "surrogate_keys": surrogate_keys_q,
 }

@@ -343,11 +343,11 @@ def q12_export_jobs(star: Star, k: int = 100) -> DataFrame:
            .select("job_id", "job_title", "company_name", "location", "salary_min", "salary_max",
                    "posted_date"))
     top = top.checkpoint(eager=True)
-    skills = (star.bridge_job_skills.join(F.broadcast(top.select("job_id")), "job_id", "left_semi")
+    skills = (star.bridge_job_skills.join(F.broadcast(top.select("job_id")), "job_id", "left_semi")  # k ids
               .join(star.dim_skills.select("skill_id", "skill_name"), "skill_id")
               .groupBy("job_id")
               .agg(F.array_join(F.array_sort(F.collect_list("skill_name")), ", ").alias("required_skills")))
-    return (top.join(F.broadcast(skills), "job_id", "left")
+    return (top.join(skills, "job_id", "left")
             .orderBy(_desc("posted_date"), "job_id")
             .select("job_id", "job_title", "company_name", "location", "salary_min", "salary_max",
                     "required_skills"))

@@ -61,6 +61,7 @@ JOB_CARD = _s(
     ("location", StringType(), True),
     ("salary", StringType(), True),
     ("skills", ArrayType(StringType()), True),
+    ("parse_error", StringType(), True),
 )
 
 DIM_COMPANIES = _s(
@@ -133,4 +134,6 @@ LENGTH_LIMITS = {
     "fact_jobs": {"job_title": 255, "job_url": 500, "location": 100},
     "dim_skills": {"skill_name": 100, "skill_category": 50},
     "dim_locations": {"location_name": 100, "city": 50, "country": 50},
+    "staging_raw_jobs": {"job_title": 255, "company_name": 255, "location": 100, "salary": 100, "job_url": 500,
+                         "source": 50},
 }

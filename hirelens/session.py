@@ -36,6 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("HIRELENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+        # Checkpoint files go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in PLAN_CONF.items():
         builder = builder.config(key, value)
@@ -48,10 +50,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def apply_plan_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (driver-built)."""
     for key, value in PLAN_CONF.items():
-        try:
+        if spark.conf.isModifiable(key):  # static settings stay as deployed
             spark.conf.set(key, value)
-        except Exception:  # static or locked settings stay as deployed
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -145,18 +145,23 @@ def raw_jobs(t: Tables) -> DataFrame:
         desc = F.when(k % 5 == i, DESCRIPTIONS[i]).otherwise(desc)
     return _orders_customers(t, with_nation=True).select(
         k.alias("job_id"),
-        F.concat(
+        F.when(k % 29 == 0, "N/A").otherwise(F.concat(
             F.lit("  <b>Senior</b>  "),
             F.when(k % 3 == 0, "Data<br>Engineer").otherwise("DEV   <i class=x>Ops</i>"),
             F.lit(" "), F.col("o_orderpriority"), F.lit(" "),
-        ).alias("title"),
-        F.concat(F.lit("<a href=x>"), F.col("c_name"), F.lit("</a> ")).alias("company"),
-        F.when(k % 11 == 0, F.lit("N/A")).otherwise(F.col("n_name")).alias("location"),
+        )).alias("title"),
+        F.when(k % 23 == 0, "N/A").otherwise(
+            F.concat(F.lit("<a href=x>"), F.col("c_name"), F.lit("</a> "))).alias("company"),
+        F.when(k % 11 == 0, F.lit("N/A"))
+        .when(k % 4 == 0, F.concat(F.lit("City "), _s(F.col("n_regionkey")), F.lit(" , "), F.col("n_name")))
+        .otherwise(F.col("n_name")).alias("location"),
         salary.alias("salary"),
         F.concat(F.lit("We use "), desc, F.lit(".")).alias("description_preview"),
         F.when(k % 17 == 0, F.lit("N/A"))
         .otherwise(F.concat(F.lit("/it-jobs/"), _s(k))).alias("url"),
         F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
+        F.when(k % 3 == 0, F.array(F.lit("Java"), F.lit("SQL"))).when(k % 3 == 1, F.array(F.lit("Python")))
+        .otherwise(F.array().cast("array<string>")).alias("skills"),
     )
 
 
@@ -171,7 +176,8 @@ def card_html(k: Column, prio: Column, cname: Column, segment: Column) -> Column
         F.when(k % 4 == 0, F.lit('<div class="other">')).otherwise(F.lit('<div class="ipy-2 job-card">')),
         F.when(k % 3 == 0, F.lit("<h3>")).otherwise(
             F.concat(F.lit('<h3 data-url="/it-jobs/'), _s(k), F.lit('">'))),
-        F.lit(' <a href="https://x.example/'), _s(k), F.lit('">'), prio, F.lit("</a> </h3><br>"),
+        F.lit(' <a href="https://x.example/'), _s(k), F.lit('">'), F.when(k % 15 == 2, "N/A").otherwise(prio),
+        F.lit("</a> </h3><br>"),
         F.lit('<a href="/companies/x"><img src=l></a><a href="/companies/x"> '), cname,
         F.lit(" &amp; Co</a>"),
         F.when(k % 5 == 0, F.lit("")).otherwise(F.lit('<div class="fw salary">$1 - $2</div>')),
@@ -184,6 +190,13 @@ def card_html(k: Column, prio: Column, cname: Column, segment: Column) -> Column
     return F.when(k % 10 == 3, F.concat(F.lit('<div class="jobs-list">'), card, F.lit("</div>"))).otherwise(card)
 
 
+def article_cards(pages: DataFrame) -> DataFrame:
+    """The driver's saved pages with each article marked up as a job card:
+    its heading as the card's title.  (They hold no job cards themselves.)"""
+    html = F.replace("html", F.lit("<article><h1>"), F.lit('<div class="job-card"><h3 data-url="/p">'))
+    return pages.select("page_id", "url", F.replace(html, F.lit("</h1>"), F.lit("</h3>")).alias("html"))
+
+
 def html_pages(t: Tables) -> DataFrame:
     """One listing page per block of PAGE_KEYS order keys, cards in key order."""
     o = t("orders")
@@ -218,5 +231,5 @@ def url_batches(t: Tables) -> DataFrame:
         F.col("o_orderkey").alias("pos"),
         (F.col("o_orderkey") % 5).alias("batch_idx"),
         F.when(F.col("o_custkey") % 50 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("u"), _s(F.col("o_custkey") % 700))).alias("url"),
+        .otherwise(F.concat(F.lit("u"), _s(F.col("o_custkey")))).alias("url"),
     )

@@ -110,6 +110,15 @@ class _Doc(HTMLParser):
     def handle_data(self, data):
         self.texts.append(None if self.hidden else data)
 
+    def parse_marked_section(self, i, report=1):
+        """``<![...`` is a comment up to the next ``>``, as browsers read it
+        (the library knows a few such sections only and gives up on others)."""
+        end = self.rawdata.find(">", i)
+        return -1 if end < 0 else end + 1
+
+    def unknown_decl(self, data):
+        pass
+
     def close(self):
         super().close()
         while self.stack:
@@ -138,6 +147,7 @@ def normalize_url(url, base_url=DEFAULT_BASE_URL):
     return url
 
 
+# The card selectors (also in parse_card).
 _LOCATION_CLASSES = {"text-rich-grey", "text-truncate", "text-nowrap"}
 
 
@@ -174,12 +184,19 @@ def parse_card(doc: _Doc, card: _Node, base_url: str = DEFAULT_BASE_URL) -> dict
 
 
 def cards_in_page(html: str | None, max_cards: int = MAX_CARDS, base_url: str = DEFAULT_BASE_URL):
-    """Parsed cards of one whole page, in document order (at most max_cards)."""
+    """Parsed cards of one whole page, in document order (at most max_cards).
+    If the parser gives up on a page, its cards up to there carry the error
+    in ``parse_error``; other pages go on."""
     if not html:
         return []
-    doc = _Doc()
-    doc.feed(html)
-    doc.close()
+    doc, error = _Doc(), None
+    try:
+        doc.feed(html)
+        doc.close()
+    except Exception as e:  # what the page's author wrote must not end the job
+        error = f"{type(e).__name__}: {e}"[:200]
+        while doc.stack:
+            doc._close(doc.stack.pop())
     out = []
     for node in doc.nodes:
         if node.tag != "div" or "job" not in (node.attrs.get("class") or ""):
@@ -189,7 +206,7 @@ def cards_in_page(html: str | None, max_cards: int = MAX_CARDS, base_url: str =
             continue
         if sum(len(t) for t in doc.texts[node.t0: node.t1] if t is not None) <= MIN_CARD_TEXT:
             continue
-        out.append(parse_card(doc, node, base_url))
+        out.append(parse_card(doc, node, base_url) | {"parse_error": error})
         if len(out) == max_cards:
             # The cap is the feature: the whole page has been parsed above.
             break
@@ -197,8 +214,7 @@ def cards_in_page(html: str | None, max_cards: int = MAX_CARDS, base_url: str =
 
 
 def job_cards(pages: DataFrame, max_cards: int = MAX_CARDS, base_url: str = DEFAULT_BASE_URL,
-              scraped_at: str | None = None, min_tasks: int | None = None,
-              carry: tuple[str, ...] = ()) -> DataFrame:
+              scraped_at: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """(page_id, html) rows -> one row per card, ``pos`` = 1-based order.
 
     ``carry`` names page columns copied onto each of its cards (for example
@@ -218,15 +234,10 @@ def job_cards(pages: DataFrame, max_cards: int = MAX_CARDS, base_url: str = DEFA
             yield pd.DataFrame(rows, columns=cols)
 
     # Exact JVM-side pre-filter: a card needs a class attribute containing
-    # "job", so its page contains "job" literally or as a numeric character
-    # reference ("&#").  Other pages produce no card and never reach Python.
+    # "job", so its page contains "job" literally or has some of its letters
+    # as character references.  Other pages have no card and never reach Python.
     html = F.col("html")
-    src = pages.select("page_id", "html", *carry).where(html.contains("job") | html.contains("&#"))
-    if min_tasks:
-        # Parsing is CPU-bound Python.  A small page table read from a few
-        # files has fewer splits than cores: spread it first.  A large table
-        # already has many scan splits and needs no reshuffle.
-        src = src.repartition(min_tasks)
+    src = pages.select("page_id", "html", *carry).where(html.contains("job") | html.contains("&"))
     out = src.mapInPandas(parse, schema)
     stamp = F.lit(scraped_at) if scraped_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

@@ -4,8 +4,9 @@
   or installed connector, never inferred;
 * writes are Parquet (or any format) with dynamic partition overwrite, so
   re-running a day replaces that day only;
-* appends are idempotent: rows whose key is already in the target are not
+* ``append_new`` is idempotent: rows that the target already holds are not
   written again (the original re-processed and re-appended everything);
+  ``append_raw`` is a plain append, as the original's was;
 * counts come from ``observe`` in the same job as the write.
 
 Everything works on paths (a shared file system or object store on a
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hirelens.schemas import RAW
+from hirelens.session import scratch_path
 
 
 def empty_frame(spark: SparkSession, schema: StructType = RAW) -> DataFrame:
@@ -43,11 +45,8 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", schema: Struc
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("parquet").load(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -76,21 +75,49 @@ def with_scrape_month(df: DataFrame, col: str = "scraped_at") -> DataFrame:
     return df.withColumn("scrape_month", F.date_format(ts, "yyyy-MM"))
 
 
+#: Column that append targets carry: what a stored row is recognised by.
+MATCH = "_match"
+#: Values of a key that name nothing, and columns that differ between runs over the same posting.
+NO_KEY, STAMPS = ("", "N/A"), ("processed_at",)
+
+
+def with_match(df: DataFrame, key: str) -> DataFrame:
+    """Add ``_match``: a digest of a real key, else of the row's whole content
+    (but for run stamps).  A missing key is no key: rows without one are the
+    same posting only if everything else is equal."""
+    content = F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in STAMPS]),
+                        {"ignoreNullFields": "false"})
+    real = F.col(key).isNotNull() & ~F.col(key).isin(*NO_KEY)
+    named = F.when(real, F.concat(F.lit("k"), F.col(key))).otherwise(F.concat(F.lit("c"), content))
+    return df.withColumn(MATCH, F.md5(named))
+
+
 def append_new(df: DataFrame, path: str, key: str = "url") -> int:
-    """Append only rows whose ``key`` is not in the target yet (A4).
+    """Append only rows that the target doesn't hold yet (A4), by ``_match``.
 
     Re-running the same batch adds nothing; duplicates inside one batch are
-    kept, as the original kept them.  The anti join is null-safe, so a NULL
-    key counts as seen once written.
+    kept, as the original kept them.  The batch is computed once (it is
+    spooled), and of the history only the ``_match`` column is read.
     """
     spark = df.sparkSession
+    batch = with_match(df, key)
     if path_exists(spark, path):
-        df = drop_seen(df, spark.read.parquet(path), key)
-    return write_table(df, path, mode="append")
+        batch = spooled(batch, "append")
+        batch = drop_seen(batch, spark.read.parquet(path), MATCH)
+    return write_table(batch, path, mode="append")
+
+
+def spooled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once,
+    however often it is read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_seen(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
-    """Rows of ``batch`` whose ``key`` is not in ``history`` (null-safe).
+    """Rows of ``batch`` whose ``key`` is not in ``history``; rows with a null
+    key stay.
 
     History is first reduced to the keys the batch carries: a semi join
     whose small side is the batch's key set (AQE broadcasts it when it
@@ -98,8 +125,14 @@ def drop_seen(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """
     wanted = batch.select(F.col(key).alias("_k")).distinct()
     hits = (history.select(F.col(key).alias("_seen"))
-            .join(wanted, F.col("_seen").eqNullSafe(F.col("_k")), "left_semi").distinct())
-    return batch.join(hits, batch[key].eqNullSafe(hits["_seen"]), "left_anti")
+            .join(wanted, F.col("_seen") == F.col("_k"), "left_semi").distinct())
+    return batch.join(hits, F.col(key) == F.col("_seen"), "left_anti")
+
+
+def drop_partition(spark: SparkSession, path: str, partition: str) -> None:
+    """Remove one partition folder (``column=value``) of a table, if there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def purge(spark: SparkSession, tables: dict[str, tuple[str, StructType]]) -> dict[str, int]:

@@ -25,22 +25,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Accessor ``t("orders")`` bound to one session and data folder.
-
-    One instance per (session, folder): the source DataFrames are immutable,
-    so every query built on the same folder reuses their resolved schemas.
-    """
-
-    _instances: dict = {}
-
-    def __new__(cls, spark: SparkSession, sf_dir: str):
-        key = (id(spark), sf_dir)
-        inst = cls._instances.get(key)
-        if inst is None or inst.spark is not spark:
-            inst = super().__new__(cls)
-            inst.spark, inst.sf_dir, inst._frames = spark, sf_dir, {}
-            cls._instances[key] = inst
-        return inst
+    """Accessor ``t("orders")`` bound to one session and data folder.  Every
+    instance lists the files anew, so rows that were appended are seen."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -8,9 +8,9 @@ appended once:
   schedule becomes a bounded run with exactly-once progress tracking in the
   checkpoint folder;
 * ``foreachBatch`` drops postings whose url an *earlier* batch already
-  stored (the scraper's cross-batch rule) with a null-safe anti join
-  against the history reduced to the batch's urls (``drop_seen``), then
-  writes the batch into its own ``_batch`` partition with dynamic overwrite,
+  stored (the scraper's cross-batch rule); a posting without a url is known
+  only by its whole content (``with_match``).  The batch is computed once, and
+  of the history one column is read; then the batch is written into its own ``_batch`` partition with dynamic overwrite,
   so a retried batch replaces its own output instead of duplicating it.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hirelens.sources.io import drop_seen
+from hirelens.sources.io import MATCH, drop_seen, path_exists, spooled, with_match
 
 BATCH_COL = "_batch"
 
@@ -33,13 +33,11 @@ def _earlier(spark: SparkSession, target: str, target_schema: StructType, batch_
 
 
 def _ensure_target(spark: SparkSession, target: str, schema: StructType,
-                   transform: Callable[[DataFrame], DataFrame] | None) -> StructType:
+                   transform: Callable[[DataFrame], DataFrame] | None, key: str) -> StructType:
     """Create the target folder once (typed, empty) and return its schema."""
     empty = spark.createDataFrame([], schema)
-    out = (transform(empty) if transform else empty).withColumn(BATCH_COL, F.lit(-1).cast("long"))
-    try:
-        spark.read.schema(out.schema).parquet(target).schema  # noqa: B018
-    except Exception:  # folder missing: create it
+    out = with_match(transform(empty) if transform else empty, key).withColumn(BATCH_COL, F.lit(-1).cast("long"))
+    if not path_exists(spark, target):
         out.write.partitionBy(BATCH_COL).parquet(target)
     return out.schema
 
@@ -55,13 +53,13 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
-        rows = drop_seen(rows, _earlier(batch.sparkSession, target, target_schema, batch_id), key)
+        rows = spooled(with_match(transform(batch) if transform else batch, key), "micro-batch")
+        rows = drop_seen(rows, _earlier(batch.sparkSession, target, target_schema, batch_id), MATCH)
         (rows.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(target))
 
-    target_schema = _ensure_target(spark, target, schema, transform)
+    target_schema = _ensure_target(spark, target, schema, transform, key)
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

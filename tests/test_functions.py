@@ -75,3 +75,10 @@ def test_normalize_url(spark):
     df = spark.createDataFrame(rows, "u string")
     got = [r.n for r in df.select(normalize_url_col(F.col("u"), "https://base").alias("n")).collect()]
     assert got == ["https://base/it-jobs/1", "https://a/b", "N/A", "", None]
+
+
+def test_midpoint_of_large_salaries(spark):
+    from hirelens.functions.numeric import int_midpoint
+
+    df = spark.createDataFrame([(2000000000, 2100000000), (None, 1), (1, 2)], "a int, b int")
+    assert [r[0] for r in df.select(int_midpoint("a", "b")).collect()] == [2050000000, None, 1]

@@ -17,7 +17,7 @@ def page(*cards):
 def test_card_fields():
     (c,) = cards_in_page(page(CARD.format(k=1)), base_url="https://b")
     assert c == {"title": "Title 1", "url": "https://b/it-jobs/1", "company": "Acme & Co",
-                 "location": "Ha Noi", "salary": "$1000 - $2000", "skills": ["Java", "SQL"]}
+                 "location": "Ha Noi", "salary": "$1000 - $2000", "skills": ["Java", "SQL"], "parse_error": None}
 
 
 def test_href_fallback_and_missing_fields():
@@ -86,3 +86,19 @@ def test_carry_page_columns(spark):
                                   "page_id long, html string, batch_idx int")
     rows = job_cards(pages, scraped_at="2001-01-01T00:00:00", carry=("batch_idx",)).collect()
     assert sorted((r.page_id, r.pos, r.batch_idx) for r in rows) == [(1, 1, 7), (1, 2, 7), (2, 1, 9)]
+
+
+def test_broken_markup_costs_no_card():
+    """Unknown marked sections, stray declarations and unclosed tags: the rest of the page is parsed."""
+    card = CARD.format(k=1)
+    for junk in ("<![foo[x]]>", "<![CDATA[x]]>", "<![if IE]>", "<!ELEMENT x>", "<!>", "</>", "<b <i>", "&#xZZ;", "<!--x"):
+        cards = cards_in_page(page(card) + junk + ("" if junk == "<!--x" else CARD.format(k=2)))
+        assert [c["title"] for c in cards][:1] == ["Title 1"] and all(c["parse_error"] is None for c in cards), junk
+        assert len(cards) == (1 if junk in ("<!--x",) else 2), junk
+
+
+def test_card_behind_named_references_is_found(spark):
+    html = page(CARD.format(k=1)).replace('class="ipy-2 job-card"', 'class="x&fjlig;ob-card"').replace(
+        "/it-jobs/", "/x/").replace("<div class=job>", "")
+    rows = job_cards(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()
+    assert "job" not in html and [r["title"] for r in rows] == ["Title 1"]
