@@ -1,6 +1,7 @@
 """The reporting questions (q01-q14) and reporting views (v1-v4).
 
-Each function takes the warehouse tables and returns a lazy DataFrame.
+Each function takes the warehouse tables and returns a lazy DataFrame (q12
+first picks its jobs, which runs a job).
 Plan choices that matter at scale:
 
 * Aggregate on ids first and join names afterwards: the join then sees one
