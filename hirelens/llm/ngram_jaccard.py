@@ -449,6 +449,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     lists = spooled(_lists(_prefix_rows(rows.where("id is not null").select("text"), sketch, size, percent)), "lists")
     entries = spooled(_block_pairs(lists, percent), "entries")
     made = spooled(_pairs(entries.withColumn("comp", F.col("node")), percent, seed=1), "pairs")
+    used = [lists, entries, made]  # read no more when this returns
     known = links = None
     for step in (1, 2, None):
         if step != 1:
@@ -456,15 +457,21 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
             tagged = (again(entries).join(group.withColumnRenamed("id", "node"), "node", "left")
                       .withColumn("comp", F.coalesce("component", "node")).drop("component"))
             made = spooled(_unanswered(_pairs(tagged, percent, seed=step), known, nodes, percent), "pairs")
+            used.append(made)
         elif not made.isEmpty():
             bits = bit_map(_partnered(entries, made, percent).join(again(nodes), "node").select("first"), "first")
             sets = _sets(rows, bits, size)
+            used.append(sets)
         if made.isEmpty():
             if step == 1:
                 break
             continue
         new = _verified(made, sets)
-        known = new if known is None else spooled(known.unionByName(new), "verified")
+        used.append(new)
+        if known is not None:
+            new = spooled(known.unionByName(new), "verified")
+            used.append(new)
+        known = new
         links = _linked(known, percent)
     named = nodes.select("node", "first")
     if links is not None:
@@ -472,6 +479,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         named = named.join(group, "node", "left")
     else:
         named = named.withColumn("component", F.lit(None).cast("long"))
+    for old in used:
+        dropped(old)
     named = named.withColumn("root", F.coalesce("component", "node"))
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     named = named.join(least, "root").select(F.col("node").alias("of"), "least")
