@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import language_id, ngram_jaccard, packing, toxicity
-from hirelens.llm.common import spooled, table
+from hirelens.llm.common import small_batches, spooled, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,22 +30,26 @@ MIN_LANGUAGE = 0.35
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = language_id.train(docs, language_id.training_rows())
     return language_id.keep_identified(docs, model, MIN_LANGUAGE)
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.training_rows())
     return toxicity.keep_clean(docs, model)
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     groups = ngram_jaccard.join(docs)
     gone = spooled(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     return ngram_jaccard.without(docs, gone, "_gone")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack(docs)
 
 

@@ -13,6 +13,16 @@ from hirelens.session import scratch_path
 
 #: Text bytes handled at once inside a task; bounds a Python worker's memory.
 SLICE_BYTES = 600_000
+#: Rows that a task gets at once.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Tasks pass at most ``BATCH_ROWS`` rows at once between the JVM and
+    Python (fewer, if the session says so): whole texts are wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

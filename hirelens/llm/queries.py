@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import (byte_bpe, flat_graph, language_id, license_scan, ngram_jaccard, packing, text_density,
                           toxicity, url_rules, voronoi_knn)
-from hirelens.llm.common import table
+from hirelens.llm.common import small_batches, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -62,8 +63,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs, language_id.training_rows()))
 
 
+def _with_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
+    f.__name__: _with_small_batches(f) for f in (
         op1_voronoi_knn, op2_flat_graph, op3_text_density, op4_url_rules, op5_byte_bpe, op6_toxic_spans,
         op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id)
 }
