@@ -12,8 +12,10 @@
    the block's medoid (and from its own node, where it is one), then the
    search widens over everything found within the range until nothing new is
    in it.  Found pairs are verified by the cosine in double precision.
-6. Recall is audited on a bounded sample of vectors against all others; below
-   ``LEAST_RECALL`` the work is repeated with more overlap.
+6. Recall is audited on a sample of vectors against all others, which grows
+   until enough of them have links; below ``LEAST_RECALL`` a linked vector the
+   work is repeated with more overlap.  If that doesn't help either, or too
+   few linked vectors are seen, all vectors are compared, block by block.
 
 Links are pairs of distinct vectors; they are counted and joined into
 components by shuffles.
@@ -40,8 +42,11 @@ OVERLAP, BLOCK = 2, 4_096
 DEGREE, CANDIDATES, ALPHA = 16, 40, 1.2
 #: Beam of the greedy search, and neighbours of a node that it looks at (widening looks at all).
 BEAM, FAN = 16, 32
-#: Audited vectors, and the recall below which the overlap grows.
-AUDITED, LEAST_RECALL = 64, 0.95
+#: Audited vectors at first and at most, linked ones among them that are enough, and the recall below which the
+#: overlap grows.
+AUDITED, MOST_AUDITED, ENOUGH, LEAST_RECALL = 256, 16_384, 32, 0.95
+#: Links from which a vector belongs to a large group, which is audited apart.
+MANY_LINKS = 128
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -96,13 +101,21 @@ def pruned_graph(x: np.ndarray) -> list[np.ndarray]:
 
 
 def _padded(begin: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """The first ``FAN`` neighbours of every node, -1 behind the last."""
+    """The first ``FAN`` neighbours of every node (the nearest), -1 behind the last."""
     size = np.diff(begin)
     at = begin[:-1, None] + np.arange(max(1, min(FAN, int(size.max(initial=0)))))
     ok = at < begin[1:, None]
     return np.where(ok, flat[np.minimum(at, max(len(flat) - 1, 0))] if len(flat) else -1, -1)
 
 
+def by_nearness(x: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``at``, each row's neighbours, the nearest first; ``row`` is sorted."""
+    near = np.empty(len(at), x.dtype)
+    for s in range(0, len(at), 16_384):
+        near[s:s + 16_384] = np.einsum("ij,ij->i", x[row[s:s + 16_384]], x[at[s:s + 16_384]])
+    return at[np.lexsort((-near, row))]
+
+
 def range_search(x: np.ndarray, begin: np.ndarray, flat: np.ndarray, medoid: int, queries: np.ndarray,
                  own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) with a product of at least ``least``.  Node i's
@@ -230,8 +243,9 @@ def _links(reps: DataFrame, width: int, overlap: int, threshold: float, shard: i
             place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
             own = np.where(ids[place] == q_ids, place, -1)
             x4, q4 = x.astype(np.float32), q.astype(np.float32)
+            flat = by_nearness(x4, row, at[here])
             for s in range(0, len(q), 512):
-                i, j = range_search(x4, begin, at[here], medoid, q4[s:s + 512], own[s:s + 512], threshold - 1e-4)
+                i, j = range_search(x4, begin, flat, medoid, q4[s:s + 512], own[s:s + 512], threshold - 1e-4)
                 i = i + s
                 sure = (q[i] * x[j]).sum(axis=1) >= threshold
                 i, j = i[sure], j[sure]
@@ -249,28 +263,83 @@ def _links(reps: DataFrame, width: int, overlap: int, threshold: float, shard: i
     return pairs
 
 
-def audited_recall(reps: DataFrame, pairs: DataFrame, width: int, threshold: float) -> float:
-    """Share of the true links of ``AUDITED`` vectors, compared with every
-    vector, that the graph found.  1 if they have none."""
-    some = reps.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(AUDITED).select("id", "v").collect()
+def audited_recall(reps: DataFrame, pairs: DataFrame, width: int, threshold: float) -> float | None:
+    """Mean share of a vector's true links that the graph found, over audited
+    vectors with links; the lesser of that in large groups and outside them.
+    None if too few of ``MOST_AUDITED`` vectors have links to tell."""
+    n, most = reps.count(), AUDITED
+    while True:
+        there, got = _audit(reps, pairs, width, threshold, most)
+        large = there >= MANY_LINKS
+        small = (there > 0) & ~large
+        share = got / np.maximum(there, 1)
+        if most >= n or small.sum() >= ENOUGH:
+            return min((float(share[some].mean()) for some in (small, large) if some.any()), default=1.0)
+        if most >= MOST_AUDITED:
+            return None
+        most = min(4 * most, MOST_AUDITED)
+
+
+def _audit(reps: DataFrame, pairs: DataFrame, width: int, threshold: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """True and found links of ``most`` vectors, compared with every vector."""
+    some = reps.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(most).select("id", "v").collect()
     ids = np.asarray([r["id"] for r in some], np.int64)
     at = np.zeros((len(some), width))
     for i, r in enumerate(some):
         at[i, :len(r["v"])] = r["v"]
-    at = unit(at)
+    shared = reps.sparkSession.sparkContext.broadcast((ids, unit(at)))
 
     def compare(batches):
+        ids, at = shared.value
+        n = np.zeros(len(ids), np.int64)
         for batch in batches:
-            for s in range(0, batch.num_rows, 2048):
-                part = batch.slice(s, 2048)
+            for s in range(0, batch.num_rows, 256):
+                part = batch.slice(s, 256)
                 near = unit(matrix(part.column("v"), width)) @ at.T >= threshold
                 near &= part.column("id").to_numpy()[:, None] != ids[None, :]
-                yield pa.RecordBatch.from_arrays([pa.array([int(near.sum())], pa.int64())], names=["n"])
+                n += near.sum(axis=0)
+        hit = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(n[hit])], names=["id", "n"])
+
+    order = np.argsort(ids)
+    sums = reps.select("id", "v").mapInArrow(compare, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    linked = spooled(sums, "audited")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    found = ends.join(F.broadcast(again(linked).select("id")), "id").groupBy("id").agg(F.count("*").alias("n"))
+    out = []
+    for rows in (linked, found):  # at most one row for an audited vector
+        count = np.zeros(len(ids), np.int64)
+        got = rows.collect()
+        count[order[np.searchsorted(ids[order], [r["id"] for r in got])]] = [r["n"] for r in got]
+        out.append(count)
+    dropped(linked)
+    return out[0], out[1]
+
+
+def exact_links(reps: DataFrame, width: int, threshold: float, block: int) -> DataFrame:
+    """Pairs (a < b) of linked vectors, every block compared with every block."""
+    blocks = max(1, -(-reps.count() // block))
+    own = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = (reps.select("id", "v", own.alias("own")).select("id", "v", "own", other.alias("other"))
+            .select("id", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, own = table.column("id").to_numpy(), table.column("own").to_numpy()
+        x = unit(matrix(table.column("v").combine_chunks(), width))
+        lower = np.flatnonzero(own == table.column("i")[0].as_py())
+        upper = np.flatnonzero(own == table.column("j")[0].as_py())
+        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for s in range(0, len(lower), 512):
+            i, j = np.nonzero(x[lower[s:s + 512]] @ x[upper].T >= threshold)
+            left, right = ids[lower[s + i]], ids[upper[j]]
+            once = left < right if same else np.ones(len(left), bool)
+            a.append(np.minimum(left, right)[once])
+            b.append(np.maximum(left, right)[once])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    there = reps.select("id", "v").mapInArrow(compare, "n bigint").agg(F.sum("n")).first()[0] or 0
-    mine = [int(i) for i in ids]
-    got = pairs.agg(F.sum(F.col("a").isin(mine).cast("long") + F.col("b").isin(mine).cast("long"))).first()[0] or 0
-    return 1.0 if not there else got / there
+    return spooled(rows.groupBy("i", "j").applyInArrow(compare, "a bigint, b bigint"), "links")
 
 
 def near_duplicates(df: DataFrame, threshold: float = RANGE, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -296,7 +365,12 @@ def near_duplicates(df: DataFrame, threshold: float = RANGE, id_col: str = "vec_
         F.min("id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v")), "vectors")
     for wide in (overlap, 2 * overlap, 4 * overlap):
         pairs = _links(reps, width, wide, threshold, shard, block)
-        if audited_recall(reps, pairs, width, threshold) >= LEAST_RECALL:
+        recall = audited_recall(reps, pairs, width, threshold)
+        if recall is not None and recall >= LEAST_RECALL:
+            break
+        dropped(pairs)
+        if recall is None or wide == 4 * overlap:  # not to be told, or not to be had by more overlap
+            pairs = exact_links(reps, width, threshold, block)
             break
     size = reps.select("id", "copies")
     ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

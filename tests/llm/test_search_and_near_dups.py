@@ -102,6 +102,50 @@ def test_flat_graph_edges(spark):
     assert [tuple(r) for r in one] == [(9, 0, 9, True)]
 
 
+def _reps(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).selectExpr("vec_id as id", "embedding as v")
+
+
+def test_flat_graph_that_finds_nothing_is_made_good(spark, monkeypatch):
+    """Whatever the graph misses at every overlap is compared exactly."""
+    from hirelens.llm.common import spooled
+
+    def blind(reps, *_):
+        return spooled(reps.selectExpr("id as a", "id as b").limit(0), "links")
+
+    monkeypatch.setattr(flat_graph, "_links", blind)
+    rows = clustered(150, 3, dim=16, centres=30, spread=0.12)
+    links = brute_links(rows)
+    comp = smallest(links)
+    got = flat_graph.near_duplicates(spark.createDataFrame(rows, SCHEMA), block=40).collect()
+    assert {tuple(r) for r in got} == {(i, len(links[i]), comp[i], comp[i] == i) for i in links}
+
+
+def test_audit_sees_small_groups_beside_a_large_one(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    hot = [1.0] * 16 + rng.normal(size=(300, 16)) * 0.02
+    small = np.repeat(rng.normal(size=(30, 16)), 2, axis=0) + rng.normal(size=(60, 16)) * 0.01
+    alone = rng.normal(size=(540, 16))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([hot, small, alone]))]
+    links = brute_links(rows)
+    every = [(a, b) for a in links for b in links[a] if a < b]
+    kind = "a long, b long"
+    reps = _reps(spark, rows)
+    assert flat_graph.audited_recall(reps, spark.createDataFrame(every, kind), 16, 0.95) == 1
+    only_hot = spark.createDataFrame([p for p in every if p[1] < 300], kind)
+    assert flat_graph.audited_recall(reps, only_hot, 16, 0.95) < 0.5
+    # Where hardly any vector is linked, a sample can't tell.
+    monkeypatch.setattr(flat_graph, "MOST_AUDITED", 256)
+    assert flat_graph.audited_recall(_reps(spark, rows[360:]), only_hot, 16, 0.95) is None
+
+
+def test_neighbours_come_nearest_first():
+    x = flat_graph.unit(np.random.default_rng(1).normal(size=(50, 4)))
+    row, at = np.repeat(np.arange(50), 49), np.concatenate([np.delete(np.arange(50), i) for i in range(50)])
+    got = flat_graph.by_nearness(x, row, at).reshape(50, 49)
+    assert all((np.diff(x[i] @ x[got[i]].T) <= 0).all() for i in range(50))
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
