@@ -26,6 +26,8 @@ GRAMS = (2, 3, 4, 5)
 CHAIN = 64
 #: Bytes tokenised at once.
 WINDOW = 4_000_000
+#: Cells (places of chains times labels) that training holds at once.
+CELLS = 8_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -208,9 +210,9 @@ def forward_backward(emission: np.ndarray, chains: Chains, transition: np.ndarra
         if t:
             inner = dense[t] * beta
             if pairs:
-                joint = alpha[t - 1][:, :, None] * move[None] * inner[:, None, :]
-                joint /= joint.sum(axis=(1, 2), keepdims=True)
-                both += joint[mask[t]].sum(axis=0)
+                before, after = alpha[t - 1][mask[t]], inner[mask[t]]
+                total = ((before @ move) * after).sum(axis=1, keepdims=True)
+                both += move * ((before / total).T @ after)
             step = inner @ move.T
             beta = np.where(mask[t][:, None], step / step.sum(axis=1, keepdims=True), 1.0)
     out = marginal[chains.col, chains.row]
@@ -241,14 +243,18 @@ class Model:
 
 def fit(labels: list[str], words: Words, target: np.ndarray, steps: int = 30, rate: float = 0.15,
         decay: float = 1e-3, weight: np.ndarray | None = None) -> Model:
-    """A CRF for the words' labels (numbers in ``target``)."""
+    """A CRF for the words' labels (numbers in ``target``).  Chains are taken
+    some at a time, so that many labels need no more memory a step."""
     k = len(labels)
     owner, bucket, scale = buckets(words)
     used, bucket = np.unique(bucket, return_inverse=True)
     chains = chains_of(words.doc)
-    distinct, n = len(scale), len(target)
-    hit = np.zeros((n, k))
-    hit[np.arange(n), target] = 1
+    distinct = len(scale)
+    step_rows = max(1, CELLS // (CHAIN * k))
+    parts = []  # the words of some chains, and the chains
+    for lo in range(0, len(chains.mask), step_rows):
+        a, z = np.searchsorted(chains.row, (lo, lo + step_rows))
+        parts.append((slice(a, z), Chains(chains.row[a:z] - lo, chains.col[a:z], chains.mask[lo:lo + step_rows])))
     follows = chains.col[1:] > 0
     seen = np.zeros((k, k))
     np.add.at(seen, (target[:-1][follows], target[1:][follows]), 1)
@@ -256,9 +262,15 @@ def fit(labels: list[str], words: Words, target: np.ndarray, steps: int = 30, ra
     mean, square = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         emission = _emissions(owner, bucket, scale, params[0])
-        marginal, both, _ = forward_backward(emission[words.which], chains, params[1], pairs=True)
-        miss = marginal - hit
-        per_word = np.stack([np.bincount(words.which, miss[:, j], distinct) * scale for j in range(k)], axis=1)
+        per_word, both = np.zeros((distinct, k)), np.zeros((k, k))
+        for at, some in parts:
+            which, goal = words.which[at], target[at]
+            miss, seen_both, _ = forward_backward(emission[which], some, params[1], pairs=True)
+            miss[np.arange(len(goal)), goal] -= 1
+            for j in range(k):
+                per_word[:, j] += np.bincount(which, miss[:, j], distinct)
+            both += seen_both
+        per_word *= scale[:, None]
         grads = [np.stack([np.bincount(bucket, per_word[owner, j], len(used)) for j in range(k)], axis=1)
                  + decay * params[0], both - seen + decay * params[1]]
         for p, g, m, s in zip(params, grads, mean, square):

@@ -4,9 +4,10 @@ Every word of a text gets marginals over the learned languages; a text's
 language is the one with the largest mean marginal, so passages in another
 language count for what they are.
 
-Training uses a bounded sample of labelled rows (``ROWS_PER_LANGUAGE`` rows
-of each language, chosen by a hash of the id, and ``CHAINS_PER_ROW`` evenly
-spaced chains of each): the sample's size doesn't depend on the corpus.
+Every language of the training rows is learned, from a bounded sample
+(``ROWS_PER_LANGUAGE`` rows of each, fewer where there are many languages,
+chosen by a hash of the id, and ``CHAINS_PER_ROW`` evenly spaced chains of
+each): the sample's size doesn't depend on the corpus.
 Scoring reads every whole text once, where it lies, without a shuffle.
 """
 
@@ -20,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm import crf
-from hirelens.llm.common import sampled, text_slices
+from hirelens.llm.common import SLICE_BYTES, text_slices
 
 #: Bounds of the training sample.
 ROWS_PER_LANGUAGE = 300
 CHAINS_PER_ROW = 4
-#: The most frequent languages of the training rows are learned, at most so many.
-MOST_LANGUAGES = 32
+#: Beyond so many rows of all languages each gives fewer, down to ``LEAST_ROWS``.
+MOST_ROWS, LEAST_ROWS = 9_600, 40
+#: Languages up to which a slice of texts has its full size.
+FULL_SLICE_LANGUAGES = 16
 
 UNDETERMINED = "und"
 
@@ -54,16 +57,22 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     """A model of the languages in the rows where ``learn`` holds, or None
     if there are none with a language and a text."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = (rows.groupBy(F.col(lang_col).alias("lang")).count()
-              .orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect())
-    langs = sorted(r["lang"] for r in counts)
+    counts = {r["lang"]: r["count"] for r in rows.groupBy(F.col(lang_col).alias("lang")).count().collect()}
+    langs = sorted(counts)
     if not langs:
         return None
-    # Ids first, so that only the sample's texts travel.
-    chosen: set = set()
-    for r in counts:
-        ids = rows.where(F.col(lang_col) == r["lang"]).select(F.col(id_col).alias("id"))
-        chosen |= {x["id"] for x in sampled(ids, "id", r["count"], ROWS_PER_LANGUAGE).collect()}
+    most = min(ROWS_PER_LANGUAGE, max(LEAST_ROWS, MOST_ROWS // len(langs)))
+    # Ids first, so that only the sample's texts travel; about twice as many as needed, by a threshold for each language.
+    bars = docs.sparkSession.createDataFrame(
+        [(lang, int(min(1.0, 2 * most / n) * 1_000_000) + 1) for lang, n in counts.items()], "_lang string, _bar int")
+    key = F.pmod(F.xxhash64(id_col), F.lit(1_000_000))
+    near = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), key.alias("key"))
+            .join(F.broadcast(bars), F.col("lang") == F.col("_lang")).where("key < _bar").select("lang", "key", "id")
+            .distinct().collect())
+    ids: dict = {}
+    for lang, at, i in sorted(tuple(r) for r in near):
+        ids.setdefault(lang, []).append(i)
+    chosen = {i for of in ids.values() for i in of[:most]}
     # One row for an id, however often it stands in the table.
     sample = (rows.where(F.col(id_col).isin(sorted(chosen))).groupBy(F.col(id_col).alias("id"))
               .agg(F.min(F.struct(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))).alias("one"))
@@ -77,16 +86,23 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                                                   pa.array(texts, pa.string())], names=["lang", "text"])
 
     got = sorted((r["lang"], r["text"]) for r in sample.mapInArrow(cut, "lang string, text string").collect()
-                 if r["lang"] in langs)
+                 if r["lang"] in counts)
     data = [text.encode() for _, text in got]
     offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
     words = crf.words_in(np.frombuffer(b"".join(data), np.uint8), offsets)
     if not len(words.start):
         return None
-    target = np.asarray([langs.index(lang) for lang, _ in got])[words.doc]
+    place = {lang: k for k, lang in enumerate(langs)}
+    target = np.asarray([place[lang] for lang, _ in got])[words.doc]
     return crf.fit(langs, words, target)
 
 
+def _slices(batch: pa.RecordBatch, model: crf.Model | None, column: str = "text"):
+    """Slices of a batch, smaller where a word has many labels' marginals."""
+    labels = max(FULL_SLICE_LANGUAGES, len(model.labels) if model else 0)
+    return text_slices(batch, column, SLICE_BYTES * FULL_SLICE_LANGUAGES // labels)
+
+
 def tag(model: crf.Model | None, texts: list[str | None], raw: np.ndarray,
         offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and score of each text of a slice."""
@@ -122,7 +138,7 @@ def identify(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", t
     def run(batches):
         model = crf.Model.of(shared.value)
         for batch in batches:
-            for part, raw, offsets in text_slices(batch):
+            for part, raw, offsets in _slices(batch, model):
                 label, score = tag(model, part.column("text").to_pylist(), raw, offsets)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(label, pa.string()), pa.array(score)],
                                                  names=[id_col, "lang_pred", "score"])
@@ -140,7 +156,7 @@ def keep_identified(docs: DataFrame, model: crf.Model | None, min_score: float,
     def run(batches) -> Iterator[pa.RecordBatch]:
         model = crf.Model.of(shared.value)
         for batch in batches:
-            for part, raw, offsets in text_slices(batch, text_col):
+            for part, raw, offsets in _slices(batch, model, text_col):
                 label, score = tag(model, part.column(text_col).to_pylist(), raw, offsets)
                 keep = (np.asarray(label) != UNDETERMINED) & (score >= min_score)
                 yield part.filter(pa.array(keep))

@@ -78,6 +78,19 @@ def test_language_edges(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {0, 1, 2, 3, 4, 5, 9, None}
 
 
+def test_every_labelled_language_is_learned(spark):
+    """Forty languages with words of their own, one of them with most of the rows."""
+    rng = np.random.default_rng(4)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for _ in range(40)]
+    which = [k for k in range(40) for _ in range(14)] + [0] * 200
+    rows = [(i, " ".join(rng.choice(words[k], 9)), f"l{k:02}", "s", 1) for i, k in enumerate(which)]
+    docs = spark.createDataFrame(rows, DOC)
+    model = language_id.train(docs, language_id.training_rows())
+    assert model.labels == [f"l{k:02}" for k in range(40)]
+    got = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    assert np.mean([got[i]["lang_pred"] == lang for i, _, lang, _, _ in rows if got[i]["held_out"]]) == 1
+
+
 def test_toxicity_held_out_and_blind_to_other_columns(spark):
     docs, labels = table(spark, LABELLED, "documents"), table(spark, LABELLED, "labels")
     model = toxicity.train(docs, labels, toxicity.training_rows())
