@@ -6,10 +6,11 @@ vector has the largest product.  In that space:
 
 1. a bounded sample of rows are the pivots; every row belongs to the cell of
    its nearest pivot and keeps its distance to it;
-2. a cell's summary is its size and the k + 1 least distances to its pivot;
+2. a cell's summary is its size and the k + 1 least distances to its pivot, of
+   different ids;
 3. from the summaries each query gets a distance theta that surely holds its
-   k nearest: the (k + 1)-th least of |q, p| + |p, x| over the summaries (one
-   of these rows may be the query itself);
+   k nearest: the k-th least of |q, p| + |p, x| over the other ids in the
+   summaries (rows with the query's own id don't count, however many);
 4. queries are grouped, cells near each other together, in groups of bounded
    size; a row x of cell p has to be seen by a group only if, for some query
    of it, |q, p| - theta <= |p, x| <= |q, p| + theta (triangle inequality), so
@@ -149,13 +150,18 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
 
     cells = spooled(rows.mapInArrow(assign, "id bigint, is_query boolean, x binary, cell int, far double"), "cells")
     near = Window.partitionBy("cell").orderBy("far")
-    least = (cells.select("cell", "far").withColumn("n", F.row_number().over(near)).where(F.col("n") <= k + 1)
-             .select("cell", "far").collect())
-    sizes = {r["cell"]: r for r in cells.groupBy("cell").agg(
-        F.count("*").alias("rows"), F.count_if("is_query").alias("queries")).collect()}
+    least = (cells.groupBy("cell", "id").agg(F.min("far").alias("far"))
+             .withColumn("n", F.row_number().over(near)).where(F.col("n") <= k + 1)
+             .select("id", "cell", "far").orderBy("id").collect())
+    sizes = {r["cell"]: r for r in cells.groupBy("cell").agg(F.count("*").alias("rows")).collect()}
     s_cell = np.asarray([r["cell"] for r in least])
     s_far = np.asarray([r["far"] for r in least])
-    counts = [sizes[c]["queries"] if c in sizes else 0 for c in range(len(pivots))]
+    s_id, s_begin = np.unique(np.asarray([r["id"] for r in least], np.int64), return_index=True)
+    salt = F.shiftrightunsigned(F.xxhash64("id"), 33).alias("salt")
+    queries = cells.where("is_query").groupBy("id").agg(F.min(F.struct("x", "cell")).alias("one")).select(
+        "id", "one.x", "one.cell", salt)
+    asked = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}
+    counts = [asked.get(c, 0) for c in range(len(pivots))]
     groups = pivot_groups(pivots, counts, group_queries)
     group_of, salts_of = np.zeros(len(pivots), np.int64), np.zeros(len(pivots), np.int64)
     for g, members in enumerate(groups):
@@ -168,8 +174,10 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
                 part = batch.slice(s, 512)
                 x = _unpacked(part.column("x"), width)
                 far = distances(np.hstack([x, np.zeros((len(x), 1))]), pivots)
-                reach = np.sort(far[:, s_cell] + s_far, axis=1)
-                theta = reach[:, k] if reach.shape[1] > k else np.full(len(x), np.inf)
+                reach = np.minimum.reduceat(far[:, s_cell] + s_far, s_begin, axis=1)  # of each id
+                reach[part.column("id").to_numpy()[:, None] == s_id[None, :]] = np.inf
+                reach.sort(axis=1)
+                theta = reach[:, k - 1] if reach.shape[1] >= k else np.full(len(x), np.inf)
                 theta = theta + slack
                 cell = part.column("cell").to_numpy()
                 salt = part.column("salt").to_numpy() % salts_of[cell]
@@ -183,9 +191,6 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
                         [pa.array(np.full(len(low), g)), pa.array(np.arange(len(low), dtype=np.int32)), pa.array(low),
                          pa.array(high)], names=["group", "cell", "low", "high"])
 
-    salt = F.shiftrightunsigned(F.xxhash64("id"), 33).alias("salt")
-    queries = cells.where("is_query").groupBy("id").agg(F.min(F.struct("x", "cell")).alias("one")).select(
-        "id", "one.x", "one.cell", salt)
     ranges = (queries.mapInArrow(thetas, "group bigint, cell int, low double, high double")
               .groupBy("group", "cell").agg(F.min("low").alias("low"), F.max("high").alias("high")))
     table = spark.createDataFrame(

@@ -35,6 +35,19 @@ def test_top_k_equals_brute_force(spark, group, block):
     assert {tuple(r) for r in got.collect()} == brute_top(rows)
 
 
+@pytest.mark.parametrize("pivots", [8, 300])
+def test_top_k_of_a_query_id_that_stands_on_many_rows(spark, pivots):
+    """Rows with the query's own id, however near, are none of its neighbours."""
+    near = [30.0] + [0.0] * 7
+    foreign = clustered(180, 1) + [(700 + i, [28.0 - i] + [1.0] * 7) for i in range(4)]
+    rows = foreign + [(777, near)] * 90
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = voronoi_knn.top_k(df, F.col("vec_id") == 777, n_pivots=pivots, group_queries=4).collect()
+    want = sorted((-int(np.floor(256 * np.asarray(near)) @ np.floor(256 * np.asarray(v, np.float64))), i)
+                  for i, v in foreign)[:5]
+    assert {tuple(r) for r in got} == {(777, n + 1, i, -s) for n, (s, i) in enumerate(want)}
+
+
 def test_top_k_edges(spark):
     bad = [(0, None), (7, [1.0, None]), (14, [float("nan"), 1.0]), (21, [float("inf"), 1.0]), (None, [1.0, 1.0])]
     good = [(28, [1.0, 1.0]), (29, [2.0, 0.0]), (30, [0.5, 0.5])]
