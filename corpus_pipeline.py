@@ -5,7 +5,8 @@ language_id        documents whose language is undetermined, or that no
                    language fills to at least ``MIN_LANGUAGE``, go
 toxicity           documents that the classifier marks toxic go
 ngram_jaccard      of documents linked at Jaccard 0.8 over five-word shingles
-                   the one with the smallest id stays
+                   the one with the smallest id stays (of an id with several
+                   texts, each is judged by itself)
 best_fit_packing   what is left, packed into training sequences
 
 All but the last return the columns of ``documents``; nulls, repeated ids,
@@ -18,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirelens.llm import language_id, ngram_jaccard, packing, toxicity
 from hirelens.llm.common import small_batches, spooled, table
@@ -43,9 +43,7 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    groups = ngram_jaccard.join(docs)
-    gone = spooled(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return ngram_jaccard.without(docs, gone, "_gone")
+    return ngram_jaccard.without(docs, spooled(ngram_jaccard.surplus(docs), "gone"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

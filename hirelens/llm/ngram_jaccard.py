@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from hirelens.llm import crf
 from hirelens.llm.common import again, dropped, spooled, text_slices
@@ -182,22 +183,38 @@ def _on_map(rows: DataFrame, column: str, bits: bytes, wanted: bool = True) -> D
     return rows.select("*", place.alias("_place_on_map")).mapInArrow(run, rows.schema)
 
 
-def without(docs: DataFrame, gone: DataFrame, gone_col: str, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is not in ``gone``; of rows that repeat
-    id and text one stays.  Rows with a null id stay.  Only rows that may be
-    in ``gone`` (by a bit map) or repeat an id are shuffled."""
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            size: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` whose (id, set of shingles) is not in ``gone``, a
+    table (_id, _node); of rows that repeat id and set one stays, the least
+    text (without words: that repeat id and text).  Rows with a null id stay.
+    Only rows whose id may be in ``gone`` (by a bit map) or is repeated are
+    shuffled."""
     again_ids = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).count().where("count > 1")
     again_ids = spooled(again_ids.select("_id"), "repeated-ids")
-    named = gone.select(F.col(gone_col).alias("_id")).unionByName(again_ids)
-    bits = bit_map(named, "_id")
+    bits = bit_map(gone.select("_id").unionByName(again_ids), "_id")
     sure = _on_map(docs, id_col, bits, wanted=False)
-    rest = _on_map(docs, id_col, bits).join(gone.select(F.col(gone_col).alias("_id")),
-                                            F.col(id_col) == F.col("_id"), "left_anti")
+
+    def name(batches):
+        for batch in batches:
+            for part, raw, offsets in text_slices(batch, text_col):
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(nodes_of(*shingle_sets(raw, offsets, size)))],
+                    names=[*part.schema.names, "_node_of"])
+
+    rest = _on_map(docs, id_col, bits)
+    rest = rest.mapInArrow(name, StructType([*rest.schema.fields, StructField("_node_of", LongType())]))
+    rest = rest.join(gone, (F.col(id_col) == F.col("_id")) & (F.col("_node_of") == F.col("_node")), "left_anti")
     if not again_ids.isEmpty():
         ids = again(again_ids)
-        one = rest.join(ids, F.col(id_col) == F.col("_id"), "left_semi").dropDuplicates([id_col, text_col])
-        rest = rest.join(again(again_ids), F.col(id_col) == F.col("_id"), "left_anti").unionByName(one)
+        same = F.when(F.col("_node_of") == 0, F.col(text_col))
+        one = (rest.join(ids, F.col(id_col) == F.col("_id"), "left_semi")
+               .groupBy(F.col(id_col).alias("_id"), "_node_of", same.alias("_same"))
+               .agg(F.min_by(F.struct(*docs.columns), F.coalesce(F.col(text_col), F.lit(""))).alias("_one"))
+               .select("_one.*"))
+        rest = rest.join(again(again_ids), F.col(id_col) == F.col("_id"), "left_anti").drop("_node_of").unionByName(one)
+    else:
+        rest = rest.drop("_node_of")
     return sure.unionByName(rest)
 
 
@@ -439,6 +456,22 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     of the rows with an equal set and an id, else in none (null).  Other
     columns are not read.
     """
+    return _grouped(docs, id_col, text_col, size, percent).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
+
+
+def surplus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+            percent: int = PERCENT) -> DataFrame:
+    """(_id, _node): every id with a set of shingles in a component, but the
+    component's smallest id, and of its sets there the smallest node."""
+    rows = _grouped(docs, id_col, text_col, size, percent).where("id is not null and n > 0")
+    return (rows.where("id != least or node != kept")
+            .select(F.col("id").alias("_id"), F.col("node").alias("_node")).distinct())
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """(id, node, n, least, kept) per input row: its set's name and size, and
+    of its component the smallest id and, of the sets under it, the smallest node."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     measured, counts = _measured(rows, size, kind)
@@ -482,11 +515,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     for old in used:
         dropped(old)
     named = named.withColumn("root", F.coalesce("component", "node"))
-    least = named.groupBy("root").agg(F.min("first").alias("least"))
-    named = named.join(least, "root").select(F.col("node").alias("of"), "least")
+    # A node's first is its smallest id, so the least pair is a row's.
+    least = named.groupBy("root").agg(F.min(F.struct("first", "node")).alias("one"))
+    named = named.join(least, "root").select(
+        F.col("node").alias("of"), F.col("one.first").alias("least"), F.col("one.node").alias("kept"))
     return (measured.join(named, F.col("node") == F.col("of"), "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("least", "id").alias("component_id")))
+            .select("id", "node", "n", "least", "kept"))
 
 
 def _partnered(entries: DataFrame, made: DataFrame, percent: int) -> DataFrame:

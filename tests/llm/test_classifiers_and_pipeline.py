@@ -160,6 +160,21 @@ def test_pipeline_stages_on_odd_rows(spark):
                 assert 4 not in ids and 5 not in ids and 6 in ids
 
 
+def test_near_copies_go_by_text_not_by_id(spark):
+    """Ids on several rows: other texts under the id of a copy stay, copies under one id go."""
+    base = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    rows = [(1, base[0], "en", "s", 1),
+            (2, base[0] + " more", "en", "s", 1), (2, base[1], "en", "s", 1), (2, base[1].upper(), "en", "s", 1),
+            (3, base[2], "en", "s", 1), (3, base[2] + " end", "en", "s", 1), (3, "", "en", "s", 1),
+            (3, None, "en", "s", 1), (3, None, "en", "s", 1), (None, base[0], "en", "s", 1), (4, base[3], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DOC)
+    got = corpus_pipeline.distinct_texts(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], ("x" if r["text"] is None else r["text"])[:2].lower()) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted(
+        [(1, "a0"), (2, "b0"), (3, "c0"), (3, ""), (3, "x"), (None, "a0"), (4, "d0")], key=str)
+
+
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_oracle(spark, duck, name):
     from hirelens.checking import same_result
