@@ -2,7 +2,7 @@
 
 Per page: a tolerant tokenizer builds the element tree; parts that are never
 article text (scripts, menus, forms, asides, adverts, comments ...) are
-closed off; every remaining node gets a composite density, its characters per
+closed off, but for what the article lies in; every remaining node gets a composite density, its characters per
 tag adjusted by its links; nodes add up their children's densities; the node
 with the largest sum fixes a threshold, the least density on its path to the
 body; wherever a node reaches that threshold, the largest-sum node below it
@@ -56,6 +56,8 @@ class _Page:
 
     def __init__(self) -> None:
         self.tag, self.parent, self.dropped = ["#root"], [-1], [False]
+        #: How a node is marked as no article text: 2 by a whole class, id or role, 1 by a word of one, else 0.
+        self.marked = [0]
         #: (node, text) in page order; a text of None is the edge of a block.
         self.pieces: list[tuple[int, str | None]] = []
         self.open = [0]
@@ -65,10 +67,15 @@ class _Page:
         drop = self.dropped[up] or tag in _DROP
         if not drop and tag == "header":
             drop = not any(self.tag[i] in ("article", "main") for i in self.open)
+        mark = 0
         if not drop and attrs and tag not in ("html", "body", "article", "main"):
             for m in _ATTR.finditer(attrs):
-                if not _MARKS.isdisjoint(_WORD.findall((m[2] or m[3] or m[4] or "").lower())):
-                    drop = True
+                value = (m[2] or m[3] or m[4] or "").lower()
+                if not _MARKS.isdisjoint(value.split()):
+                    mark = 2
+                elif not mark and not _MARKS.isdisjoint(_WORD.findall(value)):
+                    mark = 1
+        self.marked.append(mark)
         self.tag.append(tag)
         self.parent.append(up)
         self.dropped.append(drop)
@@ -141,6 +148,48 @@ def parse(markup: str) -> _Page:
     return page
 
 
+def drop_marked(page: _Page) -> None:
+    """Drop the marked parts, but none that the article may lie in or belong
+    to: not the parents of the largest article or main element, nor what holds
+    the bulk of the text; and of those marked only by a word of a compound
+    (``has-sidebar``, ``related-work``) inside the article just the ones that
+    are mostly links."""
+    if not any(page.marked):
+        return
+    n = len(page.tag)
+    chars, links, in_link = [0] * n, [0] * n, [False] * n
+    for i in range(1, n):
+        in_link[i] = in_link[page.parent[i]] or page.tag[i] == "a"
+    for node, text in page.pieces:
+        if text and not page.dropped[node]:
+            size = len("".join(text.split()))
+            chars[node] += size
+            links[node] += size * in_link[node]
+    for i in range(n - 1, 0, -1):
+        if not page.dropped[i]:
+            chars[page.parent[i]] += chars[i]
+            links[page.parent[i]] += links[i]
+    holds, region = [False] * n, 0
+    for tag in ("main", "article"):
+        some = [i for i in range(n) if page.tag[i] == tag and chars[i] and not page.dropped[i]]
+        if some:
+            region = up = max(some, key=lambda i: (chars[i], -i))
+            while up >= 0:
+                holds[up], up = True, page.parent[up]
+    inside = [False] * n
+    inside[region] = True
+    for i in range(1, n):
+        up = page.parent[i]
+        inside[i] = inside[i] or inside[up]
+        page.dropped[i] = page.dropped[i] or page.dropped[up]
+        if not page.marked[i] or page.dropped[i] or holds[i]:
+            continue
+        bulk = chars[i] > chars[0] * (0.5 if page.marked[i] == 1 else 0.9)
+        belongs = page.marked[i] == 1 and inside[i] and 2 * links[i] < chars[i]
+        # Beside an article nothing is the article, however long.
+        page.dropped[i] = not (belongs or (bulk and (inside[i] or not region)))
+
+
 def _densities(page: _Page) -> tuple[list[float], list[float], int]:
     """Composite density and density sum of every node, and the body."""
     n = len(page.tag)
@@ -182,6 +231,7 @@ def main_text(markup: str | None) -> str:
     if not markup:
         return ""
     page = parse(markup)
+    drop_marked(page)
     n = len(page.tag)
     density, total, body = _densities(page)
     inside = [False] * n

@@ -37,6 +37,27 @@ def test_main_text(markup, want):
     assert text_density.main_text(markup) == want
 
 
+LONG = "".join(f"<p>{'word ' * 30}{i}.</p>" for i in range(4))
+LONG_WANT = "\n".join("word " * 30 + f"{i}." for i in range(4))
+
+
+@pytest.mark.parametrize("markup,want", [
+    *((f"<body><div {mark}>{AROUND}{ARTICLE}{AFTER}</div></body>", WANT) for mark in (
+        "class='page has-sidebar'", "class=layout-with-sidebar", "id='no-banner'", "class='content widget'")),
+    *((f"<body>{AROUND}<div {mark}><h1>Title here</h1>{LONG}</div>{AFTER}</body>", "Title here\n" + LONG_WANT) for mark in (
+        "class='page has-sidebar'", "class='layout-with-sidebar'", "id='no-banner'")),
+    (f"<body><div class='content widget'>{LONG}</div></body>", LONG_WANT),
+    (f"<article>{LONG}<section id='search-algorithms'><p>Of searching.</p></section><p class='related-work'>Others.</p>"
+     "</article>", LONG_WANT + "\nOf searching.\nOthers."),
+    (f"<article>{LONG}<div class='share-buttons'><a href='/a'>Send it</a> <a href='/b'>Post it</a></div>"
+     "<div class='ad'>Buy</div></article>", LONG_WANT),
+    # Comments stay out, be they articles of their own or longer than the article.
+    (f"<body>{ARTICLE}<section class='comments'><article><p>Oh no.</p></article></section></body>", WANT),
+    (f"<body>{ARTICLE}<section class='post-comments'>{LONG}{LONG}</section></body>", WANT)])
+def test_marks_on_wrappers_and_inside_the_article(markup, want):
+    assert text_density.main_text(markup) == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="<>/pab=\"' !-[]&;divul\n", max_size=120))
 def test_any_markup_is_parsed(markup):
