@@ -486,18 +486,22 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     known = links = None
     for step in (1, 2, None):
         if step != 1:
-            group = components(links, rounds=3 if step else None)
-            tagged = (again(entries).join(group.withColumnRenamed("id", "node"), "node", "left")
-                      .withColumn("comp", F.coalesce("component", "node")).drop("component"))
-            made = spooled(_unanswered(_pairs(tagged, percent, seed=step), known, nodes, percent), "pairs")
+            if known is None:  # leaders named no pair, which says nothing of the others
+                left = _pairs(again(entries).withColumn("comp", F.col("node")), percent, seed=step)
+            else:
+                group = components(links, rounds=3 if step else None)
+                tagged = (again(entries).join(group.withColumnRenamed("id", "node"), "node", "left")
+                          .withColumn("comp", F.coalesce("component", "node")).drop("component"))
+                left = _unanswered(_pairs(tagged, percent, seed=step), known, nodes, percent)
+            made = spooled(left, "pairs")
             used.append(made)
-        elif not made.isEmpty():
+        elif entries.isEmpty():
+            break
+        else:
             bits = bit_map(_partnered(entries, made, percent).join(again(nodes), "node").select("first"), "first")
             sets = _sets(rows, bits, size)
             used.append(sets)
         if made.isEmpty():
-            if step == 1:
-                break
             continue
         new = _verified(made, sets)
         used.append(new)

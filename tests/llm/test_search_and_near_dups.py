@@ -216,6 +216,21 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, block, leaders):
     assert got == brute_jaccard(rows)
 
 
+def test_pairs_after_a_first_round_without_any(spark, monkeypatch):
+    """Leaders that match nobody say nothing of the pairs among the others."""
+    pairs = ngram_jaccard._pairs
+
+    def blind(entries, percent, seed):
+        out = pairs(entries, percent, seed)
+        return out.limit(0) if seed else out
+
+    monkeypatch.setattr(ngram_jaccard, "_pairs", blind)
+    monkeypatch.setattr(ngram_jaccard, "LEADERS", 0)  # every list is too long for the leaders
+    rows = copies(3, groups=3, each=4)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in ngram_jaccard.join(df).collect()} == brute_jaccard(rows)
+
+
 def test_jaccard_edges(spark):
     schema = "doc_id long, text string"
     assert ngram_jaccard.join(spark.createDataFrame([], schema)).count() == 0
