@@ -2,12 +2,15 @@
 
 Several sequence lengths are permitted.  A text longer than the longest is
 cut into whole longest pieces and a rest.  Pieces are taken longest first;
-each goes into the open bin with the least room that still holds it; if none
-does, a bin is opened.  The opening size is optimised over the permitted
-lengths jointly: the packing is computed with each of them as the preferred
-opening size (a piece that needs more opens the cheapest size that holds
-it), and the one with the least total cost stays.  Finally every bin shrinks
-to the smallest permitted length that holds its contents.
+each goes into the open bin with the least room that still holds it (of
+equal rooms the bin opened first); if none does, a bin is opened.  The opening
+size is optimised over the permitted lengths jointly: the packing is computed
+with each of them as the preferred opening size (a piece that needs more opens
+the cheapest size that holds it), and the one with the least total cost stays,
+of equal costs the smaller size.  That is one preferred size for a group, not
+one chosen anew for each bin; on small cases the cost is the optimum's or close
+to it (tested).  Finally every bin shrinks to the smallest permitted length
+that holds its contents.
 
 Only (row, id, length) is shuffled, never text: rows are dealt evenly,
 whatever their ids, into groups of a fixed number of rows, and every group is
@@ -18,6 +21,7 @@ poorly filled, so the loss is a few bins in ``group_rows`` rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +44,8 @@ def word_count(text: Column) -> Column:
 def best_fit(sizes: np.ndarray, capacities: Sequence[int], opening: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Bin and offset of every piece, and the contents of every bin.  Pieces
     come longest first.  ``rooms`` has a bit for each room that some open
-    bin has, so the best fit is the lowest set bit from the piece's size."""
+    bin has, so the best fit is the lowest set bit from the piece's size; the
+    bins of one room lie in a heap, the smallest number on top."""
     bins, offsets = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
     used: list[int] = []
     size_of: list[int] = []
@@ -50,9 +55,9 @@ def best_fit(sizes: np.ndarray, capacities: Sequence[int], opening: int) -> tupl
         fitting = rooms >> n
         if fitting:
             room = n + (fitting & -fitting).bit_length() - 1
-            stack = open_by_room[room]
-            b = stack.pop()
-            if not stack:
+            heap = open_by_room[room]
+            b = heappop(heap)
+            if not heap:
                 rooms &= ~(1 << room)
         else:
             b, room = len(used), opening if n <= opening else min(c for c in capacities if c >= n)
@@ -62,7 +67,7 @@ def best_fit(sizes: np.ndarray, capacities: Sequence[int], opening: int) -> tupl
         used[b] += n
         left = room - n
         if left:
-            open_by_room.setdefault(left, []).append(b)
+            heappush(open_by_room.setdefault(left, []), b)
             rooms |= 1 << left
     return bins, offsets, used
 
@@ -90,14 +95,17 @@ def pack(df: DataFrame, id_col: str = "doc_id", length: Column | None = None,
     bin_used, bin_group.
 
     ``length``: the rows' lengths; the words of ``text`` if not given.  A row
-    without words (null, empty) gives one row with n_words 0 and no bin.  Ids
-    may be null or repeated.  Two bins never share a bin_id: it is the group
+    without words (null, empty) gives one row with n_words 0 and no bin, as
+    does one whose ``length`` is null or negative.  Ids may be null or repeated;
+    an empty table gives no row; further columns, whatever their names, are not
+    read.  Two bins never share a bin_id: it is the group
     number times 2^32 plus the bin's number in its group.
     """
     caps = sorted(set(int(c) for c in capacities))
     if not caps or caps[0] <= 0:
         raise ValueError("capacities must be positive")
-    sized = df.select(df[id_col].alias(id_col), (length if length is not None else word_count(df["text"])).alias("_n"))
+    words = length if length is not None else word_count(df["text"])
+    sized = df.select(df[id_col].alias(id_col), F.greatest(F.coalesce(words, F.lit(0)), F.lit(0)).cast("long").alias("_n"))
     kind = sized.schema[id_col].dataType.simpleString()
     groups = max(1, -(-df.count() // group_rows))
 

@@ -192,6 +192,36 @@ def test_best_fit_equals_the_plain_one(sizes, opening):
         seen[b] = o + n
 
 
+def least_cost(sizes, caps, overhead):
+    """The optimum over all ways to put the pieces into bins, by trying them."""
+    def put(i, bins):
+        if i == len(sizes):
+            return sum(min(c for c in caps if c >= b) + overhead for b in bins)
+        tried = [put(i + 1, bins[:j] + [b + sizes[i]] + bins[j + 1:]) for j, b in enumerate(bins)
+                 if b + sizes[i] <= max(caps)]
+        return min([*tried, put(i + 1, [*bins, sizes[i]])])
+    return put(0, [])
+
+
+def test_pack_group_costs_little_more_than_the_optimum():
+    rng, caps, got, best = np.random.default_rng(5), [8, 24, 64], 0, 0
+    for _ in range(60):
+        sizes = sorted(rng.integers(1, 65, 6).tolist(), reverse=True)
+        bins, _, final, _ = packing.pack_group(np.asarray(sizes), caps, 2.0)
+        cost = sum(dict(zip(bins.tolist(), final.tolist())).values()) + 2.0 * len(set(bins.tolist()))
+        optimum = least_cost(sizes, caps, 2.0)
+        assert cost >= optimum
+        got, best = got + cost, best + optimum
+    assert got <= 1.01 * best
+
+
+def test_pack_without_usable_lengths(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, -4), (4, 0)], "doc_id long, n int")
+    got = {r["doc_id"]: (r["n_words"], r["bin_capacity"])
+           for r in packing.pack(df, length=F.col("n"), capacities=(8,)).collect()}
+    assert got == {1: (5, 8), 2: (0, None), 3: (0, None), 4: (0, None)}
+
+
 def test_pack(spark):
     rng = np.random.default_rng(1)
     rows = [(i % 50 if i % 9 else None, "w " * int(n)) for i, n in enumerate(rng.integers(0, 300, 200))] + [(1, None)]
