@@ -8,11 +8,12 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import (byte_bpe, flat_graph, language_id, license_scan, ngram_jaccard, packing, text_density,
+from hirelens.llm import (byte_bpe, flat_graph, jump_shards, language_id, license_scan, ngram_jaccard, packing, text_density,
                           toxicity, url_rules, voronoi_knn)
 from hirelens.llm.common import small_batches, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+SHARDS = 16
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
              ("org", "/fr/", "allow")]
 
@@ -63,6 +64,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs, language_id.training_rows()))
 
 
+def op12_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jump_shards.slots(table(spark, sf_dir, "documents"), SHARDS)
+
+
 def _with_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +80,7 @@ def _with_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Call
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_small_batches(f) for f in (
         op1_voronoi_knn, op2_flat_graph, op3_text_density, op4_url_rules, op5_byte_bpe, op6_toxic_spans,
-        op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id)
+        op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id, op12_jump_shards)
 }
 
 LLM_ORACLES: dict[str, str] = {
@@ -139,4 +144,25 @@ link AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * c >= 80 * (n_a + n_b -
 reach(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.id),
 least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id FROM s JOIN least ON id = doc_id""",
+    # The walk in 128-bit arithmetic; CRC-32 by its table of 256 remainders.
+    "op12_jump_shards": """
+WITH RECURSIVE remainders AS (
+  SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i))),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+walk(n, k, passed, next) AS (
+  SELECT n, CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END,
+         -1::BIGINT, 0::BIGINT FROM d
+  UNION ALL
+  SELECT n, k, next, floor((next + 1) * (2147483648.0::DOUBLE / ((k // 8589934592)::BIGINT + 1)::DOUBLE))::BIGINT
+  FROM (SELECT n, (k * 2862933555777941757 + 1) % 18446744073709551616 AS k, next FROM walk WHERE next <= 16)),
+shard AS (
+  SELECT n, max(passed) FILTER (passed < 16)::INTEGER AS shard, max(passed)::INTEGER AS grown_shard FROM walk GROUP BY n)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
+FROM (SELECT n, doc_id, (len(h) // 2 + 1)::BIGINT AS size, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
+        lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])))::BIGINT AS text_crc32 FROM d, remainders)
+JOIN shard USING (n)""",
 }
