@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import (byte_bpe, flat_graph, jump_shards, language_id, license_scan, ngram_jaccard, packing, text_density,
-                          toxicity, url_rules, voronoi_knn)
+from hirelens.llm import (byte_bpe, flat_graph, jump_shards, language_id, license_scan, ngram_jaccard, packing, phrase_mining,
+                          text_density, toxicity, url_rules, voronoi_knn)
 from hirelens.llm.common import small_batches, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -68,6 +68,10 @@ def op12_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.slots(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine(table(spark, sf_dir, "documents"))
+
+
 def _with_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +84,8 @@ def _with_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Call
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_small_batches(f) for f in (
         op1_voronoi_knn, op2_flat_graph, op3_text_density, op4_url_rules, op5_byte_bpe, op6_toxic_spans,
-        op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id, op12_jump_shards)
+        op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id, op12_jump_shards,
+        op13_phrase_mining)
 }
 
 LLM_ORACLES: dict[str, str] = {
@@ -165,4 +170,30 @@ FROM (SELECT n, doc_id, (len(h) // 2 + 1)::BIGINT AS size, xor(4294967295, list_
         list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
         lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])))::BIGINT AS text_crc32 FROM d, remainders)
 JOIN shard USING (n)""",
+    "op13_phrase_mining": r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')),
+    '[^\x20\x09]+') AS w FROM documents WHERE text IS NOT NULL),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM piece GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, phrase, m, count(*)::HUGEINT AS a FROM (
+    SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' ')))
+      AS phrase FROM piece, range(1, 6) s(m) WHERE len(w) >= m)
+  GROUP BY lang, phrase, m HAVING count(*) >= 100),
+cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1), range(1, 5) c(k) WHERE k < m),
+score AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, 1000 * c.a * n // (x.a * y.a) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000 * c.a * n // (x.a * y.a), k) AS least
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = lp JOIN f y ON y.lang = c.lang AND y.phrase = rp
+  JOIN total t ON t.lang = c.lang),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM score s
+  WHERE least = 1 AND NOT EXISTS (
+    SELECT 1 FROM f WHERE f.lang = s.lang AND len(f.phrase) > len(s.phrase) AND 100 * f.a >= 100 * s.a
+      AND contains(' ' || f.phrase || ' ', ' ' || s.phrase || ' ')))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000""",
 }
