@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import (byte_bpe, flat_graph, jump_shards, language_id, license_scan, ngram_jaccard, packing, phrase_mining,
+from hirelens.llm import (byte_bpe, conversation_repair, flat_graph, jump_shards, language_id, license_scan, ngram_jaccard, packing, phrase_mining,
                           text_density, toxicity, url_rules, voronoi_knn)
 from hirelens.llm.common import small_batches, table
 
@@ -64,6 +64,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs, language_id.training_rows()))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def op12_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.slots(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -84,10 +88,92 @@ def _with_small_batches(query: Callable[[SparkSession, str], DataFrame]) -> Call
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _with_small_batches(f) for f in (
         op1_voronoi_knn, op2_flat_graph, op3_text_density, op4_url_rules, op5_byte_bpe, op6_toxic_spans,
-        op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id, op12_jump_shards,
-        op13_phrase_mining)
+        op7_best_fit_packing, op8_license_scan, op9_ngram_jaccard, op10_language_id, op11_conversation_repair,
+        op12_jump_shards, op13_phrase_mining)
 }
 
+#: CRC-32 by its table of 256 remainders.
+_REMAINDERS = """remainders AS (
+  SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)),
+        lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])))::BIGINT"""
+
+
+def _edit(before: str, cost: str, letter: str) -> str:
+    """SQL for an edit added to a cost (nine digits) and audit in one text, which sorts by both."""
+    return f"lpad(({before}[:9]::INTEGER + {cost})::VARCHAR, 9, '0') || {before}[10:] || '{letter}'"
+
+
+#: The repair as a forward search: for each state (nothing, system, user, assistant) the least text so far.
+_REPAIR_ORACLE = rf"""
+WITH RECURSIVE {_REMAINDERS},
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32(
+      "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations, remainders),
+harmed AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM named),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(len(role) || ':' || role || text), copy) AS i FROM harmed),
+judged AS MATERIALIZED (
+  SELECT *, role[1] AS r, NOT regexp_matches(text, '[^ 	-]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+         regexp_matches(text, '[^.!? 	-][ 	-]*$') AS cut_off,
+         coalesce(lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au'), false)
+           AS illegal FROM placed),
+edited AS (
+  SELECT conv_id, 0::BIGINT AS i, '000000000' AS n, NULL::VARCHAR AS s, '000000002I' AS u, '000000004II' AS a
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, n, s, u, least(a, {_edit('u', '2', 'I')}) FROM (
+    SELECT conv_id, i, n, s, a,
+           least(u, {_edit('n', '2', 'I')}, {_edit('s', '2', 'I')}, {_edit('a', '2', 'I')}) AS u
+    FROM (
+      SELECT e.conv_id, j.i, {_edit('n', '3', 'D')} AS n,
+        least({_edit('s', '3', 'D')}, CASE WHEN k AND r = 's' THEN {_edit('n', 'c', 'K')} END) AS s,
+        least({_edit('u', '3', 'D')},
+              CASE WHEN k AND r = 'u' THEN least({_edit('n', 'c', 'K')}, {_edit('s', 'c', 'K')}, {_edit('a', 'c', 'K')})
+                END,
+              CASE WHEN k THEN least({_edit('n', '2 + c', 'R')}, {_edit('s', '2 + c', 'R')}, {_edit('a', '2 + c', 'R')})
+                END) AS u,
+        least({_edit('a', '3', 'D')}, CASE WHEN k AND r = 'a' THEN {_edit('u', 'c', 'K')} END,
+              CASE WHEN k THEN {_edit('u', '2 + c', 'R')} END) AS a
+      FROM edited e JOIN (SELECT *, NOT blank AND NOT seen AS k, cut_off::INTEGER AS c FROM judged) j
+        ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.i = e.i + 1))),
+best AS (
+  SELECT conv_id, least(arg_max(n, i), arg_max(a, i)) AS b, max(i) AS rows FROM edited GROUP BY conv_id),
+-- place in the audit, row, whether an assistant is due, and the repaired lines
+written AS (
+  SELECT conv_id, b[10:] AS audit, 1::BIGINT AS p, 0::BIGINT AS i, false AS due, NULL::VARCHAR AS lines FROM best
+  UNION ALL
+  SELECT conv_id, audit, p + 1, i, CASE WHEN line IS NULL THEN due ELSE as_role = 'user' END,
+         CASE WHEN line IS NULL THEN lines ELSE coalesce(lines || chr(10), '') || line END
+  FROM (
+    SELECT w.conv_id, audit, p, due, lines, coalesce(j.i, w.i) AS i,
+      CASE WHEN audit[p] = 'K' THEN CASE WHEN r = 'u' THEN 'user' END ELSE fit END AS as_role,
+      CASE audit[p] WHEN 'I' THEN fit || ':' WHEN 'R' THEN fit || ':' || text WHEN 'K' THEN role || ':' || text END
+        AS line
+    FROM (SELECT *, CASE WHEN due THEN 'assistant' ELSE 'user' END AS fit FROM written WHERE p <= len(audit)) w
+    LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1 AND audit[p] <> 'I')),
+faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND seen) AS duplicate,
+    count(*) FILTER (NOT blank AND NOT seen AND cut_off) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, b[:9]::BIGINT AS cost, audit,
+  sha256(coalesce(lines, '')) AS repaired_sha256
+FROM best b JOIN written w ON w.conv_id IS NOT DISTINCT FROM b.conv_id AND p = len(audit) + 1
+LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
 LLM_ORACLES: dict[str, str] = {
     "op1_voronoi_knn": """
 WITH v AS (
@@ -149,13 +235,12 @@ link AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * c >= 80 * (n_a + n_b -
 reach(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.id),
 least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, c AS component_id FROM s JOIN least ON id = doc_id""",
-    # The walk in 128-bit arithmetic; CRC-32 by its table of 256 remainders.
-    "op12_jump_shards": """
-WITH RECURSIVE remainders AS (
-  SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
-    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256) r(i))),
+    "op11_conversation_repair": _REPAIR_ORACLE,
+    # The walk in 128-bit arithmetic.
+    "op12_jump_shards": f"""
+WITH RECURSIVE {_REMAINDERS},
 d AS MATERIALIZED (
-  SELECT row_number() OVER () AS n, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
 walk(n, k, passed, next) AS (
   SELECT n, CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END,
          -1::BIGINT, 0::BIGINT FROM d
@@ -166,9 +251,7 @@ shard AS (
   SELECT n, max(passed) FILTER (passed < 16)::INTEGER AS shard, max(passed)::INTEGER AS grown_shard FROM walk GROUP BY n)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
-FROM (SELECT n, doc_id, (len(h) // 2 + 1)::BIGINT AS size, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
-        list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
-        lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])))::BIGINT AS text_crc32 FROM d, remainders)
+FROM (SELECT n, doc_id, (octet_length(encode(text)) + 1)::BIGINT AS size, {_crc32('text')} AS text_crc32 FROM d, remainders)
 JOIN shard USING (n)""",
     "op13_phrase_mining": r"""
 WITH piece AS (
