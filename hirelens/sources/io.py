@@ -23,6 +23,8 @@ from pyspark.sql.types import StructType
 
 from hirelens.schemas import RAW
 from hirelens.session import scratch_path
+from hirelens.sources.files import delete, path_exists
+from hirelens.sources.history import BATCH_COL, History
 
 
 def empty_frame(spark: SparkSession, schema: StructType = RAW) -> DataFrame:
@@ -44,11 +46,6 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", schema: Struc
         raise
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, **options) -> int:
     """Write and return the row count, measured in the same job (A3, A5)."""
@@ -97,14 +94,23 @@ def append_new(df: DataFrame, path: str, key: str = "url") -> int:
 
     Re-running the same batch adds nothing; duplicates inside one batch are
     kept, as the original kept them.  The batch is computed once (it is
-    spooled), and of the history only the ``_match`` column is read.
+    spooled); what the target holds is looked up in its key table
+    (``History``), so the target itself isn't read.  Each append is a partition
+    ``_batch``, and what a broken append left behind goes with the next one.
     """
-    spark = df.sparkSession
     batch = with_match(df, key)
-    if path_exists(spark, path):
-        batch = spooled(batch, "append")
-        batch = drop_seen(batch, spark.read.parquet(path), MATCH)
-    return write_table(batch, path, mode="append")
+    history = History(df.sparkSession, path, MATCH)
+    number = history.begin_batch()
+    if history.state["keys"]:
+        batch = history.unknown(spooled(batch, "append"), number)
+    rows = write_batch(batch, path, number)
+    history.end_batch(number, rows)
+    return rows
+
+
+def write_batch(batch: DataFrame, path: str, number: int) -> int:
+    """Write the rows of one batch as its partition; the row count."""
+    return write_table(batch, f"{path.rstrip('/')}/{BATCH_COL}={number}")
 
 
 def spooled(df: DataFrame, name: str) -> DataFrame:
@@ -131,8 +137,7 @@ def drop_seen(batch: DataFrame, history: DataFrame, key: str) -> DataFrame:
 
 def drop_partition(spark: SparkSession, path: str, partition: str) -> None:
     """Remove one partition folder (``column=value``) of a table, if there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, f"{path.rstrip('/')}/{partition}")
 
 
 def purge(spark: SparkSession, tables: dict[str, tuple[str, StructType]]) -> dict[str, int]:

@@ -10,8 +10,10 @@ appended once:
 * ``foreachBatch`` drops postings whose url an *earlier* batch already
   stored (the scraper's cross-batch rule); a posting without a url is known
   only by its whole content (``with_match``).  The batch is computed once, and
-  of the history one column is read; then the batch is written into its own ``_batch`` partition with dynamic overwrite,
-  so a retried batch replaces its own output instead of duplicating it.
+  what is stored is looked up in the target's key table (``History``): only key
+  buckets that may hold one of the batch's keys are read.  Then the batch is
+  written as its own ``_batch`` partition, so a retried batch replaces its own
+  output and keys instead of duplicating them.
 """
 
 from __future__ import annotations
@@ -22,24 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hirelens.sources.io import MATCH, drop_seen, path_exists, spooled, with_match
-
-BATCH_COL = "_batch"
-
-
-def _earlier(spark: SparkSession, target: str, target_schema: StructType, batch_id: int) -> DataFrame:
-    """Rows stored by earlier micro-batches (partition pruning on _batch)."""
-    return spark.read.schema(target_schema).parquet(target).where(F.col(BATCH_COL) < batch_id)
+from hirelens.sources.history import BATCH_COL, History
+from hirelens.sources.io import MATCH, path_exists, spooled, with_match, write_batch
 
 
 def _ensure_target(spark: SparkSession, target: str, schema: StructType,
-                   transform: Callable[[DataFrame], DataFrame] | None, key: str) -> StructType:
-    """Create the target folder once (typed, empty) and return its schema."""
-    empty = spark.createDataFrame([], schema)
-    out = with_match(transform(empty) if transform else empty, key).withColumn(BATCH_COL, F.lit(-1).cast("long"))
+                   transform: Callable[[DataFrame], DataFrame] | None, key: str) -> None:
+    """Create the target once, typed and empty."""
     if not path_exists(spark, target):
+        empty = spark.createDataFrame([], schema)
+        out = with_match(transform(empty) if transform else empty, key).withColumn(BATCH_COL, F.lit(-1).cast("long"))
         out.write.partitionBy(BATCH_COL).parquet(target)
-    return out.schema
 
 
 def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, target: str,
@@ -52,19 +47,18 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType, ta
     one micro-batch (the daily run); with it, at most that many files each.
     """
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        history = History(batch.sparkSession, target, MATCH)
+        history.begin_batch(batch_id)
         rows = spooled(with_match(transform(batch) if transform else batch, key), "micro-batch")
-        rows = drop_seen(rows, _earlier(batch.sparkSession, target, target_schema, batch_id), MATCH)
-        (rows.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(target))
+        history.end_batch(batch_id, write_batch(history.unknown(rows, batch_id), target, batch_id))
 
-    target_schema = _ensure_target(spark, target, schema, transform, key)
+    _ensure_target(spark, target, schema, transform, key)
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (reader.parquet(landing)
-             .writeStream.foreachBatch(write_batch)
+             .writeStream.foreachBatch(ingest)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
