@@ -4,12 +4,20 @@ pages -> job cards (parsed once, landed) -> junk filter -> cross-batch url
 dedupe -> raw -> statistics + quality gate -> processing -> warehouse load
 -> report.
 
-A run has an id (the day by default).  Its cards, raw and processed rows,
-staging, jobs and bridge rows lie in partitions of that id, and running it
-again replaces them; only the run's own batch is processed.  Companies and
-locations are found or created in the stored tables, so what an earlier
-attempt created is found again.  Surrogate keys continue after those of the
-other runs.
+A run has an id (the day by default).  Its cards, raw and processed rows lie in
+partitions of that id, and running it again replaces them; only the run's own
+batch is processed.
+
+The warehouse's tables change together.  Each attempt of a run writes folders
+of its own (``run_id=<id>``, then ``run_id=<id>~1`` and so on), and only when
+all six tables are written does a manifest with one rename name them in place
+of the earlier attempt's.  ``read_warehouse`` reads what the newest manifest
+names: a run that breaks off changes nothing, and a run repeated under the same
+id replaces itself whatever months its jobs are posted in.  Companies and
+locations are found or created in the published tables; surrogate keys continue
+after those of the other runs.  Folders that no manifest names go with the next
+attempt; those that were replaced go right after (a reader of them has to start
+anew).
 
 The gate is advisory, as in the original, unless ``strict_gate`` is set; a
 run without a single card warns and goes on.
@@ -18,6 +26,7 @@ run without a single card warns and goes on.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +39,14 @@ from hirelens.operators.warehouse import Warehouse, load_warehouse, with_row_ide
 from hirelens.schemas import JOB_CARD, RAW, WAREHOUSE
 from hirelens.sources.bindings import Star
 from hirelens.sources.html_cards import job_cards, valid_cards
+from hirelens.sources.files import delete, matching
 from hirelens.sources.io import drop_partition, empty_frame, path_exists, write_table
+from hirelens.sources.manifest import Manifest
 
 RAW_COLS = [f.name for f in RAW.fields]
 RUN, MONTH = "run_id", "posted_month"
+#: Tables of which a repeated run replaces its rows; to the others it adds.
+REPLACED = ("staging_raw_jobs", "fact_jobs", "bridge_job_skills")
 
 
 @dataclass(frozen=True)
@@ -66,51 +79,98 @@ def _plus(schema: StructType, *columns: str) -> StructType:
     return StructType([*schema.fields, *(StructField(c, StringType(), True) for c in columns)])
 
 
-def read_runs(spark: SparkSession, path: str, schema: StructType, *more: str) -> DataFrame:
+def read_runs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A table partitioned by run; the typed empty frame if nothing was written."""
-    full = _plus(schema, RUN, *more)
+    full = _plus(schema, RUN)
     return spark.read.schema(full).parquet(path) if path_exists(spark, path) else empty_frame(spark, full)
 
 
-def write_run(df: DataFrame, path: str, run_id: str, replace: bool = True, more: tuple[str, ...] = ()) -> int:
-    """Write a run's rows: in place of its earlier ones, or beside them."""
-    keyed = df.withColumn(RUN, F.lit(run_id))
-    rows = write_table(keyed, path, mode="overwrite" if replace else "append", partition_by=[RUN, *more])
-    if replace and not rows:  # nothing to write also replaces
+def write_run(df: DataFrame, path: str, run_id: str) -> int:
+    """Write a run's rows in place of its earlier ones."""
+    rows = write_table(df.withColumn(RUN, F.lit(run_id)), path, partition_by=[RUN])
+    if not rows:  # nothing to write also replaces
         drop_partition(df.sparkSession, path, f"{RUN}={run_id}")
     return rows
 
 
+def _published(spark: SparkSession, base: str) -> dict[str, dict[str, list[str]]]:
+    """By table and run the folders that are valid."""
+    manifest = Manifest(spark, base)
+    if manifest.exists():
+        return manifest.read().get("tables", {})
+    # Written before there was a manifest: every folder counts.
+    found: dict[str, dict[str, list[str]]] = {}
+    for name in WAREHOUSE:
+        for path in matching(spark, f"{base}/{name}/{RUN}=*"):
+            folder = path.rsplit("/", 1)[1]
+            found.setdefault(name, {})[folder.split("=", 1)[1]] = [folder]
+    return found
+
+
+def _stored(spark: SparkSession, base: str, tables: dict, name: str, without_run: str | None, *more: str) -> DataFrame:
+    full = _plus(WAREHOUSE[name], RUN, *more)
+    paths = [f"{base}/{name}/{folder}" for run, folders in sorted(tables.get(name, {}).items()) if run != without_run
+             for folder in folders]
+    if not paths:
+        return empty_frame(spark, full)
+    read = spark.read.schema(full).option("basePath", f"{base}/{name}").parquet(*paths)
+    return read.withColumn(RUN, F.regexp_replace(RUN, r"~\d+$", ""))
+
+
 def read_warehouse(spark: SparkSession, base: str, without_run: str | None = None) -> StoredWarehouse:
-    """The written warehouse.  ``without_run`` leaves out the staging, jobs
+    """The published warehouse.  ``without_run`` leaves out the staging, jobs
     and bridge rows of one run, which is about to replace them.  The fact
     keeps its month column, so date-bounded reports read few folders."""
+    tables = _published(spark, base)
+
     def runs(name: str, *more: str) -> DataFrame:
-        df = read_runs(spark, f"{base}/{name}", WAREHOUSE[name], *more)
-        return df.where(F.col(RUN) != without_run) if without_run else df
+        return _stored(spark, base, tables, name, without_run, *more)
 
     def dimension(name: str) -> DataFrame:
-        return read_runs(spark, f"{base}/{name}", WAREHOUSE[name]).drop(RUN)
+        return _stored(spark, base, tables, name, None).drop(RUN)
 
     return StoredWarehouse(runs("staging_raw_jobs"), dimension("dim_companies"), runs("fact_jobs", MONTH),
                            dimension("dim_skills"), runs("bridge_job_skills"), dimension("dim_locations"))
 
 
 def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
-    """Write what a run adds: rows of the run in place of its earlier ones,
-    new dimension rows beside the old.  Dimensions come first: a run that
-    breaks off leaves no job without its company."""
-    spark = wh.new_staging.sparkSession
-    counts = {
-        "staging_raw_jobs": write_run(wh.new_staging, f"{base}/staging_raw_jobs", run_id),
-        "dim_companies": write_run(wh.new_companies, f"{base}/dim_companies", run_id, replace=False),
-        "dim_locations": write_run(wh.new_locations, f"{base}/dim_locations", run_id, replace=False),
+    """Write what a run adds, then publish it in one step."""
+    if "~" in run_id:
+        raise ValueError("a run id can't have a '~'")
+    spark, tables = wh.new_staging.sparkSession, _published(wh.new_staging.sparkSession, base)
+    named = {f"{name}/{folder}" for name in tables for folders in tables[name].values() for folder in folders}
+    for name in WAREHOUSE:  # what broken attempts left
+        for path in matching(spark, f"{base}/{name}/{RUN}=*"):
+            if "/".join(path.rsplit("/", 2)[1:]) not in named:
+                delete(spark, path)
+    first = f"{RUN}={quote(run_id, safe=' ')}"
+    tried = {folder for name in tables for folder in tables[name].get(run_id, ())}
+    number = 1 + max((int(f.rpartition("~")[2]) if "~" in f else 0 for f in tried), default=-1)
+    folder = f"{first}~{number}" if number else first
+
+    new = {
+        "staging_raw_jobs": wh.new_staging,
+        "dim_companies": wh.new_companies,
+        "dim_locations": wh.new_locations,
+        "fact_jobs": wh.new_fact_jobs.withColumn(MONTH, F.date_format("posted_date", "yyyy-MM")),
+        "bridge_job_skills": wh.new_bridge,
     }
-    if read_warehouse(spark, base).dim_skills.isEmpty():
-        counts["dim_skills"] = write_run(wh.dim_skills, f"{base}/dim_skills", run_id)
-    fact = wh.new_fact_jobs.withColumn(MONTH, F.date_format("posted_date", "yyyy-MM"))
-    counts["fact_jobs"] = write_run(fact, f"{base}/fact_jobs", run_id, more=(MONTH,))
-    counts["bridge_job_skills"] = write_run(wh.new_bridge, f"{base}/bridge_job_skills", run_id)
+    if not tables.get("dim_skills"):
+        new["dim_skills"] = wh.dim_skills
+    counts, gone = {}, []
+    for name, rows in new.items():
+        path = f"{base}/{name}/{folder}"
+        counts[name] = write_table(rows, path, partition_by=[MONTH] if name == "fact_jobs" else None)
+        runs = tables.setdefault(name, {})
+        if name in REPLACED:
+            gone += [f"{base}/{name}/{old}" for old in runs.pop(run_id, ())]
+        if counts[name]:
+            runs[run_id] = [*runs.get(run_id, ()), folder]
+        else:
+            delete(spark, path)
+    Manifest(spark, base).publish({"tables": tables})
+    for path in gone:
+        delete(spark, path)
     return counts
 
 

@@ -109,15 +109,14 @@ def loaded_and_rejected_q(spark, sf_dir):
 
 def daily_runs_q(spark, sf_dir):
     """Three days across a month's end into one stored warehouse: the second
-    run twice, the third over pages without a card.  The rows of the fact, and
-    the violations of all rules (none)."""
+    run twice, on either side of the month's end, the third over pages without a
+    card.  The rows of the fact, and the violations of all rules (none)."""
     t, out = Tables(spark, sf_dir), scratch_path(spark, "daily")
     pages = html_pages(t).withColumn("batch_idx", F.col("page_id") % 3)
-    days = ["2001-07-30 06:00:00", "2001-07-31 06:00:00", "2001-08-01 06:00:00"]
-    run_daily(pages.where("page_id % 2 = 0"), out, days[0])
-    for _ in range(2):
-        run_daily(pages.where("page_id % 2 = 1"), out, days[1])
-    run_daily(t("pages").select("page_id", "html", F.lit(0).cast("long").alias("batch_idx")), out, days[2])
+    run_daily(pages.where("page_id % 2 = 0"), out, "2001-07-30 06:00:00")
+    for as_of in ("2001-07-31 23:00:00", "2001-08-01 01:00:00"):
+        run_daily(pages.where("page_id % 2 = 1"), out, as_of, run_id="2001-07-31")
+    run_daily(t("pages").select("page_id", "html", F.lit(0).cast("long").alias("batch_idx")), out, "2001-08-01 06:00:00")
     stored = read_warehouse(spark, f"{out}/warehouse")
     bad = constraint_violations(star_tables(stored)).agg(F.sum("violations")).first()[0]
     return stored.fact_jobs.join(stored.dim_companies, "company_id").select(
