@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import time
 
 import numpy as np
 import public_tokenizers
@@ -58,6 +59,34 @@ def test_marks_on_wrappers_and_inside_the_article(markup, want):
     assert text_density.main_text(markup) == want
 
 
+PARAGRAPHS = "".join(f"<p>{'word ' * 30}{i}.</p>" for i in range(5))
+PARAGRAPHS_WANT = "\n".join("word " * 30 + f"{i}." for i in range(5))
+
+
+@pytest.mark.parametrize("frame", ["<article>%s</article>", "<div class=content>%s</div>"])
+@pytest.mark.parametrize("mark", ["ad-box", "user-comments", "cookie-banner", "newsletter-signup", "share-buttons",
+                                  "site-notice", "related-posts"])
+def test_boxes_marked_by_compounds_go(mark, frame):
+    box = f"<div class='{mark}'><p>Take our thing now, or read what others say. It is good.</p></div>"
+    for page in (frame % (box + PARAGRAPHS), frame % (PARAGRAPHS + box), frame % PARAGRAPHS + box):
+        assert text_density.main_text(f"<body><nav>menu</nav>{page}</body>") == PARAGRAPHS_WANT
+
+
+def test_comments_longer_than_the_article_go():
+    comments = "".join(f"<div><p>{'comment ' * 40}{i}.</p></div>" for i in range(12))
+    for page in (f"<div class=content>{PARAGRAPHS}</div><div class='user-comments'>{comments}</div>",
+                 f"<article>{PARAGRAPHS}</article><section class=comments><article>{comments}</article></section>"):
+        assert text_density.main_text(f"<body>{page}</body>") == PARAGRAPHS_WANT
+
+
+@pytest.mark.parametrize("part", ["<div>", "<ul><li>x", "<b>", "<p><b>x ", "<table><tr><td>", "<article>",
+                                  "<div class='widget'>x", "<div class='ad'>", "<i><p>"])
+def test_badly_nested_pages_take_linear_time(part):
+    start = time.process_time()
+    text_density.main_text(part * 100_000 + "end")
+    assert time.process_time() - start < 20
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="<>/pab=\"' !-[]&;divul\n", max_size=120))
 def test_any_markup_is_parsed(markup):
