@@ -15,6 +15,7 @@ code; texts are scanned where they are read, without a shuffle.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 
 import numpy as np
@@ -205,24 +206,29 @@ class Scanner:
                         and chain[j][0] + new > covered:
                     covered, start = chain[j][0] + new, chain[j][1]
             chain.append((covered, start))
-        taken: list[tuple[int, int]] = []
+        taken: list[tuple[int, int]] = []  # disjoint, in order
         for (covered, start), (x, _, _) in sorted(zip(chain, found), key=lambda c: (-c[0][0], c[1][0])):
             share = covered / self.sizes[t]
             if share < self.min_cover:
                 break
-            if all(x <= a or start >= b for a, b in taken):
-                taken.append((start, x))
+            at = bisect_left(taken, (start, x))
+            if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= x):
+                taken.insert(at, (start, x))
                 yield self.labels[t], start, x, min(share, 1.0)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scanner: Scanner | None = None) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scanner: Scanner | None = None,
+         findings: bool = True) -> DataFrame:
     """Per input row: id, n_words, n_base (places of all base phrases),
     first_word and last_word (their smallest and largest start), base_labels
     and labels (distinct, sorted, comma-joined), score (largest covered
-    share), findings (label, first word, end, share).
+    share) and, if asked for, findings (label, first word, end, share).
 
     Null and empty texts have no words, no places, empty labels and score 0.
-    Rows may repeat and ids may be null; other columns are not read.
+    Rows may repeat and ids may be null; an empty table gives no rows; other
+    columns, whatever their names, are not read.  Of overlapping chains of one
+    template the one that covers most is found, of equal ones the first; time
+    is linear in the text, but for sorting what is found.
     """
     scanner = scanner or Scanner()
     rows = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
@@ -230,28 +236,29 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scanne
     finding = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                   ("share", pa.float64())]))
 
+    kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()] + [finding] * findings
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"] + ["findings"] * findings
+
     def run(batches):
         for batch in batches:
             for part, raw, offsets in text_slices(batch):
-                data, cols = raw.tobytes(), [[] for _ in range(8)]
+                data, cols = raw.tobytes(), [[] for _ in kinds]
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                     words = words_of(data[a:b])
                     places, found = scanner.scan(words)
                     starts = [s for _, s in places]
                     base = {scanner.labels[p] for p, _ in places}
-                    row = (len(words), len(places), min(starts, default=None), max(starts, default=None),
+                    row = [len(words), len(places), min(starts, default=None), max(starts, default=None),
                            ",".join(sorted(base)), ",".join(sorted({f[0] for f in found})),
-                           max((f[3] for f in found), default=0.0),
-                           [dict(zip(("label", "start", "end", "share"), f)) for f in sorted(found)])
+                           max((f[3] for f in found), default=0.0)]
+                    if findings:
+                        row.append([dict(zip(("label", "start", "end", "share"), f)) for f in sorted(found)])
                     for c, v in zip(cols, row):
                         c.append(v)
-                kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), finding]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))],
-                    names=[id_col, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
-                           "findings"])
+                    [part.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=[id_col, *names])
 
+    more = ", findings array<struct<label:string,start:bigint,end:bigint,share:double>>" if findings else ""
     return rows.mapInArrow(
         run, f"`{id_col}` {kind}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-             "base_labels string, labels string, score double, "
-             "findings array<struct<label:string,start:bigint,end:bigint,share:double>>")
+             f"base_labels string, labels string, score double{more}")

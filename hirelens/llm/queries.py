@@ -52,7 +52,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents")).drop("findings")
+    return license_scan.scan(table(spark, sf_dir, "documents"), findings=False)
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,9 +124,12 @@ placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
            md5(len(role) || ':' || role || text), copy) AS i FROM harmed),
 judged AS MATERIALIZED (
-  SELECT *, role[1] AS r, NOT regexp_matches(text, '[^ 	-]') AS blank,
+  SELECT *, role[1] AS r, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
-         regexp_matches(text, '[^.!? 	-][ 	-]*$') AS cut_off,
+         regexp_matches(text, '[^.!? 	-
+][ 	-
+]*$') AS cut_off,
          coalesce(lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au'), false)
            AS illegal FROM placed),
 edited AS (

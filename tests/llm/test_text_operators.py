@@ -328,3 +328,23 @@ def test_matching_statistics(templates, text):
     subs = {tuple(t[a:b]) for t in templates for a in range(len(t)) for b in range(a + 1, len(t) + 1)}
     for i, (_, n) in enumerate(stats):
         assert n == max((m for m in range(i + 2) if m == 0 or tuple(text[i + 1 - m:i + 1]) in subs))
+
+
+def test_chains_of_a_label_and_share_are_disjoint():
+    rng = np.random.default_rng(11)
+    scanner = license_scan.Scanner()
+    pool = [w for t, _ in license_scan.TEMPLATES for w in t.split()] + ["all", "rights", "reserved"] * 30
+    for _ in range(60):
+        words = [w.encode() for w in rng.choice(pool, 120)] + b"all rights reserved all rights reserved".split()
+        _, found = scanner.scan(words)
+        spans = {}
+        for label, start, end, share in found:
+            spans.setdefault((label, share), []).append((start, end))
+        assert found and all(a[1] <= b[0] for s in spans.values() for a, b in zip(sorted(s), sorted(s)[1:]))
+
+
+def test_a_template_repeated_without_end_takes_linear_time():
+    scanner, start = license_scan.Scanner(), time.process_time()
+    places, found = scanner.scan(b"all rights reserved".split() * 100_000)
+    assert len(found) == 100_000 and not places
+    assert time.process_time() - start < 20
