@@ -1,6 +1,7 @@
 """Embedding near-duplicates over a robust-pruned flat graph.
 
-1. Exact copies of a vector become one, with their number.
+1. Exact copies of a vector become one node, with their number.  Nodes have
+   numbers of their own: an id may stand on several vectors.
 2. Centres are fitted to a bounded sample; every vector goes to its
    ``OVERLAP`` nearest centres, so the shards overlap.  A shard above
    ``BLOCK`` vectors is dealt into blocks.
@@ -12,17 +13,22 @@
    the block's medoid (and from its own node, where it is one), then the
    search widens over everything found within the range until nothing new is
    in it.  Found pairs are verified by the cosine in double precision.
-6. Recall is audited on a sample of vectors against all others, which grows
+6. Pairs don't leave the task that finds them.  Each is counted in one place,
+   the least shard that both vectors share; what is written are each vector's
+   counts there and a spanning set of the pairs, at most one a vector.
+7. Recall is audited on a sample of vectors against all others, which grows
    until enough of them have links; below ``LEAST_RECALL`` a linked vector the
    work is repeated with more overlap.  If that doesn't help either, or too
-   few linked vectors are seen, all vectors are compared, block by block.
+   few linked vectors are seen, all vectors are compared, block by block.  The
+   log names the recall reached and that last resort.
 
-Links are pairs of distinct vectors; they are counted and joined into
-components by shuffles.
+Counts are summed and spanning pairs joined into components by shuffles.
 """
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +38,8 @@ from hirelens.llm.common import again, dropped, spooled
 from hirelens.llm.components import components
 from hirelens.llm.vectors import matrix, usable
 
+LOG = logging.getLogger(__name__)
+
 #: Cosine from which two vectors are linked.
 RANGE = 0.95
 #: Aimed size of a shard, most centres, and the sample they are fitted to.
@@ -178,8 +186,67 @@ def range_search(x: np.ndarray, begin: np.ndarray, flat: np.ndarray, medoid: int
     return np.concatenate(all_row), np.concatenate(all_node)
 
 
+#: What a task tells of the pairs it found: a vector's counts (``n``, and ``w`` with copies), or a spanning pair.
+FOUND = "a bigint, b bigint, n bigint, w bigint"
+
+
+def told(hits: np.ndarray, left: np.ndarray, right: np.ndarray, left_copies: np.ndarray, right_copies: np.ndarray,
+         same: bool) -> pa.Table:
+    """The pairs ``hits[i, j]`` of left[i] and right[j] as counts and spanning
+    pairs.  ``same``: both sides are the same vectors, and hits symmetric."""
+    ids, n, w = [left], [hits.sum(axis=1)], [hits @ right_copies]
+    if not same:
+        ids.append(right)
+        n.append(hits.sum(axis=0))
+        w.append(left_copies @ hits)
+    # Every vector's row is looked at once; what it reaches anew it spans.
+    a, b = [], []
+    new_left, new_right = np.ones(len(left), bool), np.ones(len(right), bool)
+    if same:
+        new_right = new_left
+    for root in range(len(left)):
+        if not new_left[root] or not hits[root].any():
+            continue
+        new_left[root] = False
+        waiting = [(True, root)]
+        while waiting:
+            on_left, at = waiting.pop()
+            fresh = np.flatnonzero(hits[at] & new_right if on_left else hits[:, at] & new_left)
+            (new_right if on_left else new_left)[fresh] = False
+            a.append(np.full(len(fresh), left[at] if on_left else right[at]))
+            b.append(right[fresh] if on_left else left[fresh])
+            waiting += [(same or not on_left, x) for x in fresh.tolist()]
+    ids, n, w = (np.concatenate(x) for x in (ids, n, w))
+    some = n > 0
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+    none, nothing = pa.nulls(int(some.sum()), pa.int64()), pa.nulls(len(a), pa.int64())
+    return pa.concat_tables([
+        pa.table({"a": ids[some], "b": none, "n": n[some].astype(np.int64), "w": w[some].astype(np.int64)}),
+        pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "n": nothing, "w": nothing})])
+
+
+def owned(hits: np.ndarray, left: np.ndarray, right: np.ndarray, shard: int) -> None:
+    """Take away pairs that a lesser shard than this one shares, too; ``left``
+    and ``right`` are the shards of the vectors."""
+    for at in range(0, len(hits), 64):
+        i, j = np.nonzero(hits[at:at + 64])
+        i = i + at
+        lesser = ((left[i][:, :, None] == right[j][:, None, :]) & (left[i][:, :, None] < shard)).any(axis=(1, 2))
+        hits[i[lesser], j[lesser]] = False
+
+
+def counts_of(links: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id, n, w) from what the tasks told, or from plain pairs (a, b)."""
+    if "n" in links.columns:
+        return (links.where("n is not null").groupBy(F.col("a").alias("id"))
+                .agg(F.sum("n").alias("n"), F.sum("w").alias("w")))
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    copies = reps.select(F.col("id").alias("b"), (F.col("copies") if "copies" in reps.columns else F.lit(1)).alias("c"))
+    return ends.join(copies, "b").groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n"), F.sum("c").alias("w"))
+
+
 def _links(reps: DataFrame, width: int, overlap: int, threshold: float, shard: int, block: int) -> DataFrame:
-    """Pairs (a < b) of linked vectors, found through the graph."""
+    """Counts and spanning pairs (a < b) of linked vectors, found through the graph."""
     n = reps.count()
     k = int(min(MOST_CENTRES, max(1, -(-n // shard))))
     sample = reps.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
@@ -194,14 +261,17 @@ def _links(reps: DataFrame, width: int, overlap: int, threshold: float, shard: i
             for s in range(0, batch.num_rows, 2048):
                 part = batch.slice(s, 2048)
                 near = unit(matrix(part.column("v"), width)) @ centres.T
-                best = np.argpartition(-near, wide - 1, axis=1)[:, :wide]
+                best = np.argpartition(-near, wide - 1, axis=1)[:, :wide].astype(np.int32)
                 row = np.repeat(np.arange(len(near)), wide)
+                of = pa.FixedSizeListArray.from_arrays(pa.array(np.repeat(best, wide, axis=0).ravel()), wide)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(best.ravel().astype(np.int32)), part.column("id").take(pa.array(row)),
-                     part.column("v").take(pa.array(row))], names=["shard", "id", "v"])
+                    [pa.array(best.ravel()), of.cast(pa.list_(pa.int32())),
+                     *(part.column(c).take(pa.array(row)) for c in ("id", "copies", "v"))],
+                    names=["shard", "of", "id", "copies", "v"])
 
     kind = reps.schema["v"].dataType.simpleString()
-    placed = spooled(reps.select("id", "v").mapInArrow(place, f"shard int, id bigint, v {kind}"), "shards")
+    placed = spooled(reps.select("id", "copies", "v").mapInArrow(
+        place, f"shard int, of array<int>, id bigint, copies bigint, v {kind}"), "shards")
     # One row per centre: at most MOST_CENTRES.
     blocks = placed.groupBy("shard").count().select("shard", F.ceil(F.col("count") / block).alias("blocks"))
     blocks = spooled(blocks, "blocks")
@@ -221,55 +291,75 @@ def _links(reps: DataFrame, width: int, overlap: int, threshold: float, shard: i
     # At most OVERLAP blocks of a vector, each with a list of at most BLOCK.
     union = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    nodes = members_of(again(placed)).join(union, "id").select("shard", "block", F.explode(every).alias("part"), "id", "v", "near")
-    seekers = members_of(again(placed)).select("shard", F.explode(every).alias("block"), F.col("block").alias("part"), "id", "v")
-
-    def search(graph: pa.Table, query: pa.Table) -> pa.Table:
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if graph.num_rows and query.num_rows:
-            ids, q_ids = graph.column("id").to_numpy(), query.column("id").to_numpy()
-            order = np.argsort(ids)
-            ids = ids[order]
-            x = unit(matrix(graph.column("v").combine_chunks(), width))[order]
-            q = unit(matrix(query.column("v").combine_chunks(), width))
-            near = graph.column("near").combine_chunks().take(pa.array(order))
-            size = np.asarray(near.value_lengths()).astype(np.int64)
-            flat = near.flatten().to_numpy()
-            at = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
-            here = ids[at] == flat  # united lists also lead to other blocks
-            row = np.repeat(np.arange(len(ids)), size)[here]
-            begin = np.searchsorted(row, np.arange(len(ids) + 1))
-            medoid = int((x @ x.mean(axis=0)).argmax())
-            place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
-            own = np.where(ids[place] == q_ids, place, -1)
-            x4, q4 = x.astype(np.float32), q.astype(np.float32)
-            flat = by_nearness(x4, row, at[here])
-            for s in range(0, len(q), 512):
-                i, j = range_search(x4, begin, flat, medoid, q4[s:s + 512], own[s:s + 512], threshold - 1e-4)
-                i = i + s
-                sure = (q[i] * x[j]).sum(axis=1) >= threshold
-                i, j = i[sure], j[sure]
-                a.append(np.minimum(q_ids[i], ids[j]))
-                b.append(np.maximum(q_ids[i], ids[j]))
-        a, b = np.concatenate(a), np.concatenate(b)
-        both = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
-        return pa.table({"a": both[:, 0], "b": both[:, 1]})
-
-    key = ("shard", "block", "part")
-    found = nodes.groupBy(*key).cogroup(seekers.groupBy(*key)).applyInArrow(search, "a bigint, b bigint").distinct()
-    pairs = spooled(found, "links")
+    nodes = (members_of(again(placed)).join(union, "id").withColumn("other", F.explode(every))
+             .select("shard", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "of", "id", "copies", "v", "near"))
+
+    def search(table: pa.Table) -> pa.Table:
+        shard, i, j = (table.column(c)[0].as_py() for c in ("shard", "i", "j"))
+        block = table.column("block").to_numpy()
+        sides = [_Side(table.filter(pa.array(block == b)), width) for b in ((i,) if i == j else (i, j))]
+        left, right = sides[0], sides[-1]
+        hits = np.zeros((len(left.ids), len(right.ids)), bool)
+        if len(left.ids) and len(right.ids):
+            for rows, columns in right.found_by(left, threshold):
+                hits[rows, columns] = True
+            if i == j:
+                hits |= hits.T
+                np.fill_diagonal(hits, False)
+            else:
+                for rows, columns in left.found_by(right, threshold):
+                    hits[columns, rows] = True
+            owned(hits, left.shards, right.shards, shard)
+        return told(hits, left.ids, right.ids, left.copies, right.copies, i == j)
+
+    links = spooled(nodes.groupBy("shard", "i", "j").applyInArrow(search, FOUND), "links")
     dropped(placed)
     dropped(blocks)
-    return pairs
-
-
-def audited_recall(reps: DataFrame, pairs: DataFrame, width: int, threshold: float) -> float | None:
+    return links
+
+
+class _Side:
+    """The vectors of one block with their graph."""
+
+    def __init__(self, table: pa.Table, width: int):
+        order = np.argsort(table.column("id").to_numpy())
+        table = table.take(pa.array(order)).combine_chunks()
+        self.ids, self.copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
+        self.x = unit(matrix(table.column("v").combine_chunks(), width)) if len(order) else np.zeros((0, width))
+        of = table.column("of").combine_chunks()
+        self.shards = of.flatten().to_numpy().reshape(len(order), -1) if len(order) else np.zeros((0, 1), np.int32)
+        self.near = table.column("near").combine_chunks()
+
+    def found_by(self, queries: _Side, threshold: float):
+        """(query, node) places with a cosine of at least ``threshold``, some queries at a time."""
+        size = np.asarray(self.near.value_lengths()).astype(np.int64)
+        flat = self.near.flatten().to_numpy()
+        at = np.minimum(np.searchsorted(self.ids, flat), len(self.ids) - 1)
+        here = self.ids[at] == flat  # united lists also lead to other blocks
+        row = np.repeat(np.arange(len(self.ids)), size)[here]
+        begin = np.searchsorted(row, np.arange(len(self.ids) + 1))
+        medoid = int((self.x @ self.x.mean(axis=0)).argmax())
+        place = np.minimum(np.searchsorted(self.ids, queries.ids), len(self.ids) - 1)
+        own = np.where(self.ids[place] == queries.ids, place, -1)
+        x4, q4 = self.x.astype(np.float32), queries.x.astype(np.float32)
+        flat = by_nearness(x4, row, at[here])
+        for s in range(0, len(q4), 512):
+            i, j = range_search(x4, begin, flat, medoid, q4[s:s + 512], own[s:s + 512], threshold - 1e-4)
+            i = i + s
+            for c in range(0, len(i), 65_536):
+                p, q = i[c:c + 65_536], j[c:c + 65_536]
+                sure = (queries.x[p] * self.x[q]).sum(axis=1) >= threshold
+                yield p[sure], q[sure]
+
+
+def audited_recall(reps: DataFrame, links: DataFrame, width: int, threshold: float) -> float | None:
     """Mean share of a vector's true links that the graph found, over audited
     vectors with links; the lesser of that in large groups and outside them.
     None if too few of ``MOST_AUDITED`` vectors have links to tell."""
     n, most = reps.count(), AUDITED
     while True:
-        there, got = _audit(reps, pairs, width, threshold, most)
+        there, got = _audit(reps, links, width, threshold, most)
         large = there >= MANY_LINKS
         small = (there > 0) & ~large
         share = got / np.maximum(there, 1)
@@ -280,7 +370,7 @@ def audited_recall(reps: DataFrame, pairs: DataFrame, width: int, threshold: flo
         most = min(4 * most, MOST_AUDITED)
 
 
-def _audit(reps: DataFrame, pairs: DataFrame, width: int, threshold: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+def _audit(reps: DataFrame, links: DataFrame, width: int, threshold: float, most: int) -> tuple[np.ndarray, np.ndarray]:
     """True and found links of ``most`` vectors, compared with every vector."""
     some = reps.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(most).select("id", "v").collect()
     ids = np.asarray([r["id"] for r in some], np.int64)
@@ -304,8 +394,7 @@ def _audit(reps: DataFrame, pairs: DataFrame, width: int, threshold: float, most
     order = np.argsort(ids)
     sums = reps.select("id", "v").mapInArrow(compare, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     linked = spooled(sums, "audited")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    found = ends.join(F.broadcast(again(linked).select("id")), "id").groupBy("id").agg(F.count("*").alias("n"))
+    found = counts_of(links, reps).join(F.broadcast(again(linked).select("id")), "id").select("id", "n")
     out = []
     for rows in (linked, found):  # at most one row for an audited vector
         count = np.zeros(len(ids), np.int64)
@@ -317,29 +406,27 @@ def _audit(reps: DataFrame, pairs: DataFrame, width: int, threshold: float, most
 
 
 def exact_links(reps: DataFrame, width: int, threshold: float, block: int) -> DataFrame:
-    """Pairs (a < b) of linked vectors, every block compared with every block."""
+    """Counts and spanning pairs (a < b), every block compared with every block."""
     blocks = max(1, -(-reps.count() // block))
     own = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    rows = (reps.select("id", "v", own.alias("own")).select("id", "v", "own", other.alias("other"))
-            .select("id", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    rows = (reps.select("id", "copies", "v", own.alias("own")).select("*", other.alias("other"))
+            .select("id", "copies", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, own = table.column("id").to_numpy(), table.column("own").to_numpy()
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        ids, own, copies = (table.column(c).to_numpy() for c in ("id", "own", "copies"))
         x = unit(matrix(table.column("v").combine_chunks(), width))
-        lower = np.flatnonzero(own == table.column("i")[0].as_py())
-        upper = np.flatnonzero(own == table.column("j")[0].as_py())
-        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for s in range(0, len(lower), 512):
-            i, j = np.nonzero(x[lower[s:s + 512]] @ x[upper].T >= threshold)
-            left, right = ids[lower[s + i]], ids[upper[j]]
-            once = left < right if same else np.ones(len(left), bool)
-            a.append(np.minimum(left, right)[once])
-            b.append(np.maximum(left, right)[once])
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        hits = np.zeros((len(left), len(right)), bool)
+        for s in range(0, len(left), 512):
+            hits[s:s + 512] = x[left[s:s + 512]] @ x[right].T >= threshold
+        if i == j:
+            hits |= hits.T
+            np.fill_diagonal(hits, False)
+        return told(hits, ids[left], ids[right], copies[left], copies[right], i == j)
 
-    return spooled(rows.groupBy("i", "j").applyInArrow(compare, "a bigint, b bigint"), "links")
+    return spooled(rows.groupBy("i", "j").applyInArrow(compare, FOUND), "links")
 
 
 def near_duplicates(df: DataFrame, threshold: float = RANGE, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -350,7 +437,9 @@ def near_duplicates(df: DataFrame, threshold: float = RANGE, id_col: str = "vec_
     rows with a null id, link with nothing: their component is their own id
     and they are kept.  Shorter vectors count as ending in zeros.  Copies of
     a vector link with each other; rows that share an id and a vector count
-    as copies.  Other columns are not read.
+    as copies, rows with an id and different vectors are different vectors
+    (each with its own links; equal ids link nothing).  An empty table gives no
+    rows; other columns, whatever their names, are not read.
     """
     v = F.col(vec_col)
     nonzero = F.exists(v, lambda x: x != 0)
@@ -361,25 +450,34 @@ def near_duplicates(df: DataFrame, threshold: float = RANGE, id_col: str = "vec_
     if width is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    # From here on ``id`` is the number of a node, ``least`` the smallest id of its rows.
     reps = spooled(rows.where("ok").groupBy("k1", "k2").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v")), "vectors")
+        F.min("id").alias("least"), F.count("*").alias("copies"), F.first("v").alias("v"))
+        .withColumn("id", F.monotonically_increasing_id()), "vectors")
     for wide in (overlap, 2 * overlap, 4 * overlap):
-        pairs = _links(reps, width, wide, threshold, shard, block)
-        recall = audited_recall(reps, pairs, width, threshold)
+        links = _links(reps, width, wide, threshold, shard, block)
+        recall = audited_recall(reps, links, width, threshold)
+        LOG.info("overlap %d: audited recall %s", wide, recall)
         if recall is not None and recall >= LEAST_RECALL:
             break
-        dropped(pairs)
+        dropped(links)
         if recall is None or wide == 4 * overlap:  # not to be told, or not to be had by more overlap
-            pairs = exact_links(reps, width, threshold, block)
+            LOG.warning("audited recall %s: all vectors are compared, block by block", recall)
+            links = exact_links(reps, width, threshold, block)
             break
-    size = reps.select("id", "copies")
-    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = ends.join(size.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    group = components(pairs).withColumnRenamed("id", "c_id")
-    of = (reps.select("k1", "k2", F.col("id").alias("rep"), "copies")
-          .join(links, F.col("rep") == F.col("a"), "left").join(group, F.col("rep") == F.col("c_id"), "left")
-          .select("k1", "k2", F.coalesce("component", "rep").alias("component"),
-                  (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.lit(True).alias("ok")))
+    others = counts_of(links, reps).select(F.col("id").alias("l_id"), F.col("w").alias("others"))
+    group = components(links.where("b is not null").select("a", "b")).select(
+        F.col("id").alias("c_id"), F.col("component").alias("root"))
+    of = (reps.select("k1", "k2", "id", "least", "copies").join(others, F.col("id") == F.col("l_id"), "left")
+          .join(group, F.col("id") == F.col("c_id"), "left").withColumn("root", F.coalesce("root", "id")))
+    of = spooled(of.select("k1", "k2", "least", "copies", "others", "root"), "counted")
+    # A component is named by the smallest id of its rows.
+    names = again(of).groupBy(F.col("root").alias("r_id")).agg(F.min("least").alias("component"))
+    of = of.join(names, F.col("root") == F.col("r_id")).select(
+        "k1", "k2", "component", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"),
+        F.lit(True).alias("ok"))
+    dropped(links)
+    dropped(reps)
     return (rows.drop("v").join(of, ["k1", "k2", "ok"], "left")
             .select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component", "id").alias("component_id"),

@@ -260,3 +260,77 @@ def test_word_hashes_depend_on_the_word_alone():
     hashes = crf.hash_words(raw, start, end)
     assert words == data.split() and len(set(hashes.tolist())) == len(set(words))
     assert all((hashes[i] == hashes[j]) == (words[i] == words[j]) for i in range(6) for j in range(6))
+
+
+def brute_rows(rows, least=0.95):
+    """(id, n_links, component_id) of every row: rows with usable vectors are
+    nodes, and link whatever their ids; equal vectors do, too."""
+    x = np.asarray([v for _, v in rows], np.float64)
+    x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    near = x @ x.T >= least
+    np.fill_diagonal(near, False)
+    out = []
+    for i, (vec_id, _) in enumerate(rows):
+        seen, stack = {i}, [i]
+        while stack:
+            for j in np.flatnonzero(near[stack.pop()]).tolist():
+                if j not in seen:
+                    seen.add(j)
+                    stack.append(j)
+        out.append((vec_id, int(near[i].sum()), min(rows[j][0] for j in seen)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard,block", [(1024, 4096), (60, 25)])
+def test_an_id_on_several_vectors(spark, shard, block):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(5, a), (5, b), (6, [1.0, 0.1, 0.0]), (7, [0.1, 1.0, 0.0]), (8, [0.0, 1.0, 0.1])]
+    got = flat_graph.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(tuple(r)[:3] for r in got) == brute_rows(rows)
+    assert [r[1] for r in brute_rows(rows)] == [1, 2, 1, 2, 2]
+    rows = [(i % 40, v) for i, v in clustered(160, 5, dim=8, centres=25, spread=0.05)] * 2
+    got = flat_graph.near_duplicates(spark.createDataFrame(rows, SCHEMA), shard=shard, block=block).collect()
+    assert sorted(tuple(r)[:3] for r in got) == brute_rows(rows)
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_what_is_told_of_pairs(same):
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        m, n = rng.integers(1, 12, 2)
+        n = m if same else n
+        hits = rng.random((m, n)) < 0.15
+        if same:
+            hits |= hits.T
+            np.fill_diagonal(hits, False)
+        left = rng.permutation(100)[:m]
+        right = left if same else 100 + rng.permutation(100)[:n]
+        lc = rng.integers(1, 5, m)
+        rc = lc if same else rng.integers(1, 5, n)
+        out = flat_graph.told(hits.copy(), left, right, lc, rc, same).to_pylist()
+        pairs = {(min(x, y), max(x, y)) for x, y in ((left[i], right[j]) for i, j in zip(*np.nonzero(hits)))}
+        links = {}
+        for x, y in pairs:
+            links.setdefault(x, set()).add(y)
+            links.setdefault(y, set()).add(x)
+        copies = dict(zip(left.tolist(), lc.tolist())) | dict(zip(right.tolist(), rc.tolist()))
+        assert {(r["a"], r["n"], r["w"]) for r in out if r["b"] is None} == {
+            (x, len(y), sum(copies[z] for z in y)) for x, y in links.items()}
+        spanning = [(r["a"], r["b"]) for r in out if r["b"] is not None]
+        assert set(spanning) <= pairs and len(spanning) < max(1, len(links))
+        tree = {x: set() for x in links}
+        for x, y in spanning:
+            tree[x].add(y)
+            tree[y].add(x)
+        assert smallest(tree) == smallest(links)
+
+
+def test_a_group_of_near_copies_is_told_by_few_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(c) for c in [1.0] * 16 + rng.normal(size=16) * 0.02]) for i in range(900)]
+    reps = spark.createDataFrame(rows, SCHEMA).selectExpr("vec_id as id", "embedding as v", "1L as copies")
+    links = flat_graph._links(reps, 16, 2, 0.95, 300, 400)
+    counts = {r["id"]: r["n"] for r in flat_graph.counts_of(links, reps).collect()}
+    assert np.mean([counts.get(i, 0) for i in range(900)]) > 0.95 * 899 and max(counts.values()) <= 899
+    assert links.count() < 40 * 900
