@@ -23,7 +23,10 @@ Card rules:
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
+from collections import Counter
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -76,6 +79,7 @@ class _Doc(HTMLParser):
         self.nodes: list[_Node] = []
         self.texts: list[str | None] = []
         self.stack: list[_Node] = []
+        self.open: Counter[str] = Counter()
         self.hidden = 0
 
     def _open(self, tag, attrs):
@@ -85,6 +89,7 @@ class _Doc(HTMLParser):
 
     def _close(self, node):
         node.last, node.t1 = len(self.nodes) - 1, len(self.texts)
+        self.open[node.tag] -= 1
         if node.tag in _HIDDEN_TEXT:
             self.hidden -= 1
 
@@ -94,6 +99,7 @@ class _Doc(HTMLParser):
             node.last, node.t1 = node.idx, node.t0
             return
         self.stack.append(node)
+        self.open[tag] += 1
         if tag in _HIDDEN_TEXT:
             self.hidden += 1
 
@@ -101,10 +107,12 @@ class _Doc(HTMLParser):
         self._open(tag, attrs)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                while len(self.stack) > i:
-                    self._close(self.stack.pop())
+        if not self.open[tag]:
+            return
+        while True:
+            node = self.stack.pop()
+            self._close(node)
+            if node.tag == tag:
                 return
 
     def handle_data(self, data):
@@ -124,15 +132,31 @@ class _Doc(HTMLParser):
         while self.stack:
             self._close(self.stack.pop())
 
-    # subtree helpers
-    def below(self, node):
-        return self.nodes[node.idx + 1: node.last + 1]
-
-    def find(self, node, tag, pred=None):
-        for n in self.below(node):
-            if n.tag == tag and (pred is None or pred(n)):
-                return n
-        return None
+    def index(self):
+        """What cards ask for, in document order, and prefix counts of
+        characters: a question about a subtree is then a binary search,
+        however the elements are nested."""
+        self.size = list(accumulate((len(t) if t is not None else 0 for t in self.texts), initial=0))
+        self.places: dict[str, list[int]] = {kind: [] for kind in _KINDS}
+        for node in self.nodes:
+            for kind, asked in _KINDS.items():
+                if asked(node):
+                    self.places[kind].append(node.idx)
+
+    def below(self, node, kind):
+        """The elements of a kind inside a node, in document order."""
+        places = self.places[kind]
+        at = bisect_right(places, node.idx)
+        while at < len(places) and places[at] <= node.last:
+            yield self.nodes[places[at]]
+            at += 1
+
+    def first(self, node, kind):
+        return next(self.below(node, kind), None)
+
+    def chars(self, node):
+        """Characters of the visible text inside a node."""
+        return self.size[node.t1] - self.size[node.t0]
 
     def text(self, node, strip=False):
         parts = [t for t in self.texts[node.t0: node.t1] if t is not None]
@@ -147,39 +171,40 @@ def normalize_url(url, base_url=DEFAULT_BASE_URL):
     return url
 
 
-# The card selectors (also in parse_card).
+# The card selectors.
 _LOCATION_CLASSES = {"text-rich-grey", "text-truncate", "text-nowrap"}
+_KINDS = {
+    "job": lambda n: n.tag == "div" and "job" in (n.attrs.get("class") or ""),
+    "h3": lambda n: n.tag == "h3",
+    "form": lambda n: n.tag == "form",
+    "a": lambda n: n.tag == "a",
+    "company": lambda n: n.tag == "a" and "/companies/" in (n.attrs.get("href") or ""),
+    "location": lambda n: _LOCATION_CLASSES.issubset(n.classes()),
+    "salary": lambda n: n.tag == "div" and "salary" in n.classes(),
+    "skills": lambda n: n.tag == "div" and n.attrs.get("data-controller") == "responsive-tag-list",
+}
 
 
 def parse_card(doc: _Doc, card: _Node, base_url: str = DEFAULT_BASE_URL) -> dict:
-    h3 = doc.find(card, "h3")
+    h3 = doc.first(card, "h3")
     if h3 is not None:
         title = doc.text(h3, strip=True)
         url = h3.attrs.get("data-url")
         if not url:
-            a = doc.find(h3, "a")
+            a = doc.first(h3, "a")
             if a is not None:
                 url = a.attrs.get("href")
     else:
         title, url = NA, NA
-    company = NA
-    for a in doc.below(card):
-        if a.tag == "a" and "/companies/" in (a.attrs.get("href") or ""):
-            t = doc.text(a, strip=True)
-            if t:
-                company = t
-                break
-    loc = next((n for n in doc.below(card) if _LOCATION_CLASSES.issubset(n.classes())), None)
-    sal = doc.find(card, "div", lambda n: "salary" in n.classes())
-    tags = doc.find(card, "div", lambda n: n.attrs.get("data-controller") == "responsive-tag-list")
-    skills = [doc.text(a, strip=True) for a in doc.below(tags) if a.tag == "a"] if tags is not None else []
+    company = next((t for t in (doc.text(a, strip=True) for a in doc.below(card, "company")) if t), NA)
+    location, salary, tags = (doc.first(card, kind) for kind in ("location", "salary", "skills"))
     return {
         "title": title,
         "url": normalize_url(url, base_url),
         "company": company,
-        "location": doc.text(loc, strip=True) if loc is not None else NA,
-        "salary": doc.text(sal, strip=True) if sal is not None else NA,
-        "skills": skills,
+        "location": doc.text(location, strip=True) if location is not None else NA,
+        "salary": doc.text(salary, strip=True) if salary is not None else NA,
+        "skills": [doc.text(a, strip=True) for a in doc.below(tags, "a")] if tags is not None else [],
     }
 
 
@@ -197,14 +222,13 @@ def cards_in_page(html: str | None, max_cards: int = MAX_CARDS, base_url: str =
         error = f"{type(e).__name__}: {e}"[:200]
         while doc.stack:
             doc._close(doc.stack.pop())
+    doc.index()
     out = []
-    for node in doc.nodes:
-        if node.tag != "div" or "job" not in (node.attrs.get("class") or ""):
-            continue
-        inside = doc.below(node)
-        if not any(n.tag == "h3" for n in inside) or any(n.tag == "form" for n in inside):
+    for place in doc.places["job"]:
+        node = doc.nodes[place]
+        if doc.first(node, "h3") is None or doc.first(node, "form") is not None:
             continue
-        if sum(len(t) for t in doc.texts[node.t0: node.t1] if t is not None) <= MIN_CARD_TEXT:
+        if doc.chars(node) <= MIN_CARD_TEXT:
             continue
         out.append(parse_card(doc, node, base_url) | {"parse_error": error})
         if len(out) == max_cards:

@@ -1,5 +1,9 @@
 """Card extraction on hand-made pages (nested cards, cap, filters)."""
 
+import time
+
+import pytest
+
 from hirelens.sources.html_cards import cards_in_page, job_cards, page_triage, valid_cards
 
 CARD = ('<div class="ipy-2 job-card"><h3 data-url="/it-jobs/{k}"> <a href="https://x/{k}">Title {k}</a> </h3>'
@@ -102,3 +106,13 @@ def test_card_behind_named_references_is_found(spark):
         "/it-jobs/", "/x/").replace("<div class=job>", "")
     rows = job_cards(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()
     assert "job" not in html and [r["title"] for r in rows] == ["Title 1"]
+
+
+@pytest.mark.parametrize("markup,cards", [
+    ("<div class='job'>" * 100_000 + "<h3>title " + "text " * 20, 40),
+    ("<div class='job'>" * 100_000 + "</x>" * 100_000, 0),
+    ("<div class='job'><form>" * 50_000 + "<h3>" + "x " * 50, 0)])
+def test_deeply_nested_cards_take_linear_time(markup, cards):
+    start = time.process_time()
+    assert len(cards_in_page(markup)) == cards
+    assert time.process_time() - start < 20
