@@ -9,6 +9,10 @@ Two modes:
 * ``bounded`` – longest term first, regex-escaped, with word boundaries on
   both sides; output is the canonical display name.  Used by the warehouse
   load.
+
+Both look for all terms in one pass over the text: the alternation is written
+as a trie, so that at each place only terms that begin with the letters met
+there are tried, not all 59.
 """
 
 from __future__ import annotations
@@ -61,13 +65,46 @@ def regex_escape(term: str) -> str:
     return "".join("\\" + ch if ch in _META else ch for ch in term)
 
 
+def _atoms(pattern: str) -> list[str]:
+    """A term's regex source, letter by letter (an escaped sign is one)."""
+    out: list[str] = []
+    for ch in pattern:
+        if out and out[-1] == "\\":
+            out[-1] += ch
+        else:
+            out.append(ch)
+    return out
+
+
+def trie(terms: list[list[str]]) -> str:
+    """An alternation of terms (as atoms) with shared beginnings written once.
+
+    Where two terms match at one place the earlier in the list wins, as in the
+    plain alternation: terms that go on differently exclude each other, and a
+    term that ends keeps its place among those that go on from there.
+    """
+    tails: dict[str | None, list[list[str]]] = {}
+    for term in terms:
+        tails.setdefault(term[0] if term else None, []).append(term[1:])
+    ways = []
+    for atom, rest in tails.items():
+        if atom is None:
+            ways.append("")
+            break  # what comes later never gets its turn here
+        ways.append(atom + trie(rest))
+    return ways[0] if len(ways) == 1 else "(?:" + "|".join(ways) + ")"
+
+
 def compat_pattern(patterns: list[str] = SKILL_PATTERNS) -> str:
-    return "(?i)(" + "|".join(patterns) + ")"
+    """For lowercased text."""
+    return "(" + trie([_atoms(p.lower()) for p in patterns]) + ")"
 
 
 def bounded_pattern(names: list[str] = SKILL_NAMES) -> str:
+    """For lowercased text.  Longer terms come first; where a term can't end
+    (a word goes on behind it), the shorter ones are tried."""
     terms = sorted({n.lower() for n in names}, key=lambda s: (-len(s), s))
-    alt = "|".join(regex_escape(t) for t in terms)
+    alt = trie([[regex_escape(c) for c in t] for t in terms])
     return f"(?<![{WORD_BEFORE}])({alt})(?![{WORD_AFTER}])"
 
 
@@ -108,12 +145,9 @@ def extract_skills(df: DataFrame, text_col: str = "description_preview", mode: s
     return df.withColumn(out_col, gen(arr))
 
 
-def job_skill_sets(exploded: DataFrame, key: str = "job_id", skill_col: str = "skill") -> DataFrame:
-    """Re-collect exploded skills per job: sorted distinct list + count.
-
-    collect_set is bounded by the size of the term dictionary, and is
-    combined map-side before the shuffle on ``key``.
-    """
-    skills = F.coalesce(F.array_sort(F.collect_set(skill_col)), F.array().cast("array<string>"))
-    return exploded.groupBy(key).agg(skills.alias("skills")).withColumn(
-        "skill_count", F.size("skills"))
+def job_skill_sets(df: DataFrame, text_col: str = "description_preview", mode: str = "compat") -> DataFrame:
+    """Sorted distinct skills and their count, per row and where the row is
+    (C7, C8): nothing is exploded or shuffled.  A row without a skill, or
+    without a text, has an empty list."""
+    found = skills_compat_col(text_col) if mode == "compat" else skills_bounded_col(text_col)
+    return df.withColumn("skills", F.array_sort(F.array_distinct(found))).withColumn("skill_count", F.size("skills"))

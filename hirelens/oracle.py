@@ -260,6 +260,11 @@ def _skill_terms_values() -> str:
     return f"skill_terms(skill, term) AS (VALUES {rows})"
 
 
+def _sentence(number: str) -> str:
+    listed = ", ".join(f"'{d}'" for d in DESCRIPTIONS)
+    return f"([{listed}])[({number}) % {len(DESCRIPTIONS)} + 1]"
+
+
 _BOUNDED_MATCH = (f"regexp_matches(lower(r.description_preview), '(^|[^{BEFORE}])' || t.term || "
                   f"'([^{AFTER}]|$)')")
 
@@ -287,8 +292,9 @@ FROM (SELECT job_id, list_sort(list_distinct(regexp_extract_all(lower(descriptio
 SELECT doc_id, array_to_string(found, ',') AS skills, CAST(len(found) AS INTEGER) AS skill_count
 FROM (SELECT doc_id, list_sort(list_distinct(regexp_extract_all(lower(text), '{COMPAT}', 1))) AS found FROM documents)""",
     "document_skills_bounded": f"""
-WITH {_skill_terms_values()}
-SELECT doc_id, skill FROM documents r JOIN skill_terms t
+WITH {_skill_terms_values()},
+texts AS (SELECT doc_id, {_sentence('doc_id')} || '. ' || text || ' ' || {_sentence('doc_id + 1')} AS text FROM documents)
+SELECT doc_id, skill FROM texts r JOIN skill_terms t
   ON regexp_matches(lower(r.text), '(^|[^{BEFORE}])' || t.term || '([^{AFTER}]|$)')""",
     "add_metadata": raw(f"""
 SELECT job_id, '{_AS_OF_ISO}' AS processed_at,

@@ -10,7 +10,7 @@ from hirelens.functions.skills import extract_skills, job_skill_sets
 from hirelens.functions.text import clean_text
 from hirelens.operators.cleaning import add_metadata, process
 from hirelens.operators.warehouse import normalize_url_col
-from hirelens.sources.bindings import AS_OF, raw_jobs
+from hirelens.sources.bindings import AS_OF, raw_jobs, skilled_documents
 from hirelens.sources.tables import Tables
 
 PROCESSED_AT = AS_OF.replace(" ", "T")
@@ -48,7 +48,7 @@ def skills_exploded_outer_q(spark, sf_dir):
 
 def job_skill_sets_q(spark, sf_dir):
     """Every job, those without a skill with an empty list."""
-    sets = job_skill_sets(extract_skills(_raw(spark, sf_dir), mode="compat", keep_empty=True))
+    sets = job_skill_sets(_raw(spark, sf_dir))
     return sets.select("job_id", F.array_join("skills", ",").alias("skills"), "skill_count")
 
 
@@ -62,12 +62,13 @@ def document_clean_text_q(spark, sf_dir):
 
 
 def document_skills_bounded_q(spark, sf_dir):
-    return extract_skills(_documents(spark, sf_dir), text_col="text", mode="bounded").select("doc_id", "skill")
+    """Long texts that name skills at their start and end."""
+    docs = skilled_documents(Tables(spark, sf_dir))
+    return extract_skills(docs, text_col="text", mode="bounded").select("doc_id", "skill")
 
 
 def document_skill_sets_q(spark, sf_dir):
-    found = extract_skills(_documents(spark, sf_dir), text_col="text", mode="compat", keep_empty=True)
-    sets = job_skill_sets(found.select("doc_id", "skill"), key="doc_id")
+    sets = job_skill_sets(_documents(spark, sf_dir), text_col="text")
     return sets.select("doc_id", F.array_join("skills", ",").alias("skills"), "skill_count")
 
 

@@ -121,6 +121,16 @@ DESCRIPTIONS = [
 ]
 
 
+def skilled_documents(t: Tables) -> DataFrame:
+    """The driver's documents as job texts: each begins with one of the
+    descriptions and ends with the next one."""
+    sentences = F.array(*[F.lit(d) for d in DESCRIPTIONS])
+    k = F.pmod("doc_id", F.lit(len(DESCRIPTIONS))).cast("int")
+    after = F.pmod(k + 1, F.lit(len(DESCRIPTIONS)))
+    return t("documents").select("doc_id", F.concat(
+        F.element_at(sentences, k + 1), F.lit(". "), "text", F.lit(" "), F.element_at(sentences, after + 1)).alias("text"))
+
+
 def raw_jobs(t: Tables) -> DataFrame:
     """Raw postings as the scraper would store them (RAW + id + description).
 

@@ -82,3 +82,30 @@ def test_midpoint_of_large_salaries(spark):
 
     df = spark.createDataFrame([(2000000000, 2100000000), (None, 1), (1, 2)], "a int, b int")
     assert [r[0] for r in df.select(int_midpoint("a", "b")).collect()] == [2050000000, None, 1]
+
+
+def test_tries_find_what_the_plain_alternations_find():
+    """Random texts of term parts, both modes, against the terms in a plain alternation."""
+    import random
+    import re
+
+    from hirelens.functions import skills as S
+
+    longest = sorted({n.lower() for n in S.SKILL_NAMES}, key=lambda t: (-len(t), t))
+    plain = {"compat": re.compile("(?i)(" + "|".join(S.SKILL_PATTERNS) + ")"),
+             "bounded": re.compile(f"(?<![{S.WORD_BEFORE}])({'|'.join(map(re.escape, longest))})(?![{S.WORD_AFTER}])")}
+    rng = random.Random(6)
+    parts = [n.lower()[:k] for n in S.SKILL_NAMES for k in (2, 3, len(n), len(n))] + list(" .,+#/-x") + ["\n"]
+    for _ in range(3_000):
+        text = "".join(rng.choice(parts) for _ in range(12))
+        assert re.findall(S.compat_pattern(), text) == plain["compat"].findall(text)
+        assert re.findall(S.bounded_pattern(), text) == plain["bounded"].findall(text)
+
+
+def test_skill_sets_stay_in_place(spark):
+    from hirelens.functions.skills import job_skill_sets
+
+    df = spark.createDataFrame([(1, "Java, java and SQL"), (1, "Go"), (2, None), (None, "x")], "job_id int, d string")
+    got = job_skill_sets(df, "d")
+    assert [tuple(r)[2:] for r in got.collect()] == [(["java", "sql"], 2), (["go"], 1), ([], 0), ([], 0)]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
