@@ -597,6 +597,30 @@ WHERE url IS NULL OR url IN ('', 'N/A') OR b = (SELECT min(b2) FROM (
     WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 1999 THEN 1
     WHEN year(try_cast(scraped_at AS TIMESTAMP)) < 2001 THEN 2 ELSE 3 END b2 FROM raw_jobs) x
   WHERE x.url = r.url)"""),
+    # Landing by landing, what each url is remembered until.
+    "streamed_postings": raw("""
+SELECT job_id, url, strftime(t, '%Y-%m-%dT%H:%M:%S') AS scraped_at, (SELECT count(*) FROM ruled WHERE late) AS late_rows
+FROM ruled WHERE kept
+UNION ALL
+SELECT job_id, url, strftime(t, '%Y-%m-%dT%H:%M:%S'), (SELECT count(*) FROM ruled WHERE late) FROM landed
+WHERE url = 'N/A' AND i < 5""", """
+first AS (SELECT job_id, url, CAST(scraped_at AS TIMESTAMP) AS t,
+  (year(CAST(scraped_at AS TIMESTAMP)) - 1995) // 3 + CASE WHEN job_id % 7 = 1 THEN 1 ELSE 0 END AS i FROM raw_jobs),
+landed AS (
+  SELECT * FROM first UNION ALL
+  SELECT job_id, url, CASE WHEN job_id % 2 = 1 THEN t + INTERVAL 20 DAY ELSE t + INTERVAL 900 DAY END,
+    i + 1 + CASE WHEN job_id % 3 = 0 THEN 1 ELSE 0 END FROM first WHERE job_id % 5 = 0),
+mark AS (SELECT g.i, (SELECT max(t) FROM landed l WHERE l.i < g.i AND l.url <> 'N/A') - INTERVAL 700 DAY AS w
+  FROM range(5) g(i)),
+ordered AS (SELECT l.*, w, row_number() OVER (PARTITION BY url ORDER BY l.i) AS n FROM landed l JOIN mark USING (i)
+  WHERE url <> 'N/A'),
+ruled(job_id, url, t, n, until, kept, late) AS (
+  SELECT job_id, url, t, n, CASE WHEN w IS NULL OR t > w THEN t + INTERVAL 700 DAY END, w IS NULL OR t > w, t <= w
+  FROM ordered WHERE n = 1
+  UNION ALL
+  SELECT o.job_id, o.url, o.t, o.n, CASE WHEN o.t > w AND NOT coalesce(until > w, false) THEN o.t + INTERVAL 700 DAY
+    ELSE until END, o.t > w AND NOT coalesce(until > w, false), o.t <= w
+  FROM ruled r JOIN ordered o ON o.url = r.url AND o.n = r.n + 1)""").replace("WITH ", "WITH RECURSIVE ", 1),
 }
 ORACLES.update(IO)
 IO["append_raw"] = IO["read_raw_json"]

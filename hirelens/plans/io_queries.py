@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from hirelens.operators.cleaning import process
 from hirelens.schemas import RAW
 from hirelens.session import scratch_path
-from hirelens.sources.bindings import AS_OF, raw_jobs
+from hirelens.sources.bindings import AS_OF, landed_postings, raw_jobs
 from hirelens.operators.keys import assign_keys
 from hirelens.sources.io import append_new, append_raw, purge, read_raw, sample_rows, with_scrape_month, write_table
 from hirelens.sources.tables import Tables
+from hirelens.streaming.dedupe import ingest_within
 from hirelens.streaming.incremental import incremental_ingest
 
 PROCESSED_AT = AS_OF.replace(" ", "T")
@@ -84,6 +85,18 @@ def incremental_ingest_q(spark, sf_dir):
     return spark.read.parquet(target).select("job_id", "title", "company", "url", "salary_min", "salary_max")
 
 
+def streamed_postings_q(spark, sf_dir):
+    """Postings land out of order and again, in five landings; after each the
+    stream runs.  What it stored, and how many rows were too late in all."""
+    landed = landed_postings(Tables(spark, sf_dir))
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "streamed", "stream-ckpt"))
+    schema, late = landed.drop("landing").schema, 0
+    for i in range(5):
+        landed.where(F.col("landing") == i).drop("landing").write.parquet(f"{landing}/l{i}")
+        late += ingest_within(spark, f"{landing}/*", schema, target, ckpt, delay="700 days")
+    return spark.read.parquet(target).withColumn("late_rows", F.lit(late).cast("long"))
+
+
 def append_raw_q(spark, sf_dir):
     """Raw postings appended by scrape month and read back."""
     path = scratch_path(spark, "raw-append")
@@ -120,6 +133,7 @@ IO_QUERIES = {
     "sample_rows": sample_rows_q,
     "read_raw_json": read_raw_json_q,
     "incremental_ingest": incremental_ingest_q,
+    "streamed_postings": streamed_postings_q,
     "append_raw": append_raw_q,
     "purge": purge_q,
     "surrogate_keys": surrogate_keys_q,

@@ -131,6 +131,22 @@ def skilled_documents(t: Tables) -> DataFrame:
         F.element_at(sentences, k + 1), F.lit(". "), "text", F.lit(" "), F.element_at(sentences, after + 1)).alias("text"))
 
 
+def landed_postings(t: Tables) -> DataFrame:
+    """Postings as they land over five days of landing: by their time, but one
+    in seven a landing later, and one in five again in a later landing, some
+    days or some years after (``landing``)."""
+    k = F.col("job_id")
+    at = F.col("scraped_at").try_cast("timestamp_ntz")
+    period = F.floor((F.year(at) - 1995) / 3)
+    first = raw_jobs(t).select("job_id", "url", at.alias("at"),
+                               (period + F.when(k % 7 == 1, 1).otherwise(0)).cast("int").alias("landing"))
+    later = F.when(k % 2 == 1, F.expr("at + INTERVAL 20 DAYS")).otherwise(F.expr("at + INTERVAL 900 DAYS"))
+    again = first.where(k % 5 == 0).select(
+        "job_id", "url", later.alias("at"), (F.col("landing") + 1 + F.when(k % 3 == 0, 1).otherwise(0)).alias("landing"))
+    return first.unionByName(again).select(
+        "job_id", "url", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"), "landing")
+
+
 def raw_jobs(t: Tables) -> DataFrame:
     """Raw postings as the scraper would store them (RAW + id + description).
 
