@@ -44,7 +44,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.training_rows())
-    return toxicity.score(docs, model).drop("spans")
+    return toxicity.score(docs, model, spans=False)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

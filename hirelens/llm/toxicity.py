@@ -4,18 +4,22 @@ Labels are per document, the CRF needs them per word.  Words of toxic
 training documents are labelled by their features: a word or 5-gram that
 occurs in enough distinct toxic documents of the sample and in (almost) no
 clean one marks its words as toxic; near copies count once, so that what
-merely fills a copied document marks nothing.  What marks are missing is
+merely fills a copied document marks nothing.  The sample proposes such
+features; whether they keep to toxic documents is counted in Spark over the
+whole texts of all labelled training rows.  What marks are missing is
 found by coverage: while toxic documents have no marked word, the feature
 that most of them share is added.  The CRF then learns affix, n-gram and
 word weights and transitions from these labelled words.
 
 A document's score comes from its words' forward-backward marginals: a
-logistic curve, fitted on the sample, of the largest marginal's log-odds and
-all words' joint evidence.
+logistic curve of the largest marginal's log-odds and all words' joint
+evidence, fitted to the sampled documents' whole texts.
 Words whose marginal is at least one half are the offending spans.
 
-The sample is bounded (``TOXIC_ROWS`` and ``CLEAN_ROWS`` rows with texts of at
-most ``SAMPLE_CHARS`` characters); scoring reads every whole text in place.
+The sample is bounded: ``TOXIC_ROWS`` and ``CLEAN_ROWS`` rows.  Of a text above
+``SAMPLE_CHARS`` characters it has windows from all over the text, so many as
+come to that length, of toxic texts those with the most words that the clean
+sample doesn't have.  Scoring reads every whole text in place.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ from pyspark.sql import functions as F
 from hirelens.llm import crf
 from hirelens.llm.common import sampled, text_slices
 
-#: Bounds of the training sample.
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS = 1_000, 1_800, 6_000
+#: Bounds of the training sample: rows of either label, characters of a text, and of a window of a longer one.
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS, WINDOW_CHARS = 1_000, 1_800, 6_000, 1_000
 #: Chains that the CRF is fitted to: of each toxic document with marked words, and of each clean one (with
 #: marked words first, so that words which are only mostly toxic are learned as such).
 TOXIC_CHAINS, CLEAN_CHAINS = 3, 2
@@ -67,8 +71,19 @@ def _originals(words: crf.Words, n: int) -> np.ndarray:
     return out
 
 
-def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
-    """Which distinct words are toxic, from the documents' labels."""
+def _word_features(words: crf.Words) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct word, feature hash): each word itself and its 5-grams."""
+    owner, feature = [np.arange(len(words.hashes))], [words.hashes]
+    for w, h in crf.grams(words.lower, words.w_start, words.w_end, (5,)):
+        owner.append(w)
+        feature.append(h)
+    return np.concatenate(owner), np.concatenate(feature)
+
+
+def _marks(words: crf.Words, toxic: np.ndarray, count) -> np.ndarray:
+    """Which distinct words are toxic, from the documents' labels.  ``count``
+    tells of some features in how many labelled rows of either label they
+    stand, and how many such rows there are."""
     n_words = len(words.hashes)
     pair = np.unique(words.doc.astype(np.int64) * n_words + words.which)
     doc, word = pair // n_words, pair % n_words
@@ -76,12 +91,8 @@ def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
     keep = one[doc]
     doc, word = doc[keep], word[keep]
 
-    owner, feature = [np.arange(n_words)], [words.hashes]
-    for w, h in crf.grams(words.lower, words.w_start, words.w_end, (5,)):
-        owner.append(w)
-        feature.append(h)
-    names, feature = np.unique(np.concatenate(feature), return_inverse=True)
-    owner = np.concatenate(owner)
+    owner, feature = _word_features(words)
+    names, feature = np.unique(feature, return_inverse=True)
     order = np.argsort(owner, kind="stable")
     owner, feature = owner[order], feature[order]
     begin = np.searchsorted(owner, np.arange(n_words + 1))
@@ -103,6 +114,9 @@ def _marks(words: crf.Words, toxic: np.ndarray) -> np.ndarray:
         good += np.bincount(p_feature[~toxic[p_doc]], minlength=len(names))
     n_bad, n_good = int((toxic & one).sum()), int((~toxic & one).sum())
     clean = good / max(n_good, 1) <= MAX_CLEAN * bad / max(n_bad, 1)
+    asked = np.flatnonzero(clean & (bad >= MIN_COVERED))
+    all_bad, all_good, rows_bad, rows_good = count(names[asked])
+    clean[asked] = all_good / max(rows_good, 1) <= MAX_CLEAN * all_bad / max(rows_bad, 1)
     marked = clean & (bad >= max(MIN_TOXIC, MIN_SHARE * n_bad))
 
     # Coverage of the toxic documents that have no marked feature yet.
@@ -193,37 +207,129 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     if either label is missing.  Several labels of one id: the largest."""
     flags = (labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic")))
-    fitting = (docs.where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
-               .select(F.col(id_col).alias("id")).distinct())
-    known = flags.where("toxic in (0, 1)").join(fitting, "id", "left_semi")
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    known = flags.where("toxic in (0, 1)").join(texts.select("id").distinct(), "id", "left_semi")
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
-    ids = []
-    for label, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
-        ids += sampled(known.where(F.col("toxic") == label), "id", counts[label], most).collect()
-    flag = {r["id"]: r["toxic"] == 1 for r in ids}
-    rows = (docs.where(F.col(id_col).isin(list(flag)) & F.col(text_col).isNotNull()
-                       & (F.length(text_col) <= SAMPLE_CHARS))
-            .groupBy(F.col(id_col).alias("id")).agg(F.min(text_col).alias("text")).collect())
-    got = sorted({(r["text"], flag[r["id"]]) for r in rows})
+    ids = {label: [r["id"] for r in sampled(known.where(F.col("toxic") == label), "id", counts[label], most).collect()]
+           for label, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))}
+    clean = _excerpts(texts, ids[0], None)
+    got = sorted({(t, False) for t in clean} | {(t, True) for t in _excerpts(
+        texts, ids[1], np.unique(_words(clean).hashes))})
     toxic = np.asarray([t for _, t in got])
     words = _words([t for t, _ in got])
     if not len(words.start):
         return None
-    marked = _marks(words, toxic)[words.which]
+    marked = _marks(words, toxic, lambda names: _counted(texts, known, names))[words.which]
     target = (marked & toxic[words.doc]).astype(np.int64)
     chosen = _chosen_chains(words, toxic, marked)
     part = replace(words, start=words.start[chosen], end=words.end[chosen], which=words.which[chosen],
                    doc=crf.chains_of(words.doc).row[chosen])
     model = crf.fit(["clean", "toxic"], part, target[chosen])
 
-    x = _evidence(model.marginals(words)[:, 1], words.doc, len(got))
-    w = _fitted_curve(x, toxic.astype(float))
-    model.extra = tuple(float(v) for v in w)
+    x, y = _sample_evidence(texts, ids, model)
+    model.extra = tuple(float(v) for v in _fitted_curve(x, y))
     return model
 
 
+def _whole(texts: DataFrame, ids: list) -> DataFrame:
+    """One text of each id (a bounded list): the least, where an id has several."""
+    return texts.where(F.col("id").isin(ids)).groupBy("id").agg(F.min("text").alias("text"))
+
+
+def excerpt(text: str, known: np.ndarray | None) -> str:
+    """A text of at most ``SAMPLE_CHARS`` characters, or windows of it that
+    come to that: evenly spaced, or those with most words beside ``known``."""
+    if len(text) <= SAMPLE_CHARS:
+        return text
+    cuts = [0]
+    while cuts[-1] < len(text):  # at the last blank of a window's length, if it has one
+        end = cuts[-1] + WINDOW_CHARS
+        blank = max(text.rfind(" ", cuts[-1], end), text.rfind("\n", cuts[-1], end)) + 1
+        cuts.append(min(len(text), blank or end) if end < len(text) else len(text))
+    windows = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+    most = SAMPLE_CHARS // WINDOW_CHARS
+    order = np.linspace(0, len(windows) - 1, most).astype(int)
+    if known is not None:
+        words = _words(windows)
+        strange = np.bincount(words.doc, ~np.isin(words.hashes, known)[words.which], len(windows))
+        order = np.argsort(-strange, kind="stable")[:most]
+    return "\n".join(windows[i] for i in np.unique(order))
+
+
+def _excerpts(texts: DataFrame, ids: list, known: np.ndarray | None) -> list[str]:
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        for batch in batches:
+            got = [excerpt(t, shared.value) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.string())], names=["text"])
+
+    return sorted({r["text"] for r in _whole(texts, ids).mapInArrow(run, "text string").collect()})
+
+
+def _counted(texts: DataFrame, known: DataFrame, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Toxic and clean labelled rows that each feature (of sorted ``names``,
+    which the bounded sample proposed) stands in, and all such rows."""
+    shared = texts.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches):
+        names = shared.value
+        stands, rows = np.zeros((2, len(names)), np.int64), np.zeros(2, np.int64)
+        for batch in batches:
+            for part, raw, offsets in text_slices(batch):
+                toxic = part.column("toxic").to_numpy().astype(np.int64)
+                rows += np.bincount(toxic, minlength=2)
+                words = crf.words_in(raw, offsets)
+                owner, feature = _word_features(words)
+                at = np.minimum(np.searchsorted(names, feature), max(len(names) - 1, 0))
+                here = names[at] == feature if len(names) else np.zeros(len(feature), bool)
+                order = np.argsort(owner[here], kind="stable")
+                owner, at = owner[here][order], at[here][order]
+                begin = np.searchsorted(owner, np.arange(len(words.hashes) + 1))
+                size = np.diff(begin)
+                of = np.flatnonzero(size[words.which])  # words with a feature that is asked for
+                doc, word = words.doc[of], words.which[of]
+                n = size[word]
+                place = np.repeat(begin[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.unique(np.repeat(doc.astype(np.int64), n) * max(len(names), 1) + at[place])
+                doc, name = both // max(len(names), 1), both % max(len(names), 1)
+                for label in (0, 1):
+                    stands[label] += np.bincount(name[toxic[doc] == label], minlength=len(names))
+        some = np.flatnonzero(stands.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(some, -1)), pa.array(np.append(stands[1, some], rows[1])),
+             pa.array(np.append(stands[0, some], rows[0]))], names=["name", "bad", "good"])
+
+    counted = texts.join(known, "id").select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
+        run, "name bigint, bad bigint, good bigint").groupBy("name").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    bad, good = np.zeros(len(names) + 1, np.int64), np.zeros(len(names) + 1, np.int64)
+    for r in counted.collect():  # a row for each name asked for, at most; the last place has all rows
+        bad[r["name"]], good[r["name"]] = r["bad"], r["good"]
+    return bad[:-1], good[:-1], int(bad[-1]), int(good[-1])
+
+
+def _sample_evidence(texts: DataFrame, ids: dict[int, list], model: crf.Model) -> tuple[np.ndarray, np.ndarray]:
+    """Evidence of the sampled documents' whole texts, and their labels."""
+    shared = texts.sparkSession.sparkContext.broadcast(model.state())
+    toxic = set(ids[1])
+
+    def run(batches):
+        model = crf.Model.of(shared.value)
+        for batch in batches:
+            for part, raw, offsets in text_slices(batch):
+                words = crf.words_in(raw, offsets)
+                x = _evidence(model.marginals(words)[:, 1], words.doc, part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(x[:, 0]), pa.array(x[:, 1])],
+                                                 names=["id", "worst", "joint"])
+
+    whole = _whole(texts, ids[0] + ids[1])
+    got = whole.mapInArrow(run, f"id {whole.schema['id'].dataType.simpleString()}, worst double, joint double").collect()
+    got = sorted(got, key=lambda r: str(r["id"]))
+    return (np.asarray([(r["worst"], r["joint"]) for r in got]), np.asarray([float(r["id"] in toxic) for r in got]))
+
+
 def tag(model: crf.Model | None, raw: np.ndarray, offsets: np.ndarray, spans: bool = False):
     """Score of each text of a slice, and with ``spans`` its toxic words as
     (start, end) in code points."""
@@ -244,12 +350,14 @@ def tag(model: crf.Model | None, raw: np.ndarray, offsets: np.ndarray, spans: bo
     return score, found
 
 
-def score(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, held_out, score, predicted, spans) per input row.
+def score(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", text_col: str = "text",
+          spans: bool = True) -> DataFrame:
+    """(id, held_out, score, predicted and, if asked for, spans) per input row.
 
     Null and empty texts have the least score and no spans; without a model
     every score is 0.  Rows may repeat; a null id isn't held out (it has no
-    remainder, nor a label).  Other columns are not read.
+    remainder, nor a label).  An empty table gives no rows; other columns,
+    whatever their names, are not read.  A score of exactly one half is toxic.
     """
     rows = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
     kind = rows.schema[id_col].dataType.simpleString()
@@ -260,15 +368,16 @@ def score(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", text
         model = crf.Model.of(shared.value)
         for batch in batches:
             for part, raw, offsets in text_slices(batch):
-                value, found = tag(model, raw, offsets, spans=True)
+                value, found = tag(model, raw, offsets, spans)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(value), pa.array((value >= 0.5).astype(np.int32)),
-                     pa.array(found, span)], names=[id_col, "score", "predicted", "spans"])
+                     *([pa.array(found, span)] if spans else ())], names=[id_col, "score", "predicted", *more])
 
-    tagged = rows.mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int, "
-                                  "spans array<struct<start:bigint,end:bigint>>")
+    more = ["spans"] if spans else []
+    tagged = rows.mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int"
+                             + (", spans array<struct<start:bigint,end:bigint>>" if spans else ""))
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
-    return tagged.select(id_col, held.alias("held_out"), "score", "predicted", "spans")
+    return tagged.select(id_col, held.alias("held_out"), "score", "predicted", *more)
 
 
 def keep_clean(docs: DataFrame, model: crf.Model | None, text_col: str = "text") -> DataFrame:

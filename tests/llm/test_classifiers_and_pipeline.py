@@ -124,6 +124,47 @@ def test_toxicity_edges(spark):
     assert {r["doc_id"] for r in toxicity.keep_clean(data, model).collect()} == {*range(0, 80, 2), 200, 201}
 
 
+def test_toxicity_is_learned_from_long_texts(spark):
+    """All labelled texts are long; the toxic word stands somewhere in them, in few of their windows."""
+    rng = np.random.default_rng(8)
+    plain = ["river", "stone", "walking", "evening", "market", "garden", "winter", "letter", "window", "music"]
+
+    def text(i, toxic):
+        words = [plain[k] for k in rng.integers(0, 10, 1_800)]
+        for at in rng.integers(0, 1_800, 3) if toxic else ():
+            words[at] = "vilest"
+        return " ".join(words)
+
+    rows = [(i, text(i, i % 2), "en", "s", 1) for i in range(119)]
+    assert min(len(r[1]) for r in rows) > toxicity.SAMPLE_CHARS
+    docs = spark.createDataFrame(rows, DOC).repartition(3)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(119)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels, toxicity.training_rows())
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model, spans=False).collect()}
+    assert np.mean([got[i] == i % 2 for i in range(119)]) >= 0.97
+
+
+def test_excerpts_are_windows_from_all_over_the_text():
+    text = " ".join(f"word{i}" for i in range(5_000)) + " strangest"
+    some = toxicity.excerpt(text, None)
+    assert len(some) <= toxicity.SAMPLE_CHARS + 10 and some.startswith("word0 ") and some.endswith("strangest")
+    known = np.unique(toxicity._words([text[:-10]]).hashes)
+    assert "strangest" in toxicity.excerpt(text + " word1" * 3_000, known)
+    assert toxicity.excerpt("short", known) == "short" and len(toxicity.excerpt("x" * 50_000, None)) > 5_000
+
+
+def test_features_are_counted_over_all_labelled_rows(spark):
+    rows = [(i, f"common words of {'evil' if i % 3 == 0 else 'good'} people" + " x" * (i % 5)) for i in range(90)]
+    texts = spark.createDataFrame(rows + [(0, "evil evil")], "id long, text string").repartition(4)
+    known = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(80)], "id long, toxic int")
+    words = toxicity._words(["evil", "common", "nowhere"])
+    names = np.sort(words.hashes)
+    bad, good, n_bad, n_good = toxicity._counted(texts, known, names)
+    at = {w: int(np.searchsorted(names, toxicity._words([w]).hashes[0])) for w in ("evil", "common", "nowhere")}
+    assert (n_bad, n_good) == (28, 53)
+    assert [(int(bad[at[w]]), int(good[at[w]])) for w in at] == [(28, 0), (27, 53), (0, 0)]
+
+
 def test_pipeline_stages(spark):
     """Each stage against what its operator says of its own input, the near-duplicate stage against brute force."""
     sf = "/root/testdata/sf0.001"
