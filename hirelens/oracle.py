@@ -627,3 +627,9 @@ IO["append_raw"] = IO["read_raw_json"]
 IO["surrogate_keys"] = """
 SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS line_key FROM lineitem"""
 ORACLES.update(IO)
+
+
+# ------------------------------------------------------------ stored in buckets
+
+ORACLES.update({f"stored_{name}": ORACLES[name] for name in (
+    "q09_skills_for_title", "q12_export_jobs", "v4_skills_by_location")})

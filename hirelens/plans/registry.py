@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hirelens.operators.stored import store_bucketed
 from hirelens.plans import reports
 from hirelens.plans.cleaning_queries import CLEANING_QUERIES
 from hirelens.plans.ingest_queries import INGEST_QUERIES
 from hirelens.plans.io_queries import IO_QUERIES
 from hirelens.plans.warehouse_queries import WAREHOUSE_QUERIES
+from hirelens.session import scratch_path
 from hirelens.sources import bindings
 from hirelens.sources.tables import Tables
 
@@ -26,6 +29,16 @@ def _on_star(fn, **params) -> Query:
     return run
 
 
+def _on_stored(fn, **params) -> Query:
+    """The report over fact and bridge stored in buckets of job ids."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prefix = f"star_{uuid.uuid4().hex[:12]}_"
+        return fn(store_bucketed(bindings.star(Tables(spark, sf_dir)), scratch_path(spark, "star"), prefix), **params)
+
+    run.__name__, run.__doc__ = f"stored_{fn.__name__}", fn.__doc__
+    return run
+
+
 AS_OF = bindings.AS_OF
 
 REPORT_QUERIES: dict[str, Query] = {
@@ -49,10 +62,17 @@ REPORT_QUERIES: dict[str, Query] = {
     "v4_skills_by_location": _on_star(reports.v4_skills_by_location),
 }
 
+STORED_QUERIES: dict[str, Query] = {
+    "stored_q09_skills_for_title": _on_stored(reports.q09_skills_for_title),
+    "stored_q12_export_jobs": _on_stored(reports.q12_export_jobs),
+    "stored_v4_skills_by_location": _on_stored(reports.v4_skills_by_location),
+}
+
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(REPORT_QUERIES)
+    out.update(STORED_QUERIES)
     out.update(CLEANING_QUERIES)
     out.update(WAREHOUSE_QUERIES)
     out.update(INGEST_QUERIES)
