@@ -448,6 +448,8 @@ known AS (SELECT c_custkey company_id, c_mktsegment industry,
     "load_locations": loaded("SELECT * FROM dim_locations"),
     "loaded_top_skills": loaded_report("q01_top_skills"),
     "loaded_salary_buckets": loaded_report("q07_salary_buckets"),
+    "summarised_top_skills": loaded_report("q01_top_skills"),
+    "summarised_data_quality": loaded_report("q08_data_quality"),
     "loaded_constraint_violations": loaded(_violations_sql(" ".join(RULES))),
     "constraint_violations": star(_violations_sql(_STAR_TABLES, "skill_category job_skill_id")),
     "planted_violations": _PLANTED,

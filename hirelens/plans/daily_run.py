@@ -36,6 +36,8 @@ from hirelens.operators.cleaning import process
 from hirelens.operators.dedupe import dedupe_cross_batch
 from hirelens.operators.quality import quality_gate, raw_statistics, run_report, write_report
 from hirelens.operators.warehouse import Warehouse, load_warehouse, with_row_identity
+from hirelens.plans.run_summaries import NAME as SUMMARY
+from hirelens.plans.run_summaries import RUN_SUMMARY, summarise
 from hirelens.schemas import JOB_CARD, RAW, WAREHOUSE
 from hirelens.sources.bindings import Star
 from hirelens.sources.html_cards import job_cards, valid_cards
@@ -46,7 +48,7 @@ from hirelens.sources.manifest import Manifest
 RAW_COLS = [f.name for f in RAW.fields]
 RUN, MONTH = "run_id", "posted_month"
 #: Tables of which a repeated run replaces its rows; to the others it adds.
-REPLACED = ("staging_raw_jobs", "fact_jobs", "bridge_job_skills")
+REPLACED = ("staging_raw_jobs", "fact_jobs", "bridge_job_skills", SUMMARY)
 
 
 @dataclass(frozen=True)
@@ -93,7 +95,7 @@ def write_run(df: DataFrame, path: str, run_id: str) -> int:
     return rows
 
 
-def _published(spark: SparkSession, base: str) -> dict[str, dict[str, list[str]]]:
+def published(spark: SparkSession, base: str) -> dict[str, dict[str, list[str]]]:
     """By table and run the folders that are valid."""
     manifest = Manifest(spark, base)
     if manifest.exists():
@@ -107,8 +109,10 @@ def _published(spark: SparkSession, base: str) -> dict[str, dict[str, list[str]]
     return found
 
 
-def _stored(spark: SparkSession, base: str, tables: dict, name: str, without_run: str | None, *more: str) -> DataFrame:
-    full = _plus(WAREHOUSE[name], RUN, *more)
+def stored(spark: SparkSession, base: str, tables: dict, name: str, schema: StructType | None = None,
+           without_run: str | None = None, more: tuple[str, ...] = ()) -> DataFrame:
+    """What ``tables`` (of ``published``) names of one table."""
+    full = _plus(schema or WAREHOUSE[name], RUN, *more)
     paths = [f"{base}/{name}/{folder}" for run, folders in sorted(tables.get(name, {}).items()) if run != without_run
              for folder in folders]
     if not paths:
@@ -121,13 +125,13 @@ def read_warehouse(spark: SparkSession, base: str, without_run: str | None = Non
     """The published warehouse.  ``without_run`` leaves out the staging, jobs
     and bridge rows of one run, which is about to replace them.  The fact
     keeps its month column, so date-bounded reports read few folders."""
-    tables = _published(spark, base)
+    tables = published(spark, base)
 
     def runs(name: str, *more: str) -> DataFrame:
-        return _stored(spark, base, tables, name, without_run, *more)
+        return stored(spark, base, tables, name, without_run=without_run, more=more)
 
     def dimension(name: str) -> DataFrame:
-        return _stored(spark, base, tables, name, None).drop(RUN)
+        return stored(spark, base, tables, name).drop(RUN)
 
     return StoredWarehouse(runs("staging_raw_jobs"), dimension("dim_companies"), runs("fact_jobs", MONTH),
                            dimension("dim_skills"), runs("bridge_job_skills"), dimension("dim_locations"))
@@ -137,9 +141,9 @@ def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
     """Write what a run adds, then publish it in one step."""
     if "~" in run_id:
         raise ValueError("a run id can't have a '~'")
-    spark, tables = wh.new_staging.sparkSession, _published(wh.new_staging.sparkSession, base)
+    spark, tables = wh.new_staging.sparkSession, published(wh.new_staging.sparkSession, base)
     named = {f"{name}/{folder}" for name in tables for folders in tables[name].values() for folder in folders}
-    for name in WAREHOUSE:  # what broken attempts left
+    for name in (*WAREHOUSE, SUMMARY):  # what broken attempts left
         for path in matching(spark, f"{base}/{name}/{RUN}=*"):
             if "/".join(path.rsplit("/", 2)[1:]) not in named:
                 delete(spark, path)
@@ -158,16 +162,23 @@ def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
     if not tables.get("dim_skills"):
         new["dim_skills"] = wh.dim_skills
     counts, gone = {}, []
-    for name, rows in new.items():
+
+    def write(name: str, rows: DataFrame) -> None:
         path = f"{base}/{name}/{folder}"
         counts[name] = write_table(rows, path, partition_by=[MONTH] if name == "fact_jobs" else None)
         runs = tables.setdefault(name, {})
         if name in REPLACED:
-            gone += [f"{base}/{name}/{old}" for old in runs.pop(run_id, ())]
+            gone.extend(f"{base}/{name}/{old}" for old in runs.pop(run_id, ()))
         if counts[name]:
             runs[run_id] = [*runs.get(run_id, ()), folder]
         else:
             delete(spark, path)
+
+    for name, rows in new.items():
+        write(name, rows)
+    own = {name: {run_id: [folder] if counts[name] else []} for name in ("fact_jobs", "bridge_job_skills")}
+    write(SUMMARY, summarise(stored(spark, base, own, "fact_jobs"), stored(spark, base, own, "bridge_job_skills"),
+                             stored(spark, base, tables, "dim_locations")))
     Manifest(spark, base).publish({"tables": tables})
     for path in gone:
         delete(spark, path)

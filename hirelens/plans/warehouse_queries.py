@@ -8,7 +8,8 @@ from hirelens.operators.constraints import cascade_delete, constraint_violations
 from hirelens.operators.catalog import ensure_tables, register_views
 from hirelens.operators.warehouse import conform, load_warehouse, prepare_jobs, stage_jobs, upsert_companies
 from hirelens.plans import reports
-from hirelens.plans.daily_run import read_warehouse, run_daily
+from hirelens.plans import run_summaries
+from hirelens.plans.daily_run import read_warehouse, run_daily, write_warehouse
 from hirelens.schemas import WAREHOUSE
 from hirelens.session import scratch_path
 from hirelens.sources.bindings import AS_OF, html_pages, raw_jobs, star
@@ -124,6 +125,27 @@ def daily_runs_q(spark, sf_dir):
         F.lit(bad).cast("long").alias("violations"))
 
 
+def _two_runs(spark, sf_dir):
+    """Half of the postings loaded in one run, the other half in a second one."""
+    base, raw = scratch_path(spark, "two-runs"), raw_jobs(Tables(spark, sf_dir))
+    for i in (0, 1):
+        previous = read_warehouse(spark, base) if i else None
+        part = raw.where(F.pmod("job_id", F.lit(2)) == i)
+        write_warehouse(load_warehouse(part, AS_OF, previous, tiebreak=SOURCE_KEY), base, f"run {i}")
+    return base
+
+
+def summarised_top_skills_q(spark, sf_dir):
+    """Skill demand over two runs, from their summaries alone."""
+    base = _two_runs(spark, sf_dir)
+    return run_summaries.top_skills(run_summaries.stored_summary(spark, base), read_warehouse(spark, base).dim_skills)
+
+
+def summarised_data_quality_q(spark, sf_dir):
+    """The quality metrics over two runs, from their summaries alone."""
+    return run_summaries.data_quality(run_summaries.stored_summary(spark, _two_runs(spark, sf_dir)))
+
+
 def created_tables_q(spark, sf_dir):
     """CREATE TABLE IF NOT EXISTS twice, with the bound fact written in
     between: which were new, and what each holds."""
@@ -179,6 +201,8 @@ WAREHOUSE_QUERIES = {
     "planted_violations": planted_violations_q,
     "loaded_and_rejected": loaded_and_rejected_q,
     "daily_runs": daily_runs_q,
+    "summarised_top_skills": summarised_top_skills_q,
+    "summarised_data_quality": summarised_data_quality_q,
     "created_tables": created_tables_q,
     "view_top_skills": view_top_skills_q,
     "cascade_delete": cascade_delete_q,
