@@ -271,20 +271,23 @@ def _excerpts(texts: DataFrame, ids: list, known: np.ndarray | None) -> list[str
 
 def _counted(texts: DataFrame, known: DataFrame, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Toxic and clean labelled rows that each feature (of sorted ``names``,
-    which the bounded sample proposed) stands in, and all such rows."""
+    which the bounded sample proposed) stands in, and all such rows.  Texts are
+    read where they are; only (id, feature) pairs meet the labels."""
+    kind = texts.schema["id"].dataType.simpleString()
+    sums = [F.sum("toxic").cast("long").alias("bad"), F.sum(1 - F.col("toxic")).cast("long").alias("good")]
+    rows = texts.select("id").join(known, "id").agg(*sums).first()
+    if not len(names):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), rows["bad"] or 0, rows["good"] or 0
     shared = texts.sparkSession.sparkContext.broadcast(names)
 
     def run(batches):
         names = shared.value
-        stands, rows = np.zeros((2, len(names)), np.int64), np.zeros(2, np.int64)
         for batch in batches:
             for part, raw, offsets in text_slices(batch):
-                toxic = part.column("toxic").to_numpy().astype(np.int64)
-                rows += np.bincount(toxic, minlength=2)
                 words = crf.words_in(raw, offsets)
                 owner, feature = _word_features(words)
-                at = np.minimum(np.searchsorted(names, feature), max(len(names) - 1, 0))
-                here = names[at] == feature if len(names) else np.zeros(len(feature), bool)
+                at = np.minimum(np.searchsorted(names, feature), len(names) - 1)
+                here = names[at] == feature
                 order = np.argsort(owner[here], kind="stable")
                 owner, at = owner[here][order], at[here][order]
                 begin = np.searchsorted(owner, np.arange(len(words.hashes) + 1))
@@ -293,21 +296,16 @@ def _counted(texts: DataFrame, known: DataFrame, names: np.ndarray) -> tuple[np.
                 doc, word = words.doc[of], words.which[of]
                 n = size[word]
                 place = np.repeat(begin[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                both = np.unique(np.repeat(doc.astype(np.int64), n) * max(len(names), 1) + at[place])
-                doc, name = both // max(len(names), 1), both % max(len(names), 1)
-                for label in (0, 1):
-                    stands[label] += np.bincount(name[toxic[doc] == label], minlength=len(names))
-        some = np.flatnonzero(stands.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(some, -1)), pa.array(np.append(stands[1, some], rows[1])),
-             pa.array(np.append(stands[0, some], rows[0]))], names=["name", "bad", "good"])
-
-    counted = texts.join(known, "id").select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
-        run, "name bigint, bad bigint, good bigint").groupBy("name").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    bad, good = np.zeros(len(names) + 1, np.int64), np.zeros(len(names) + 1, np.int64)
-    for r in counted.collect():  # a row for each name asked for, at most; the last place has all rows
+                both = np.unique(np.repeat(doc.astype(np.int64), n) * len(names) + at[place])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(both // len(names))), pa.array(both % len(names))],
+                    names=["id", "name"])
+
+    found = texts.mapInArrow(run, f"id {kind}, name bigint").join(known, "id").groupBy("name").agg(*sums)
+    bad, good = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+    for r in found.collect():  # a row for each name asked for, at most
         bad[r["name"]], good[r["name"]] = r["bad"], r["good"]
-    return bad[:-1], good[:-1], int(bad[-1]), int(good[-1])
+    return bad, good, rows["bad"] or 0, rows["good"] or 0
 
 
 def _sample_evidence(texts: DataFrame, ids: dict[int, list], model: crf.Model) -> tuple[np.ndarray, np.ndarray]:
