@@ -104,12 +104,14 @@ def _slices(batch: pa.RecordBatch, model: crf.Model | None, column: str = "text"
 
 
 def tag(model: crf.Model | None, texts: list[str | None], raw: np.ndarray,
-        offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text of a slice."""
+        offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language and score of each text of a slice, and how surely its words
+    are of some learned language each (their largest marginals' mean).  Of
+    languages with equal scores the first in the order of their names."""
     n = len(offsets) - 1
-    label, score = [UNDETERMINED] * n, np.zeros(n)
+    label, score, sure = [UNDETERMINED] * n, np.zeros(n), np.zeros(n)
     if model is None:
-        return label, score
+        return label, score, sure
     words = crf.words_in(raw, offsets)
     marginal = model.marginals(words)
     count = np.bincount(words.doc, minlength=n)
@@ -121,7 +123,8 @@ def tag(model: crf.Model | None, texts: list[str | None], raw: np.ndarray,
     for i in np.flatnonzero(count):
         if ascii_letter[i] or any(c.isalpha() for c in texts[i]):
             label[i], score[i] = model.labels[best[i]], min(float(mean[i, best[i]]), 1.0)
-    return label, score
+    sure[:] = np.bincount(words.doc, marginal.max(axis=1), n) / np.maximum(count, 1)
+    return label, score, sure
 
 
 def identify(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,7 +132,8 @@ def identify(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", t
 
     A null text and one without a letter are ``und`` with score 0, and so is
     everything if there is no model.  Rows may repeat; a null id's remainder
-    is unknown, so it isn't held out.  Other columns are not read.
+    is unknown, so it isn't held out.  An empty table gives no rows; other
+    columns, whatever their names, are not read.
     """
     rows = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
     kind = rows.schema[id_col].dataType.simpleString()
@@ -139,7 +143,7 @@ def identify(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", t
         model = crf.Model.of(shared.value)
         for batch in batches:
             for part, raw, offsets in _slices(batch, model):
-                label, score = tag(model, part.column("text").to_pylist(), raw, offsets)
+                label, score, _ = tag(model, part.column("text").to_pylist(), raw, offsets)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(label, pa.string()), pa.array(score)],
                                                  names=[id_col, "lang_pred", "score"])
 
@@ -148,17 +152,19 @@ def identify(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", t
     return tagged.select(id_col, held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: crf.Model | None, min_score: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is determined with
-    at least ``min_score``."""
+def keep_identified(docs: DataFrame, model: crf.Model | None, min_sure: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that have a language and whose words
+    are, in the mean, each of some learned language with at least ``min_sure``.
+    A text that mixes languages evenly, so that none has a large share of it,
+    stays: each of its words has one."""
     shared = docs.sparkSession.sparkContext.broadcast(model and model.state())
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         model = crf.Model.of(shared.value)
         for batch in batches:
             for part, raw, offsets in _slices(batch, model, text_col):
-                label, score = tag(model, part.column(text_col).to_pylist(), raw, offsets)
-                keep = (np.asarray(label) != UNDETERMINED) & (score >= min_score)
+                label, _, sure = tag(model, part.column(text_col).to_pylist(), raw, offsets)
+                keep = (np.asarray(label) != UNDETERMINED) & (sure >= min_sure)
                 yield part.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

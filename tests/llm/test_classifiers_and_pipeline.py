@@ -91,6 +91,25 @@ def test_every_labelled_language_is_learned(spark):
     assert np.mean([got[i]["lang_pred"] == lang for i, _, lang, _, _ in rows if got[i]["held_out"]]) == 1
 
 
+def test_an_even_mix_of_languages_is_kept(spark):
+    """No language has a large share of such a text, but each of its words has one."""
+    words = {lang: [f"{stem}{end}" for stem in stems for end in ends] for lang, stems, ends in (
+        ("xa", ["bor", "kel", "tum"], ["ano", "elo", "ino"]), ("xb", ["schr", "wiz", "pfl"], ["ung", "eit", "acht"]),
+        ("xc", ["thu", "gwy", "llan"], ["dd", "wyn", "och"]), ("xd", ["ouv", "beau", "ciel"], ["eux", "oir", "ette"]))}
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(words[lang], 40)), lang, "s", 1) for i, lang in enumerate(list(words) * 60)]
+    docs = spark.createDataFrame(rows, DOC)
+    model = language_id.train(docs, language_id.training_rows())
+    mixed = [(900 + k, " ".join(rng.permutation(np.concatenate([rng.choice(words[x], 20) for x in langs]))), None, "s", 1)
+             for k, langs in enumerate((("xa", "xb", "xc"), ("xb", "xc", "xd"), ("xa", "xb", "xc", "xd")))]
+    some = spark.createDataFrame(mixed + [(990, "12 34 !", None, "s", 1), (991, None, None, "s", 1)], DOC)
+    scores = [r["score"] for r in language_id.identify(some, model).where("doc_id < 950").collect()]
+    assert min(scores) < 0.35
+    import corpus_pipeline
+    kept = language_id.keep_identified(some, model, corpus_pipeline.MIN_LANGUAGE)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [900, 901, 902]
+
+
 def test_toxicity_held_out_and_blind_to_other_columns(spark):
     docs, labels = table(spark, LABELLED, "documents"), table(spark, LABELLED, "labels")
     model = toxicity.train(docs, labels, toxicity.training_rows())
@@ -226,5 +245,5 @@ def test_oracle(spark, duck, name):
     assert same_result([tuple(r) for r in df.collect()], df.columns, cur.fetchall(), cols)
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
