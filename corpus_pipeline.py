@@ -1,8 +1,9 @@
 """Corpus pipeline: stages over ``documents``, each written as Parquet and
 read again as the next one's documents.
 
-language_id        documents whose language is undetermined, or that no
-                   language fills to at least ``MIN_LANGUAGE``, go
+language_id        documents whose language is undetermined, or whose words
+                   are not, in the mean, each of some learned language with
+                   at least ``MIN_LANGUAGE``, go (mixed texts stay)
 toxicity           documents that the classifier marks toxic go
 ngram_jaccard      of documents linked at Jaccard 0.8 over five-word shingles
                    the one with the smallest id stays (of an id with several
@@ -25,7 +26,7 @@ from hirelens.llm.common import small_batches, spooled, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Least mean share of a document's words that its language has to fill.
+#: Least mean of a document's words' largest language marginals.
 MIN_LANGUAGE = 0.35
 
 
