@@ -13,6 +13,8 @@ from hirelens.session import scratch_path
 
 #: Text bytes handled at once inside a task; bounds a Python worker's memory.
 SLICE_BYTES = 600_000
+#: The same where every word is classified, which takes some hundred times a text's bytes.
+CLASSIFIED_BYTES = 300_000
 #: Rows that a task gets at once.
 BATCH_ROWS = 2_000
 

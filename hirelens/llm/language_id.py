@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm import crf
-from hirelens.llm.common import SLICE_BYTES, text_slices
+from hirelens.llm.common import CLASSIFIED_BYTES, text_slices
 
 #: Bounds of the training sample.
 ROWS_PER_LANGUAGE = 300
@@ -100,7 +100,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 def _slices(batch: pa.RecordBatch, model: crf.Model | None, column: str = "text"):
     """Slices of a batch, smaller where a word has many labels' marginals."""
     labels = max(FULL_SLICE_LANGUAGES, len(model.labels) if model else 0)
-    return text_slices(batch, column, SLICE_BYTES * FULL_SLICE_LANGUAGES // labels)
+    return text_slices(batch, column, CLASSIFIED_BYTES * FULL_SLICE_LANGUAGES // labels)
 
 
 def tag(model: crf.Model | None, texts: list[str | None], raw: np.ndarray,

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm import crf
-from hirelens.llm.common import sampled, text_slices
+from hirelens.llm.common import CLASSIFIED_BYTES, sampled, text_slices
 
 #: Bounds of the training sample: rows of either label, characters of a text, and of a window of a longer one.
 TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS, WINDOW_CHARS = 1_000, 1_800, 6_000, 1_000
@@ -283,7 +283,7 @@ def _counted(texts: DataFrame, known: DataFrame, names: np.ndarray) -> tuple[np.
     def run(batches):
         names = shared.value
         for batch in batches:
-            for part, raw, offsets in text_slices(batch):
+            for part, raw, offsets in text_slices(batch, most=CLASSIFIED_BYTES):
                 words = crf.words_in(raw, offsets)
                 owner, feature = _word_features(words)
                 at = np.minimum(np.searchsorted(names, feature), len(names) - 1)
@@ -316,7 +316,7 @@ def _sample_evidence(texts: DataFrame, ids: dict[int, list], model: crf.Model) -
     def run(batches):
         model = crf.Model.of(shared.value)
         for batch in batches:
-            for part, raw, offsets in text_slices(batch):
+            for part, raw, offsets in text_slices(batch, most=CLASSIFIED_BYTES):
                 words = crf.words_in(raw, offsets)
                 x = _evidence(model.marginals(words)[:, 1], words.doc, part.num_rows)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(x[:, 0]), pa.array(x[:, 1])],
@@ -365,7 +365,7 @@ def score(docs: DataFrame, model: crf.Model | None, id_col: str = "doc_id", text
     def run(batches):
         model = crf.Model.of(shared.value)
         for batch in batches:
-            for part, raw, offsets in text_slices(batch):
+            for part, raw, offsets in text_slices(batch, most=CLASSIFIED_BYTES):
                 value, found = tag(model, raw, offsets, spans)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(value), pa.array((value >= 0.5).astype(np.int32)),
@@ -385,7 +385,7 @@ def keep_clean(docs: DataFrame, model: crf.Model | None, text_col: str = "text")
     def run(batches) -> Iterator[pa.RecordBatch]:
         model = crf.Model.of(shared.value)
         for batch in batches:
-            for part, raw, offsets in text_slices(batch, text_col):
+            for part, raw, offsets in text_slices(batch, text_col, CLASSIFIED_BYTES):
                 yield part.filter(pa.array(tag(model, raw, offsets)[0] < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
