@@ -4,6 +4,12 @@ Spark tables do not enforce keys, so the DDL's NOT NULL / UNIQUE / FOREIGN
 KEY / VARCHAR(n) rules become one report: (check_name, violations).  Each
 table is scanned once for all its row-level rules; a uniqueness rule is one
 aggregate on the key and a foreign-key rule one anti join.
+
+``run_violations`` is the same report for the rows that a run adds.  Stored rows
+are read for their keys only, and only where they may matter: the least and
+largest of the new keys go to the scan (runs' surrogate keys rise, so no row
+group of an earlier run is read for them), and what is read has to pass a Bloom
+filter of the new keys before it is shuffled.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hirelens.operators.key_filter import KeyFilter
 from hirelens.schemas import LENGTH_LIMITS
 from hirelens.sources.bindings import Star
 
@@ -85,6 +92,58 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         "check_name", F.col("violations").cast("long").alias("violations"))
 
 
+def _taken_check(name: str, new: DataFrame, stored: DataFrame, key: list[str], among: KeyFilter) -> DataFrame:
+    """Distinct new keys that a stored row has: with the run's own doubles, the rows that may not be added."""
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+    taken = new.where(whole).select(*key).distinct().join(among.candidates(stored, key), key, "left_semi")
+    return taken.agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit(f"{name}({', '.join(key)}) unique").alias("check_name"), "violations")
+
+
+def _run_fk_check(child_name: str, child: DataFrame, col: str, parent_name: str, parents: DataFrame | None,
+                  stored: DataFrame | None, pcol: str, among: KeyFilter) -> DataFrame:
+    """New rows whose parent is neither among the run's rows nor stored."""
+    loose = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    if parents is not None:
+        loose = loose.join(parents.select(F.col(pcol).alias(col)), col, "left_anti")
+    if stored is not None and not among.empty(col):
+        loose = loose.join(among.candidates(stored.select(F.col(pcol).alias(col)), [col]), col, "left_anti")
+    return loose.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
+        F.lit(f"{child_name}.{col} -> {parent_name}.{pcol}").alias("check_name"), "violations")
+
+
+def run_violations(new: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
+    """(check_name, violations): the rows of ``new`` that break a rule beside
+    the ``stored`` ones.
+
+    A unique key counts every new row but the first that brings it, and that
+    one too if a stored row has the key.  Foreign keys look among the new and
+    the stored parents.  Nulls are as in ``constraint_violations``; stored rows
+    that break a rule among themselves don't count, and without new rows
+    nothing does.  ``new`` is read several times.
+    """
+    parts: list[DataFrame] = []
+    among = {}
+    for name, df in new.items():
+        keys = [k for k in UNIQUE.get(name, []) if all(c in df.columns for c in k)]
+        columns = {k[0] for k in keys} | {col for child, col, _, _ in FOREIGN_KEYS if child == name}
+        among[name] = KeyFilter(df, sorted(columns & set(df.columns)))
+        rc = _row_checks(name, df)
+        if rc is not None:
+            parts.append(rc)
+        for key in keys:
+            parts.append(_unique_check(name, df, key))
+            if name in stored and not among[name].empty(key[0]):
+                parts.append(_taken_check(name, df, stored[name], key, among[name]))
+    for child, col, parent, pcol in FOREIGN_KEYS:
+        if child in new and (parent in new or parent in stored):
+            parts.append(_run_fk_check(child, new[child], col, parent, new.get(parent), stored.get(parent), pcol,
+                                       among[child]))
+    return (reduce(DataFrame.unionByName, [p.select("check_name", F.col("violations").cast("long").alias("violations"))
+                                           for p in parts])
+            .groupBy("check_name").agg(F.sum("violations").alias("violations")))
+
+
 def star_tables(star) -> dict[str, DataFrame]:
     """The tables of a star, or all six of a whole warehouse."""
     names = ("fact_jobs", "dim_companies", "dim_skills", "bridge_job_skills", "dim_locations", "staging_raw_jobs")

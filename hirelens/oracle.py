@@ -431,6 +431,42 @@ planted_locations AS (SELECT company_id AS location_id, location AS location_nam
     .replace("dim_companies USING", "planted_companies USING").replace("FROM dim_companies", "FROM planted_companies")
     .replace("FROM bridge_job_skills", "FROM planted_bridge").replace("FROM dim_locations", "FROM planted_locations"))
 
+def _run_violations_sql(added: dict[str, str], held: dict[str, str]) -> str:
+    """Violations of the rows that ``added`` names by table, beside those of ``held``."""
+    parts = []
+    for t, new in added.items():
+        needed, unique, limits = RULES[t]
+        for what, bad in [(f"{c} not null", f"{c} IS NULL") for c in needed.split()] + [
+                (f"{c} length <= {n}", f"len({c}) > {n}") for c, n in limits.items()]:
+            parts.append(f"SELECT '{t}.{what}' AS check_name, count(*) FILTER (WHERE {bad}) AS violations FROM {new}")
+        for key in unique:
+            set_ = " AND ".join(f"{c} IS NOT NULL" for c in key.split(", "))
+            parts.append(f"SELECT '{t}({key}) unique', (SELECT count(*) FROM {new} WHERE {set_}) - (SELECT count(*) FROM "
+                         f"(SELECT {key} FROM {new} WHERE {set_} EXCEPT SELECT {key} FROM {held[t]}))")
+    for child, c, parent in _PARENTS:
+        known = " UNION ALL ".join(f"SELECT {c} FROM {side[parent]}" for side in (added, held) if parent in side)
+        parts.append(f"SELECT '{child}.{c} -> {parent}.{c}', count(*) FROM {added[child]} "
+                     f"ANTI JOIN ({known}) known USING ({c}) WHERE {c} IS NOT NULL")
+    return "\n" + "\nUNION ALL ".join(parts)
+
+
+_PLANTED_RUN = star(""",
+b AS (SELECT job_id * 1000 + skill_id AS job_skill_id, job_id, skill_id FROM bridge_job_skills),
+f AS (SELECT job_id, company_id, job_title, job_url, location FROM fact_jobs),
+c AS (SELECT company_id, company_name, industry FROM dim_companies),
+old_jobs AS (SELECT * FROM f WHERE job_id % 3 > 0), old_companies AS (SELECT * FROM c WHERE company_id % 4 > 0),
+old_skills AS (SELECT * FROM dim_skills WHERE skill_id % 9 > 0), old_bridge AS (SELECT * FROM b WHERE job_id % 3 > 0),
+new_jobs AS (SELECT * FROM f WHERE job_id % 3 = 0 UNION ALL SELECT * FROM f WHERE job_id % 5 = 0
+  UNION ALL SELECT -job_id, -company_id, job_title, job_url, location FROM f WHERE job_id % 6 = 0),
+new_companies AS (SELECT * FROM c WHERE company_id % 8 = 4 UNION ALL SELECT * FROM c WHERE company_id % 13 = 0
+  UNION ALL SELECT -company_id, company_name, industry FROM c WHERE company_id % 17 = 0),
+new_bridge AS (SELECT * FROM b WHERE job_id % 3 = 0 UNION ALL SELECT * FROM b WHERE job_id % 8 = 0
+  UNION ALL SELECT job_skill_id, CASE WHEN job_id % 2 = 0 THEN job_id + 1000000000 END, skill_id FROM b WHERE job_id % 7 = 0)
+""" + _run_violations_sql(
+    {"fact_jobs": "new_jobs", "dim_companies": "new_companies", "bridge_job_skills": "new_bridge"},
+    {"fact_jobs": "old_jobs", "dim_companies": "old_companies", "bridge_job_skills": "old_bridge",
+     "dim_skills": "old_skills"}))
+
 WAREHOUSE = {
     "stage_jobs": raw(f"SELECT {_STAGING_COLS} FROM staging_raw_jobs", _STAGED),
     "stage_jobs_copies": raw(f"SELECT {_STAGING_COLS} FROM staging_raw_jobs", _STAGED),
@@ -453,6 +489,7 @@ known AS (SELECT c_custkey company_id, c_mktsegment industry,
     "loaded_constraint_violations": loaded(_violations_sql(" ".join(RULES))),
     "constraint_violations": star(_violations_sql(_STAR_TABLES, "skill_category job_skill_id")),
     "planted_violations": _PLANTED,
+    "planted_run_violations": _PLANTED_RUN,
     "loaded_and_rejected": loaded("""
 SELECT (SELECT count(*) FROM staging_raw_jobs) AS staged, (SELECT count(*) FROM fact_jobs) AS loaded,
   (SELECT count(*) FROM prepared WHERE job_title IS NULL) AS rejected,

@@ -17,7 +17,8 @@ id replaces itself whatever months its jobs are posted in.  Companies and
 locations are found or created in the published tables; surrogate keys continue
 after those of the other runs.  Folders that no manifest names go with the next
 attempt; those that were replaced go right after (a reader of them has to start
-anew).
+anew).  Before that the run's own rows are held against the keys' rules
+(``run_violations``); a run that breaks one raises and publishes nothing.
 
 The gate is advisory, as in the original, unless ``strict_gate`` is set; a
 run without a single card warns and goes on.
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hirelens.operators.cleaning import process
+from hirelens.operators.constraints import run_violations
 from hirelens.operators.dedupe import dedupe_cross_batch
 from hirelens.operators.quality import quality_gate, raw_statistics, run_report, write_report
 from hirelens.operators.warehouse import Warehouse, load_warehouse, with_row_identity
@@ -137,8 +139,22 @@ def read_warehouse(spark: SparkSession, base: str, without_run: str | None = Non
                            dimension("dim_skills"), runs("bridge_job_skills"), dimension("dim_locations"))
 
 
+def broken_keys(spark: SparkSession, base: str, new: dict, held: dict) -> dict[str, int]:
+    """The rules of the keys (not null, unique, foreign) that the folders in ``new``
+    break beside those in ``held``, with the number of rows.  Overlong texts
+    are for the reports."""
+    def frames(tables: dict) -> dict[str, DataFrame]:
+        return {name: stored(spark, base, tables, name).drop(RUN) for name in WAREHOUSE if any(tables.get(name, {}).values())}
+
+    added = frames(new)
+    if not added:
+        return {}
+    found = run_violations(added, frames(held)).where("violations > 0 and not contains(check_name, ' length <= ')")
+    return {r["check_name"]: r["violations"] for r in found.collect()}
+
+
 def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
-    """Write what a run adds, then publish it in one step."""
+    """Write what a run adds, hold it against the keys' rules, then publish it in one step."""
     if "~" in run_id:
         raise ValueError("a run id can't have a '~'")
     spark, tables = wh.new_staging.sparkSession, published(wh.new_staging.sparkSession, base)
@@ -162,6 +178,8 @@ def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
     if not tables.get("dim_skills"):
         new["dim_skills"] = wh.dim_skills
     counts, gone = {}, []
+    held = {name: {run: list(folders) for run, folders in runs.items() if name not in REPLACED or run != run_id}
+            for name, runs in tables.items()}
 
     def write(name: str, rows: DataFrame) -> None:
         path = f"{base}/{name}/{folder}"
@@ -176,7 +194,10 @@ def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
 
     for name, rows in new.items():
         write(name, rows)
-    own = {name: {run_id: [folder] if counts[name] else []} for name in ("fact_jobs", "bridge_job_skills")}
+    own = {name: {run_id: [folder] if counts[name] else []} for name in new}
+    broken = broken_keys(spark, base, own, held)
+    if broken:
+        raise ValueError(f"run {run_id} isn't published, rows that break a rule: {broken}")
     write(SUMMARY, summarise(stored(spark, base, own, "fact_jobs"), stored(spark, base, own, "bridge_job_skills"),
                              stored(spark, base, tables, "dim_locations")))
     Manifest(spark, base).publish({"tables": tables})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hirelens.operators.constraints import cascade_delete, constraint_violations, star_tables
+from hirelens.operators.constraints import cascade_delete, constraint_violations, run_violations, star_tables
 from hirelens.operators.catalog import ensure_tables, register_views
 from hirelens.operators.warehouse import conform, load_warehouse, prepare_jobs, stage_jobs, upsert_companies
 from hirelens.plans import reports
@@ -97,6 +97,27 @@ def planted_violations_q(spark, sf_dir):
                                   "dim_locations": places})
 
 
+def planted_run_violations_q(spark, sf_dir):
+    """The rules for what a run adds to stored tables: keys that are stored
+    already, doubled, null or without a parent, beside right ones."""
+    s = star(Tables(spark, sf_dir))
+    cid, jid, sid = F.col("company_id"), F.col("job_id"), F.col("skill_id")
+    f = s.fact_jobs.select("job_id", "company_id", "job_title", "job_url", "location")
+    firms = s.dim_companies.select("company_id", "company_name", "industry")
+    b = s.bridge_job_skills.select((jid * 1000 + sid).alias("job_skill_id"), "job_id", "skill_id")
+    skills = s.dim_skills.select("skill_id", "skill_name")
+    stored = {"fact_jobs": f.where(jid % 3 > 0), "dim_companies": firms.where(cid % 4 > 0),
+              "dim_skills": skills.where(sid % 9 > 0), "bridge_job_skills": b.where(jid % 3 > 0)}
+    new = {
+        "fact_jobs": f.where(jid % 3 == 0).unionByName(f.where(jid % 5 == 0))
+        .unionByName(f.where(jid % 6 == 0).withColumns({"job_id": -jid, "company_id": -cid})),
+        "dim_companies": firms.where((cid % 4 == 0) & (cid % 8 > 0)).unionByName(firms.where(cid % 13 == 0))
+        .unionByName(firms.where(cid % 17 == 0).withColumn("company_id", -cid)),
+        "bridge_job_skills": b.where(jid % 3 == 0).unionByName(b.where(jid % 8 == 0))
+        .unionByName(b.where(jid % 7 == 0).withColumn("job_id", F.when(jid % 2 == 0, jid + 1_000_000_000)))}
+    return run_violations(new, stored)
+
+
 def loaded_and_rejected_q(spark, sf_dir):
     """No posting gets lost: staged = loaded + rejected."""
     w = _loaded(spark, sf_dir)
@@ -199,6 +220,7 @@ WAREHOUSE_QUERIES = {
     "loaded_constraint_violations": loaded_constraint_violations_q,
     "constraint_violations": constraint_violations_q,
     "planted_violations": planted_violations_q,
+    "planted_run_violations": planted_run_violations_q,
     "loaded_and_rejected": loaded_and_rejected_q,
     "daily_runs": daily_runs_q,
     "summarised_top_skills": summarised_top_skills_q,
