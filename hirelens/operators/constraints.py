@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.operators.key_filter import KeyFilter
+from hirelens.operators.key_filter import KeyFilter, ends, paired
 from hirelens.schemas import LENGTH_LIMITS
 from hirelens.sources.bindings import Star
 
@@ -46,7 +46,8 @@ FOREIGN_KEYS = [
 ]
 
 
-def _row_checks(name: str, df: DataFrame) -> DataFrame | None:
+def _row_rules(name: str, df: DataFrame) -> list[tuple[str, Column]]:
+    """(check_name, aggregate) of the rules that a row breaks by itself."""
     checks: list[tuple[str, Column]] = []
     for c in NOT_NULL.get(name, []):
         if c in df.columns:
@@ -54,6 +55,11 @@ def _row_checks(name: str, df: DataFrame) -> DataFrame | None:
     for c, n in LENGTH_LIMITS.get(name, {}).items():
         if c in df.columns:
             checks.append((f"{name}.{c} length <= {n}", F.count_if(F.length(c) > n)))
+    return checks
+
+
+def _row_checks(name: str, df: DataFrame) -> DataFrame | None:
+    checks = _row_rules(name, df)
     if not checks:
         return None
     rows = F.array(*[F.struct(F.lit(k).alias("check_name"), v.alias("violations")) for k, v in checks])
@@ -92,6 +98,13 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         "check_name", F.col("violations").cast("long").alias("violations"))
 
 
+def _doubles(name: str, key: list[str]) -> tuple[str, Column]:
+    """(check_name, aggregate): rows with a key that another row of the table has, but one of each."""
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+    return (f"{name}({', '.join(key)}) unique",
+            F.count_if(whole) - F.count_distinct(F.when(whole, F.struct(*key))))
+
+
 def _taken_check(name: str, new: DataFrame, stored: DataFrame, key: list[str], among: KeyFilter) -> DataFrame:
     """Distinct new keys that a stored row has: with the run's own doubles, the rows that may not be added."""
     whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
@@ -120,27 +133,32 @@ def run_violations(new: dict[str, DataFrame], stored: dict[str, DataFrame]) -> D
     one too if a stored row has the key.  Foreign keys look among the new and
     the stored parents.  Nulls are as in ``constraint_violations``; stored rows
     that break a rule among themselves don't count, and without new rows
-    nothing does.  ``new`` is read several times.
+    nothing does.  One pass over each new table counts what its rows break among
+    themselves and takes the keys' ranges; only the look-ups among stored rows
+    are joins.
     """
+    spark = next(iter(new.values())).sparkSession
+    alone: list[tuple[str, int]] = []  # what the run's rows break among themselves
     parts: list[DataFrame] = []
     among = {}
     for name, df in new.items():
         keys = [k for k in UNIQUE.get(name, []) if all(c in df.columns for c in k)]
         columns = {k[0] for k in keys} | {col for child, col, _, _ in FOREIGN_KEYS if child == name}
-        among[name] = KeyFilter(df, sorted(columns & set(df.columns)))
-        rc = _row_checks(name, df)
-        if rc is not None:
-            parts.append(rc)
+        columns = sorted(columns & set(df.columns))
+        rules = [*_row_rules(name, df), *(_doubles(name, key) for key in keys)]
+        row = df.agg(F.count(F.lit(1)), *ends(columns), *[rule for _, rule in rules]).first()
+        alone += zip([check for check, _ in rules], row[1 + 2 * len(columns):])
+        among[name] = KeyFilter(df, row[0], paired(columns, row[1:]))
         for key in keys:
-            parts.append(_unique_check(name, df, key))
             if name in stored and not among[name].empty(key[0]):
                 parts.append(_taken_check(name, df, stored[name], key, among[name]))
     for child, col, parent, pcol in FOREIGN_KEYS:
         if child in new and (parent in new or parent in stored):
             parts.append(_run_fk_check(child, new[child], col, parent, new.get(parent), stored.get(parent), pcol,
                                        among[child]))
+    first = spark.createDataFrame(alone, "check_name string, violations long")
     return (reduce(DataFrame.unionByName, [p.select("check_name", F.col("violations").cast("long").alias("violations"))
-                                           for p in parts])
+                                           for p in parts], first)
             .groupBy("check_name").agg(F.sum("violations").alias("violations")))
 
 

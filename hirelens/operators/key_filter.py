@@ -1,7 +1,7 @@
 """What stored rows may hold one of a few new keys: ranges and a Bloom filter.
 
-``KeyFilter`` takes the least and largest value of each column of the new rows
-in one pass.  ``candidates`` reads stored keys within that range (a predicate
+``KeyFilter`` knows the least and largest value of each column of the new rows.
+``candidates`` reads stored keys within that range (a predicate
 that Parquet row groups are skipped by) and keeps those that a Bloom filter of
 the new keys lets pass, so that a join with the new keys shuffles the new keys
 and little else of the stored ones.
@@ -23,6 +23,16 @@ from pyspark.sql import functions as F
 BITS_PER_KEY, HASHES, PAGE_BITS, MOST_PAGES = 16, 4, 1 << 15, 512
 
 
+def ends(columns: list[str]) -> list[Column]:
+    """Aggregates: least and largest value of each column."""
+    return [f(c) for c in columns for f in (F.min, F.max)]
+
+
+def paired(columns: list[str], values: tuple) -> dict[str, tuple]:
+    """The values of ``ends`` by column."""
+    return {c: (values[2 * i], values[2 * i + 1]) for i, c in enumerate(columns)}
+
+
 class KeyFilter:
     """The keys of ``new`` in some columns, for looking them up among stored rows.
 
@@ -30,13 +40,17 @@ class KeyFilter:
     may be compared with each other's kind (hashed as text).
     """
 
-    def __init__(self, new: DataFrame, columns: list[str]):
-        self.new = new
-        row = new.agg(F.count(F.lit(1)), *[f(c) for c in columns for f in (F.min, F.max)]).first()
-        self.ranges = {c: (row[1 + 2 * i], row[2 + 2 * i]) for i, c in enumerate(columns)}
-        wanted = row[0] * BITS_PER_KEY // PAGE_BITS + 1
+    def __init__(self, new: DataFrame, rows: int, ranges: dict[str, tuple]):
+        self.new, self.ranges = new, ranges
+        wanted = rows * BITS_PER_KEY // PAGE_BITS + 1
         self.pages = min(MOST_PAGES, 1 << (wanted - 1).bit_length())
 
+    @staticmethod
+    def of(new: DataFrame, columns: list[str]) -> KeyFilter:
+        """With the number of rows and the columns' ranges taken in one pass."""
+        row = new.agg(F.count(F.lit(1)), *ends(columns)).first()
+        return KeyFilter(new, row[0], paired(columns, row[1:]))
+
     def empty(self, column: str) -> bool:
         """No new row has a value there."""
         return self.ranges[column][0] is None

@@ -44,7 +44,7 @@ def test_taken_doubled_null_and_orphaned_keys(spark):
 def test_the_filter_keeps_all_new_keys_and_few_others(spark):
     new = spark.range(0, 200_000, 100).select("id", F.concat(F.lit("n"), "id").alias("name"))
     stored = spark.range(200_000).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("n"), "id").alias("name"))
-    keys = KeyFilter(new, ["id", "name"])
+    keys = KeyFilter.of(new, ["id", "name"])
     for key in (["id"], ["name"], ["id", "name"]):
         kept = keys.candidates(stored, key)
         assert kept.join(new, key, "left_semi").count() == 2_000
@@ -58,7 +58,7 @@ def test_stored_runs_are_not_read_for_surrogate_keys(spark):
     spark.range(0, 50_000).selectExpr("id as job_id").repartitionByRange(5, "job_id").write.parquet(base)
     stored = spark.read.parquet(base)
     later = spark.range(50_000, 50_100).selectExpr("id as job_id")
-    read = KeyFilter(later, ["job_id"]).candidates(stored, ["job_id"])
+    read = KeyFilter.of(later, ["job_id"]).candidates(stored, ["job_id"])
     scans = read._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(job_id,50000)" in scans and "LessThanOrEqual(job_id,50099)" in scans
     assert read.count() == 0
