@@ -19,25 +19,29 @@ vector has the largest product.  In that space:
    the blocks' k best are merged.
 
 A group meets its rows in blocks of ``BLOCK_ROWS``, so a cell that holds a
-third of the table is spread over many tasks.  The driver sees the pivots and
-the cells' summaries only: ``PIVOTS`` times k + 1 numbers.
+third of the table is spread over many tasks.  Pivots grow with the root of the
+number of rows, so that cells get narrower and fuller at the same rate.  The
+driver sees the pivots and the cells' summaries only: at most ``MOST_PIVOTS``
+vectors (``MOST_NUMBERS`` components) and k + 1 distances of each.  All this
+decides the work, never the result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import again, spooled
 from hirelens.llm.vectors import matrix, usable
 
-PIVOTS = 64
+#: The least and most pivots, and the most components of all of them.
+LEAST_PIVOTS, MOST_PIVOTS, MOST_NUMBERS = 64, 4_096, 1 << 20
 #: Queries in a group, and rows that meet a group in one task.
 GROUP_QUERIES, BLOCK_ROWS = 2_048, 16_384
-#: Rows multiplied at once.
-CHUNK_ROWS = 4_096
+#: Rows multiplied at once, and numbers held at once while distances are taken.
+CHUNK_ROWS, CHUNK_NUMBERS = 4_096, 1 << 21
 #: Rounding slack of the bounds, relative to M.
 SLACK = 1e-6
 
@@ -88,23 +92,28 @@ def best_of(scores: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int):
 def pivot_groups(pivots: np.ndarray, queries: list[int], group_queries: int) -> list[list[int]]:
     """Cells in groups of about ``group_queries`` queries, near cells together:
     a walk from pivot to nearest unvisited pivot, cut when a group is full."""
-    left, at, groups, held = set(range(len(pivots))), 0, [[]], 0
-    while left:
-        left.discard(at)
+    left, at, groups, held = np.ones(len(pivots), bool), 0, [[]], 0
+    while left.any():
+        left[at] = False
         if held and held + queries[at] > group_queries:
             groups.append([])
             held = 0
         groups[-1].append(at)
         held += queries[at]
-        if left:
-            rest = np.asarray(sorted(left))
+        rest = np.flatnonzero(left)
+        if len(rest):
             at = int(rest[((pivots[rest] - pivots[at]) ** 2).sum(axis=1).argmin()])
     return groups
 
 
+def pivots_for(rows: int, width: int) -> int:
+    """As many pivots as the root of the number of rows, within the bounds."""
+    return max(1, min(max(LEAST_PIVOTS, int(np.ceil(np.sqrt(rows)))), MOST_PIVOTS, MOST_NUMBERS // max(width, 1)))
+
+
 def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-          scale: float = 256.0, n_pivots: int = PIVOTS, group_queries: int = GROUP_QUERIES,
-          block_rows: int = BLOCK_ROWS) -> DataFrame:
+          scale: float = 256.0, n_pivots: int | None = None, group_queries: int = GROUP_QUERIES,
+          block_rows: int = BLOCK_ROWS, observation: Observation | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where ``is_query`` holds
     its ``k`` best other rows by the inner product of floor(scale * x).
 
@@ -112,14 +121,17 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
     with a null id, take no part.  Shorter vectors count as ending in zeros.
     Rows that share an id never find each other; as queries they count once
     (the least vector), as candidates each.  With fewer than k others, all
-    are returned; without rows or queries, none.
+    are returned; without rows or queries, none.  Equal scores go by the smaller
+    id; other columns, whatever their names, are not read.  ``n_pivots``:
+    ``pivots_for`` the table, if not given.  ``observation`` gets ``copies``, the
+    rows that groups were sent, once the result has been computed.
     """
     rows = df.where(usable(F.col(vec_col)) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"))
     whole = F.transform("v", lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("double"))
     norm = F.aggregate(whole, F.lit(0.0), lambda a, x: a + x * x)
-    seen = rows.agg(F.max(F.size("v")).alias("width"), F.max(norm).alias("norm")).first()
+    seen = rows.agg(F.max(F.size("v")).alias("width"), F.max(norm).alias("norm"), F.count("*").alias("rows")).first()
     width, top = seen["width"] or 0, seen["norm"] or 0.0
     spark = df.sparkSession
     out = "query_id bigint, rank int, vec_id bigint, score bigint"
@@ -130,6 +142,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
     def lengthened(x: np.ndarray) -> np.ndarray:
         return np.hstack([x, np.sqrt(np.maximum(top - (x * x).sum(axis=1), 0))[:, None]])
 
+    n_pivots = n_pivots or pivots_for(seen["rows"], width)
     sample = rows.orderBy(F.xxhash64("id"), "id", "v").limit(n_pivots).select("v").collect()
     at = np.zeros((len(sample), width))
     for i, r in enumerate(sample):
@@ -138,8 +151,9 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
 
     def assign(batches):
         for batch in batches:
-            for s in range(0, batch.num_rows, CHUNK_ROWS):
-                part = batch.slice(s, CHUNK_ROWS)
+            step = max(1, min(CHUNK_ROWS, CHUNK_NUMBERS // len(pivots)))
+            for s in range(0, batch.num_rows, step):
+                part = batch.slice(s, step)
                 x = np.floor(matrix(part.column("v"), width) * scale)
                 far = distances(lengthened(x), pivots)
                 cell = far.argmin(axis=1)
@@ -168,10 +182,24 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
         group_of[members] = g << 20
         salts_of[members] = max(1, -(-sum(counts[c] for c in members) // group_queries))
 
+    # A group's queries come together, so one range a group and cell leaves the task.
+    plan = spark.createDataFrame([(c, int(group_of[c]), int(salts_of[c])) for c in range(len(pivots))],
+                                 "cell int, first bigint, turns bigint")
+    queries = queries.join(F.broadcast(plan), "cell").select(
+        "id", "x", (F.col("first") + F.col("salt") % F.col("turns")).alias("group"))
+
     def thetas(batches):
+        group, low, high = None, None, None
+        step = max(1, min(512, CHUNK_NUMBERS // max(len(s_cell), len(pivots))))
+
+        def found():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(low), group)), pa.array(np.arange(len(low), dtype=np.int32)), pa.array(low),
+                 pa.array(high)], names=["group", "cell", "low", "high"])
+
         for batch in batches:
-            for s in range(0, batch.num_rows, 512):
-                part = batch.slice(s, 512)
+            for s in range(0, batch.num_rows, step):
+                part = batch.slice(s, step)
                 x = _unpacked(part.column("x"), width)
                 far = distances(np.hstack([x, np.zeros((len(x), 1))]), pivots)
                 reach = np.minimum.reduceat(far[:, s_cell] + s_far, s_begin, axis=1)  # of each id
@@ -179,19 +207,22 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
                 reach.sort(axis=1)
                 theta = reach[:, k - 1] if reach.shape[1] >= k else np.full(len(x), np.inf)
                 theta = theta + slack
-                cell = part.column("cell").to_numpy()
-                salt = part.column("salt").to_numpy() % salts_of[cell]
-                group = group_of[cell] + salt
-                # Per group and cell of this part the widest range: what leaves the task is groups x cells.
-                for g in np.unique(group):
-                    mine = group == g
-                    low = (far[mine] - theta[mine][:, None]).min(axis=0)
-                    high = (far[mine] + theta[mine][:, None]).max(axis=0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(low), g)), pa.array(np.arange(len(low), dtype=np.int32)), pa.array(low),
-                         pa.array(high)], names=["group", "cell", "low", "high"])
-
-    ranges = (queries.mapInArrow(thetas, "group bigint, cell int, low double, high double")
+                of = part.column("group").to_numpy()
+                for g in np.unique(of):
+                    mine = of == g
+                    near = (far[mine] - theta[mine][:, None]).min(axis=0)
+                    wide = (far[mine] + theta[mine][:, None]).max(axis=0)
+                    if g == group:
+                        low, high = np.minimum(low, near), np.maximum(high, wide)
+                        continue
+                    if group is not None:
+                        yield found()
+                    group, low, high = g, near, wide
+        if group is not None:
+            yield found()
+
+    ranges = (queries.repartition("group").sortWithinPartitions("group")
+              .mapInArrow(thetas, "group bigint, cell int, low double, high double")
               .groupBy("group", "cell").agg(F.min("low").alias("low"), F.max("high").alias("high")))
     table = spark.createDataFrame(
         [(c, int(r["rows"]), float(s_far[s_cell == c].min())) for c, r in sizes.items()],
@@ -200,14 +231,13 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
     ranges = ranges.withColumn("blocks", F.ceil(F.sum("held").over(Window.partitionBy("group")) / block_rows))
     ranges = spooled(ranges.drop("held", "least"), "ranges")
 
-    code = F.element_at(F.array(*[F.lit(int(g)) for g in group_of]), F.col("cell") + 1)
-    turns = F.element_at(F.array(*[F.lit(int(g)) for g in salts_of]), F.col("cell") + 1)
-    grouped = queries.withColumn("group", code + F.col("salt") % turns)
     blocks = ranges.groupBy("group").agg(F.max("blocks").alias("blocks"))
-    left = (grouped.join(blocks, "group")
+    left = (queries.join(blocks, "group")
             .select("group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "x"))
     right = (again(cells).join(ranges, "cell").where("far >= low and far <= high")
              .select("group", F.pmod(F.xxhash64("id", "x"), F.col("blocks")).alias("block"), "id", "x"))
+    if observation is not None:
+        right = right.observe(observation, F.count(F.lit(1)).alias("copies"))
 
     def solve(q: pa.Table, x: pa.Table) -> pa.Table:
         found = []

@@ -5,6 +5,7 @@ import pytest
 
 from hirelens.llm import crf, flat_graph, ngram_jaccard, voronoi_knn
 from hirelens.llm.components import components
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -62,6 +63,22 @@ def test_top_k_edges(spark):
     assert voronoi_knn.top_k(short, q).first()["score"] == 256 * 256
 
 
+def test_more_pivots_replicate_fewer_rows(spark):
+    df = spark.createDataFrame(clustered(900, 3, centres=30, spread=0.01), SCHEMA).cache()
+    copies, results = [], []
+    for pivots in (2, 60):
+        sent = Observation()
+        got = voronoi_knn.top_k(df, F.col("vec_id") % 3 == 0, n_pivots=pivots, group_queries=20, observation=sent)
+        results.append({tuple(r) for r in got.collect()})
+        copies.append(sent.get["copies"])
+    assert results[0] == results[1] and copies[1] < copies[0] / 2
+
+
+def test_pivots_grow_with_the_table_within_bounds():
+    assert [voronoi_knn.pivots_for(n, 64) for n in (0, 4_096, 1_000_000, 10 ** 10)] == [64, 64, 1_000, 4_096]
+    assert voronoi_knn.pivots_for(10 ** 10, 4_096) == 256 and voronoi_knn.pivots_for(10, 10 ** 7) == 1
+
+
 def test_large_components_stay_whole_numbers():
     q, x = np.array([[2.0 ** 30, 1.0]]), np.array([[2.0 ** 30, 3.0], [-2.0 ** 40, 0.0]])
     assert voronoi_knn._products(q, x).tolist() == [[2 ** 60 + 3, -(1 << 63)]]
