@@ -1,9 +1,11 @@
 """Card extraction on hand-made pages (nested cards, cap, filters)."""
 
+import random
 import time
 
 import pytest
 
+from hirelens.sources import html_cards
 from hirelens.sources.html_cards import cards_in_page, job_cards, page_triage, valid_cards
 
 CARD = ('<div class="ipy-2 job-card"><h3 data-url="/it-jobs/{k}"> <a href="https://x/{k}">Title {k}</a> </h3>'
@@ -116,3 +118,42 @@ def test_deeply_nested_cards_take_linear_time(markup, cards):
     start = time.process_time()
     assert len(cards_in_page(markup)) == cards
     assert time.process_time() - start < 20
+
+
+FRAGMENTS = ['<div class="job">', '<div class="x jobs">', "</div>", "<div>", '<h3 data-url="/u">', "<H3 DATA-URL='/v'>", "</h3>",
+             ' <a href="https://x/1">', "</a>", "<a href='/companies/y'>", "text", "lorem " * 10, "a &amp; b", "&", "<br>", "<br />",
+             "<form>", "</form>", '<span class="text-nowrap text-rich-grey x text-truncate">', "</span>", "<div hidden class>",
+             '<div data-controller="responsive-tag-list">', '<div class="fw salary">', "<!-- c -->", "<!--x", "<!doctype html>",
+             '<script>var t="<div class=job>";</script>', "<script>", "</script>", "<style>a{}</style >", "<title>T &amp; x</title>",
+             "<title>a<b>", "<template>", "</template>", "< b", "<a b = 'c'>", "<div class=job id=x>", "<div class=job/>",
+             '<div class="job&amp;">', '<div class="a>b job">', "<my-el>", "</my-el>", "<![x]>", '<div class="a" class="job">']
+
+
+def test_plain_pages_as_the_library_reads_them():
+    rng, plain = random.Random(5), 0
+    for _ in range(3000):
+        html = "".join(rng.choice(FRAGMENTS) for _ in range(rng.randrange(1, 25)))
+        page, doc = html_cards._Plain(), html_cards._Doc()
+        if not page.read(html):
+            continue
+        doc.feed(html)
+        doc.close()
+        for d in (page, doc):
+            d.index()
+        plain += 1
+        assert page.places == doc.places, html
+        for at in {at for places in doc.places.values() for at in places}:
+            a, b = page.nodes[at], doc.nodes[at]
+            assert (a.tag, a.attrs, a.last, page.text(a), page.text(a, strip=True)) == (
+                b.tag, b.attrs, b.last, doc.text(b), doc.text(b, strip=True)), html
+    assert plain > 500
+
+
+def test_plain_pages_need_no_library_parser(monkeypatch):
+    def feed(self, data):
+        raise AssertionError("slow")
+
+    monkeypatch.setattr(html_cards._Doc, "feed", feed)
+    (c,) = cards_in_page("<!doctype html><title>a &amp; b</title><script>if (a < b) x('<div class=job>')</script>"
+                         + page(CARD.format(k=1)))
+    assert c["parse_error"] is None and c["title"]
