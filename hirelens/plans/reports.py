@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions.numeric import int_midpoint, percent, round0
+from hirelens.session import small_shuffle_tasks
 from hirelens.sources.bindings import Star
 
 DATA_ENGINEER = "%data engineer%"
@@ -110,6 +111,7 @@ def q04_skill_pairs(star: Star, k: int = 20, hot_job_skills: int = HOT_JOB_SKILL
     map-side; only the k winners are joined to names.  Hot jobs are split
     into skill blocks (see ``_job_skill_pairs``).
     """
+    small_shuffle_tasks(star.bridge_job_skills.sparkSession)
     b = star.bridge_job_skills.join(star.dim_skills.select("skill_id"), "skill_id", "left_semi")
     top = (_job_skill_pairs(b, hot_job_skills).groupBy("skill_id_1", "skill_id_2")
            .agg(F.count(F.lit(1)).alias("co_occurrence_count"))

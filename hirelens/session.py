@@ -8,6 +8,7 @@ tests, the bench and the command line, where nothing else builds one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -24,6 +25,10 @@ PLAN_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Shuffled bytes (compressed) and bytes of files that a task reads where every key is held, and shuffle
+#: partitions to make such tasks of.
+TASK_BYTES, TASK_FILE_BYTES, TASK_PARTITIONS = 4 << 20, 32 << 20, 400
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "hirelens") -> SparkSession:
@@ -54,6 +59,27 @@ def apply_plan_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}[unit]
+
+
+def small_shuffle_tasks(spark: SparkSession) -> None:
+    """Aggregates over nearly unique keys hold all that a task reads.  AQE merges
+    a shuffle's partitions until there are as few as cores, up to 64 MB each, and
+    a task's memory then grows with the input; from here on tasks read at most
+    ``TASK_BYTES`` (less, if the session says so), and large inputs make more tasks.
+    """
+    for key, most in (("spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_BYTES),
+                      ("spark.sql.files.maxPartitionBytes", TASK_FILE_BYTES)):
+        if _bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, most)
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    partitions = int(spark.conf.get(first, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions < TASK_PARTITIONS:
+        spark.conf.set(first, TASK_PARTITIONS)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from hirelens import session
 from hirelens.plans.reports import _job_skill_pairs, q04_skill_pairs
 from hirelens.sources.bindings import Star
 
@@ -41,3 +42,31 @@ def test_top_pairs_with_hot_job(spark):
     top = q04_skill_pairs(star, k=3, hot_job_skills=4).collect()
     assert sorted((r.skill_1, r.skill_2, r.co_occurrence_count) for r in top) == \
         [("s3", "s7", 5), ("s3", "s9", 5), ("s7", "s9", 5)]
+
+
+def test_larger_inputs_make_more_tasks_not_larger_ones(spark, monkeypatch):
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    monkeypatch.setattr(session, "TASK_BYTES", 1 << 20)
+    try:
+        spark.conf.unset(keys[2])
+        rows = spark.range(3_000_000).selectExpr("xxhash64(id) as a").groupBy("a").count().where("count > 0")
+        merged = rows.rdd.getNumPartitions()
+        session.small_shuffle_tasks(spark)
+        rows = spark.range(3_000_000).selectExpr("xxhash64(id) as a").groupBy("a").count().where("count > 0")
+        assert rows.rdd.getNumPartitions() >= 20 > merged
+        spark.conf.set(keys[0], "512k")
+        session.small_shuffle_tasks(spark)
+        assert spark.conf.get(keys[0]) == "512k"  # a smaller one stays
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_pairs_are_counted_in_small_tasks(spark):
+    bridge = spark.createDataFrame([(1, 1), (1, 2)], "job_id long, skill_id long")
+    skills = spark.createDataFrame([(1, "a"), (2, "b")], "skill_id long, skill_name string")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    q04_skill_pairs(Star(bridge, skills, skills, bridge))
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= session.TASK_BYTES
