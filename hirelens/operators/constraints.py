@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from hirelens.operators.key_filter import KeyFilter, ends, paired
 from hirelens.schemas import LENGTH_LIMITS
+from hirelens.session import small_shuffle_tasks
 from hirelens.sources.bindings import Star
 
 NOT_NULL = {
@@ -83,6 +84,7 @@ def _fk_check(child_name: str, child: DataFrame, col: str, parent_name: str, par
 
 
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    small_shuffle_tasks(next(iter(tables.values())).sparkSession)
     parts: list[DataFrame] = []
     for name, df in tables.items():
         rc = _row_checks(name, df)
@@ -98,18 +100,19 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
         "check_name", F.col("violations").cast("long").alias("violations"))
 
 
-def _doubles(name: str, key: list[str]) -> tuple[str, Column]:
-    """(check_name, aggregate): rows with a key that another row of the table has, but one of each."""
+def _run_unique_check(name: str, new: DataFrame, stored: DataFrame | None, key: list[str], among: KeyFilter) -> DataFrame:
+    """New rows that may not be added: of each key all but one, and that one too if a stored row has the key.
+    Both sides are summed by key together, which needs no sorted join and reads the new rows once."""
     whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
-    return (f"{name}({', '.join(key)}) unique",
-            F.count_if(whole) - F.count_distinct(F.when(whole, F.struct(*key))))
-
-
-def _taken_check(name: str, new: DataFrame, stored: DataFrame, key: list[str], among: KeyFilter) -> DataFrame:
-    """Distinct new keys that a stored row has: with the run's own doubles, the rows that may not be added."""
-    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
-    taken = new.where(whole).select(*key).distinct().join(among.candidates(stored, key), key, "left_semi")
-    return taken.agg(F.count(F.lit(1)).alias("violations")).select(
+    rows = new.where(whole).select(*key, F.lit(1).cast("long").alias("_new"), F.lit(0).cast("long").alias("_old"))
+    if stored is not None and not among.empty(key[0]):
+        kinds = [new.schema[k].dataType for k in key]
+        known = among.candidates(stored, key)
+        if [known.schema[k].dataType for k in key] != kinds:  # compared as a join does, by the new rows' spelling
+            known = rows.select(*key).distinct().join(known, key, "left_semi").select(*[rows[k] for k in key])
+        rows = rows.union(known.select(*key, F.lit(0).cast("long"), F.lit(1).cast("long")))
+    held = rows.groupBy(*key).agg(F.sum("_new").alias("_new"), F.max("_old").alias("_old")).where("_new > 0")
+    return held.agg(F.coalesce(F.sum(F.col("_new") - 1 + F.col("_old")), F.lit(0)).alias("violations")).select(
         F.lit(f"{name}({', '.join(key)}) unique").alias("check_name"), "violations")
 
 
@@ -133,25 +136,25 @@ def run_violations(new: dict[str, DataFrame], stored: dict[str, DataFrame]) -> D
     one too if a stored row has the key.  Foreign keys look among the new and
     the stored parents.  Nulls are as in ``constraint_violations``; stored rows
     that break a rule among themselves don't count, and without new rows
-    nothing does.  One pass over each new table counts what its rows break among
-    themselves and takes the keys' ranges; only the look-ups among stored rows
-    are joins.
+    nothing does.  One pass over each new table counts what a row breaks by
+    itself and takes the keys' ranges; a unique key is one aggregate over new and
+    possible stored rows, and only the foreign keys' look-ups are joins.
     """
     spark = next(iter(new.values())).sparkSession
-    alone: list[tuple[str, int]] = []  # what the run's rows break among themselves
+    small_shuffle_tasks(spark)
+    alone: list[tuple[str, int]] = []  # what the run's rows break by themselves
     parts: list[DataFrame] = []
     among = {}
     for name, df in new.items():
         keys = [k for k in UNIQUE.get(name, []) if all(c in df.columns for c in k)]
         columns = {k[0] for k in keys} | {col for child, col, _, _ in FOREIGN_KEYS if child == name}
         columns = sorted(columns & set(df.columns))
-        rules = [*_row_rules(name, df), *(_doubles(name, key) for key in keys)]
+        rules = _row_rules(name, df)
         row = df.agg(F.count(F.lit(1)), *ends(columns), *[rule for _, rule in rules]).first()
         alone += zip([check for check, _ in rules], row[1 + 2 * len(columns):])
         among[name] = KeyFilter(df, row[0], paired(columns, row[1:]))
         for key in keys:
-            if name in stored and not among[name].empty(key[0]):
-                parts.append(_taken_check(name, df, stored[name], key, among[name]))
+            parts.append(_run_unique_check(name, df, stored.get(name), key, among[name]))
     for child, col, parent, pcol in FOREIGN_KEYS:
         if child in new and (parent in new or parent in stored):
             parts.append(_run_fk_check(child, new[child], col, parent, new.get(parent), stored.get(parent), pcol,

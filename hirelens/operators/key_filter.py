@@ -9,7 +9,8 @@ and little else of the stored ones.
 The filter is a table of bitmap pages made and tested by Spark's own
 functions.  It is broadcast: at most ``MOST_PAGES`` pages of 4 KB, whatever the
 number of keys.  Beyond about a million keys it lets more stored ones pass; the
-join stays right.
+join stays right.  For more than ``MOST_KEYS``, where it would pass a seventh of
+the others, none is made: the join alone is cheaper.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Bits per key, those that a key sets, the bits of a page (as ``bitmap_construct_agg`` has them) and the most pages.
 BITS_PER_KEY, HASHES, PAGE_BITS, MOST_PAGES = 16, 4, 1 << 15, 512
+#: New rows for which a filter is made.
+MOST_KEYS = 4 * MOST_PAGES * PAGE_BITS // BITS_PER_KEY
 
 
 def ends(columns: list[str]) -> list[Column]:
@@ -42,6 +45,7 @@ class KeyFilter:
 
     def __init__(self, new: DataFrame, rows: int, ranges: dict[str, tuple]):
         self.new, self.ranges = new, ranges
+        self.filters = rows <= MOST_KEYS
         wanted = rows * BITS_PER_KEY // PAGE_BITS + 1
         self.pages = min(MOST_PAGES, 1 << (wanted - 1).bit_length())
 
@@ -68,9 +72,11 @@ class KeyFilter:
         if low is None:
             return stored.select(*key).where(F.lit(False))
         whole: Column = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+        read = stored.select(*key).where(F.col(key[0]).between(F.lit(low), F.lit(high)))
+        if not self.filters:
+            return read.where(whole)
         pages = (self._placed(self.new.where(whole).select(*key), key).select("_page", F.explode("_set").alias("_bit"))
                  .groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
         hit = F.expr("forall(_set, b -> (cast(conv(hex(substring(_bits, b div 8 + 1, 1)), 16, 10) as int) "
                      "& shiftleft(1, b % 8)) != 0)")
-        read = stored.select(*key).where(F.col(key[0]).between(F.lit(low), F.lit(high)))
         return self._placed(read, key).join(F.broadcast(pages), "_page").where(hit).select(*key)

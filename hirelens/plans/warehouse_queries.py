@@ -13,6 +13,7 @@ from hirelens.plans.daily_run import read_warehouse, run_daily, write_warehouse
 from hirelens.schemas import WAREHOUSE
 from hirelens.session import scratch_path
 from hirelens.sources.bindings import AS_OF, html_pages, raw_jobs, star
+from hirelens.sources.io import spooled
 from hirelens.sources.tables import Tables
 
 # Jobs posted before this date are deleted by the cascade example.
@@ -102,9 +103,10 @@ def planted_run_violations_q(spark, sf_dir):
     already, doubled, null or without a parent, beside right ones."""
     s = star(Tables(spark, sf_dir))
     cid, jid, sid = F.col("company_id"), F.col("job_id"), F.col("skill_id")
-    f = s.fact_jobs.select("job_id", "company_id", "job_title", "job_url", "location")
+    # The rules read their tables many times, as written ones: the two that a join and a distinct make are written first.
+    f = spooled(s.fact_jobs.select("job_id", "company_id", "job_title", "job_url", "location"), "jobs")
     firms = s.dim_companies.select("company_id", "company_name", "industry")
-    b = s.bridge_job_skills.select((jid * 1000 + sid).alias("job_skill_id"), "job_id", "skill_id")
+    b = spooled(s.bridge_job_skills.select((jid * 1000 + sid).alias("job_skill_id"), "job_id", "skill_id"), "bridge")
     skills = s.dim_skills.select("skill_id", "skill_name")
     stored = {"fact_jobs": f.where(jid % 3 > 0), "dim_companies": firms.where(cid % 4 > 0),
               "dim_skills": skills.where(sid % 9 > 0), "bridge_job_skills": b.where(jid % 3 > 0)}

@@ -6,6 +6,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from hirelens.operators import key_filter
 from hirelens.operators.constraints import run_violations
 from hirelens.operators.key_filter import KeyFilter
 from hirelens.operators.warehouse import load_warehouse
@@ -76,3 +77,19 @@ def test_a_run_that_breaks_a_key_is_not_published(spark):
     after = load_warehouse(raw.where("job_id % 2 = 1"), AS_OF, daily_run.read_warehouse(spark, base), tiebreak="job_id")
     daily_run.write_warehouse(after, base, "second")
     assert daily_run.read_warehouse(spark, base).fact_jobs.count() > before
+
+
+@pytest.mark.parametrize("most", [0, 1 << 30])
+def test_many_new_keys_are_looked_up_without_a_filter(spark, monkeypatch, most):
+    monkeypatch.setattr(key_filter, "MOST_KEYS", most)
+    old = {"dim_companies": companies(spark, [(1, "a", None), (1, "a", None), (2, "b", None), (None, None, None)]),
+           "fact_jobs": spark.createDataFrame([(1, 1, "x")], "job_id int, company_id long, job_title string")}
+    new = {"dim_companies": companies(spark, [(2, "c", None), (2, "a", None), (3, "z", None), (None, None, None)]),
+           "fact_jobs": spark.createDataFrame([(1, 1, "x"), (1, 3, "x"), (2, 9, "x")],
+                                              "job_id long, company_id long, job_title string")}
+    assert found(new, old) == {
+        "dim_companies.company_id not null": 1, "dim_companies.company_name not null": 1,
+        "dim_companies(company_id) unique": 2, "dim_companies(company_name) unique": 1,
+        "fact_jobs(job_id) unique": 2, "fact_jobs.company_id -> dim_companies.company_id": 1}
+    plan = KeyFilter.of(new["fact_jobs"], ["job_id"]).candidates(old["fact_jobs"], ["job_id"])
+    assert ("bitmap_construct_agg" in plan._jdf.queryExecution().toString()) == bool(most)
