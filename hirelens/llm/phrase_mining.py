@@ -64,6 +64,11 @@ KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = END
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 BASE, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: BASE * BACK = 1 modulo 2^64; a byte's value in a word (a blank has none); powers made at once.
+BACK = np.uint64(pow(int(BASE), -1, 1 << 64))
+VALUE = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * BASE
+VALUE[0x20] = 0
+POWER_BITS = 11
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,17 +78,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def powers(base: np.uint64, count: int) -> np.ndarray:
+    """1, base, base^2, ... (modulo 2^64)."""
+    few = np.full(1 << POWER_BITS, base)
+    few[0] = 1
+    few = np.cumprod(few)
+    many = np.repeat(few[-1:] * base, ((count - 1) >> POWER_BITS) + 1)
+    many[0] = 1
+    return np.multiply.outer(np.cumprod(many), few).ravel()[:count]
+
+
 def hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A hash of each word in bytes where words follow each other, with or
-    without a blank after them."""
+    without a blank after them: the sum of its bytes' values times powers of
+    ``BASE``, which count from the first byte of all; dividing by the power
+    at a word's start makes it the word's own."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = np.diff(starts, append=len(data))
-    powers = np.cumprod(np.full(int(lengths.max()), BASE))
-    place = np.arange(len(data)) - np.repeat(starts, lengths)
-    values = (data.astype(np.uint64) + np.uint64(1)) * powers[place]
-    values[data == 0x20] = 0
-    return mixed(np.add.reduceat(values, starts))
+    values = VALUE[data]
+    values *= powers(BASE, len(data))
+    values = np.add.reduceat(values, starts)
+    few = powers(BACK, 1 << POWER_BITS)
+    many = powers((few[-1:] * BACK)[0], (int(starts[-1]) >> POWER_BITS) + 1)
+    values *= many[starts >> POWER_BITS]
+    values *= few[starts & ((1 << POWER_BITS) - 1)]
+    return mixed(values)
 
 
 def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -176,11 +195,12 @@ class Words:
         self.starts = np.flatnonzero(opens[:-1])
         after = np.append(self.starts[1:], len(data))
         self.ends = after - (data[after - 1] == 0x20)
-        self.chunk = np.searchsorted(offsets, self.starts, "right") - 1
         begin = np.searchsorted(self.starts, offsets)  # first word of each chunk, and the end
-        place = np.arange(len(self.starts)) - begin[self.chunk]
-        self.left = begin[self.chunk + 1] - begin[self.chunk] - place  # words from here to the chunk's end
-        self.in_core = place < part.column("core").to_numpy()[self.chunk]
+        size = np.diff(begin)
+        self.chunk = np.repeat(np.arange(len(size)), size)
+        at = np.arange(len(self.starts))
+        self.left = np.repeat(begin[1:], size) - at  # words from here to the chunk's end
+        self.in_core = at < np.repeat(begin[:-1] + part.column("core").to_numpy(), size)
         self.lang = part.column("lang").dictionary_encode()
         seeds = [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little")
                  for x in self.lang.dictionary.to_pylist()]

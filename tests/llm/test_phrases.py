@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +95,14 @@ def test_without_words(spark):
     df = spark.createDataFrame([("en", None), (None, " . ")], "lang string, text string")
     assert phrase_mining.mine(df).count() == 0
     assert phrase_mining.mine(df.limit(0)).count() == 0
+
+
+def test_a_words_hash_is_its_own_wherever_it_stands():
+    data = np.frombuffer(b"mill " * 3_000 + b"by " + b"x" * 5_000 + b" mill", np.uint8)
+    starts = np.append(0, np.flatnonzero(data == 0x20) + 1)
+    got = phrase_mining.hashes(data, starts)
+    assert len(set(got.tolist())) == 3 and (got[:3_000] == got[-1]).all()
+    assert got[0] == phrase_mining.hashes(data[:4], starts[:1])[0]
+    plain = sum((b + 1) * int(phrase_mining.BASE) ** (i + 1) for i, b in enumerate(b"mill")) % 2**64
+    assert got[0] == phrase_mining.mixed(np.asarray([plain], np.uint64))[0]
+    assert phrase_mining.powers(phrase_mining.BASE, 5_000)[-1] == pow(int(phrase_mining.BASE), 4_999, 2**64)
