@@ -105,7 +105,7 @@ def _run_unique_check(name: str, new: DataFrame, stored: DataFrame | None, key:
     Both sides are summed by key together, which needs no sorted join and reads the new rows once."""
     whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
     rows = new.where(whole).select(*key, F.lit(1).cast("long").alias("_new"), F.lit(0).cast("long").alias("_old"))
-    if stored is not None and not among.empty(key[0]):
+    if stored is not None and among.meets(stored, key[0]):
         kinds = [new.schema[k].dataType for k in key]
         known = among.candidates(stored, key)
         if [known.schema[k].dataType for k in key] != kinds:  # compared as a join does, by the new rows' spelling
@@ -119,11 +119,12 @@ def _run_unique_check(name: str, new: DataFrame, stored: DataFrame | None, key:
 def _run_fk_check(child_name: str, child: DataFrame, col: str, parent_name: str, parents: DataFrame | None,
                   stored: DataFrame | None, pcol: str, among: KeyFilter) -> DataFrame:
     """New rows whose parent is neither among the run's rows nor stored."""
-    loose = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    keys = loose = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     if parents is not None:
         loose = loose.join(parents.select(F.col(pcol).alias(col)), col, "left_anti")
-    if stored is not None and not among.empty(col):
-        loose = loose.join(among.candidates(stored.select(F.col(pcol).alias(col)), [col]), col, "left_anti")
+    held = None if stored is None else stored.select(F.col(pcol).alias(col))
+    if held is not None and among.meets(held, col):
+        loose = loose.join(among.candidates(held, [col], keys), col, "left_anti")
     return loose.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
         F.lit(f"{child_name}.{col} -> {parent_name}.{pcol}").alias("check_name"), "violations")
 

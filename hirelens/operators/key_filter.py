@@ -59,15 +59,22 @@ class KeyFilter:
         """No new row has a value there."""
         return self.ranges[column][0] is None
 
+    def meets(self, stored: DataFrame, column: str) -> bool:
+        """A stored row lies within the range of the new ones.  Keys that rise
+        from run to run meet none: then there is nothing to filter or to join."""
+        low, high = self.ranges[column]
+        return low is not None and not stored.select(column).where(F.col(column).between(F.lit(low), F.lit(high))).isEmpty()
+
     def _placed(self, keys: DataFrame, key: list[str]) -> DataFrame:
         text = [F.col(k).cast("string") for k in key]
         bits = [F.pmod(F.xxhash64(*text, F.lit(i)), F.lit(PAGE_BITS)).cast("int") for i in range(HASHES)]
         page = F.pmod(F.xxhash64(*text, F.lit(HASHES)), F.lit(self.pages))
         return keys.withColumns({"_page": page, "_set": F.array(*bits)})
 
-    def candidates(self, stored: DataFrame, key: list[str]) -> DataFrame:
+    def candidates(self, stored: DataFrame, key: list[str], keys: DataFrame | None = None) -> DataFrame:
         """(key): stored keys that may be new ones too, among them all that are.
-        The range is that of the key's first column."""
+        The range is that of the key's first column.  ``keys`` are the new rows'
+        keys, if they are at hand without the doubles."""
         low, high = self.ranges[key[0]]
         if low is None:
             return stored.select(*key).where(F.lit(False))
@@ -75,7 +82,7 @@ class KeyFilter:
         read = stored.select(*key).where(F.col(key[0]).between(F.lit(low), F.lit(high)))
         if not self.filters:
             return read.where(whole)
-        pages = (self._placed(self.new.where(whole).select(*key), key).select("_page", F.explode("_set").alias("_bit"))
+        pages = (self._placed((self.new if keys is None else keys).where(whole).select(*key), key).select("_page", F.explode("_set").alias("_bit"))
                  .groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
         hit = F.expr("forall(_set, b -> (cast(conv(hex(substring(_bits, b div 8 + 1, 1)), 16, 10) as int) "
                      "& shiftleft(1, b % 8)) != 0)")

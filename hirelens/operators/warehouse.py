@@ -16,8 +16,9 @@ one DataFrame transform over the whole batch:
   company's partition) and keys in staging order;
 * skills come from a fixed, curated dictionary (a literal map), and the
   bridge is unique per (job, skill) by construction, without a shuffle;
-* staging is range-ordered and checkpointed once; job and bridge keys are
-  then numbered in place from it, without further range shuffles.
+* staging is range-ordered and checkpointed once, and once more cleaned; job
+  and bridge keys are then numbered in place from it, without further range
+  shuffles.
 """
 
 from __future__ import annotations
@@ -242,7 +243,9 @@ class Warehouse:
 
     @cached_property
     def _jobs(self) -> DataFrame:
-        return prepare_jobs(self.new_staging)
+        # Read by companies, fact, bridge, locations and rejected rows: cleaned
+        # once (a checkpoint keeps the partition order that numbering relies on).
+        return prepare_jobs(self.new_staging).checkpoint(eager=True)
 
     @cached_property
     def rejected_jobs(self) -> DataFrame:
@@ -255,9 +258,7 @@ class Warehouse:
 
     @cached_property
     def _numbered(self) -> DataFrame:
-        # Read by the fact, the bridge and the locations: cleaned and keyed
-        # once (a checkpoint keeps the partition order the bridge relies on).
-        return number_jobs(self._jobs, self._prev.fact_jobs if self._prev else None).checkpoint(eager=True)
+        return number_jobs(self._jobs, self._prev.fact_jobs if self._prev else None)
 
     @cached_property
     def new_fact_jobs(self) -> DataFrame:
@@ -269,7 +270,7 @@ class Warehouse:
 
     @cached_property
     def new_locations(self) -> DataFrame:
-        return new_locations(self._prev.dim_locations if self._prev else None, self._numbered, self._at)
+        return new_locations(self._prev.dim_locations if self._prev else None, loadable(self._jobs), self._at)
 
     def _with_previous(self, name: str, new: DataFrame) -> DataFrame:
         return conform(getattr(self._prev, name), new).unionByName(new) if self._prev else new

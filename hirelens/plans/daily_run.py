@@ -91,7 +91,7 @@ def read_runs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def write_run(df: DataFrame, path: str, run_id: str) -> int:
     """Write a run's rows in place of its earlier ones."""
-    rows = write_table(df.withColumn(RUN, F.lit(run_id)), path, partition_by=[RUN])
+    rows = write_table(df.withColumn(RUN, F.lit(run_id)), path, partition_by=[RUN], one_partition=True)
     if not rows:  # nothing to write also replaces
         drop_partition(df.sparkSession, path, f"{RUN}={run_id}")
     return rows
@@ -183,7 +183,8 @@ def write_warehouse(wh: Warehouse, base: str, run_id: str) -> dict[str, int]:
 
     def write(name: str, rows: DataFrame) -> None:
         path = f"{base}/{name}/{folder}"
-        counts[name] = write_table(rows, path, partition_by=[MONTH] if name == "fact_jobs" else None)
+        # A run's jobs are posted at the time they are loaded: one month.
+        counts[name] = write_table(rows, path, partition_by=[MONTH] if name == "fact_jobs" else None, one_partition=True)
         runs = tables.setdefault(name, {})
         if name in REPLACED:
             gone.extend(f"{base}/{name}/{old}" for old in runs.pop(run_id, ()))

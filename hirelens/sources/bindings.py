@@ -224,24 +224,27 @@ def article_cards(pages: DataFrame) -> DataFrame:
 
 
 def html_pages(t: Tables) -> DataFrame:
-    """One listing page per block of PAGE_KEYS order keys, cards in key order."""
+    """One listing page per block of PAGE_KEYS order keys, cards in key order.
+
+    What a card is made of is shuffled and gathered; its markup, many times as
+    long, is written when the page is.
+    """
     o = t("orders")
     c = t("customer")
     cards = o.join(c, o.o_custkey == c.c_custkey).select(
         (F.col("o_orderkey") / PAGE_KEYS).cast("long").alias("page_id"),
-        F.struct(
-            F.col("o_orderkey").alias("k"),
-            card_html(F.col("o_orderkey"), F.col("o_orderpriority"), F.col("c_name"),
-                      F.col("c_mktsegment")).alias("html"),
-        ).alias("card"),
+        F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("prio"),
+                 F.col("c_name").alias("cname"), F.col("c_mktsegment").alias("segment")).alias("card"),
     )
     # An explicit repartition on page_id (kept as is by AQE, and reused by the
     # aggregate) so that parsing the pages later runs on every core.
     n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    written = F.transform(F.collect_list("card"), lambda x: F.struct(
+        x["k"].alias("k"), card_html(x["k"], x["prio"], x["cname"], x["segment"]).alias("html")))
     return cards.repartition(n, "page_id").groupBy("page_id").agg(
         F.concat(
             F.lit('<html><body><script>var t="<div class=job>";</script>'),
-            F.array_join(F.transform(F.array_sort(F.collect_list("card")), lambda x: x["html"]), ""),
+            F.array_join(F.transform(F.sort_array(written), lambda x: x["html"]), ""),
             F.lit("</body></html>"),
         ).alias("html")
     ).select(
